@@ -60,6 +60,16 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored; the model is fitted on labelled rows that are not held out."""
+    from corpuskiln.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "toxicity.score", (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "toxicity.n_hits", "toxicity.n_quoted", "toxicity.n_misspelled")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by the rules and, where none fits, by its aliases."""
     from corpuskiln.llm.urls import judge_urls
@@ -123,7 +133,7 @@ from documents
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op4_url_filter, op7_warc, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op7_warc, op8_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
