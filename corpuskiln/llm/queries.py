@@ -88,6 +88,22 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from m w
 """
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded with source spans, then decoded."""
+    import public_tokenizers
+
+    from corpuskiln.llm.pieces import encode_pieces
+
+    out = encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes"),
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives in the shared folder, read back and assembled into transactions."""
     from corpuskiln.llm.warc import round_trip
@@ -133,7 +149,7 @@ from documents
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op7_warc, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op7_warc, op8_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
