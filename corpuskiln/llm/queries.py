@@ -148,8 +148,16 @@ from documents
 """
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their group of near copies; the least doc_id of a group stays."""
+    from corpuskiln.llm.bagminhash import near_duplicates
+
+    groups = near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "class_id", "copies", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op7_warc, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op7_warc, op8_exact_dedup, op9_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
