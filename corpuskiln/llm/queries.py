@@ -156,9 +156,28 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "class_id", "copies", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings with the number of their links and their component at a cosine of 0.9."""
+    from corpuskiln.llm.vectors import near_vectors
+
+    found = near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+SQL_OP10 = """
+with recursive v as (select vec_id, embedding::double[] as e from embeddings),
+l as (select a.vec_id as x, b.vec_id as y from v a join v b on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.9),
+r(vec_id, reached) as (select vec_id, vec_id from v union select r.vec_id, l.y from r join l on l.x = r.reached),
+c as (select vec_id, min(reached) as component_id from r group by vec_id),
+n as (select x as vec_id, count(*) as n_links from l group by x)
+select c.vec_id, coalesce(n.n_links, 0) as n_links, c.component_id, c.vec_id = c.component_id as kept
+from c left join n on n.vec_id = c.vec_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op7_warc, op8_exact_dedup, op9_near_dedup)}
+    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": SQL_OP1, "op4_url_filter": SQL_OP4, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8}
+    return {"op1_chat_format": SQL_OP1, "op4_url_filter": SQL_OP4, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10}
