@@ -104,6 +104,26 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 13-word windows that smaller documents have."""
+    from corpuskiln.llm.substring import remove_repeats
+
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL_OP6 = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, i, array_to_string(w[i:i + 12], ' ') as t from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from d)),
+f as (select t, min(doc_id) as first from s group by t),
+c as (select distinct s.doc_id, unnest(range(s.i, s.i + 13)) as p from s join f on s.t = f.t where f.first < s.doc_id),
+x as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d),
+k as (select x.doc_id, string_agg(x.word, ' ' order by x.p) as kept, count(*) as n from x anti join c on x.doc_id = c.doc_id and x.p = c.p group by x.doc_id)
+select d.doc_id, len(d.w)::bigint as n_words, (len(d.w) - coalesce(k.n, 0))::bigint as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256
+from d left join k on k.doc_id = d.doc_id
+"""
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives in the shared folder, read back and assembled into transactions."""
     from corpuskiln.llm.warc import round_trip
@@ -176,8 +196,8 @@ from c left join n on n.vec_id = c.vec_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors)}
+    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op6_substring_dedup, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": SQL_OP1, "op4_url_filter": SQL_OP4, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10}
+    return {"op1_chat_format": SQL_OP1, "op4_url_filter": SQL_OP4, "op6_substring_dedup": SQL_OP6, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10}
