@@ -43,6 +43,6 @@ def upsert(ledger: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
         F.coalesce("new_reason", "reason", F.lit("")).alias("reason"),
         F.coalesce("status", F.lit("candidate")).alias("status"),
         (F.when(F.col("source").isNotNull(), F.coalesce("occurrences", F.lit(1))).otherwise(0) + F.coalesce("n", F.lit(0))).cast("long").alias("occurrences"),
-        F.coalesce("first_seen", now).alias("first_seen"),
+        F.when(F.col("source").isNull(), now).otherwise(F.col("first_seen")).alias("first_seen"),
         F.when(seen, now).otherwise(F.col("last_seen")).alias("last_seen"),
     )
