@@ -26,7 +26,7 @@ WORD = re.compile(r"[^\W_]+")
 #: Words that report speech, and words that address somebody; in English, German, French and Spanish.
 REPORTING = frozenset("said says wrote called quote quoted term word sagte schrieb nannte wort dit écrit appelé mot dijo escribió llamó palabra".split())
 ADDRESSING = frozenset("you your youre du dich dein ihr euch tu toi vous votre tú usted eres".split())
-OPENING, CLOSING, STRAIGHT = "“„«‘", "”»’", '"'
+QUOTES, STRAIGHT = ("“”", "„“", "«»", "‘’"), '"'
 #: Words whose match is remembered in each task before the memory is emptied.
 REMEMBERED = 1 << 20
 
@@ -140,7 +140,7 @@ def context_score(text: str, start: int, end: int) -> float:
     """1 for a plain hit; less inside quotation marks or after a word that reports speech; more where somebody is addressed."""
     left, right = text[max(0, start - WINDOW) : start], text[end : end + WINDOW]
     left, right = left.rpartition("\n")[2], right.partition("\n")[0]
-    opened = max((left.rfind(c) for c in OPENING), default=-1) > max((left.rfind(c) for c in CLOSING), default=-1) and any(c in right for c in CLOSING)
+    opened = any(left.rfind(a) > left.rfind(b) and b in right for a, b in QUOTES)
     opened |= left.count(STRAIGHT) % 2 == 1 and STRAIGHT in right
     before, after = WORD.findall(left)[-8:], WORD.findall(right)[:8]
     score = 0.2 if opened else 1.0
