@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.operators.masking import mask
-from corpuskiln.operators.matching import find_terms, form_counts
+from corpuskiln.operators.matching import find_terms, top_forms
 
 # Fixed values.
 MAX_TERMS, TOP_FORMS = 300, 8
@@ -18,21 +18,22 @@ def term_report(docs: DataFrame, terms: DataFrame, min_occurrences: int = 1, max
     Texts that cannot be masked are left out. Terms rank by occurrences, then length, then spelling.
     """
     masked = mask(docs.select("doc_id", "text")).where("mask.error is null").select("doc_id", F.col("mask.masked").alias("text"))
-    return rank_terms(find_terms(masked, terms), min_occurrences, max_terms)
+    return rank_terms(find_terms(masked, terms, offsets=False), min_occurrences, max_terms)
 
 
 def rank_terms(matches: DataFrame, min_occurrences: int = 1, max_terms: int = MAX_TERMS) -> DataFrame:
-    per_term = matches.groupBy("source", "target").agg(
-        F.count(F.lit(1)).alias("occurrences"),
+    # one pass over the matches: what both the terms and their forms are counted from is one row per document, term and form
+    seen = matches.groupBy("source", "target", "matched_text", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("start"), F.first("domains").alias("domains"), F.first("note").alias("note"))
+    per_term = seen.groupBy("source", "target").agg(
+        F.sum("n").alias("occurrences"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("domains")))).alias("domains"),
         F.array_sort(F.collect_set(F.when(F.col("note") != "", F.col("note")))).alias("notes"),
         F.count_distinct("doc_id").alias("n_files"),
     )
     top = per_term.where(F.col("occurrences") >= min_occurrences).orderBy(F.desc("occurrences"), F.desc(F.length("source")), F.lower("source"), "target").limit(max_terms)
     form = F.struct("form_no", F.col("matched_text").alias("form"), F.col("n").alias("count"))
-    forms = form_counts(matches, TOP_FORMS).groupBy("source", "target").agg(F.sort_array(F.collect_list(form)).alias("forms"))
-    from pyspark.sql import Window
-
+    counted = seen.groupBy("source", "target", "matched_text").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
+    forms = top_forms(counted, TOP_FORMS).groupBy("source", "target").agg(F.sort_array(F.collect_list(form)).alias("forms"))
     rank = F.row_number().over(Window.orderBy(F.desc("occurrences"), F.desc(F.length("source")), F.lower("source"), "target"))  # max_terms rows
     return top.join(forms, ["source", "target"]).withColumn("rank", rank)
 

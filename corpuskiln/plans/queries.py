@@ -48,8 +48,8 @@ def every_term(spark: SparkSession) -> DataFrame:
     return every.dropDuplicates(["term_no"])
 
 
-def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.find_terms(docs(spark, sf_dir), every_term(spark))
+def matches(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame:
+    return matching.find_terms(docs(spark, sf_dir), every_term(spark), offsets=offsets)
 
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def term_frequency(spark, sf_dir):
     """Occurrences of each term, longest match first."""
-    return matching.term_counts(matches(spark, sf_dir))
+    return matching.term_counts(matches(spark, sf_dir, offsets=False))
 
 
 def term_report(spark, sf_dir):
@@ -86,7 +86,7 @@ def term_report(spark, sf_dir):
 
 def term_forms_top8(spark, sf_dir):
     """A2: most frequent forms of each term."""
-    return matching.form_counts(matches(spark, sf_dir)).select("source", F.col("matched_text").alias("form"), "n", F.col("form_no").cast("long").alias("form_no"))
+    return matching.form_counts(matches(spark, sf_dir, offsets=False)).select("source", F.col("matched_text").alias("form"), "n", F.col("form_no").cast("long").alias("form_no"))
 
 
 def longest_match(spark, sf_dir):
@@ -263,7 +263,7 @@ def structural_diff(spark, sf_dir):
 
 def terminology_missing(spark, sf_dir):
     """Terms whose target the text itself lacks."""
-    rules = matching.unique_rules(matches(spark, sf_dir)).withColumn("target", F.lower("source"))
+    rules = matching.unique_rules(matches(spark, sf_dir, offsets=False)).withColumn("target", F.lower("source"))
     return audit.terminology_warnings(rules, docs(spark, sf_dir)).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
@@ -391,13 +391,13 @@ def translate_documents(spark, sf_dir):
 
 def prompt_rules(spark, sf_dir):
     """The rules that each document's chunks are sent with."""
-    m = matching.unique_rules(matches(spark, sf_dir))
+    m = matching.unique_rules(matches(spark, sf_dir, offsets=False))
     return backend.rule_lines(m, ["doc_id"])
 
 
 def report_counters(spark, sf_dir):
     """A4: the report's counters."""
-    found = report.find_terms(docs(spark, sf_dir), every_term(spark))
+    found = report.find_terms(docs(spark, sf_dir), every_term(spark), offsets=False)
     return report.report_totals(docs(spark, sf_dir), every_term(spark), found)
 
 
