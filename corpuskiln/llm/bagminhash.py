@@ -6,20 +6,21 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.llm.common import lookup_by_hot_key, materialize
 from corpuskiln.llm.components import connected_components
-from corpuskiln.llm.words import WordHashes, mix, shingles
+from corpuskiln.llm.words import WordHashes, mix, shingles, sliced
 
 BANDS, ROWS = 24, 5
 SHINGLE, SIMILARITY = 5, 0.8
 #: Of the 120 one-bit values, 12 differ on average at a similarity of 0.8; 30 or more have a chance under one in a million.
 MOST_DIFFERENT = 30
-#: Partners of one text that are verified in one slice.
-SLICE = 4000
+#: Bytes of text on each side of a tile, about.
+TILE_BYTES = 4 << 20
 #: Words whose signatures are made together.
 BATCH_WORDS = 200_000
 _STEP = np.uint64(0xD1B54A32D192ED03)
@@ -114,7 +115,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "digest", "bands", "bits0", "bits1"],
         )
 
-    for batch in batches:
+    for batch in sliced(batches):
         texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
         start, words, bags = 0, 0, []
         for i, t in enumerate(texts):
@@ -129,7 +130,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, a_text, b_text) that are similar enough; the bag of the last b is kept."""
     memory, last = WordHashes(), (None, None)
-    for batch in batches:
+    for batch in sliced(batches):
         kept = []
         for i, (b, left, right) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
             if last[0] != b:
@@ -140,13 +141,13 @@ def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, kind: str, least: float) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose texts, looked up in ``texts`` (rep, text), are similar; a text with many partners is dealt out to slices."""
-    slices = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("n"))
-    right = texts.join(slices, texts["rep"] == slices["b"]).select("b", F.col("text").alias("b_text"), "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("slice"))
+    """The rows of ``pairs`` (a, b) whose texts, looked up in ``texts`` (rep, text), are similar.
+
+    A text with many partners makes one side of the second join uneven; adaptive execution splits that side.
+    """
     left = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("a_text")), "a")
-    counted = left.join(slices, "b").withColumn("slice", F.pmod(F.xxhash64("a"), F.col("n")).cast("int"))
-    both = counted.select("a", "b", "slice", "a_text").join(right.select("b", "slice", "b_text"), ["b", "slice"]).select("a", "b", "a_text", "b_text")
-    return both.mapInArrow(lambda it: _verified(it, least), f"a {kind}, b {kind}")
+    both = left.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("b_text")), "b")
+    return both.select("a", "b", "a_text", "b_text").mapInArrow(lambda it: _verified(it, least), f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -156,49 +157,104 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     connected components. Words stand between ASCII white space; a text of one to four words is one shingle, and texts
     without words, null as empty, are grouped only with equal texts. Equal texts are one class and never compared.
     Candidates share a band of their signatures (a pair of 0.8 is missed with a chance of 7e-5). Within a band's bucket every text is
-    first verified against the bucket's least doc_id; then all pairs that are not yet in one group are verified, save those whose
-    one-bit signatures rule the similarity out, so a bucket's texts are linked as all its pairs would link them, but a large group
-    costs one verification for each text. Rows without doc_id take part only through an equal text that has one, else
-    their class_id is null. Other columns are ignored; no rows give no rows.
+    first verified against the bucket's least doc_id; texts that this leaves out of the hub's group meet all of that group and each
+    other, save those whose one-bit signatures rule every link out, so a bucket's texts are linked as all its pairs would link
+    them, but most texts of a large group cost one verification. Rows without doc_id take part only through an equal text that has one, else
+    their class_id is null; a doc_id that stands with several texts is compared by the least of them. Other columns are ignored; no rows give no rows.
     """
     kind = dict(docs.dtypes)["doc_id"]
     source = docs.select("doc_id", "text")
     signed = materialize(source.mapInArrow(_signed, f"doc_id {kind}, digest binary, bands array<long>, bits0 long, bits1 long"), "signatures")
     total = signed.count()
-    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in ("bands", "bits0", "bits1")))  # equal texts have equal signatures
     classes = materialize(classes, "classes")
-    reps = signed.select(F.col("doc_id").alias("rep"), "bands", "bits0", "bits1").join(classes.where("rep is not null").select("rep", "digest"), "rep").dropDuplicates(["rep"])
-    members = reps.select("rep", "bits0", "bits1", F.explode("bands").alias("bucket"))
+    # a doc_id that stands with several texts takes part with each
+    members = classes.where("rep is not null").select("rep", "bits0", "bits1", F.explode("bands").alias("bucket"))
     hubs = members.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialize(lookup_by_hot_key(members, materialize(hubs, "hubs"), "bucket", total * BANDS).where("hub is not null"), "buckets")
     stars = members.where("rep <> hub").groupBy("rep").agg(F.sort_array(F.collect_set("hub")).alias("hubs"))  # at most one for each band
     stars = materialize(stars, "stars")
     needed = members.select("rep").distinct()
-    texts = materialize(source.join(needed, source["doc_id"] == needed["rep"]).select("rep", "text").dropDuplicates(["rep"]), "texts")
+    texts = materialize(source.join(needed, source["doc_id"] == needed["rep"]).groupBy("rep").agg(F.min("text").alias("text")), "texts")
 
     first = materialize(_similar(stars.select(F.col("rep").alias("a"), F.col("hubs")[0].alias("b")), texts, kind, least), "links")
-    groups = materialize(connected_components(first, "a", "b"), "groups")
+    roots = first.select(F.col("a").alias("node"), F.col("b").alias("component"))  # a forest: every text has one link, to a lesser one
+    up = roots.select(F.col("node").alias("component"), F.col("component").alias("above"))
+    roots = materialize(roots.join(up, "component", "left").select("node", F.coalesce("above", "component").alias("component")), "roots")
     other = stars.select(F.col("rep").alias("a"), F.explode(F.slice("hubs", 2, BANDS)).alias("b"))
-    second = materialize(_similar(_apart(other, groups), texts, kind, least), "links")
-    links = first.unionByName(second)
-    groups = materialize(connected_components(links, "a", "b"), "groups")
+    second = materialize(_similar(_apart(other, roots), texts, kind, least), "links")
+    groups = _grouped(roots, roots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
 
     placed = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    placed = placed.join(groups.select(F.col("node").alias("hub"), F.col("component").alias("hub_component")), "hub", "left").withColumn("hub_component", F.coalesce("hub_component", "hub"))
-    placed = materialize(placed.select("bucket", "rep", "component", "bits0", "bits1", (F.col("component") != F.col("hub_component")).alias("loose")), "placed")
-    loose = placed.where("loose").select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("rep", "component", "bits0", "bits1")))
-    apart = F.bit_count(F.col("bits0").bitwiseXOR(F.col("x_bits0"))) + F.bit_count(F.col("bits1").bitwiseXOR(F.col("x_bits1")))
-    rest = loose.join(placed, "bucket").where((F.col("component") != F.col("x_component")) & (apart < MOST_DIFFERENT))
-    rest = rest.select(F.greatest("rep", "x_rep").alias("a"), F.least("rep", "x_rep").alias("b")).join(other.unionByName(stars.select(F.col("rep").alias("a"), F.col("hubs")[0].alias("b"))), ["a", "b"], "left_anti").distinct()
-    third = materialize(_similar(materialize(rest, "pairs"), texts, kind, least), "links")
-    if not third.isEmpty():
-        groups = materialize(connected_components(links.unionByName(third), "a", "b"), "groups")
+    placed = placed.join(groups.select(F.col("node").alias("hub"), F.col("component").alias("core")), "hub", "left").withColumn("core", F.coalesce("core", "hub"))
+    placed = materialize(placed.select("bucket", "rep", "component", "core", "bits0", "bits1"), "placed")
+    third = materialize(_rest(placed, texts, kind, least), "links")
+    groups = groups if third.isEmpty() else _grouped(groups, third)
 
-    named = classes.join(groups, classes["rep"] == groups["node"], "left").select("digest", "n", F.coalesce("component", "rep").alias("class_id"))
+    named = classes.select("digest", "n", "rep").join(groups, classes["rep"] == groups["node"], "left").select("digest", "n", F.coalesce("component", "rep").alias("class_id"))
     out = lookup_by_hot_key(signed.select("doc_id", "digest"), materialize(named, "classes"), "digest", total)
     return out.select("doc_id", "class_id", F.col("n").alias("copies"))
 
 
+def _rest(placed: DataFrame, texts: DataFrame, kind: str, least: float) -> DataFrame:
+    """Links between texts of one bucket that no group joins yet.
+
+    A text is loose in a bucket if it is not in the group of the bucket's hub, the core, and its one-bit signature
+    allows a link to some text of another group there. It meets all texts of the core, and all others that are loose
+    beside it, block by block; only links leave a tile, so no pairs are written.
+    """
+    loose = placed.where("component <> core")
+    x = {c: F.col(c).alias(f"x_{c}") for c in ("rep", "component", "bits0", "bits1")}
+    apart = F.bit_count(F.col("bits0").bitwiseXOR(F.col("x_bits0"))) + F.bit_count(F.col("bits1").bitwiseXOR(F.col("x_bits1")))
+    other = placed.select("bucket", "component", "bits0", "bits1")
+    left = loose.select(F.col("bucket").alias("x_bucket"), "core", *x.values())
+    left = left.join(other, (F.col("bucket") == F.col("x_bucket")) & (F.col("component") != F.col("x_component")) & (apart < MOST_DIFFERENT), "left_semi")
+    left = materialize(left.select("core", F.col("x_rep").alias("rep"), F.col("x_component").alias("component")).distinct(), "loose")
+    if left.isEmpty():
+        return placed.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
+    members = placed.select(F.col("component").alias("core"), "rep", "component").distinct().join(left.select("core").distinct(), "core", "left_semi")
+    sized = texts.select("rep", F.octet_length("text").alias("size"))
+    right = members.unionByName(left).join(sized, "rep")
+    left = left.join(sized, "rep")
+    blocks = lambda rows, name: rows.groupBy("core").agg((F.floor(F.sum("size") / TILE_BYTES) + 1).cast("int").alias(name), F.count(F.lit(1)).alias(f"{name}_rows"))
+    shape = materialize(blocks(left, "n").join(blocks(right, "m"), "core").where("m_rows > 2").select("core", "n", "m"), "tiles")  # two are hub and text, which have met
+    block = lambda n: F.pmod(F.xxhash64(F.lit(9), "rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = left.join(shape, "core").withColumn("i", block("n")).withColumn("j", every("m")).withColumn("side", F.lit(0)).unionByName(right.join(shape, "core").withColumn("j", block("m")).withColumn("i", every("n")).withColumn("side", F.lit(1)))
+    tiles = rows.select("core", "i", "j", "side", "rep", "component").join(texts.select("rep", "text"), "rep")
+    return tiles.groupBy("core", "i", "j").applyInPandas(lambda pdf: _tile_links(pdf, least), f"a {kind}, b {kind}")
+
+
+def _tile_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Links (a, b) of the loose texts of a tile, one for each text and group at most."""
+    memory = WordHashes()
+    rows = rows.sort_values(["side", "rep"])
+    made = {r: bag(memory.of((t or "").encode().split())) for r, t in zip(rows["rep"], rows["text"], strict=True)}
+    right = rows[rows["side"] == 1]
+    reps, groups = right["rep"].to_numpy(), right["component"].to_numpy()
+    hashes, counts = (np.concatenate([made[r][k] for r in reps]) for k in range(2))
+    starts = np.cumsum([0, *(len(made[r][0]) for r in reps)])[:-1]
+    sizes = np.array([made[r][1].sum() for r in reps])
+    links = []
+    for a, group in zip(*(rows.loc[rows["side"] == 0, c] for c in ("rep", "component")), strict=True):
+        u, c = made[a]
+        at = np.minimum(np.searchsorted(u, hashes), len(u) - 1)
+        low = np.add.reduceat(np.where(u[at] == hashes, np.minimum(c[at], counts), 0), starts)
+        near = np.flatnonzero((low / (c.sum() + sizes - low) >= least) & (groups != group))
+        _, one = np.unique(groups[near], return_index=True)
+        links += [(a, b) for b in reps[near[one]]]
+    return pd.DataFrame(links, columns=["a", "b"])
+
+
+def _grouped(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` (node, component; others are their own) after more links (a, b), of which only those between groups matter."""
+    of = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"{c}_group"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_group", "a").alias("a"), F.coalesce("b_group", "b").alias("b"))
+    joined = materialize(connected_components(between, "a", "b"), "joined").select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    new = joined.join(groups.select(F.col("node").alias("component")), "component", "left_anti").select(F.col("component").alias("node"), F.col("whole").alias("component"))
+    return materialize(groups.join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component")).unionByName(new), "groups")
+
+
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) that no group joins yet."""
     of = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"{c}_group"))

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 #: Words whose hash is remembered in each task before the memory is emptied.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches cut to fewer rows, so that what Python makes of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class WordHashes(dict):
     """Hashes of the words of texts; words stand between ASCII white space, as ``bytes.split`` has them."""
 
