@@ -33,7 +33,7 @@ def classify(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """
     marked = pages.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "sha": F.unhex(F.sha2("payload", 256))})
     counted = marked.where(F.col("payload_bytes") >= min_bytes).groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # few payloads repeat: only those with a page of their own to refer to are looked up, and no payload is moved
+    # only digests and ids meet here; payloads join the few pages that revisit another
     lost = materialize(marked.select("page_id", "sha").join(counted, "sha").where("page_id > first").select("page_id", "first").distinct(), "revisits")
     return marked.join(lost, "page_id", "left").select(
         "page_id", "url", "payload", "payload_bytes", base32_sha1(F.col("payload")).alias("payload_digest"), F.when(F.col("first").isNull(), "response").otherwise("revisit").alias("record_type"), F.col("first").alias("refers_to")
