@@ -61,7 +61,7 @@ def answer_error(answer: str | None) -> str | None:
     return None
 
 
-def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str, str, list[str]], str | None] | None = None, attempts: int = ATTEMPTS, batch: int = 32) -> DataFrame:
+def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str, str, list[str]], str | None] | None = None, attempts: int = ATTEMPTS, batch: int = 32, shape: Callable[[str | None], str | None] = answer_error) -> DataFrame:
     """``requests`` (with prompt, chunk and tokens) and answer, error, tries; a failed check is told to the next try.
 
     The backend runs inside tasks, so its load is set by the number of partitions. A request that still fails keeps
@@ -80,7 +80,7 @@ def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str,
                     some = open_[at : at + batch]
                     asked = [prompts[i] + (f"\nThe last answer failed: {errors[i]}" if errors[i] else "") for i in some]
                     for i, answer in zip(some, backend(asked), strict=True):
-                        error = answer_error(answer)
+                        error = shape(answer)
                         if not error and check:
                             error = check(pdf["chunk"].iloc[i], json.loads(answer)["translation"], list(pdf["tokens"].iloc[i]))
                         answers[i], errors[i], tries[i] = answer, error, attempt

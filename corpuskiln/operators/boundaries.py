@@ -115,7 +115,8 @@ def chapter_errors(chapters: DataFrame, manifest: DataFrame, pages: DataFrame, b
 
     order = Window.partitionBy(book).orderBy("number")
     known = pages.groupBy(book).agg(F.collect_set(F.col("page_no").cast("long")).alias("known"))
-    rows = chapters.withColumn("no", F.row_number().over(order)).withColumn("before", F.lag("ocr_end_page").over(order)).withColumn("is_last", F.lead("number").over(order).isNull())
+    plain = F.transform("sections", lambda s: F.struct(s["title"].alias("title"), s["ocr_start_page"].cast("int").alias("ocr_start_page")))
+    rows = chapters.withColumn("sections", plain).withColumn("no", F.row_number().over(order)).withColumn("before", F.lag("ocr_end_page").over(order)).withColumn("is_last", F.lead("number").over(order).isNull())
     rows = rows.join(manifest.select(book, "body_start_page", "end_page_excluded"), book, "left").join(known, book, "left").withColumn("known", F.coalesce("known", F.expr("cast(array() as array<bigint>)")))
     start, end = F.col("ocr_start_page").cast("long"), F.col("ocr_end_page").cast("long")
     ordered = F.coalesce(start <= end, F.lit(False))

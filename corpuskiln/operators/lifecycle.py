@@ -29,3 +29,14 @@ def missing_references(pages: DataFrame, files: DataFrame, refs: str = "refs") -
 def unknown_pages(chunks: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:
     """Page numbers of chunks that are no pages."""
     return chunks.select(*keys, F.explode("pages").alias("page_no")).join(pages.select(*keys, "page_no"), [*keys, "page_no"], "left_anti")
+
+
+def main_first(docs: DataFrame, text: str = "text") -> DataFrame:
+    """TeX files with ``priority`` 0 where they declare the document's class, 1 elsewhere: roots are worked on first."""
+    return docs.withColumn("priority", F.when(F.regexp_like(F.coalesce(F.col(text), F.lit("")), F.lit(r"\\documentclass\b")), 0).otherwise(1))
+
+
+def translated_root(text: Column, title: str, new_title: str, suffix: str = "-zh") -> Column:
+    """A root file that includes the translated chapters, under another title."""
+    titled = F.replace(text, F.lit(f"\\title{{{title}}}"), F.lit(f"\\title{{{new_title}}}"))
+    return F.regexp_replace(titled, r"\\input\{(chapters/[^{}]+)\}", rf"\\input{{$1{suffix}}}")

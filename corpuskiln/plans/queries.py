@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as X
 from corpuskiln.operators import assemble, audit, backend, boundaries, chunking, glossary, ledger, lifecycle, masking, matching, report
+from corpuskiln.plans import flows
 from corpuskiln.sources import files
 
 #: A dictionary of phrases that the test texts hold: source, target, domains, aliases, status, note.
@@ -407,11 +408,23 @@ def chunk_index(spark, sf_dir):
     return chunking.chunk_index(chunking.part_ranges(p, ["book"]), p, ["book"]).select("book", "part", F.array_join("pages", ",").alias("pages"), "characters")
 
 
+def convert_chunks(spark, sf_dir):
+    """Every part of every book through the stand-in, with all checks."""
+    out = flows.convert(books(spark, sf_dir).select("book", "page_no", "text"), planned(spark, sf_dir), ["book"])
+    return out.select("book", "part", "chunk_id", F.sha2("tex", 256).alias("tex_sha256"), "error", "overall_coverage", "accepted")
+
+
+def review_chunks(spark, sf_dir):
+    """Accepted fragments through the stand-in again."""
+    made = flows.convert(books(spark, sf_dir).select("book", "page_no", "text"), planned(spark, sf_dir), ["book"])
+    return flows.review(made, ["book"]).select("book", "part", (F.col("tex") == F.col("before")).alias("same"), "error")
+
+
 REGISTERED = (
     term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
     chunk_match_overlap, section_in_chunk, range_pages, neighbour_pages, contiguity_violations, body_bounds, metadata_heading, body_page_count, page_lines, page_index, image_refs, missing_refs, artifact_violations,
     control_chars, structural_diff, terminology_missing, candidate_upsert, approve_term, pending_chunks, latest_valid_attempt, jsonl_pages, arxiv_ids, ordered_assembly, command_set_diff, tex_escape,
-    sanitized_candidates, chapter_violations, output_names, mask_counts, mask_roundtrip, translate_documents, prompt_rules, report_counters, chunk_index,
+    sanitized_candidates, chapter_violations, output_names, mask_counts, mask_roundtrip, translate_documents, prompt_rules, report_counters, chunk_index, convert_chunks, review_chunks,
 )
 
 
