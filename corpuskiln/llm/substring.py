@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.llm.common import materialize, new_path
-from corpuskiln.llm.words import WordHashes, mix, ngrams
+from corpuskiln.llm.words import WordHashes, mix, ngrams, sliced
 
 #: Words of a window and of an anchor, which is the least hash among the word runs of a window.
 WINDOW, ANCHOR = 13, 5
@@ -111,7 +110,7 @@ def _cut(frequent: np.ndarray, repeated: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             parts = []
             for doc, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = (text or "").encode().split()
@@ -164,7 +163,7 @@ SPANS = "doc long, row int, start int, size int"
 
 def _open_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of OPEN pieces; those of frequent anchors window by window."""
-    for batch in batches:
+    for batch in sliced(batches):
         out: list[tuple] = []
         for doc, row, text, states in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             words = (text or "").encode().split()
@@ -290,7 +289,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     joined = table.join(spans, "doc", "left").select("doc", "row", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             counts, removed, kept = [], [], []
             flat = batch.column(3).flatten()
             rows, starts, sizes = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
