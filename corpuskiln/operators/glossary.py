@@ -14,13 +14,14 @@ LONGEST_TABLE_TERM, SHORTEST_PHRASE, SHORTEST_WORD = 120, 4, 7
 TERM_SCHEMA = "source string, target string, domains array<string>, aliases array<string>, status string, source_reference string, note string"
 
 
-def domain_allows(domains: Column, domain: str | None) -> Column:
-    """Whether a term is active: its domains have a wildcard or the active one (F2)."""
-    known = [*ANY_DOMAIN, *([domain.lower()] if domain else [])]
+def domain_allows(domains: Column, domain: str | tuple[str, ...] | None) -> Column:
+    """Whether a term is active: its domains have a wildcard or the active one, or one of several (F2)."""
+    active = (domain,) if isinstance(domain, str) else domain or ()
+    known = [*ANY_DOMAIN, *(d.lower() for d in active)]
     return F.arrays_overlap(F.transform(domains, lambda d: F.lower(d)), F.array(*map(F.lit, known)))
 
 
-def active_terms(glossary: DataFrame, domain: str | None = None) -> DataFrame:
+def active_terms(glossary: DataFrame, domain: str | tuple[str, ...] | None = None) -> DataFrame:
     """Approved terms of the active domain with missing values filled; ``term_no`` keeps their order.
 
     ``glossary`` has ``term_no`` and the columns of ``TERM_SCHEMA``. A term without source or target has ``error`` set.

@@ -86,6 +86,7 @@ def mask(docs: DataFrame, text: str = "text", kind: str | Column = "Markdown") -
                 out.append((masked, [f"{PREFIX}{i:06d}@@" for i in range(len(originals))], originals, error))
             yield pd.DataFrame(out, columns=["masked", "tokens", "originals", "error"])
 
+    run = run.asNondeterministic()  # else a filter on the error would mask every text a second time
     return docs.withColumn("mask", run(F.col(text), F.lit(kind) if isinstance(kind, str) else kind))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.operators.masking import mask
-from corpuskiln.operators.matching import find_terms, top_forms
+from corpuskiln.operators.matching import find_terms
 
 # Fixed values.
 MAX_TERMS, TOP_FORMS = 300, 8
@@ -22,20 +22,23 @@ def term_report(docs: DataFrame, terms: DataFrame, min_occurrences: int = 1, max
 
 
 def rank_terms(matches: DataFrame, min_occurrences: int = 1, max_terms: int = MAX_TERMS) -> DataFrame:
-    # one pass over the matches: what both the terms and their forms are counted from is one row per document, term and form
-    seen = matches.groupBy("source", "target", "matched_text", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("start"), F.first("domains").alias("domains"), F.first("note").alias("note"))
-    per_term = seen.groupBy("source", "target").agg(
+    """One chain of aggregates, so that texts are matched once: by term and document, by form, by term."""
+    per_doc = matches.groupBy("source", "target", "doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "matched_text"))).alias("hits"), F.collect_set("domains").alias("domains"), F.collect_set("note").alias("notes"))
+    hits = per_doc.select("source", "target", "doc_id", "domains", "notes", F.posexplode("hits").alias("pos", "hit"))
+    per_form = hits.groupBy("source", "target", F.col("hit.matched_text").alias("form")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "hit.start")).alias("first"), F.sum((F.col("pos") == 0).cast("long")).alias("files"), F.array_distinct(F.flatten(F.collect_set("domains"))).alias("domains"), F.array_distinct(F.flatten(F.collect_set("notes"))).alias("notes")
+    )
+    ranked = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "first", "form"))), 1, TOP_FORMS)
+    per_term = per_form.groupBy("source", "target").agg(
         F.sum("n").alias("occurrences"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("domains")))).alias("domains"),
-        F.array_sort(F.collect_set(F.when(F.col("note") != "", F.col("note")))).alias("notes"),
-        F.count_distinct("doc_id").alias("n_files"),
+        F.array_sort(F.array_distinct(F.flatten(F.flatten(F.collect_list("domains"))))).alias("domains"),
+        F.array_sort(F.array_distinct(F.filter(F.flatten(F.collect_list("notes")), lambda x: x != ""))).alias("notes"),
+        F.sum("files").alias("n_files"),
+        F.transform(ranked, lambda x: F.struct(x["form"].alias("form"), (-x["less"]).alias("count"))).alias("forms"),
     )
-    top = per_term.where(F.col("occurrences") >= min_occurrences).orderBy(F.desc("occurrences"), F.desc(F.length("source")), F.lower("source"), "target").limit(max_terms)
-    form = F.struct("form_no", F.col("matched_text").alias("form"), F.col("n").alias("count"))
-    counted = seen.groupBy("source", "target", "matched_text").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
-    forms = top_forms(counted, TOP_FORMS).groupBy("source", "target").agg(F.sort_array(F.collect_list(form)).alias("forms"))
-    rank = F.row_number().over(Window.orderBy(F.desc("occurrences"), F.desc(F.length("source")), F.lower("source"), "target"))  # max_terms rows
-    return top.join(forms, ["source", "target"]).withColumn("rank", rank)
+    order = (F.desc("occurrences"), F.desc(F.length("source")), F.lower("source"), F.col("target"))
+    top = per_term.where(F.col("occurrences") >= min_occurrences).orderBy(*order).limit(max_terms)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # max_terms rows
 
 
 def report_totals(docs: DataFrame, terms: DataFrame, matches: DataFrame, max_terms: int = MAX_TERMS, min_occurrences: int = 1) -> DataFrame:

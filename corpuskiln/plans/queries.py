@@ -38,15 +38,12 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def terms(spark: SparkSession) -> DataFrame:
     rows = [(i, s, t, d, a, st, None, n) for i, (s, t, d, a, st, n) in enumerate(TERMS)]
-    return spark.createDataFrame(rows, f"term_no long, {glossary.TERM_SCHEMA}")
+    return spark.createDataFrame(rows, f"term_no long, {glossary.TERM_SCHEMA}").coalesce(1)
 
 
 def every_term(spark: SparkSession) -> DataFrame:
     """Approved terms of all domains."""
-    every = glossary.active_terms(terms(spark), DOMAINS[0])
-    for d in DOMAINS[1:]:
-        every = every.unionByName(glossary.active_terms(terms(spark), d))
-    return every.dropDuplicates(["term_no"])
+    return glossary.active_terms(terms(spark), DOMAINS)
 
 
 def matches(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame:
