@@ -16,7 +16,7 @@ from corpuskiln.llm.components import connected_components
 #: Cells, vectors that their centres are fitted on (about), and vectors in a block.
 CELLS, FIT_ROWS, BLOCK = 64, 8192, 4096
 #: Rows of a tile that are multiplied at once, and dimensions whose int8 products stay exact in single precision.
-ROWS, EXACT_DIMENSIONS = 512, 1024
+ROWS, EXACT_DIMENSIONS = 64, 1024
 SLACK = 1e-9
 
 
@@ -41,9 +41,9 @@ def quantise(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact products of int8 codes; single precision holds sums of up to 1024 of them."""
-    total = 0.0
+    total = np.zeros((len(a), len(b)))
     for k in range(0, a.shape[1], EXACT_DIMENSIONS):
-        total = total + (a[:, k : k + EXACT_DIMENSIONS].astype(np.float32) @ b[:, k : k + EXACT_DIMENSIONS].astype(np.float32).T).astype(np.float64)
+        total += a[:, k : k + EXACT_DIMENSIONS].astype(np.float32) @ b[:, k : k + EXACT_DIMENSIONS].astype(np.float32).T
     return total
 
 
@@ -57,10 +57,12 @@ def linked(a: np.ndarray, b: np.ndarray, least: float) -> Iterator[tuple[np.ndar
     qb, sb, eb = quantise(b)
     for at in range(0, len(a), ROWS):
         part = slice(at, at + ROWS)
-        near = code_products(qa[part], qb) * sa[part, None] * sb[None, :]
-        bound = ea[part, None] + eb[None, :] + ea[part, None] * eb[None, :] + SLACK
-        i, j = np.nonzero(near + bound >= least)
-        sure = near[i, j] - bound[i, j] >= least
+        near = code_products(qa[part], qb)
+        near *= sa[part, None]
+        near *= sb[None, :]
+        slack = ea[part].max() + eb + ea[part].max() * eb + SLACK  # by column, for the largest error among these rows
+        i, j = np.nonzero(near >= least - slack)
+        sure = near[i, j] - slack[j] >= least
         open_ = np.flatnonzero(~sure)
         for k in range(0, len(open_), 1 << 16):
             some = open_[k : k + (1 << 16)]
