@@ -216,7 +216,7 @@ def _rest(placed: DataFrame, texts: DataFrame, kind: str, least: float) -> DataF
     sized = texts.select("rep", F.octet_length("text").alias("size"))
     right = members.unionByName(left).join(sized, "rep")
     left = left.join(sized, "rep")
-    blocks = lambda rows, name: rows.groupBy("core").agg((F.floor(F.sum("size") / TILE_BYTES) + 1).cast("int").alias(name), F.count(F.lit(1)).alias(f"{name}_rows"))
+    blocks = lambda rows, name: rows.groupBy("core").agg(F.least(F.floor(F.sum("size") / TILE_BYTES) + 1, F.count(F.lit(1))).cast("int").alias(name), F.count(F.lit(1)).alias(f"{name}_rows"))
     shape = materialize(blocks(left, "n").join(blocks(right, "m"), "core").where("m_rows > 2").select("core", "n", "m"), "tiles")  # two are hub and text, which have met
     block = lambda n: F.pmod(F.xxhash64(F.lit(9), "rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -226,7 +226,9 @@ def _rest(placed: DataFrame, texts: DataFrame, kind: str, least: float) -> DataF
 
 
 def _tile_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Links (a, b) of the loose texts of a tile, one for each text and group at most."""
+    """Links (a, b) of the loose texts of a tile, one for each text and group at most; a tile may lack a side, as blocks are cut by a hash."""
+    if rows["side"].nunique() < 2:
+        return pd.DataFrame([], columns=["a", "b"])
     memory = WordHashes()
     rows = rows.sort_values(["side", "rep"])
     made = {r: bag(memory.of((t or "").encode().split())) for r, t in zip(rows["rep"], rows["text"], strict=True)}

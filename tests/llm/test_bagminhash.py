@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.bagminhash import bag, near_dedup, near_duplicates, signatures, weighted_jaccard
+from corpuskiln.llm.bagminhash import TILE_BYTES, _rest, bag, near_dedup, near_duplicates, signatures, weighted_jaccard
 from corpuskiln.llm.words import WordHashes
 
 
@@ -95,3 +95,26 @@ def test_edge_cases(spark):
     assert kept.columns == df.columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, -1, 1, 3, 5]
     assert near_duplicates(df.limit(0)).count() == 0
+
+
+def long_texts():
+    """Four texts of 4 MB: 0, 1 and 2 are a chain whose ends are at a similarity of about 0.72; 3 is at about 0.7 to 0 and less to the others."""
+    base = [f"{k:050d}" for k in range(82_000)]
+    texts = [list(base) for _ in range(4)]
+    for k in range(0, 6500, 5):
+        texts[1][k] = texts[2][k] = f"y{k:049d}"
+    for k in range(20_000, 26_500, 5):
+        texts[2][k] = f"z{k:049d}"
+    for k in range(40_000, 54_000, 5):
+        texts[3][k] = f"x{k:049d}"
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_tiles_of_more_blocks_than_texts(spark):
+    rows = long_texts()
+    assert sum(len(t) for _, t in rows) // TILE_BYTES + 1 > len(rows) - 1
+    texts = spark.createDataFrame(rows, "rep long, text string")
+    placed = spark.createDataFrame([(5, i, c, 0, 0, 0) for i, c in enumerate((0, 0, 2, 3))], "bucket long, rep long, component long, core long, bits0 long, bits1 long")
+    assert [(r["a"], r["b"]) for r in _rest(placed, texts, "bigint", 0.8).collect()] == [(2, 1)]
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(texts.withColumnRenamed("rep", "doc_id")).collect()}
+    assert got == brute_force(rows) == {0: 0, 1: 0, 2: 0, 3: 3}
