@@ -42,12 +42,44 @@ def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """Edges (src, dst) from each page's url to its canonical link and to the target of a refresh redirect."""
+    """Edges (src, dst) from each page's url to its canonical link and to the target of a refresh redirect.
+
+    Relative targets are resolved against the page's ``<base href>``, if it has one, and its url; links to itself are left out.
+    """
     html = F.coalesce("html", F.lit(""))
     canonical = F.regexp_extract(html, r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     refresh = F.regexp_extract(html, r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    found = pages.where(F.col("url").isNotNull()).select("url", F.explode(F.array(canonical, refresh)).alias("to"))
-    return found.where(F.col("to").contains("://")).select(url_key(F.col("url")).alias("src"), url_key(F.col("to")).alias("dst"))
+    targets = F.filter(F.array(canonical, refresh), lambda x: x != "")
+    base = F.regexp_extract(html, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    found = pages.where(F.col("url").contains("://") & (F.size(targets) > 0)).select("url", F.coalesce(resolve(F.col("url"), base), "url").alias("base"), F.explode(targets).alias("to"))
+    found = found.select(url_key(F.col("url")).alias("src"), url_key(resolve(F.col("base"), F.col("to"))).alias("dst"))
+    return found.where("src <> dst")
+
+
+def resolve(base: Column, target: Column) -> Column:
+    """``target`` as an absolute url: one with ``scheme://`` as it is, any other against ``base`` by RFC 3986; null if it has another scheme."""
+    target = F.regexp_replace(target, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    scheme, site = F.regexp_extract(base, r"(?s)^(.*?)://", 1), F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    path, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.regexp_extract(url_path(base), r"(?s)^(.*/)", 1)
+    merged = F.when(path.startswith("/"), path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path))
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(path != "", F.concat(site, without_dots(merged), rest))
+        .when(target.startswith("?"), F.concat(site, url_path(base), target))
+        .otherwise(base)
+    )
+
+
+def without_dots(path: Column) -> Column:
+    """A path from ``/`` on without the segments ``.`` and ``..``, each of the latter with the segment before it."""
+    up = lambda kept: F.when(F.size(kept) > 1, F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept)
+    step = lambda kept, x: F.when(x == ".", kept).when(x == "..", up(kept)).otherwise(F.concat(kept, F.array(x)))
+    segments = F.aggregate(F.split(path, "/", -1), F.array().cast("array<string>"), step)
+    whole = F.array_join(F.when(path.rlike(r"(?s)/\.\.?\z"), F.concat(segments, F.array(F.lit("")))).otherwise(segments), "/")
+    return F.when(path.contains("/."), whole).otherwise(path)
 
 
 def url_key(url: Column) -> Column:

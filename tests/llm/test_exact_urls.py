@@ -69,6 +69,36 @@ def test_a_block_reaches_aliases_but_not_allowed_pages(spark):
     assert {k: v[3] for k, v in judged(spark, rows).items()} == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
 
 
+def test_a_block_reaches_pages_through_relative_links(spark):
+    canonical = "<link rel=canonical href='{}'>".format
+    refresh = "<meta http-equiv=refresh content='0; url={}'>".format
+    rows = [
+        (1, "http://x.com/a/b", canonical("/de/1")),
+        (2, "https://b.net/2", refresh("//x.com/de/1")),
+        (3, "http://x.com/a/b/c?q", canonical("../../de/1")),
+        (4, "http://x.com/de", canonical("de/./1#top")),
+        (5, "http://x.com", canonical("de/1")),
+        (6, "http://f.net/6", canonical("?u=http://x.com/de/1")),
+        (7, "http://f.net/7", canonical("/go?u=http://x.com/de/1")),
+        (8, "http://f.net/8", canonical("mailto:x@x.com") + refresh("#top")),
+        (9, "http://f.net/9", "<base href='//x.com/y/'>" + canonical("../de/1")),
+        (10, "no url", canonical("/de/1")),
+    ]
+    blocked = {1, 2, 3, 4, 5, 9}
+    assert {k: v[3] for k, v in judged(spark, rows).items()} == {i: "block" if i in blocked else "allow" for i, _, _ in rows}
+
+
+def test_resolve_by_the_examples_of_rfc_3986(spark):
+    base = "http://a/b/c/d;p?q"
+    want = {
+        "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", "g#s": "http://a/b/c/g#s",
+        ";x": "http://a/b/c/;x", ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../g": "http://a/b/g", "../..": "http://a/", "../../g": "http://a/g", "../../../g": "http://a/g", "/./g": "http://a/g",
+        "/../g": "http://a/g", "g.": "http://a/b/c/g.", "..g": "http://a/b/c/..g", "./g/.": "http://a/b/c/g/", "g/../h": "http://a/b/c/h", "g?y/../x": "http://a/b/c/g?y/../x", "": base, "mailto:x": None, "https://h/i": "https://h/i",
+    }
+    df = spark.createDataFrame([(base, t) for t in want], "base string, target string")
+    assert {r[0]: r[1] for r in df.select("target", urls.resolve(F.col("base"), F.col("target"))).collect()} == want
+
+
 def test_url_edge_cases(spark):
     df = spark.createDataFrame([(1, "http://x.com/de/", None), (1, "http://x.com/de/", None), (None, None, None)], "page_id long, url string, html string").withColumn("node", F.lit(1)).withColumn("rule", F.lit(1))
     assert sorted(r["verdict"] for r in urls.judge_urls(df, URL_RULES).collect()) == ["allow", "block", "block"]
