@@ -39,8 +39,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max
     return ranked.withColumn("target", F.least(share, F.col("cap")))
 
 
-def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int = DP_WORDS) -> np.ndarray:
-    """How many documents of each size (distinct, above 0) to take, so that their sum comes as near to ``budget`` as can be, not above it.
+def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int = DP_WORDS, above: bool = False) -> np.ndarray:
+    """How many documents of each size (distinct, above 0) to take, so that their sum comes as near to ``budget`` as can be, not above it unless ``above``.
 
     All but about ``dp_words`` of the budget is spread evenly over the sizes, each length's rounding being carried on to
     the next shorter one. A bounded knapsack over the documents that are left fits the remaining words: ``first[s]`` is the
@@ -63,16 +63,33 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int = DP_W
         n = min(int(counts[i] - take[i]), (rest - dp_words) // int(sizes[i]))
         take[i] += n
         rest -= n * int(sizes[i])
-    rest, left = min(rest, 2 * dp_words), counts - take
-    first, items = np.full(rest + 1, -1, dtype=np.int64), []
-    reached = np.zeros(rest + 1, dtype=bool)
+    left = counts - take
+    if rest > 2 * dp_words:  # each document left is longer than rest - dp_words, over half of rest: at most one fits, and no sum of three is near
+        some = np.sort(np.repeat(sizes, np.minimum(left, 2)))
+        sums = [0, *some.tolist(), *([int(some[:2].sum())] if len(some) > 1 else [])]
+        best = min((x for x in sums if x <= rest or above), key=lambda x: (abs(rest - x), x))
+        single = sizes[left > 0] == best
+        for size in [best] if single.any() else some[:2].tolist() if best else []:
+            take[sizes == size] += 1
+        return take
+    more, at = _knapsack(sizes, left, order, rest, rest)
+    if above and at < rest:  # a sum above is nearer only if it is less than rest - at above
+        over, up = _knapsack(sizes, left, order, rest, 2 * rest - at - 1)
+        more = over if up > rest else more
+    return take + more
+
+
+def _knapsack(sizes: np.ndarray, left: np.ndarray, order: np.ndarray, rest: int, most: int) -> tuple[np.ndarray, int]:
+    """Which of the ``left`` documents sum up to ``rest``, or to the least sum above it up to ``most``, else to the largest below; and the sum."""
+    take, first, items = np.zeros(len(sizes), dtype=np.int64), np.full(most + 1, -1, dtype=np.int64), []
+    reached = np.zeros(most + 1, dtype=bool)
     reached[0] = True
     for i in order:
-        n, many = min(int(left[i]), rest // int(sizes[i])), 1
+        n, many = min(int(left[i]), most // int(sizes[i])), 1
         while n > 0 and not reached[rest]:
             many = min(many, n)
             step = many * int(sizes[i])
-            new = reached[: rest + 1 - step] & ~reached[step:]
+            new = reached[: most + 1 - step] & ~reached[step:]
             if new.any():
                 first[step:][new] = len(items)
                 reached[step:] |= new
@@ -80,12 +97,13 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int = DP_W
             n, many = n - many, many * 2
         if reached[rest]:
             break
-    at = int(np.flatnonzero(reached)[-1])
+    up = np.flatnonzero(reached[rest:])
+    at = found = rest + int(up[0]) if len(up) else int(np.flatnonzero(reached)[-1])
     while at:
         i, many = items[first[at]]
         take[i] += many
         at -= many * int(sizes[i])
-    return take
+    return take, found
 
 
 def _plans(max_repeats: int):
@@ -96,7 +114,7 @@ def _plans(max_repeats: int):
             some = g["size"].to_numpy() > 0
             extra = np.zeros(len(g), dtype=np.int64)
             if epochs < max_repeats and some.any():
-                extra[some] = fit(g["size"].to_numpy()[some], g["n"].to_numpy()[some], int(round(target)) - epochs * whole)
+                extra[some] = fit(g["size"].to_numpy()[some], g["n"].to_numpy()[some], int(round(target)) - epochs * whole, above=True)
             yield g[["source", "size", "n"]].assign(epochs=epochs, extra=extra)
 
     return lambda pdf: next(plan(iter([pdf])))
@@ -106,7 +124,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_rep
     """Columns doc_id, size, source_size, target, copies and taken (copies times size), one row per row of ``docs``.
 
     ``size`` is the number of words by default (null text: 0). Each source is repeated as a whole as often as fits its
-    target; the rest is a subset of its documents chosen by ``fit`` over the counts of exact sizes and, within a size, by
+    target; the rest is a subset of its documents, as near to the target as can be on either side, chosen by ``fit`` over the counts of exact sizes and, within a size, by
     a hash of doc_id and ``seed``, so reruns agree. Documents without words take part in whole repeats only. Equal
     doc_ids are documents of their own; null sources are one source, last in order; no rows give no rows.
     """

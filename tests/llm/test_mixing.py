@@ -68,3 +68,44 @@ def test_edge_cases(spark):
     assert mixed.columns == df.columns and mixed.count() == sum(r["copies"] for r in out)
     assert mix_sources(df.limit(0)).count() == 0
     assert all(r["taken"] == 0 for r in mix_sources(df.where("coalesce(text, '') = ''")).collect())
+
+
+def test_long_documents_use_the_budget():
+    def taken(sizes, counts, budget, **options):
+        return int((fit(np.array(sizes), np.array(counts), budget, **options) * sizes).sum())
+
+    assert taken([300000], [3], 620000) == 600000
+    assert taken([300000], [3], 880000) == 600000 and taken([300000], [3], 880000, above=True) == 900000
+    assert taken([300000, 330000], [1, 1], 329000) == 300000 and taken([300000, 330000], [1, 1], 329000, above=True) == 330000
+    assert taken([75000], [2], 140000) == 75000 and taken([75000], [2], 140000, above=True) == 150000
+    assert taken([100], [1], 94) == 0 and taken([100], [1], 94, above=True) == 100
+    assert taken([100], [1], 50, above=True) == 0
+
+
+def test_fit_above_is_nearest():
+    rng = np.random.default_rng(6)
+    for dp_words in [1 << 16] * 60 + [3, 20] * 200:
+        small = dp_words < 1000
+        sizes = np.unique(rng.integers(30 if small else 1, 60, rng.integers(1, 8)))
+        counts = rng.integers(1, 2 if small else 5, len(sizes))
+        budget = int(rng.integers(0, (60 if small else (sizes * counts).sum() + 5)))
+        sums = {0}
+        for s, n in zip(sizes, counts):
+            sums = {x + s * k for x in sums for k in range(n + 1)}
+        take = fit(sizes, counts, budget, dp_words, above=True)
+        assert (take >= 0).all() and (take <= counts).all()
+        if not small:
+            assert abs(int((take * sizes).sum()) - budget) == min(abs(x - budget) for x in sums)
+        else:  # the spread may have taken a document before
+            assert abs(int((take * sizes).sum()) - budget) <= max(sizes)
+            lower = fit(sizes, counts, budget, dp_words)
+            assert abs(int((take * sizes).sum()) - budget) <= budget - int((lower * sizes).sum()) and (lower * sizes).sum() <= budget
+
+
+def test_mix_takes_the_nearest_sum(spark):
+    rows = [(0, "w", "a"), (1, " ".join(["w"] * 100), "b"), (2, "w w", "c")]
+    got = {r["doc_id"]: r["taken"] for r in mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == {0: 3, 1: 100, 2: 6}
+    rows = [(i, " ".join(["w"] * 10), "a") for i in range(3)] + [(9, " ".join(["w"] * 40), "b")]
+    out = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(27, 43)).collect()
+    assert sum(r["taken"] for r in out if r["doc_id"] < 9) == 30 and [r["taken"] for r in out if r["doc_id"] == 9] == [40]
