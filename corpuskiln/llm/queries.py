@@ -128,11 +128,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives in the shared folder, read back and assembled into transactions."""
     from corpuskiln.llm.warc import round_trip
 
-    back = round_trip(table(spark, sf_dir, "pages"))
-    number = lambda c: F.regexp_extract(c, r":(-?\d+)>$", 1).cast("long")
+    back = round_trip(table(spark, sf_dir, "pages"), repeats=True)
+    number = lambda c: F.nullif(F.regexp_extract(c, r":(-?\d+)>$", 1), F.lit("")).cast("long")
+    stated = F.regexp_extract("metadata.fields", r"payload-bytes: (\d+)", 1).cast("long")  # a revisit has no payload to measure
     return back.select(
         number(F.col("record_id")).alias("page_id"),
-        F.regexp_extract("metadata.fields", r"payload-bytes: (\d+)", 1).cast("long").alias("payload_bytes"),
+        F.when(F.col("capture.record_type") == "response", F.octet_length("capture.payload").cast("long")).otherwise(stated).alias("payload_bytes"),
         F.col("capture.payload_digest").alias("payload_digest"),
         F.col("capture.record_type").alias("record_type"),
         F.when(F.col("capture.refers_to").isNotNull(), number(F.col("capture.refers_to"))).alias("refers_to"),

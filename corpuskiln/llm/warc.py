@@ -25,23 +25,46 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.upper(F.concat(*groups)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
+def numbered(pages: DataFrame, repeats: bool = True) -> DataFrame:
+    """Adds ``part`` to ``pages`` (page_id, url, payload): null where page_id is one row's alone, else what tells the row from others.
+
+    It is made of url and payload, and of a number among equal rows, of which one is kept unless ``repeats``; null ids have one always.
+    Only rows of repeated or null ids are moved.
+    """
+    pages = pages.select("page_id", "url", "payload")
+    ids = materialize(pages.groupBy("page_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or page_id is null").select(F.col("page_id").alias("again")), "repeated-ids")
+    if ids.isEmpty():
+        return pages.withColumn("part", F.lit(None).cast("string"))
+    same = F.col("page_id").eqNullSafe(F.col("again"))
+    equal = pages.join(ids, same, "left_semi").groupBy("page_id", "url", "payload").agg(F.count(F.lit(1)).alias("n"))
+    no = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") if repeats else F.lit(1).cast("long")))
+    mark = F.sha1(F.concat(F.coalesce(F.concat(F.lit("u"), "url"), F.lit("")), F.lit("\x00"), F.sha2("payload", 256)))
+    marked = equal.select("page_id", "url", "payload", mark.alias("mark"), no.alias("no")).withColumn("part", F.concat_ws("-", "mark", F.col("no").cast("string")))
+    return pages.join(ids, same, "left_anti").withColumn("part", F.lit(None).cast("string")).unionByName(marked.drop("mark", "no"))
+
+
 def classify(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Adds payload_bytes, payload_digest, record_type and refers_to to ``pages`` (page_id, url, payload).
+    """Adds payload_bytes, payload_digest, record_type, refers_to and refers_part to ``pages`` (page_id, url, payload, and part if ids repeat).
 
-    Of records with equal payloads of ``min_bytes`` or more, that with the smallest page_id is the response and the
-    others revisit it; all smaller payloads are responses.
+    Of records with equal payloads of ``min_bytes`` or more, those with the smallest page_id (null is the largest) are responses and the
+    others revisit the first of them; all smaller payloads are responses.
     """
+    if "part" not in pages.columns:
+        pages = pages.withColumn("part", F.lit(None).cast("string"))
     marked = pages.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "sha": F.unhex(F.sha2("payload", 256))})
-    counted = marked.where(F.col("payload_bytes") >= min_bytes).groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    least = F.min(F.struct(F.col("page_id").isNull(), "page_id", "part"))
+    counted = marked.where(F.col("payload_bytes") >= min_bytes).groupBy("sha").agg(least.alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", F.col("least.page_id").alias("first"), F.col("least.part").alias("first_part"))
     # only digests and ids meet here; payloads join the few pages that revisit another
-    lost = materialize(marked.select("page_id", "sha").join(counted, "sha").where("page_id > first").select("page_id", "first").distinct(), "revisits")
-    return marked.join(lost, "page_id", "left").select(
-        "page_id", "url", "payload", "payload_bytes", base32_sha1(F.col("payload")).alias("payload_digest"), F.when(F.col("first").isNull(), "response").otherwise("revisit").alias("record_type"), F.col("first").alias("refers_to")
+    lost = marked.select("page_id", "sha").join(counted, "sha").where("first is not null and (page_id > first or page_id is null)")
+    lost = materialize(lost.select(F.col("page_id").alias("lost_id"), F.col("sha").alias("lost_sha"), "first", "first_part").distinct(), "revisits")
+    return marked.join(lost, F.col("page_id").eqNullSafe(F.col("lost_id")) & (F.col("sha") == F.col("lost_sha")), "left").select(
+        "page_id", "url", "payload", "part", "payload_bytes", base32_sha1(F.col("payload")).alias("payload_digest"), F.when(F.col("first").isNull(), "response").otherwise("revisit").alias("record_type"), F.col("first").alias("refers_to"), F.col("first_part").alias("refers_part")
     )
 
 
-def record_uri(kind: Column | str, page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.lit(kind) if isinstance(kind, str) else kind, F.lit(":"), page_id.cast("string"), F.lit(">"))
+def record_uri(kind: str, page_id: Column, part: Column) -> Column:
+    """``<urn:page:kind:id>``, with the part before the id where a row has one; a null id is empty."""
+    return F.concat(F.lit(f"<urn:page:{kind}:"), F.coalesce(F.concat(part, F.lit(":")), F.lit("")), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
 
 
 def _record(kind: Column, record_id: Column, uri: Column, date: Column, content_type: str, block: Column, extra: list[tuple[str, Column]]) -> Column:
@@ -51,22 +74,22 @@ def _record(kind: Column, record_id: Column, uri: Column, date: Column, content_
     return F.concat(F.lit("WARC/1.1" + CRLF), *lines, F.lit(CRLF), block)
 
 
-def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> None:
+def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", min_bytes: int = 0, file_bytes: int = FILE_BYTES, repeats: bool = True) -> None:
     """Write a request, a response or revisit, and a metadata record for each page, as gzip files of about ``file_bytes`` of payload.
 
     ``pages`` has page_id, url and html; other columns are ignored. Null html is an empty payload; a null url leaves out
-    the target. Every record ends with two line ends, which are the text writer's line separator. No rows write no record.
+    the target; of equal rows one is written unless ``repeats``. Every record ends with two line ends, which are the text writer's line separator. No rows write no record.
     """
-    rows = classify(pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")), min_bytes)
-    ident, day = F.col("page_id"), F.lit(date)
-    capture = record_uri("capture", ident)
+    rows = classify(numbered(pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")), repeats), min_bytes)
+    ident, part, day = F.col("page_id"), F.col("part"), F.lit(date)
+    capture = record_uri("capture", ident, part)
     path_of = F.coalesce(F.nullif(F.regexp_extract("url", r"(?s)://[^/?#]*(/[^#]*)", 1), F.lit("")), F.lit("/"))
-    request = _record(F.lit("request"), record_uri("request", ident), F.col("url"), day, "application/http; msgtype=request", F.concat(F.lit("GET "), F.regexp_replace(path_of, r"[\x00-\x20\x7f]", ""), F.lit(f" HTTP/1.1{CRLF}{CRLF}")), [("WARC-Concurrent-To", capture)])
+    request = _record(F.lit("request"), record_uri("request", ident, part), F.col("url"), day, "application/http; msgtype=request", F.concat(F.lit("GET "), F.regexp_replace(path_of, r"[\x00-\x20\x7f]", ""), F.lit(f" HTTP/1.1{CRLF}{CRLF}")), [("WARC-Concurrent-To", capture)])
     body = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}{CRLF}"), F.when(F.col("record_type") == "response", F.col("payload")).otherwise(""))
-    refers = F.when(F.col("refers_to").isNotNull(), record_uri("capture", F.col("refers_to")))
+    refers = F.when(F.col("refers_to").isNotNull(), record_uri("capture", F.col("refers_to"), F.col("refers_part")))
     profile = F.when(F.col("refers_to").isNotNull(), F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
     response = _record(F.col("record_type"), capture, F.col("url"), day, "application/http; msgtype=response", body, [("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")), ("WARC-Refers-To", refers), ("WARC-Profile", profile)])
-    metadata = _record(F.lit("metadata"), record_uri("metadata", ident), F.col("url"), day, "application/warc-fields", F.concat(F.lit("page-id: "), F.coalesce(ident.cast("string"), F.lit("")), F.lit(f"{CRLF}payload-bytes: "), F.col("payload_bytes").cast("string"), F.lit(CRLF)), [("WARC-Concurrent-To", capture)])
+    metadata = _record(F.lit("metadata"), record_uri("metadata", ident, part), F.col("url"), day, "application/warc-fields", F.concat(F.lit("page-id: "), F.coalesce(ident.cast("string"), F.lit("")), F.lit(f"{CRLF}payload-bytes: "), F.col("payload_bytes").cast("string"), F.lit(CRLF)), [("WARC-Concurrent-To", capture)])
     records = rows.select(F.explode(F.array(request, response, metadata)).alias("value"))
     size = pages.agg(F.sum(F.octet_length(F.coalesce("html", F.lit("")))).alias("n")).first()["n"] or 0
     files = max(1, size // file_bytes)
@@ -136,8 +159,11 @@ def assemble_transactions(records: DataFrame) -> DataFrame:
     return records.where(key.isNotNull()).groupBy(key.alias("capture_id")).agg(part(is_capture).alias("capture"), part("request").alias("request"), part("metadata").alias("metadata")).where("capture is not null").withColumnRenamed("capture_id", "record_id")
 
 
-def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write ``pages`` to archives in the shared folder, read them back and assemble the transactions, without payloads."""
+def round_trip(pages: DataFrame, min_bytes: int = 0, repeats: bool = False) -> DataFrame:
+    """Write ``pages`` to archives in the shared folder, read them back and assemble the transactions, payloads included.
+
+    Each row gives a transaction; of rows equal in page_id, url and html one does, unless ``repeats``.
+    """
     path = new_path(pages.sparkSession, "warc")
-    write_warc(pages, path, min_bytes=min_bytes)
-    return assemble_transactions(read_warc(pages.sparkSession, path, with_payload=False))
+    write_warc(pages, path, min_bytes=min_bytes, repeats=repeats)
+    return assemble_transactions(read_warc(pages.sparkSession, path))

@@ -42,3 +42,17 @@ def test_no_pages_and_repeated_rows(spark):
     assert warc.round_trip(spark.createDataFrame([], PAGES)).count() == 0
     twice = spark.createDataFrame([(1, "u", "x"), (1, "u", "x")], PAGES)
     assert [r["capture"]["record_type"] for r in warc.round_trip(twice).collect()] == ["response"]
+
+
+def test_each_row_gives_a_transaction(spark):
+    rows = [(1, "u", "one"), (1, "u", "two"), (1, "v", "two"), (2, "u", "two"), (3, "u", "three"), (3, "u", "three"), (None, "u", "two"), (None, None, "lone"), (None, None, "lone"), (None, None, None)]
+    out = warc.round_trip(spark.createDataFrame(rows, PAGES), repeats=True).collect()
+    assert len(out) == len({r["record_id"] for r in out}) == len(rows)
+    assert all(r["request"]["concurrent_to"] == r["metadata"]["concurrent_to"] == r["record_id"] for r in out)
+    at = {r["record_id"]: bytes(r["capture"]["payload"]).decode() for r in out if r["capture"]["record_type"] == "response"}
+    revisits = [r for r in out if r["capture"]["record_type"] == "revisit"]
+    assert [at[r["capture"]["refers_to"]] for r in revisits] == ["two", "two"]
+    assert sorted(r["record_id"].rsplit(":", 1)[1] for r in revisits) == ["2>", ">"]
+    assert sorted([*at.values(), "two", "two"]) == sorted(t or "" for _, _, t in rows)
+    assert all(r["capture"]["payload_bytes"] == len(at[r["record_id"]]) for r in out if r["record_id"] in at)
+    assert warc.round_trip(spark.createDataFrame(rows, PAGES)).count() == 8
