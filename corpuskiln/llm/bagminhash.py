@@ -8,21 +8,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import lookup_by_hot_key, materialize
+from corpuskiln.llm.common import key_bitmap, keep_rows, lookup_by_hot_key, materialize, row_id, with_hit
 from corpuskiln.llm.components import connected_components
 from corpuskiln.llm.words import WordHashes, mix, shingles, sliced
 
 BANDS, ROWS = 24, 5
 SHINGLE, SIMILARITY = 5, 0.8
-#: Of the 120 one-bit values, 12 differ on average at a similarity of 0.8; 30 or more have a chance under one in a million.
-MOST_DIFFERENT = 30
+#: Frequent buckets that are sought by a sketch; one with more than 1/6144 of the rows is never missed.
+HOT_BUCKETS = 8192
+#: Texts that meet one copy of their hub's text.
+FAN = 500
 #: Bytes of text on each side of a tile, about.
 TILE_BYTES = 4 << 20
 #: Words whose signatures are made together.
 BATCH_WORDS = 200_000
+#: Room for rounding in distances and weights.
+SLACK = 1e-9
 _STEP = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -91,29 +95,19 @@ def band_keys(rows: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def one_bit(rows: np.ndarray) -> np.ndarray:
-    """Two integers of 60 bits with one bit of each component."""
-    with np.errstate(over="ignore"):
-        bits = (mix(rows.view(np.uint64)) & np.uint64(1)).reshape(len(rows), 2, -1)
-    return (bits << np.arange(bits.shape[2], dtype=np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
-
-
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memory = WordHashes()
 
     def made(ids: pa.Array, texts: list[bytes], bags: list) -> pa.RecordBatch:
-        rows = signatures(bags)
-        some = [bool(len(u)) for u, _ in bags]
-        keys, bits = band_keys(rows), one_bit(rows)
-        return pa.RecordBatch.from_arrays(
-            [
-                ids,
-                pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
-                pa.array([k if s else [] for k, s in zip(keys.tolist(), some, strict=True)], pa.list_(pa.int64())),
-                *(pa.array(bits[:, i], pa.int64()) for i in range(2)),
-            ],
-            ["doc_id", "digest", "bands", "bits0", "bits1"],
-        )
+        keys = band_keys(signatures(bags)).tolist()
+        weights = [int(c.sum()) for _, c in bags]
+        columns = [
+            ids,
+            pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
+            pa.array(weights, pa.int64()),
+            pa.array([k if w else [] for k, w in zip(keys, weights, strict=True)], pa.list_(pa.int64())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "weight", "bands"])
 
     for batch in sliced(batches):
         texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
@@ -127,102 +121,164 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 start, words, bags = i + 1, 0, []
 
 
-def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, a_text, b_text) that are similar enough; the bag of the last b is kept."""
-    memory, last = WordHashes(), (None, None)
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The similarity of texts (b, side, a, text) to the hub b whose own row, of side 0, comes before them."""
+    memory, held = WordHashes(), None
     for batch in sliced(batches):
-        kept = []
-        for i, (b, left, right) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            if last[0] != b:
-                last = (b, bag(memory.of((right or "").encode().split())))
-            if weighted_jaccard(bag(memory.of((left or "").encode().split())), last[1]) >= least:
-                kept.append(i)
-        yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
+        out: tuple[list, list, list] = ([], [], [])
+        for b, side, a, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own = bag(memory.of((text or "").encode().split()))
+            if side == 0:
+                held = own
+            else:
+                for column, x in zip(out, (a, b, weighted_jaccard(own, held)), strict=True):
+                    column.append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["a", "b", "similarity"])
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, kind: str, least: float) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose texts, looked up in ``texts`` (rep, text), are similar.
+def _similarities(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Columns a, b, similarity of texts ``rows`` (a, b, parts, text) and their hubs ``hubs`` (b, parts, text).
 
-    A text with many partners makes one side of the second join uneven; adaptive execution splits that side.
+    A hub with many texts is repeated for ``parts`` parts of them, so no task gets all texts of one hub; each text is moved once.
     """
-    left = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("a_text")), "a")
-    both = left.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("b_text")), "b")
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(lambda it: _verified(it, least), f"a {kind}, b {kind}")
+    salt = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+    texts = rows.select("b", salt.alias("salt"), F.lit(1).alias("side"), "a", "text")
+    own = hubs.select("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("b").alias("a"), "text")
+    dealt = texts.unionByName(own).repartition("b", "salt").sortWithinPartitions("b", "salt", "side")
+    return dealt.select("b", "side", "a", "text").mapInArrow(_met, "a long, b long, similarity double")
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Columns doc_id, class_id (the least doc_id of its group) and copies (rows with an equal text), one row per row of ``docs``.
+def _stars(classes: DataFrame, least: float) -> DataFrame:
+    """Columns cid, hub (the least cid of a bucket) and ratio (lesser by greater weight, which no similarity exceeds), one row per pair.
 
-    Two texts are linked if the weighted Jaccard of their multisets of five-word shingles is ``least`` or more; groups are the
-    connected components. Words stand between ASCII white space; a text of one to four words is one shingle, and texts
-    without words, null as empty, are grouped only with equal texts. Equal texts are one class and never compared.
-    Candidates share a band of their signatures (a pair of 0.8 is missed with a chance of 7e-5). Within a band's bucket every text is
-    first verified against the bucket's least doc_id; texts that this leaves out of the hub's group meet all of that group and each
-    other, save those whose one-bit signatures rule every link out, so a bucket's texts are linked as all its pairs would link
-    them, but most texts of a large group cost one verification. Rows without doc_id take part only through an equal text that has one, else
-    their class_id is null; a doc_id that stands with several texts is compared by the least of them. Other columns are ignored; no rows give no rows.
+    Frequent buckets are found by a frequent-items sketch and their rows are not moved; of the others, one shuffle
+    brings together 16 bytes for each text and band.
+    """
+    members = classes.where("rep is not null").select("cid", F.explode("bands").alias("bucket"))
+    sketch = members.agg(F.expr(f"approx_top_k(bucket, {HOT_BUCKETS}, {HOT_BUCKETS})").alias("top"))
+    proposed = sketch.select(F.explode("top").alias("x")).where("x.count > 1000").select(F.col("x.item").alias("bucket"))
+    hot = members.join(F.broadcast(proposed), "bucket").groupBy("bucket").agg(F.min("cid").alias("hub"))
+    hot = materialize(hot.coalesce(1), "hot-buckets")  # HOT_BUCKETS at most
+    same = Window.partitionBy("bucket")
+    cold = members.join(F.broadcast(hot.select("bucket")), "bucket", "left_anti").withColumns({"hub": F.min("cid").over(same), "n": F.count(F.lit(1)).over(same)})
+    pairs = cold.where("n > 1 and cid <> hub").select("cid", "hub").unionByName(members.join(F.broadcast(hot), "bucket").where("cid <> hub").select("cid", "hub")).distinct()
+    pairs = pairs.join(classes.select("cid", "weight"), "cid").join(classes.select(F.col("cid").alias("hub"), F.col("weight").alias("hub_weight")), "hub")
+    return materialize(pairs.select("cid", "hub", "weight", (F.least("weight", "hub_weight") / F.greatest("weight", "hub_weight")).alias("ratio")), "stars")
+
+
+def _fans(pairs: DataFrame) -> DataFrame:
+    """Columns b and parts, in how many parts the texts a of each hub b meet it."""
+    return pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("parts"))
+
+
+def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Columns doc_id, digest, class_id, class_digest and copies, one row per row of ``docs``; see ``near_duplicates``.
+
+    ``class_digest`` is that of the group's first text: the least digest among the texts of class_id.
     """
-    kind = dict(docs.dtypes)["doc_id"]
     source = docs.select("doc_id", "text")
-    signed = materialize(source.mapInArrow(_signed, f"doc_id {kind}, digest binary, bands array<long>, bits0 long, bits1 long"), "signatures")
+    kind = dict(docs.dtypes)["doc_id"]
+    signed = materialize(source.mapInArrow(_signed, f"doc_id {kind}, digest binary, weight long, bands array<long>"), "signatures")
     total = signed.count()
-    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in ("bands", "bits0", "bits1")))  # equal texts have equal signatures
-    classes = materialize(classes, "classes")
-    # a doc_id that stands with several texts takes part with each
-    members = classes.where("rep is not null").select("rep", "bits0", "bits1", F.explode("bands").alias("bucket"))
-    hubs = members.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = materialize(lookup_by_hot_key(members, materialize(hubs, "hubs"), "bucket", total * BANDS).where("hub is not null"), "buckets")
-    stars = members.where("rep <> hub").groupBy("rep").agg(F.sort_array(F.collect_set("hub")).alias("hubs"))  # at most one for each band
-    stars = materialize(stars, "stars")
-    needed = members.select("rep").distinct()
-    texts = materialize(source.join(needed, source["doc_id"] == needed["rep"]).groupBy("rep").agg(F.min("text").alias("text")), "texts")
-
-    first = materialize(_similar(stars.select(F.col("rep").alias("a"), F.col("hubs")[0].alias("b")), texts, kind, least), "links")
-    roots = first.select(F.col("a").alias("node"), F.col("b").alias("component"))  # a forest: every text has one link, to a lesser one
+    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))  # equal texts have equal signatures
+    classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    stars = _stars(classes, least)
+
+    # every text meets the first hub that its weight allows
+    able = stars.where(F.col("ratio") >= least)
+    first = able.groupBy("cid").agg(F.min("hub").alias("b"))
+    fans = materialize(_fans(first), "fans")
+    first = first.join(fans, "b").select("cid", "b", "parts")
+    needed = stars.select("cid").union(stars.select("hub")).distinct()
+    needed = needed.join(classes.select("cid", "rep", "digest"), "cid").join(first, "cid", "left").join(fans.select(F.col("b").alias("cid"), F.col("parts").alias("fan")), "cid", "left")
+    needed = materialize(needed, "needed")
+    keyed = source.where("doc_id is not null").select(F.col("doc_id").alias("rep"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = with_hit(keyed, key_bitmap(needed, "rep"), "rep").where("hit").select("rep", F.unhex(F.sha2("text", 256)).alias("digest"), "text")
+    texts = keyed.groupBy("rep", "digest").agg(F.first("text").alias("text")).join(needed, ["rep", "digest"])
+    texts = materialize(texts.select("cid", "b", "parts", "fan", "text"), "texts")
+    sims = materialize(_similarities(texts.where("b is not null").select(F.col("cid").alias("a"), "b", "parts", "text"), texts.where("fan is not null").select(F.col("cid").alias("b"), F.col("fan").alias("parts"), "text")), "similarities")
+
+    links = sims.where(F.col("similarity") >= least)
+    roots = links.select(F.col("a").alias("node"), F.col("b").alias("component"))  # a forest: every text has one link, to a lesser one
     up = roots.select(F.col("node").alias("component"), F.col("component").alias("above"))
     roots = materialize(roots.join(up, "component", "left").select("node", F.coalesce("above", "component").alias("component")), "roots")
-    other = stars.select(F.col("rep").alias("a"), F.explode(F.slice("hubs", 2, BANDS)).alias("b"))
-    second = materialize(_similar(_apart(other, roots), texts, kind, least), "links")
-    groups = _grouped(roots, roots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
-
-    placed = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    placed = placed.join(groups.select(F.col("node").alias("hub"), F.col("component").alias("core")), "hub", "left").withColumn("core", F.coalesce("core", "hub"))
-    placed = materialize(placed.select("bucket", "rep", "component", "core", "bits0", "bits1"), "placed")
-    third = materialize(_rest(placed, texts, kind, least), "links")
+    other = able.select(F.col("cid").alias("a"), F.col("hub").alias("b")).join(sims.select("a", "b"), ["a", "b"], "left_anti")
+    other = materialize(_apart(other, roots), "pairs")
+    fans = _fans(other)
+    plain = texts.select("cid", "text")
+    more = _similarities(other.join(fans, "b").join(plain, F.col("a") == F.col("cid")).select("a", "b", "parts", "text"), fans.join(plain, F.col("b") == F.col("cid")).select("b", "parts", "text"))
+    more = materialize(more, "similarities")
+    groups = _grouped(roots, roots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.where(F.col("similarity") >= least).select("a", "b")))
+
+    third = materialize(_rest(_placed(stars, sims.unionByName(more), groups), plain, least), "links")
     groups = groups if third.isEmpty() else _grouped(groups, third)
 
-    named = classes.select("digest", "n", "rep").join(groups, classes["rep"] == groups["node"], "left").select("digest", "n", F.coalesce("component", "rep").alias("class_id"))
-    out = lookup_by_hot_key(signed.select("doc_id", "digest"), materialize(named, "classes"), "digest", total)
-    return out.select("doc_id", "class_id", F.col("n").alias("copies"))
+    groups = groups.unionByName(groups.select(F.col("component").alias("node"), "component")).distinct()  # roots are nodes too
+    leads = groups.join(classes.select(F.col("cid").alias("node"), "rep", "digest"), "node").select("node", "component", F.struct("rep", "digest").alias("lead"))
+    whole = materialize(leads.groupBy("component").agg(F.min("lead").alias("head"), F.count(F.lit(1)).alias("n")), "heads")
+    leads = lookup_by_hot_key(leads.select("node", "component"), whole, "component", total).select("node", "head")
+    named = classes.join(leads, classes["cid"] == leads["node"], "left").select("digest", "n", F.coalesce(F.col("head.rep"), "rep").alias("class_id"), F.coalesce(F.col("head.digest"), "digest").alias("class_digest"))
+    out = lookup_by_hot_key(signed.select("doc_id", "digest"), materialize(named, "named"), "digest", total)
+    return out.select("doc_id", "digest", "class_id", "class_digest", F.col("n").alias("copies"))
+
+
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Columns doc_id, class_id (the least doc_id of its group) and copies (rows with an equal text), one row per row of ``docs``.
+
+    Two texts are linked if the weighted Jaccard of their multisets of five-word shingles is ``least`` or more; groups are the
+    connected components. Words stand between ASCII white space; a text of one to four words is one shingle, and texts
+    without words, null as empty, are grouped only with equal texts. Equal texts are one class and never compared.
+    Candidates share a band of their signatures (a pair of 0.8 is missed with a chance of 7e-5); no other pair is left out but by proof.
+    Within a band's bucket every text is verified against the bucket's hub. What that leaves apart is compared only where the
+    distances to the hub (one less the similarity, which keeps the triangle inequality) and the weights allow a link, so a bucket's texts are
+    linked as all its pairs would link them, but most texts of a large group cost one verification. A doc_id that stands with several
+    texts takes part with each. Rows without doc_id take part only through an equal text that has one, else
+    their class_id is null. Other columns are ignored; no rows give no rows.
+    """
+    return near_classes(docs, least).select("doc_id", "class_id", "copies")
 
 
-def _rest(placed: DataFrame, texts: DataFrame, kind: str, least: float) -> DataFrame:
-    """Links between texts of one bucket that no group joins yet.
+def _placed(stars: DataFrame, sims: DataFrame, groups: DataFrame) -> DataFrame:
+    """Columns hub, cid, weight, component, core (the hub's component) and low, high: what is known of the distance to the hub."""
+    known = sims.select(F.col("a").alias("cid"), F.col("b").alias("hub"), (1 - F.col("similarity")).alias("d"))
+    rows = stars.join(known, ["cid", "hub"], "left").join(groups.select(F.col("node").alias("cid"), "component"), "cid", "left")
+    rows = rows.join(groups.select(F.col("node").alias("hub"), F.col("component").alias("core")), "hub", "left")
+    low, high = F.coalesce("d", F.greatest(1 - F.col("ratio"), F.lit(0.0))), F.coalesce("d", F.lit(1.0))
+    return materialize(rows.select("hub", "cid", "weight", F.coalesce("component", "cid").alias("component"), F.coalesce("core", "hub").alias("core"), low.alias("low"), high.alias("high")), "placed")
 
-    A text is loose in a bucket if it is not in the group of the bucket's hub, the core, and its one-bit signature
-    allows a link to some text of another group there. It meets all texts of the core, and all others that are loose
-    beside it, block by block; only links leave a tile, so no pairs are written.
+
+def _rest(placed: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between texts of one hub that no group joins yet.
+
+    A text is loose beside a hub if it is not in the hub's group. It may be linked to a text whose distance to the hub differs by
+    1 - least at most and whose weight by a factor of ``least`` at most; rows are dealt out to cells by both, a loose text to all cells that hold such
+    texts. Cells without a loose text or without texts of another group are left; the others are cut to tiles of bounded
+    bytes, from which only links leave, so no pairs are written.
     """
+    reach = 1 - least
+    step, last = reach / 2, int(2 / reach) + 1
+    at = lambda x: F.least(F.greatest(F.floor(x / step), F.lit(0)), F.lit(last)).cast("int")
+    scale = lambda x: F.floor(F.log(x.cast("double")) / float(-np.log(least))).cast("int")
+    every = lambda a, b: F.explode(F.sequence(a, b))
     loose = placed.where("component <> core")
-    x = {c: F.col(c).alias(f"x_{c}") for c in ("rep", "component", "bits0", "bits1")}
-    apart = F.bit_count(F.col("bits0").bitwiseXOR(F.col("x_bits0"))) + F.bit_count(F.col("bits1").bitwiseXOR(F.col("x_bits1")))
-    other = placed.select("bucket", "component", "bits0", "bits1")
-    left = loose.select(F.col("bucket").alias("x_bucket"), "core", *x.values())
-    left = left.join(other, (F.col("bucket") == F.col("x_bucket")) & (F.col("component") != F.col("x_component")) & (apart < MOST_DIFFERENT), "left_semi")
-    left = materialize(left.select("core", F.col("x_rep").alias("rep"), F.col("x_component").alias("component")).distinct(), "loose")
-    if left.isEmpty():
-        return placed.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
-    members = placed.select(F.col("component").alias("core"), "rep", "component").distinct().join(left.select("core").distinct(), "core", "left_semi")
-    sized = texts.select("rep", F.octet_length("text").alias("size"))
-    right = members.unionByName(left).join(sized, "rep")
-    left = left.join(sized, "rep")
-    blocks = lambda rows, name: rows.groupBy("core").agg(F.least(F.floor(F.sum("size") / TILE_BYTES) + 1, F.count(F.lit(1))).cast("int").alias(name), F.count(F.lit(1)).alias(f"{name}_rows"))
-    shape = materialize(blocks(left, "n").join(blocks(right, "m"), "core").where("m_rows > 2").select("core", "n", "m"), "tiles")  # two are hub and text, which have met
-    block = lambda n: F.pmod(F.xxhash64(F.lit(9), "rep"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    rows = left.join(shape, "core").withColumn("i", block("n")).withColumn("j", every("m")).withColumn("side", F.lit(0)).unionByName(right.join(shape, "core").withColumn("j", block("m")).withColumn("i", every("n")).withColumn("side", F.lit(1)))
-    tiles = rows.select("core", "i", "j", "side", "rep", "component").join(texts.select("rep", "text"), "rep")
-    return tiles.groupBy("core", "i", "j").applyInPandas(lambda pdf: _tile_links(pdf, least), f"a {kind}, b {kind}")
+    left = loose.withColumn("x", every(at(F.col("low") - reach - SLACK), at(F.col("high") + reach + SLACK))).withColumn("y", every(scale(F.col("weight") * least * (1 - SLACK)), scale(F.col("weight") / least * (1 + SLACK))))
+    right = placed.join(loose.select("hub").distinct(), "hub", "left_semi").withColumn("x", every(at(F.col("low")), at(F.col("high")))).withColumn("y", scale(F.col("weight")))
+    cell = ["hub", "x", "y"]
+    groups_in = lambda rows, name: rows.groupBy(*cell).agg(F.min("component").alias(f"{name}_min"), F.max("component").alias(f"{name}_max"))
+    met = groups_in(left, "left").join(groups_in(right, "right"), cell).where("left_min <> left_max or right_min <> right_max or left_min <> right_min").select(*cell)
+    met = materialize(met, "cells")
+    if met.isEmpty():
+        return placed.sparkSession.createDataFrame([], "a long, b long")
+    sized = texts.select("cid", F.octet_length("text").alias("size"))
+    kept = lambda rows: rows.join(met, cell, "left_semi").select(*cell, "cid", "component").join(sized, "cid")
+    left, right = materialize(kept(left), "loose"), materialize(kept(right), "right")
+    blocks = lambda rows, name: rows.groupBy(*cell).agg(F.least(F.floor(F.sum("size") / TILE_BYTES) + 1, F.count(F.lit(1))).cast("int").alias(name))
+    shape = materialize(blocks(left, "n").join(blocks(right, "m"), cell), "tiles")
+    block = lambda n: F.pmod(F.xxhash64(F.lit(9), "cid"), F.col(n)).cast("int")
+    rows = left.join(shape, cell).withColumn("i", block("n")).withColumn("j", every(F.lit(0), F.col("m") - 1)).withColumn("side", F.lit(0))
+    rows = rows.unionByName(right.join(shape, cell).withColumn("j", block("m")).withColumn("i", every(F.lit(0), F.col("n") - 1)).withColumn("side", F.lit(1)))
+    tiles = rows.select(*cell, "i", "j", "side", "cid", "component").join(texts, "cid")
+    return tiles.groupBy(*cell, "i", "j").applyInPandas(lambda pdf: _tile_links(pdf, least), "a long, b long")
 
 
 def _tile_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
@@ -230,21 +286,21 @@ def _tile_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
     if rows["side"].nunique() < 2:
         return pd.DataFrame([], columns=["a", "b"])
     memory = WordHashes()
-    rows = rows.sort_values(["side", "rep"])
-    made = {r: bag(memory.of((t or "").encode().split())) for r, t in zip(rows["rep"], rows["text"], strict=True)}
+    rows = rows.sort_values(["side", "cid"])
+    made = {r: bag(memory.of((t or "").encode().split())) for r, t in zip(rows["cid"], rows["text"], strict=True)}
     right = rows[rows["side"] == 1]
-    reps, groups = right["rep"].to_numpy(), right["component"].to_numpy()
-    hashes, counts = (np.concatenate([made[r][k] for r in reps]) for k in range(2))
-    starts = np.cumsum([0, *(len(made[r][0]) for r in reps)])[:-1]
-    sizes = np.array([made[r][1].sum() for r in reps])
+    nodes, groups = right["cid"].to_numpy(), right["component"].to_numpy()
+    hashes, counts = (np.concatenate([made[r][k] for r in nodes]) for k in range(2))
+    starts = np.cumsum([0, *(len(made[r][0]) for r in nodes)])[:-1]
+    sizes = np.array([made[r][1].sum() for r in nodes])
     links = []
-    for a, group in zip(*(rows.loc[rows["side"] == 0, c] for c in ("rep", "component")), strict=True):
+    for a, group in zip(*(rows.loc[rows["side"] == 0, c] for c in ("cid", "component")), strict=True):
         u, c = made[a]
         at = np.minimum(np.searchsorted(u, hashes), len(u) - 1)
         low = np.add.reduceat(np.where(u[at] == hashes, np.minimum(c[at], counts), 0), starts)
         near = np.flatnonzero((low / (c.sum() + sizes - low) >= least) & (groups != group))
         _, one = np.unique(groups[near], return_index=True)
-        links += [(a, b) for b in reps[near[one]]]
+        links += [(a, b) for b in nodes[near[one]]]
     return pd.DataFrame(links, columns=["a", "b"])
 
 
@@ -265,10 +321,12 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs``, with all columns, that are the least doc_id of their group; of repeated rows, one. Rows without doc_id stay."""
-    from pyspark.sql import Window
+    """The rows of ``docs``, with all columns, that are the first text of their group, that of its least doc_id.
 
-    lost = near_duplicates(docs, least).where("doc_id <> class_id").select(F.col("doc_id").alias("__id")).distinct()
-    left = docs.join(lost, docs["doc_id"] == lost["__id"], "left_anti")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    return left.withColumn("__no", first).where("__no = 1 or doc_id is null").select(*(F.col(f"`{c}`") for c in docs.columns))
+    Of rows equal in doc_id and text one stays; a doc_id with several texts keeps each that is first in a group. Rows without doc_id stay. Columns may
+    have any names. Only rows that go, or that are repeated, are moved.
+    """
+    found = near_classes(docs, least).where("doc_id is not null")
+    marks = found.groupBy(row_id().alias("id"), "digest").agg(F.count(F.lit(1)).alias("n"), F.first((F.col("doc_id") == F.col("class_id")) & (F.col("digest") == F.col("class_digest"))).alias("keep"))
+    marks = marks.where("n > 1 or not keep").drop("n")
+    return keep_rows(docs, materialize(marks, "marks"))

@@ -113,8 +113,34 @@ def long_texts():
 def test_tiles_of_more_blocks_than_texts(spark):
     rows = long_texts()
     assert sum(len(t) for _, t in rows) // TILE_BYTES + 1 > len(rows) - 1
-    texts = spark.createDataFrame(rows, "rep long, text string")
-    placed = spark.createDataFrame([(5, i, c, 0, 0, 0) for i, c in enumerate((0, 0, 2, 3))], "bucket long, rep long, component long, core long, bits0 long, bits1 long")
-    assert [(r["a"], r["b"]) for r in _rest(placed, texts, "bigint", 0.8).collect()] == [(2, 1)]
-    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(texts.withColumnRenamed("rep", "doc_id")).collect()}
+    texts = spark.createDataFrame(rows, "cid long, text string")
+    placed = spark.createDataFrame([(0, i, 81_996, c, 0, 0.0, 0.0 if i == 1 else 1.0) for i, c in ((1, 0), (2, 2), (3, 3))], "hub long, cid long, weight long, component long, core long, low double, high double")
+    assert {(r["a"], r["b"]) for r in _rest(placed, texts, 0.8).collect()} == {(2, 1)}
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(texts.withColumnRenamed("cid", "doc_id")).collect()}
     assert got == brute_force(rows) == {0: 0, 1: 0, 2: 0, 3: 3}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_loose_texts_equal_brute_force(spark, seed):
+    """Texts at every distance from their hub, so that many are linked by others only."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(70):
+        t = list(base)
+        for k in range(rng.randint(0, 9)):
+            t[rng.randrange(len(t))] = f"x{rng.randint(0, 3)}"
+        rows.append((i, " ".join(t[: rng.randint(80, 120)])))
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_force(rows)
+
+
+def test_a_doc_id_with_several_texts_and_clashing_names(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(7, "one two three four five six", "keep"), (7, long, "keep"), (9, long + " more", "go"), (8, "one two three four five six", "go"), (None, "one two three four five six", "keep"), (7, long, "again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __id string").withColumns({"__no": F.lit(1), "row": F.lit(2), "hit": F.lit(3), "digest": F.lit(4), "keep": F.lit(5), "word": F.lit(6)})
+    kept = near_dedup(df)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in got) == sorted([(7, rows[0][1]), (7, long), (-1, rows[4][1])])
+    assert {r["__id"] for r in got} <= {"keep", "again"}
