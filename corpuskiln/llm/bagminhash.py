@@ -22,7 +22,7 @@ HOT_BUCKETS = 8192
 #: Texts that meet one copy of their hub's text.
 FAN = 500
 #: Bytes of text on each side of a tile, about.
-TILE_BYTES = 4 << 20
+TILE_BYTES = 1 << 20
 #: Words whose signatures are made together.
 BATCH_WORDS = 200_000
 #: Room for rounding in distances and weights.
@@ -204,12 +204,10 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     roots = materialize(roots.join(up, "component", "left").select("node", F.coalesce("above", "component").alias("component")), "roots")
     other = able.select(F.col("cid").alias("a"), F.col("hub").alias("b")).join(sims.select("a", "b"), ["a", "b"], "left_anti")
     other = materialize(_apart(other, roots), "pairs")
-    fans = _fans(other)
     plain = texts.select("cid", "text")
-    more = _similarities(other.join(fans, "b").join(plain, F.col("a") == F.col("cid")).select("a", "b", "parts", "text"), fans.join(plain, F.col("b") == F.col("cid")).select("b", "parts", "text"))
-    more = materialize(more, "similarities")
-    groups = _grouped(roots, roots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.where(F.col("similarity") >= least).select("a", "b")))
-
+    more = materialize(_pairs_met(other, plain), "similarities")
+    links = roots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.where(F.col("similarity") >= least).select("a", "b"))
+    groups = _grouped(roots, links)
     third = materialize(_rest(_placed(stars, sims.unionByName(more), groups), plain, least), "links")
     groups = groups if third.isEmpty() else _grouped(groups, third)
 
@@ -238,6 +236,13 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return near_classes(docs, least).select("doc_id", "class_id", "copies")
 
 
+def _pairs_met(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Columns a, b, similarity of ``pairs`` (a, b), whose texts are looked up in ``texts`` (cid, text)."""
+    fans = _fans(pairs)
+    rows = pairs.join(fans, "b").join(texts, F.col("a") == F.col("cid")).select("a", "b", "parts", "text")
+    return _similarities(rows, fans.join(texts, F.col("b") == F.col("cid")).select("b", "parts", "text"))
+
+
 def _placed(stars: DataFrame, sims: DataFrame, groups: DataFrame) -> DataFrame:
     """Columns hub, cid, weight, component, core (the hub's component) and low, high: what is known of the distance to the hub."""
     known = sims.select(F.col("a").alias("cid"), F.col("b").alias("hub"), (1 - F.col("similarity")).alias("d"))
@@ -251,56 +256,71 @@ def _rest(placed: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links (a, b) between texts of one hub that no group joins yet.
 
     A text is loose beside a hub if it is not in the hub's group. It may be linked to a text whose distance to the hub differs by
-    1 - least at most and whose weight by a factor of ``least`` at most; rows are dealt out to cells by both, a loose text to all cells that hold such
-    texts. Cells without a loose text or without texts of another group are left; the others are cut to tiles of bounded
-    bytes, from which only links leave, so no pairs are written.
+    1 - least at most; where a hub's texts fill more than a tile, they are dealt out to cells by that distance, a loose text to all cells that hold
+    such texts. Cells without texts of different groups are left; the others are cut to tiles of bounded bytes, from which
+    only links leave, so no pairs are written.
     """
     reach = 1 - least
-    step, last = reach / 2, int(2 / reach) + 1
-    at = lambda x: F.least(F.greatest(F.floor(x / step), F.lit(0)), F.lit(last)).cast("int")
-    scale = lambda x: F.floor(F.log(x.cast("double")) / float(-np.log(least))).cast("int")
-    every = lambda a, b: F.explode(F.sequence(a, b))
-    loose = placed.where("component <> core")
-    left = loose.withColumn("x", every(at(F.col("low") - reach - SLACK), at(F.col("high") + reach + SLACK))).withColumn("y", every(scale(F.col("weight") * least * (1 - SLACK)), scale(F.col("weight") / least * (1 + SLACK))))
-    right = placed.join(loose.select("hub").distinct(), "hub", "left_semi").withColumn("x", every(at(F.col("low")), at(F.col("high")))).withColumn("y", scale(F.col("weight")))
-    cell = ["hub", "x", "y"]
-    groups_in = lambda rows, name: rows.groupBy(*cell).agg(F.min("component").alias(f"{name}_min"), F.max("component").alias(f"{name}_max"))
-    met = groups_in(left, "left").join(groups_in(right, "right"), cell).where("left_min <> left_max or right_min <> right_max or left_min <> right_min").select(*cell)
-    met = materialize(met, "cells")
-    if met.isEmpty():
+    last = int(1 / reach) + 1
+    sized = placed.join(texts.select("cid", F.octet_length("text").alias("size")), "cid")
+    loose = placed.where("component <> core").groupBy("hub").agg(F.count(F.lit(1)).alias("loose"))
+    whole = sized.groupBy("hub").agg(F.sum("size").alias("bytes"), F.min("component").alias("one"), F.max("component").alias("other")).where("one <> other").join(loose, "hub").select("hub", (F.col("bytes") > TILE_BYTES).alias("large"))
+    rows = materialize(sized.join(whole, "hub"), "rest")
+    if rows.isEmpty():
         return placed.sparkSession.createDataFrame([], "a long, b long")
-    sized = texts.select("cid", F.octet_length("text").alias("size"))
-    kept = lambda rows: rows.join(met, cell, "left_semi").select(*cell, "cid", "component").join(sized, "cid")
-    left, right = materialize(kept(left), "loose"), materialize(kept(right), "right")
-    blocks = lambda rows, name: rows.groupBy(*cell).agg(F.least(F.floor(F.sum("size") / TILE_BYTES) + 1, F.count(F.lit(1))).cast("int").alias(name))
-    shape = materialize(blocks(left, "n").join(blocks(right, "m"), cell), "tiles")
+    at = lambda x: F.when(F.col("large"), F.least(F.greatest(F.floor(x / reach), F.lit(0)), F.lit(last))).otherwise(0).cast("int")
+    every = lambda a, b: F.explode(F.sequence(a, b))
+    left = rows.where("component <> core").withColumn("x", every(at(F.col("low") - reach - SLACK), at(F.col("high") + reach + SLACK)))
+    right = rows.withColumn("x", every(at(F.col("low")), at(F.col("high"))))
+    cell = ["hub", "x"]
+    shape = lambda rows, n: rows.groupBy(*cell).agg(F.least(F.floor(F.sum("size") / TILE_BYTES) + 1, F.count(F.lit(1))).cast("int").alias(n), F.min("component").alias(f"{n}_min"), F.max("component").alias(f"{n}_max"))
+    shape = shape(left, "n").join(shape(right, "m"), cell).where("n_min <> n_max or m_min <> m_max or n_min <> m_min").select(*cell, "n", "m")
+    shape = materialize(shape, "cells")
     block = lambda n: F.pmod(F.xxhash64(F.lit(9), "cid"), F.col(n)).cast("int")
-    rows = left.join(shape, cell).withColumn("i", block("n")).withColumn("j", every(F.lit(0), F.col("m") - 1)).withColumn("side", F.lit(0))
-    rows = rows.unionByName(right.join(shape, cell).withColumn("j", block("m")).withColumn("i", every(F.lit(0), F.col("n") - 1)).withColumn("side", F.lit(1)))
-    tiles = rows.select(*cell, "i", "j", "side", "cid", "component").join(texts, "cid")
+    # a loose text is of both sides; in a cell that is one tile it is moved once
+    once = (F.col("n") == 1) & (F.col("m") == 1)
+    dealt = left.join(shape, cell).withColumn("i", block("n")).withColumn("j", every(F.lit(0), F.col("m") - 1)).withColumn("side", F.lit(0))
+    dealt = dealt.unionByName(right.join(shape, cell).withColumn("j", block("m")).withColumn("i", every(F.lit(0), F.col("n") - 1)).withColumn("side", F.lit(1)))
+    dealt = dealt.select(*cell, "i", "j", "side", "cid", "component", "core", "weight", "low", "high", once.alias("once")).where("not (once and side = 1 and component <> core)")
+    tiles = dealt.join(texts, "cid")
     return tiles.groupBy(*cell, "i", "j").applyInPandas(lambda pdf: _tile_links(pdf, least), "a long, b long")
 
 
 def _tile_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Links (a, b) of the loose texts of a tile, one for each text and group at most; a tile may lack a side, as blocks are cut by a hash."""
-    if rows["side"].nunique() < 2:
-        return pd.DataFrame([], columns=["a", "b"])
-    memory = WordHashes()
-    rows = rows.sort_values(["side", "cid"])
-    made = {r: bag(memory.of((t or "").encode().split())) for r, t in zip(rows["cid"], rows["text"], strict=True)}
-    right = rows[rows["side"] == 1]
-    nodes, groups = right["cid"].to_numpy(), right["component"].to_numpy()
+    """Links (a, b) of the loose texts of a tile, one for each text and group at most; a tile may lack a side, as blocks are cut by a hash.
+
+    Texts of other weights or other distances to the hub than a link allows are passed over. Texts that links have joined are one group from then on.
+    """
+    rows = rows.sort_values(["weight", "cid"])
+    made = {r: bag(memory.of((t or "").encode().split())) for memory in [WordHashes()] for r, t in zip(rows["cid"], rows["text"], strict=True)}
+    left, right = rows[rows["side"] == 0], rows[(rows["side"] == 1) | rows["once"]]
+    links: list[tuple[int, int]] = []
+    if not len(left) or not len(right):
+        return pd.DataFrame(links, columns=["a", "b"])
+    nodes, weights, low, high = (right[c].to_numpy() for c in ("cid", "weight", "low", "high"))
+    names, index = np.unique(np.concatenate([right["component"].to_numpy(), left["component"].to_numpy()]), return_inverse=True)
+    of, mine = index[: len(right)].copy(), index[len(right) :].copy()
     hashes, counts = (np.concatenate([made[r][k] for r in nodes]) for k in range(2))
-    starts = np.cumsum([0, *(len(made[r][0]) for r in nodes)])[:-1]
-    sizes = np.array([made[r][1].sum() for r in nodes])
-    links = []
-    for a, group in zip(*(rows.loc[rows["side"] == 0, c] for c in ("cid", "component")), strict=True):
+    order = np.argsort(hashes, kind="stable")  # where each shingle occurs on the right side
+    hashes, counts, owner = hashes[order], counts[order], np.repeat(np.arange(len(nodes)), [len(made[r][0]) for r in nodes])[order]
+    reach = 1 - least + SLACK
+    for k, (a, w, lo, hi) in enumerate(zip(*(left[c] for c in ("cid", "weight", "low", "high")), strict=True)):
+        first, end = np.searchsorted(weights, w * least * (1 - SLACK), "left"), np.searchsorted(weights, w / least * (1 + SLACK), "right")
+        some = slice(first, end)
+        open_ = (of[some] != mine[k]) & (lo - high[some] <= reach) & (low[some] - hi <= reach)
+        if not open_.any():
+            continue
         u, c = made[a]
-        at = np.minimum(np.searchsorted(u, hashes), len(u) - 1)
-        low = np.add.reduceat(np.where(u[at] == hashes, np.minimum(c[at], counts), 0), starts)
-        near = np.flatnonzero((low / (c.sum() + sizes - low) >= least) & (groups != group))
-        _, one = np.unique(groups[near], return_index=True)
+        begin = np.searchsorted(hashes, u, "left")
+        many = np.searchsorted(hashes, u, "right") - begin
+        at = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+        both = np.bincount(owner[at], np.minimum(counts[at], np.repeat(c, many)), len(nodes))[some]
+        near = first + np.flatnonzero((both / (w + weights[some] - both) >= least) & open_)
+        joined, one = np.unique(of[near], return_index=True)
         links += [(a, b) for b in nodes[near[one]]]
+        if len(joined):
+            of[np.isin(of, joined)] = mine[k]
+            mine[np.isin(mine, joined)] = mine[k]
     return pd.DataFrame(links, columns=["a", "b"])
 
 
