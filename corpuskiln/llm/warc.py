@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import base64
+import gzip
+import hashlib
+import io
 import re
+import zlib
 from collections.abc import Iterator
 
-import hashlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +17,10 @@ from pyspark.sql import functions as F
 from corpuskiln.llm.common import materialize, new_path
 
 CRLF = "\r\n"
-#: Bytes of payload that a file of the archive is planned to hold.
+#: Bytes of payload that a file of the archive is planned to hold; none holds more than ``SPREAD`` times that, or one record.
 FILE_BYTES = 32 << 20
-RECORDS = "record_id string, record_type string, concurrent_to string, refers_to string, target_uri string, payload_digest string, payload_bytes long, fields string, payload binary"
+SPREAD = 16
+RECORDS = "record_id string, record_type string, concurrent_to string, refers_to string, target_uri string, payload_digest string, payload_bytes long, fields string, payload binary, error string"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -25,10 +30,10 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.upper(F.concat(*groups)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def numbered(pages: DataFrame, repeats: bool = True) -> DataFrame:
+def numbered(pages: DataFrame) -> DataFrame:
     """Adds ``part`` to ``pages`` (page_id, url, payload): null where page_id is one row's alone, else what tells the row from others.
 
-    It is made of url and payload, and of a number among equal rows, of which one is kept unless ``repeats``; null ids have one always.
+    It is made of url and payload, and of a number among equal rows; null ids have one always.
     Only rows of repeated or null ids are moved.
     """
     pages = pages.select("page_id", "url", "payload")
@@ -37,7 +42,7 @@ def numbered(pages: DataFrame, repeats: bool = True) -> DataFrame:
         return pages.withColumn("part", F.lit(None).cast("string"))
     same = F.col("page_id").eqNullSafe(F.col("again"))
     equal = pages.join(ids, same, "left_semi").groupBy("page_id", "url", "payload").agg(F.count(F.lit(1)).alias("n"))
-    no = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") if repeats else F.lit(1).cast("long")))
+    no = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))
     mark = F.sha1(F.concat(F.coalesce(F.concat(F.lit("u"), "url"), F.lit("")), F.lit("\x00"), F.sha2("payload", 256)))
     marked = equal.select("page_id", "url", "payload", mark.alias("mark"), no.alias("no")).withColumn("part", F.concat_ws("-", "mark", F.col("no").cast("string")))
     return pages.join(ids, same, "left_anti").withColumn("part", F.lit(None).cast("string")).unionByName(marked.drop("mark", "no"))
@@ -74,13 +79,14 @@ def _record(kind: Column, record_id: Column, uri: Column, date: Column, content_
     return F.concat(F.lit("WARC/1.1" + CRLF), *lines, F.lit(CRLF), block)
 
 
-def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", min_bytes: int = 0, file_bytes: int = FILE_BYTES, repeats: bool = True) -> None:
+def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> None:
     """Write a request, a response or revisit, and a metadata record for each page, as gzip files of about ``file_bytes`` of payload.
 
     ``pages`` has page_id, url and html; other columns are ignored. Null html is an empty payload; a null url leaves out
-    the target; of equal rows one is written unless ``repeats``. Every record ends with two line ends, which are the text writer's line separator. No rows write no record.
+    the target; repeated rows are written each. Pages are written by classes of size, so that a run of long ones makes no huge file.
+    Every record ends with two line ends, which are the text writer's line separator. No rows write no record.
     """
-    rows = classify(numbered(pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")), repeats), min_bytes)
+    rows = classify(numbered(pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))), min_bytes)
     ident, part, day = F.col("page_id"), F.col("part"), F.lit(date)
     capture = record_uri("capture", ident, part)
     path_of = F.coalesce(F.nullif(F.regexp_extract("url", r"(?s)://[^/?#]*(/[^#]*)", 1), F.lit("")), F.lit("/"))
@@ -90,57 +96,86 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
     profile = F.when(F.col("refers_to").isNotNull(), F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
     response = _record(F.col("record_type"), capture, F.col("url"), day, "application/http; msgtype=response", body, [("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")), ("WARC-Refers-To", refers), ("WARC-Profile", profile)])
     metadata = _record(F.lit("metadata"), record_uri("metadata", ident, part), F.col("url"), day, "application/warc-fields", F.concat(F.lit("page-id: "), F.coalesce(ident.cast("string"), F.lit("")), F.lit(f"{CRLF}payload-bytes: "), F.col("payload_bytes").cast("string"), F.lit(CRLF)), [("WARC-Concurrent-To", capture)])
-    records = rows.select(F.explode(F.array(request, response, metadata)).alias("value"))
-    size = pages.agg(F.sum(F.octet_length(F.coalesce("html", F.lit("")))).alias("n")).first()["n"] or 0
-    files = max(1, size // file_bytes)
-    # files are cut by rows within the scan's own partitions, so nothing is dealt out anew
-    per_file = max(1, 3 * pages.count() // files)
-    records.write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    records = F.explode(F.array(request, response, metadata)).alias("value")
+    level = lambda size: F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / F.log(F.lit(float(SPREAD)))).cast("int")
+    size = F.octet_length(F.coalesce("html", F.lit("")))
+    found = pages.groupBy(level(size).alias("level")).agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("n")).collect()  # one row for each power of SPREAD
+    for k in sorted(found, key=lambda k: k["level"]) or [{"level": 0, "bytes": 0, "n": 0}]:
+        # files are cut by rows within the scan's own partitions, so nothing is dealt out anew
+        mean = max(k["bytes"] / max(1, k["n"]), SPREAD ** k["level"])
+        per_file = 3 * max(1, int(file_bytes // mean))
+        rows.where(level(F.col("payload_bytes")) == k["level"]).select(records).write.mode("append").option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 def parse_records(content: bytes, with_payload: bool) -> Iterator[tuple]:
-    """Records of one archive, by Content-Length; what a response carries after its HTTP head is the payload."""
-    at = 0
-    while at < len(content):
-        end = content.index(b"\r\n\r\n", at)
-        head = {k.lower(): v for k, _, v in (line.partition(": ") for line in content[at:end].decode("utf-8").split(CRLF)[1:])}
-        block = content[end + 4 : end + 4 + int(head["content-length"])]
-        at = end + 4 + len(block) + 4
-        kind, payload, fields = head["warc-type"], None, None
-        if kind in ("response", "revisit"):
-            payload = block[block.index(b"\r\n\r\n") + 4 :]
-        elif kind == "metadata":
-            fields = block.decode("utf-8")
-        digest = head.get("warc-payload-digest", "").removeprefix("sha1:") or None
-        if kind == "response" and digest != _base32(payload):
-            raise ValueError(f"{head['warc-record-id']}: its payload does not match its digest")
-        yield head["warc-record-id"], kind, head.get("warc-concurrent-to"), head.get("warc-refers-to"), head.get("warc-target-uri"), digest, len(payload) if kind == "response" else None, fields, payload if with_payload else None
-
-
-def _base32(payload: bytes) -> str:
-    import base64
-
-    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    """Records of one archive, plain or in one or more gzip members, by Content-Length; what a response carries after its HTTP head is the payload.
 
+    A record that cannot be used has its reason in ``error``; after one whose end is unknown nothing of the archive is read.
+    """
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content))) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+    lost = lambda reason, head={}: (head.get("warc-record-id"), head.get("warc-type"), *[None] * 7, reason)
+    try:
+        while True:
+            line = stream.readline()
+            while line in (b"\r\n", b"\n"):
+                line = stream.readline()
+            if not line:
+                return
+            if not line.startswith(b"WARC/"):
+                yield lost("no record where one should begin")
+                return
+            head = {}
+            while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
+                k, _, v = line.decode("utf-8", "replace").rstrip("\r\n").partition(":")
+                head[k.strip().lower()] = v.strip()
+            if not head.get("content-length", "").isdigit():
+                yield lost("no length", head)
+                return
+            block = stream.read(int(head["content-length"]))
+            if len(block) < int(head["content-length"]):
+                yield lost("cut short", head)
+                return
+            yield _fields(head, block, with_payload)
+    except (OSError, EOFError, zlib.error) as e:
+        yield lost(f"unreadable archive: {type(e).__name__}")
+
+
+def _fields(head: dict[str, str], block: bytes, with_payload: bool) -> tuple:
+    kind, payload, fields, error = head.get("warc-type"), None, None, None
+    if kind in ("response", "revisit"):
+        _, gap, payload = block.partition(b"\r\n\r\n")
+        error = None if gap or kind == "revisit" else "no end of the HTTP head"
+    elif kind == "metadata":
+        fields = block.decode("utf-8", "replace")
+    digest = head.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    if kind == "response" and digest and digest != base64.b32encode(hashlib.sha1(payload).digest()).decode():
+        error = "the payload does not match its digest"
+    if not kind or not head.get("warc-record-id"):
+        error = "no type or record id"
+    return head.get("warc-record-id"), kind, head.get("warc-concurrent-to"), head.get("warc-refers-to"), head.get("warc-target-uri"), digest, len(payload) if kind == "response" else None, fields, payload if with_payload else None, error
 
-def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """One row per record of the gzip archives in ``path``, in the columns of ``RECORDS``."""
-    import zlib
 
+def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
+    """One row per record of the archives in ``path``, in the columns of ``RECORDS``; a broken record is a row with an ``error``."""
     names = [re.match(r"\s*(\w+)", c)[1] for c in RECORDS.split(",")]
-    schema = pa.schema(list(zip(names, [pa.string()] * 6 + [pa.int64(), pa.string(), pa.binary()], strict=True)))
+    kinds = {"payload_bytes": pa.int64(), "payload": pa.binary()}
+    schema = pa.schema([(n, kinds.get(n, pa.string())) for n in names])
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows: list[tuple] = []
-                for row in parse_records(zlib.decompress(content.as_buffer(), 31), with_payload):
+                rows, held = [], 0
+                for row in parse_records(content.as_py(), with_payload):
                     rows.append(row)
-                    if len(rows) == 2000:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-                        rows = []
+                    held += len(row[8] or b"")
+                    if len(rows) == 2000 or held > FILE_BYTES:
+                        yield batch_of(rows)
+                        rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+                    yield batch_of(rows)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, RECORDS)
 
@@ -149,9 +184,10 @@ def assemble_transactions(records: DataFrame) -> DataFrame:
     """One nested row per capture: record_id and the structs capture (response or revisit), request and metadata.
 
     Requests and metadata join their capture by its record id in WARC-Concurrent-To; where one is missing, its struct is
-    null, and where a capture has several, the one with the least record id is taken. Records that belong to no capture
-    are left out.
+    null, and where a capture has several, the one with the least record id is taken. Records that belong to no capture,
+    or have an ``error``, are left out.
     """
+    records = records.where("error is null") if "error" in records.columns else records
     is_capture = F.col("record_type").isin("response", "revisit")
     key = F.when(is_capture, F.col("record_id")).otherwise(F.col("concurrent_to"))
     whole = F.struct(*(c for c in records.columns))
@@ -159,11 +195,8 @@ def assemble_transactions(records: DataFrame) -> DataFrame:
     return records.where(key.isNotNull()).groupBy(key.alias("capture_id")).agg(part(is_capture).alias("capture"), part("request").alias("request"), part("metadata").alias("metadata")).where("capture is not null").withColumnRenamed("capture_id", "record_id")
 
 
-def round_trip(pages: DataFrame, min_bytes: int = 0, repeats: bool = False) -> DataFrame:
-    """Write ``pages`` to archives in the shared folder, read them back and assemble the transactions, payloads included.
-
-    Each row gives a transaction; of rows equal in page_id, url and html one does, unless ``repeats``.
-    """
+def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """Write ``pages`` to archives in the shared folder, read them back and assemble the transactions, payloads included: one for each row."""
     path = new_path(pages.sparkSession, "warc")
-    write_warc(pages, path, min_bytes=min_bytes, repeats=repeats)
+    write_warc(pages, path, min_bytes=min_bytes)
     return assemble_transactions(read_warc(pages.sparkSession, path))
