@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import materialize
+from corpuskiln.llm.common import keep_rows, materialize, row_id
 
 #: Digests that the frequent-items sketch may report, and so the most rows that are ever broadcast.
 HEAVY_ITEMS = 256
@@ -22,7 +22,7 @@ def duplicate_groups(docs: DataFrame, heavy_items: int = HEAVY_ITEMS, sketch_ite
     """Columns doc_id, digest (hex SHA-256), keep_id and group_size, one row per row of ``docs`` (doc_id, text).
 
     ``keep_id`` is the largest doc_id among equal texts (null only if all of them are null); group_size counts rows, repeated
-    ones too. A frequent-items sketch (a Misra-Gries summary, ``approx_top_k``) proposes digests; their exact counts and winners,
+    ones too, each of which is the row that stays if it has keep_id. A frequent-items sketch (a Misra-Gries summary, ``approx_top_k``) proposes digests; their exact counts and winners,
     at most ``heavy_items`` rows, are broadcast, so that the rows of large groups are not moved. All other digests are
     shuffled, where no group has more than a small share of the rows. Empty and very long texts are texts as any other.
     """
@@ -39,10 +39,12 @@ def duplicate_groups(docs: DataFrame, heavy_items: int = HEAVY_ITEMS, sketch_ite
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text no row with a larger doc_id repeats, with all columns; of repeated rows, and of rows without doc_id, one stays."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    lost = duplicate_groups(docs).where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(key.alias("__id"), F.col("digest").alias("__digest")).distinct()
-    marked = docs.withColumns({"__id": key, "__digest": F.sha2(normalised(F.col("text")), 256)})
-    left = marked.join(lost, ["__id", "__digest"], "left_anti")
-    first = F.row_number().over(Window.partitionBy("__id", "__digest").orderBy("__id"))
-    return left.withColumn("__no", first).where("__no = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The rows of ``docs`` whose text no row with a larger doc_id repeats, with all columns, which may have any names.
+
+    Of rows equal in doc_id and text one stays; rows without doc_id go if their text has one, and are equal if their texts are. Only
+    rows that go, or that are repeated, are moved.
+    """
+    same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    marks = duplicate_groups(docs).select(row_id().alias("id"), F.unhex("digest").alias("digest"), same.alias("keep"), "group_size").where("group_size > 1")
+    marks = marks.groupBy("id", "digest").agg(F.first("keep").alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1 or not keep")
+    return keep_rows(docs, materialize(marks.select("id", "digest", "keep"), "marks"))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import materialize, word_count
+from corpuskiln.llm.common import lookup_by_hot_key, materialize, row_id, word_count
 
 #: Words that the exact fit may use at most, whatever the size of the source.
 DP_WORDS = 1 << 16
@@ -128,7 +128,14 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_rep
     a hash of doc_id and ``seed``, so reruns agree. Documents without words take part in whole repeats only. Equal
     doc_ids are documents of their own; null sources are one source, last in order; no rows give no rows.
     """
-    rows = materialize(docs.select("doc_id", "source", (word_count(F.col("text")) if size is None else size.cast("long")).alias("size")), "sizes")
+    rows = docs.select("doc_id", "source", (word_count(F.col("text")) if size is None else size.cast("long")).alias("size"))
+    return _mixed(rows, weights, max_repeats, seed).select("doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+def _mixed(rows: DataFrame, weights: tuple[float, ...], max_repeats: int, seed: int) -> DataFrame:
+    """``rows`` (doc_id, source, size and others) with source_size, target, copies and taken."""
+    carried = [c for c in rows.columns if c not in ("doc_id", "source", "size")]
+    rows = materialize(rows, "sizes")
     total = rows.count()
     lengths = rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     targets = source_targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, max_repeats)
@@ -138,7 +145,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_rep
     plan = joined.groupBy("source").applyInPandas(_plans(max_repeats), "source string, size long, n long, epochs int, extra long")
     plan = materialize(plan, "plan").withColumn("key", F.concat_ws("\x00", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")), "size"))
     keyed = rows.withColumn("key", F.concat_ws("\x00", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")), "size"))
-    found = _with_plan(keyed, plan.select("key", "n", "epochs", "extra"), total)
+    found = lookup_by_hot_key(keyed, plan.select("key", "n", "epochs", "extra"), "key", total)
     # a uniform hash cuts each group of one source and size into slices of about RANKED_TOGETHER; whole slices are taken by their counts
     h = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40))
     sliced = found.withColumn("h", h).withColumn("slice", F.floor(F.col("h") * F.ceil(F.col("n") / RANKED_TOGETHER) / F.lit(1 << 40)))
@@ -148,23 +155,26 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_rep
     rank = F.row_number().over(Window.partitionBy("key", "slice").orderBy("h", "doc_id"))
     placed = sliced.join(before, ["key", "slice"]).withColumn("no", rank + F.col("before"))
     copies = (F.col("epochs") + (F.col("no") <= F.col("extra")).cast("int")).cast("long")
-    out = placed.select("doc_id", "source", "size", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    out = placed.select("doc_id", "source", "size", *carried, copies.alias("copies"), (copies * F.col("size")).alias("taken"))
     by = targets.select(key("source").alias("k"), F.col("source").alias("s"), "source_size", "target")
-    return out.withColumn("k", key("source")).join(by, "k").where(F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "source_size", "target", "copies", "taken")
-
+    return out.withColumn("k", key("source")).join(by, "k").where(F.col("source").eqNullSafe(F.col("s")))
 
-def _with_plan(rows: DataFrame, plan: DataFrame, total: int) -> DataFrame:
-    from corpuskiln.llm.common import lookup_by_hot_key
 
-    return lookup_by_hot_key(rows, plan, "key", total)
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: int = 3, seed: int = 7) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with all columns, which may have any names.
 
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it; rows of equal doc_id, source and size share their copies in order."""
-    kept = mix_sources(docs, **options).where("copies > 0")
-    same = lambda order: F.row_number().over(Window.partitionBy("__id", "__size").orderBy(*order))
-    picks = kept.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.col("size").alias("__size"), "copies").withColumn("__no", same([F.desc("copies")]))
-    rows = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__size": word_count(F.col("text"))})
-    rows = rows.withColumn("__no", same([F.col("source").asc_nulls_last()]))
-    joined = rows.join(picks, ["__id", "__size", "__no"])
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    Rows equal in doc_id, source and text share their copies in order. Texts are moved once, to the copies of their key.
+    """
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    kept = _mixed(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), digest.alias("digest")), weights, max_repeats, seed).where("copies > 0")
+    key = ["id", "origin", "digest"]
+    origin = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-")).alias("origin")
+    copies = F.collect_list(F.struct("copies", "rows"))  # a few numbers of copies for each key
+    picks = kept.groupBy(row_id().alias("id"), origin, "digest", "copies").agg(F.count(F.lit(1)).alias("rows")).groupBy(*key).agg(F.sort_array(copies, asc=False).alias("shares"))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), row_id().alias("id"), origin, digest.alias("digest"))
+    joined = packed.join(picks, key).withColumn("no", F.row_number().over(Window.partitionBy(*key).orderBy("id")))
+    start = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("copies"))
+    share = lambda a, x: F.when(F.col("no") <= a["upto"], a).otherwise(F.struct((a["upto"] + x["rows"]).alias("upto"), x["copies"].alias("copies")))
+    mine = F.aggregate("shares", start, share)
+    mine = F.when(F.col("no") <= mine["upto"], mine["copies"]).otherwise(0)
+    return joined.where(mine > 0).select("row", F.explode(F.sequence(F.lit(1), mine.cast("int"))).alias("copy")).select("row.*")

@@ -236,8 +236,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, lexicon_te
     """
     ids = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = min(1.0, fit_rows / max(1, ids.count()))
-    ids = ids.where(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).withColumnRenamed("toxic", "__toxic")
-    chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id").select("text", (F.col("__toxic") > 0).cast("int").alias("toxic"))
+    ids = ids.where(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id").select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
     spoken = chosen.withColumn("w", F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
     pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
     alike = F.coalesce(F.array_min(pairs), F.xxhash64("text"))  # the least hash of word pairs: equal for most near copies

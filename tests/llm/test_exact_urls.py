@@ -28,6 +28,14 @@ def test_exact_edge_cases(spark):
     assert duplicate_groups(df.limit(0)).count() == 0
 
 
+def test_exact_dedup_takes_columns_of_any_name(spark):
+    rows = [(1, "x", "go"), (2, "x", "keepme"), (2, "x", "keepme"), (None, "x", "go"), (None, "q", "keepme"), (2, "y", "keepme")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __id string").withColumns({c: F.lit(0) for c in ("__digest", "__no", "row", "id", "keep", "hit", "word", "mask")})
+    kept = exact_dedup(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] or -1, r["text"], r["__id"]) for r in kept.collect()) == [(-1, "q", "keepme"), (2, "x", "keepme"), (2, "y", "keepme")]
+
+
 def judged(spark, rows, **options):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     return {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judge_urls(df, URL_RULES, **options).collect()}

@@ -109,3 +109,14 @@ def test_mix_takes_the_nearest_sum(spark):
     rows = [(i, " ".join(["w"] * 10), "a") for i in range(3)] + [(9, " ".join(["w"] * 40), "b")]
     out = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(27, 43)).collect()
     assert sum(r["taken"] for r in out if r["doc_id"] < 9) == 30 and [r["taken"] for r in out if r["doc_id"] == 9] == [40]
+
+
+def test_columns_of_any_name_and_repeated_rows(spark):
+    rows = [(1, "a b c", "s", 1), (1, "a b c", "s", 2), (1, "a b d", "s", 3), (2, "e f g h", "t", 4), (None, "x y", None, 5), (3, None, "s", 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __id int").withColumns({c: F.lit(0) for c in ("__size", "__no", "__copy", "row", "no", "copy", "copies", "shares", "id", "digest")})
+    out = mixed_documents(df)
+    assert out.columns == df.columns
+    want = sorted((r["doc_id"] or -1, r["size"]) for r in mix_sources(df).collect() for _ in range(r["copies"]))
+    got = out.collect()
+    assert sorted((r["doc_id"] or -1, len((r["text"] or "").split())) for r in got) == want
+    assert {r["__id"] for r in got} <= {1, 2, 3, 4, 5, 6}
