@@ -11,9 +11,10 @@ from corpuskiln.llm.common import materialize, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model, fitted on this input's labelled rows, scores below the threshold."""
+    """Documents that the model, fitted on this input's labelled rows, scores below the threshold; columns may have any names."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("toxicity.score") < toxicity.THRESHOLD).drop("toxicity")
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+    return toxicity.score(packed, model).where(F.col("toxicity.score") < toxicity.THRESHOLD).select("row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
