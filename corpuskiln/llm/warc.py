@@ -97,10 +97,10 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
     response = _record(F.col("record_type"), capture, F.col("url"), day, "application/http; msgtype=response", body, [("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")), ("WARC-Refers-To", refers), ("WARC-Profile", profile)])
     metadata = _record(F.lit("metadata"), record_uri("metadata", ident, part), F.col("url"), day, "application/warc-fields", F.concat(F.lit("page-id: "), F.coalesce(ident.cast("string"), F.lit("")), F.lit(f"{CRLF}payload-bytes: "), F.col("payload_bytes").cast("string"), F.lit(CRLF)), [("WARC-Concurrent-To", capture)])
     records = F.explode(F.array(request, response, metadata)).alias("value")
-    level = lambda size: F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / F.log(F.lit(float(SPREAD)))).cast("int")
+    level = lambda size: F.greatest(F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / F.log(F.lit(float(SPREAD)))), F.lit(3)).cast("int")  # noqa: E731  up to 64 KB all are one class
     size = F.octet_length(F.coalesce("html", F.lit("")))
     found = pages.groupBy(level(size).alias("level")).agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("n")).collect()  # one row for each power of SPREAD
-    for k in sorted(found, key=lambda k: k["level"]) or [{"level": 0, "bytes": 0, "n": 0}]:
+    for k in sorted(found, key=lambda k: k["level"]) or [{"level": 3, "bytes": 0, "n": 0}]:
         # files are cut by rows within the scan's own partitions, so nothing is dealt out anew
         mean = max(k["bytes"] / max(1, k["n"]), SPREAD ** k["level"])
         per_file = 3 * max(1, int(file_bytes // mean))
