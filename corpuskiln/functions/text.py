@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-GENERIC_TOKENS = (
-    "begin end table tabular array figure caption includegraphics text style border width height "
-    "align center left right word wrap break html frac sqrt cdots ldots dots qquad quad hfill"
-).split()
+GENERIC_TOKENS = [
+    "begin", "end", "table", "tabular", "array", "figure", "caption", "includegraphics", "text", "style", "border", "width", "height", "align",
+    "center", "left", "right", "word", "wrap", "break", "html", "frac", "sqrt", "cdots", "ldots", "dots", "qquad", "quad", "hfill",
+]
 TEX_ESCAPES = {"\\": "\\textbackslash{}", "&": "\\&", "%": "\\%", "#": "\\#", "_": "\\_", "{": "\\{", "}": "\\}"}
 CONTENT_TOKEN = r"[\x{3400}-\x{9fff}]{2,}|[A-Za-z0-9][A-Za-z0-9_]{3,}"
 ARXIV_ID = r"((?:\d{4}\.\d{4,5}|[a-z-]+(?:\.[A-Z]{2})?/\d{7})(?:v\d+)?)"

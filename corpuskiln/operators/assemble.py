@@ -35,6 +35,19 @@ def chapter_inputs(parts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def document_report(inputs: DataFrame, converted: DataFrame, reviewed: DataFrame, keys: list[str]) -> DataFrame:
+    """The report of each assembled document: chunks, chapters, chapter_ranges, reviewed_chunks and completeness.
+
+    ``inputs`` is what ``chapter_inputs`` gives, ``converted`` has the keys, part, chunk_id, accepted and overall_coverage, ``reviewed``
+    the keys, part and error. Only facts of chunks are gathered, no texts.
+    """
+    facts = F.struct("part", "chunk_id", F.col("accepted").alias("passed"), F.round("overall_coverage", 3).alias("overall_coverage"))
+    made = converted.groupBy(*keys).agg(F.count(F.lit(1)).alias("chunks"), F.sort_array(F.collect_list(facts)).alias("completeness"))
+    seen = reviewed.where("error is null").groupBy(*keys).agg(F.count(F.lit(1)).alias("reviewed_chunks"))
+    rows = inputs.select(*keys, F.size("chapters").cast("long").alias("chapters"), F.col("chapters").alias("chapter_ranges")).join(made, keys, "left").join(seen, keys, "left")
+    return rows.select(*keys, F.coalesce("chunks", F.lit(0)).alias("chunks"), "chapters", "chapter_ranges", F.coalesce("reviewed_chunks", F.lit(0)).alias("reviewed_chunks"), "completeness")
+
+
 def root_document(inputs: Column, title: Column, author: Column, document_class: str = DOCUMENT_CLASS, preamble: str = PREAMBLE) -> Column:
     """The text of a book's root file (K6)."""
     by = F.when(F.coalesce(author, F.lit("")) != "", F.concat(F.lit("\\author{"), tex_escape(author), F.lit("}\n"))).otherwise("")

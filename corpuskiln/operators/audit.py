@@ -43,6 +43,18 @@ def completeness(covered: DataFrame, keys: list[str]) -> DataFrame:
     return sums.select(*keys, overall.alias("overall_coverage"), "missing_pages", allowed.alias("allowed_missing_pages"), ((overall >= LEAST_OVERALL) & (F.col("missing_pages") <= allowed)).alias("passed"))
 
 
+def completeness_report(covered: DataFrame, keys: list[str]) -> DataFrame:
+    """What is written of each chunk's audit: the verdict, made on exact shares, and shares rounded to three places.
+
+    ``pages`` (page_no, tokens, hits, coverage) and ``missing_pages`` are in page order; a chunk's pages are few by its plan.
+    """
+    page = F.struct("page_no", "tokens", "hits", F.round("coverage", 3).alias("coverage"), "missing")
+    packed = covered.groupBy(*keys).agg(F.sort_array(F.collect_list(page)).alias("p"))
+    listed = packed.select(*keys, F.transform(F.filter("p", lambda x: x["missing"]), lambda x: x["page_no"]).alias("missing_pages"), F.transform("p", lambda x: x.dropFields("missing")).alias("pages"))
+    sums = completeness(covered, keys).select(*keys, "passed", F.round("overall_coverage", 3).alias("overall_coverage"), "allowed_missing_pages")
+    return sums.join(listed, keys)
+
+
 def artifact_error(tex: Column, in_chapter: Column) -> Column:
     """First rule that a converted fragment breaks, null if none."""
     per_line = F.transform(lines(tex), lambda x: F.struct(F.length(x).alias("n"), F.regexp_count(x, F.lit(WRAPPER)).alias("k")))

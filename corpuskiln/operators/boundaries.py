@@ -106,10 +106,12 @@ def changed_manifests(new: DataFrame, old: DataFrame, book: str = "book") -> Dat
     return new.exceptAll(old.select(*new.columns))
 
 
-def chapter_errors(chapters: DataFrame, manifest: DataFrame, pages: DataFrame, book: str = "book") -> DataFrame:
+def chapter_errors(chapters: DataFrame, manifest: DataFrame, pages: DataFrame, book: str = "book", ends: DataFrame | None = None) -> DataFrame:
     """Broken rules of chapter manifests: book, number, error, one row per violation.
 
-    ``chapters`` has book, number, title, ocr_start_page, ocr_end_page and sections (array of title and ocr_start_page).
+    ``chapters`` has book, number, title, ocr_start_page, ocr_end_page and sections (array of title and ocr_start_page). ``ends`` has what
+    each outline says of the body's end: book and ocr_start_page, null where it names no page; of these books the end is checked
+    too, with a null number. Types are those of the schema: what is no integer is null when it is read.
     """
     from pyspark.sql import Window
 
@@ -134,4 +136,16 @@ def chapter_errors(chapters: DataFrame, manifest: DataFrame, pages: DataFrame, b
         (F.col("is_last") & (F.col("ocr_end_page") != F.col("end_page_excluded") - 1), "the last chapter does not reach the end"),
     ]
     found = F.array_compact(F.array(*(F.when(F.coalesce(cond, F.lit(False)), F.lit(text)) for cond, text in rules)))
-    return rows.select(book, "number", F.explode(found).alias("error"))
+    broken = rows.select(book, "number", F.explode(found).alias("error"))
+    if ends is None:
+        return broken
+    outlined = chapters.select(book).distinct().withColumn("outlined", F.lit(True))
+    marked = manifest.where("error is null").select(book, "end_page_excluded").join(outlined, book, "left")
+    marked = marked.join(ends.select(book, F.col("ocr_start_page").alias("named"), F.lit(True).alias("ended")), book, "left")
+    rules = [
+        (F.col("outlined").isNull(), "no chapters"),
+        (F.col("outlined") & F.col("ended").isNull(), "the end of the body is missing"),
+        (F.col("named") != F.col("end_page_excluded"), "the end of the body differs from the page boundary"),
+    ]
+    found = F.array_compact(F.array(*(F.when(F.coalesce(cond, F.lit(False)), F.lit(text)) for cond, text in rules)))
+    return broken.unionByName(marked.select(book, F.lit(None).cast(broken.schema["number"].dataType).alias("number"), F.explode(found).alias("error")))

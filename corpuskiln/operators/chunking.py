@@ -17,24 +17,28 @@ def blocks(text: Column) -> Column:
 
 
 def pack_blocks(text: Column, max_chars: int = CHUNK_CHARS) -> Column:
-    """Chunks of whole blocks, filled in order up to ``max_chars``; a longer block is a chunk, an empty text one empty chunk."""
+    """Chunks of whole blocks, each with its start, filled in order up to ``max_chars``; a longer block is a chunk, an empty text one empty chunk."""
     if max_chars < LEAST_CHUNK:
         raise ValueError(f"chunks of fewer than {LEAST_CHUNK} characters")
+    chunk = lambda acc: F.struct(acc["at"].alias("start"), acc["now"].alias("chunk"))
 
     def step(acc: Column, b: Column) -> Column:
         full = (F.length(acc["now"]) > 0) & (F.length(acc["now"]) + F.length(b) > max_chars)
-        return F.struct(F.when(full, F.array_append(acc["out"], acc["now"])).otherwise(acc["out"]).alias("out"), F.when(full, b).otherwise(F.concat(acc["now"], b)).alias("now"))
-
-    start = F.struct(F.expr("cast(array() as array<string>)").alias("out"), F.lit("").alias("now"))
-    done = lambda acc: F.when((F.length(acc["now"]) > 0) | (F.size(acc["out"]) == 0), F.array_append(acc["out"], acc["now"])).otherwise(acc["out"])
+        return F.struct(
+            F.when(full, F.array_append(acc["out"], chunk(acc))).otherwise(acc["out"]).alias("out"),
+            F.when(full, acc["at"] + F.length(acc["now"])).otherwise(acc["at"]).alias("at"),
+            F.when(full, b).otherwise(F.concat(acc["now"], b)).alias("now"),
+        )
+
+    start = F.struct(F.expr("cast(array() as array<struct<start:int,chunk:string>>)").alias("out"), F.lit(0).alias("at"), F.lit("").alias("now"))
+    done = lambda acc: F.when((F.length(acc["now"]) > 0) | (F.size(acc["out"]) == 0), F.array_append(acc["out"], chunk(acc))).otherwise(acc["out"])
     return F.aggregate(blocks(text), start, step, done)
 
 
 def chunk_rows(docs: DataFrame, text: str = "text", max_chars: int = CHUNK_CHARS) -> DataFrame:
-    """One row per chunk: doc_id, chunk_no, chunk, chunk_start and chunk_end."""
-    rows = docs.select("doc_id", F.posexplode(pack_blocks(F.coalesce(F.col(text), F.lit("")), max_chars)).alias("chunk_no", "chunk"))
-    upto = F.sum(F.length("chunk")).over(Window.partitionBy("doc_id").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return rows.withColumn("chunk_end", upto.cast("int")).withColumn("chunk_start", F.col("chunk_end") - F.length("chunk"))
+    """One row per chunk: doc_id, chunk_no, chunk, chunk_start and chunk_end (E7); no text is moved."""
+    rows = docs.select("doc_id", F.posexplode(pack_blocks(F.coalesce(F.col(text), F.lit("")), max_chars)).alias("chunk_no", "c"))
+    return rows.select("doc_id", "chunk_no", "c.chunk", F.col("c.start").alias("chunk_start"), (F.col("c.start") + F.length("c.chunk")).alias("chunk_end"))
 
 
 def overlapping(chunks: DataFrame, matches: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -48,29 +52,25 @@ def pages_of_ranges(ranges: DataFrame, pages: DataFrame, keys: list[str]) -> Dat
     return numbers.join(pages, [*keys, "page_no"])
 
 
-def part_numbers(chars: Column, max_chars: int) -> Column:
-    """Part number of each page from the array of page lengths.
+def plan_parts(pages: DataFrame, keys: list[str], max_chars: int = PAGE_CHUNK_CHARS) -> DataFrame:
+    """``pages`` (keys, page_no, chars) with the part of its chapter that each page is in (W3). Only lengths are moved.
 
     A chapter of n characters is planned as ceil(n / max) parts; the cut to part k falls behind the first page where
-    at least k of these shares are reached, one cut behind a page at most and none behind the last.
+    at least k of these shares are reached, one cut behind a page at most and none behind the last. With q(j) the shares reached behind
+    page j, the part of page i is the least of i and all q(j) + i - 1 - j for j < i: a running sum and a running least.
     """
-    total = F.aggregate(chars, F.lit(0).cast("long"), lambda a, x: a + x)
-    planned = F.greatest(F.lit(1).cast("long"), F.ceil(total / F.lit(max_chars)).cast("long"))
-
-    def step(acc: Column, x: Column) -> Column:
-        reached = acc["sum"] + x
-        cut = (reached * planned >= total * (acc["part"] + 1)) & (acc["part"] + 1 < planned)
-        return F.struct(reached.alias("sum"), F.when(cut, acc["part"] + 1).otherwise(acc["part"]).alias("part"), F.array_append(acc["out"], acc["part"]).alias("out"))
-
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("part"), F.expr("cast(array() as array<bigint>)").alias("out"))
-    return F.aggregate(F.transform(chars, lambda x: x.cast("long")), start, step, lambda acc: acc["out"])
-
-
-def plan_parts(pages: DataFrame, keys: list[str], max_chars: int = PAGE_CHUNK_CHARS) -> DataFrame:
-    """``pages`` (keys, page_no, chars) with the part of its chapter that each page is in (W3). Only lengths are gathered."""
-    packed = pages.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("page_no", F.col("chars").cast("long").alias("chars")))).alias("p"))
-    numbered = packed.select(*keys, F.explode(F.arrays_zip(F.col("p.page_no").alias("page_no"), F.col("p.chars").alias("chars"), part_numbers(F.col("p.chars"), max_chars).alias("part"))).alias("x"))
-    return numbered.select(*keys, "x.page_no", "x.chars", F.col("x.part").alias("part"))
+    book = Window.partitionBy(*keys)
+    order = book.orderBy("page_no")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = pages.select(*keys, "page_no", F.col("chars").cast("long").alias("chars"))
+    rows = rows.withColumns({"i": F.row_number().over(order) - 1, "reached": F.sum("chars").over(upto), "total": F.sum("chars").over(book)})
+    planned = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") / F.lit(max_chars)).cast("long"))
+    rows = rows.withColumn("planned", planned)
+    shares = F.when(F.col("total") > 0, F.expr("(cast(reached as decimal(38,0)) * cast(planned as decimal(19,0))) div cast(total as decimal(38,0))")).otherwise(0).cast("long")
+    rows = rows.withColumn("slack", F.least(shares, planned - 1) - F.col("i"))
+    least = F.min("slack").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    part = F.col("i") - 1 + F.least(F.lit(1).cast("long"), F.coalesce(least, F.lit(1).cast("long")))
+    return rows.select(*keys, "page_no", "chars", part.cast("long").alias("part"))
 
 
 def part_ranges(planned: DataFrame, keys: list[str]) -> DataFrame:

@@ -41,10 +41,9 @@ def rank_terms(matches: DataFrame, min_occurrences: int = 1, max_terms: int = MA
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # max_terms rows
 
 
-def report_totals(docs: DataFrame, terms: DataFrame, matches: DataFrame, max_terms: int = MAX_TERMS, min_occurrences: int = 1) -> DataFrame:
-    """One row of counters: files, protected segments, active terms, unique, reported and omitted terms (A4)."""
-    masked = mask(docs.select("doc_id", "text"))
-    files = masked.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(F.when(F.col("mask.error").isNull(), F.size("mask.tokens"))), F.lit(0)).alias("protected_segments"))
+def report_totals(masked: DataFrame, terms: DataFrame, matches: DataFrame, max_terms: int = MAX_TERMS, min_occurrences: int = 1) -> DataFrame:
+    """One row of counters: files, protected segments, active terms, unique, reported and omitted terms (A4); ``masked`` has tokens and error."""
+    files = masked.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(F.when(F.col("error").isNull(), F.size("tokens"))), F.lit(0)).alias("protected_segments"))
     counts = matches.groupBy("source", "target").count()
     kept = F.count(F.when(F.col("count") >= min_occurrences, 1))
     unique = counts.agg(F.count(F.lit(1)).alias("matched_unique_terms"), F.least(kept, F.lit(max_terms)).alias("reported_terms"), F.greatest(kept - max_terms, F.lit(0)).alias("omitted_terms"))

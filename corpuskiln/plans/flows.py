@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.operators import audit, backend, boundaries, chunking, lifecycle
+from corpuskiln.sources import sinks
 
 FRAGMENT = "tex string, report struct<chunk_id:string,source_pages:array<int>,structure_notes:array<string>,image_notes:array<string>>"
 OUTLINE = "chapters array<struct<number:int,title:string,printed_start_page:int,ocr_start_page:int,ocr_end_page:int,sections:array<struct<title:string,printed_start_page:int,ocr_start_page:int>>>>"
@@ -54,33 +55,74 @@ def chunk_requests(pages: DataFrame, planned: DataFrame, keys: list[str], instru
     return shaped.withColumn("prompt", prompt).withColumn("tokens", F.expr("cast(array() as array<string>)"))
 
 
-def convert(pages: DataFrame, planned: DataFrame, keys: list[str], done: DataFrame | None = None, generator: backend.Backend = echo_fragment) -> DataFrame:
-    """Fragments of the parts that are not in ``done``: keys, part, chunk_id, tex, error, overall_coverage, accepted.
+def convert(pages: DataFrame, planned: DataFrame, keys: list[str], done: DataFrame | None = None, generator: backend.Backend = echo_fragment, attempts: DataFrame | None = None) -> DataFrame:
+    """Fragments of the parts that are not in ``done``: keys, part, chunk_id, pages, tex, error, overall_coverage, accepted, recovered.
 
-    Accepted is what has the declared shape, breaks no rule, reports its own pages and covers its source.
+    Accepted is what has the declared shape, breaks no rule, reports its own pages and covers its source. ``attempts`` (keys, part, made_at and answer) are
+    answers of runs that were broken off: of a part's, the newest that is accepted is taken instead of asking again (O22).
     """
     requests = chunk_requests(pages, planned, keys, "Convert the pages to a TeX fragment without changing what they say.")
     if done is not None:
         requests = lifecycle.pending(requests, done, [*keys, "part"], F.col("accepted"))
-    answers = backend.generate(requests, generator, shape=fragment_error)
+    if attempts is None:
+        return _judged(backend.generate(requests, generator, shape=fragment_error), pages, planned, keys).drop("made_at").withColumn("recovered", F.lit(False))
+    shape = F.udf(fragment_error, "string")
+    old = requests.drop("prompt").join(attempts.select(*keys, "part", "made_at", "answer"), [*keys, "part"]).withColumn("error", shape("answer")).withColumn("tries", F.lit(0))
+    found = sinks.stored(lifecycle.latest_valid(_judged(old, pages, planned, keys), [*keys, "part"], ["made_at"], F.col("accepted")), "recovered")
+    open_ = lifecycle.pending(requests, found, [*keys, "part"])
+    made = _judged(backend.generate(open_, generator, shape=fragment_error), pages, planned, keys)
+    return made.drop("made_at").withColumn("recovered", F.lit(False)).unionByName(found.drop("made_at").withColumn("recovered", F.lit(True)))
+
+
+def _judged(answers: DataFrame, pages: DataFrame, planned: DataFrame, keys: list[str]) -> DataFrame:
+    """Answers, several for a part if ``made_at`` tells them apart, with their fragment, broken rule and coverage."""
+    answers = answers if "made_at" in answers.columns else answers.withColumn("made_at", F.lit(None).cast("timestamp"))
     made = answers.withColumn("made", F.when(F.col("error").isNull(), F.from_json("answer", FRAGMENT))).withColumn("tex", F.col("made.tex"))
     error = F.coalesce("error", audit.artifact_error(F.col("tex"), F.lit(True)), audit.report_error(F.col("chunk_id"), F.col("pages"), F.col("made.report")))
-    checked = made.select(*keys, "part", "chunk_id", "tex", "tries", error.alias("error"))
-    sources = planned.join(pages.select(*keys, "page_no", "text"), [*keys, "page_no"]).select(*keys, "part", "page_no", "text")
-    covered = audit.completeness(audit.coverage(sources, checked.select(*keys, "part", F.col("tex").alias("text")), [*keys, "part"]), [*keys, "part"])
-    joined = checked.join(covered.select(*keys, "part", "overall_coverage", "passed"), [*keys, "part"], "left")
+    checked = made.select(*keys, "part", "made_at", "chunk_id", "pages", "tex", "tries", error.alias("error"))
+    each = [*keys, "part", "made_at"]
+    sources = checked.select(*each, F.explode("pages").alias("page_no")).join(pages.select(*keys, "page_no", "text"), [*keys, "page_no"]).select(*each, "page_no", "text")
+    at = F.coalesce(F.col("made_at").cast("string"), F.lit("")).alias("made_at")  # a null is a key too
+    named = lambda rows, *more: rows.select(*keys, "part", at, *more)
+    covered = audit.completeness(audit.coverage(named(sources, "page_no", "text"), named(checked, F.col("tex").alias("text")), each), each)
+    covered = covered.select(*keys, "part", F.col("made_at").alias("at"), "overall_coverage", "passed")
+    joined = checked.withColumn("at", at).join(covered, [*keys, "part", "at"], "left").drop("at")
     return joined.withColumn("accepted", F.col("error").isNull() & F.coalesce("passed", F.lit(False))).drop("passed")
 
 
-def review(converted: DataFrame, keys: list[str], generator: backend.Backend = echo_fragment) -> DataFrame:
-    """Accepted fragments sent back for review: keys, part, tex before and after, and an error."""
-    facts = F.to_json(F.struct("chunk_id", F.expr("cast(array() as array<int>)").alias("pages")))
-    prompt = F.concat(F.lit("Review the fragment and correct only what is wrong.\n<CHUNK>\n"), facts, F.lit("\n</CHUNK>\n<SOURCE>\n"), "tex", F.lit("\n</SOURCE>"))
-    requests = converted.where("accepted").select(*keys, "part", "chunk_id", F.col("tex").alias("chunk"), F.expr("cast(array() as array<string>)").alias("tokens"), prompt.alias("prompt"))
+def review(converted: DataFrame, keys: list[str], generator: backend.Backend = echo_fragment, reviewed: DataFrame | None = None, overwrite: bool = False) -> DataFrame:
+    """Accepted fragments sent back for review: keys, part, tex, first_version and an error.
+
+    The answer must name its chunk and its pages, in order, and be neither empty nor a root document. Parts that ``reviewed`` (keys, part, first_version, error) holds without an error are
+    left out unless ``overwrite``; the first version, what the fragment was before any review, is kept once and never replaced.
+    """
+    due = converted.where("accepted").select(*keys, "part", "chunk_id", "pages", F.col("tex").alias("chunk"))
+    due = due if reviewed is None or overwrite else lifecycle.pending(due, reviewed, [*keys, "part"], F.col("error").isNull())
+    facts = F.to_json(F.struct("chunk_id", "pages"))
+    prompt = F.concat(F.lit("Review the fragment and correct only what is wrong.\n<CHUNK>\n"), facts, F.lit("\n</CHUNK>\n<SOURCE>\n"), "chunk", F.lit("\n</SOURCE>"))
+    requests = due.withColumn("tokens", F.expr("cast(array() as array<string>)")).withColumn("prompt", prompt)
     answers = backend.generate(requests, generator, shape=fragment_error).withColumn("made", F.when(F.col("error").isNull(), F.from_json("answer", FRAGMENT)))
-    broken = F.when(F.col("made.report.chunk_id") != F.col("chunk_id"), "chunk_id differs").when(F.trim(F.coalesce("made.tex", F.lit(""))) == "", "empty")
+    report = F.col("made.report")
+    broken = F.when(~report["chunk_id"].eqNullSafe(F.col("chunk_id")), "chunk_id differs").when(~report["source_pages"].eqNullSafe(F.col("pages")), "source_pages differ").when(F.trim(F.coalesce("made.tex", F.lit(""))) == "", "empty")
     root = audit.artifact_error(F.col("made.tex"), F.lit(False))
-    return answers.select(*keys, "part", F.col("chunk").alias("before"), F.col("made.tex").alias("tex"), F.coalesce("error", broken, F.when(root == "root document command", root)).alias("error"))
+    out = answers.select(*keys, "part", "chunk", F.col("made.tex").alias("tex"), F.coalesce("error", broken, F.when(root == "root document command", root)).alias("error"))
+    if reviewed is None:
+        return out.withColumnRenamed("chunk", "first_version")
+    kept = reviewed.select(*keys, "part", "first_version")
+    return out.join(kept, [*keys, "part"], "left").select(*keys, "part", "tex", "error", F.coalesce("first_version", "chunk").alias("first_version"))
+
+
+def translation_warnings(docs: DataFrame, translated: DataFrame, rules: DataFrame) -> DataFrame:
+    """What a person should look at in each translation: doc_id and warnings, structures first, then terms in order.
+
+    ``docs`` and ``translated`` have doc_id and text, ``rules`` doc_id, start, source and target, the first match of each term.
+    """
+    both = docs.select("doc_id", F.col("text").alias("before")).join(translated.select("doc_id", F.col("text").alias("after")), "doc_id").where("after is not null")
+    terms = rules.select("doc_id", "start", "source", "target").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "source", "target"))).alias("terms"))
+    joined = both.join(terms, "doc_id", "left")
+    absent = F.filter(F.coalesce("terms", F.expr("cast(array() as array<struct<start:int,source:string,target:string>>)")), lambda t: ~F.contains(F.col("after"), t["target"]))
+    named = F.transform(absent, lambda t: F.concat(t["source"], F.lit(" -> "), t["target"]))
+    return joined.select("doc_id", F.concat(audit.structural_warnings(F.col("before"), F.col("after")), named).alias("warnings"))
 
 
 def outline(pages: DataFrame, manifest: DataFrame, generator: backend.Backend, stored: DataFrame | None = None, book: str = "book") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from corpuskiln.functions.text import GENERIC_TOKENS
 from corpuskiln.operators.audit import EXEMPT_CHARS
-from corpuskiln.plans.queries import TERMS
+from corpuskiln.plans.queries import FAULTS, HEADS, TERMS
 
 _ACTIVE = [t for t in TERMS if (t[4] or "approved") == "approved"]
 _PHRASES = sorted(((p.lower(), s, t) for s, t, _, a, _, _ in _ACTIVE for p in (s, *a)), key=lambda x: (-len(x[0]), x[0]))
@@ -18,6 +18,23 @@ h as (select doc_id, regexp_extract_all(regexp_replace(coalesce(text, ''), '([^A
 u as (select doc_id, unnest(l) as raw, unnest(range(0, len(l))) as no from h),
 m as (select u.doc_id, u.no, regexp_replace(u.raw, '([^A-Za-z0-9_])[^A-Za-z0-9_]', '\1', 'g') as form, k.source, k.target from u join k on lower(regexp_replace(u.raw, '\s+', ' ', 'g')) = k.phrase)
 """
+#: The same matches in masked texts, under ``doc_id`` and ``text`` of ``masked``.
+_TOKEN = "@@MATH_TRANSLATOR_000000@@"
+_DOLLARS = r"\$[^$\n]+\$"
+#: The rules of masking that the test tables can trigger, in order: comments, display math, dollar math, tags; a rule that takes in a token stops.
+_MASK = rf"""
+x1 as (select *, regexp_extract_all(text, '(?s)<!--.*?-->') as c, regexp_replace(text, '(?s)<!--.*?-->', '{_TOKEN}', 'g') as t1 from texts),
+x2 as (select *, regexp_extract_all(t1, '(?s)\$\$.*?\$\$') as d, regexp_replace(t1, '(?s)\$\$.*?\$\$', '{_TOKEN}', 'g') as t2 from x1),
+x3 as (select *, regexp_extract_all(t2, '(?:^|[^\\$]){_DOLLARS}') as g, regexp_replace(t2, '(^|[^\\$]){_DOLLARS}', '\1{_TOKEN}', 'g') as t3 from x2),
+x4 as (select *, regexp_extract_all(t3, '</?[A-Za-z][^>]*>') as h, regexp_replace(t3, '</?[A-Za-z][^>]*>', '{_TOKEN}', 'g') as t4 from x3),
+x5 as (select *, case when contains(array_to_string(d, ''), '{_TOKEN}') then 'nested: dollar display' when contains(array_to_string(g, ''), '{_TOKEN}') then 'nested: dollar math' when contains(array_to_string(h, ''), '{_TOKEN}') then 'nested: html tag' end as error from x4),
+masked as (select *, len(c) + case when error = 'nested: dollar display' then 0 when error = 'nested: dollar math' then len(d) when error is not null then len(d) + len(g) else len(d) + len(g) + len(h) end as n_tokens from x5)
+"""
+_DOCUMENTS = "texts as (select doc_id, 'document' as kind, coalesce(text, '') as text from documents)"
+_NOTES = ", ".join(f"('{s}', {i}, {d!r}, '{n}')" for i, (s, _, d, _, _, n) in enumerate(TERMS))
+_IN_MASKED = (
+    _MATCHES.replace("from documents)", "from masked where error is null)").replace("coalesce(text, '')", "t4").replace("with k(", f"with {_DOCUMENTS}, {_MASK}, n(source, term_no, domains, note) as (values {_NOTES}), k(")
+)
 _BOOKS = "books as (select source as book, (row_number() over (partition by source order by doc_id) - 1)::int as page_no, doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as chars from documents)"
 _PARTS = f"""
 with recursive {_BOOKS},
@@ -81,8 +98,25 @@ _CANDIDATES = """
 c as (select role, conv_id, turn, regexp_extract(text, '([A-Za-z]+)', 1) as source, case when turn > 2 then 'r' || turn else '' end as reason from conversations),
 n as (select role, lower(source) as source, count(*) as n, max_by(reason, conv_id * 1000000 + turn) filter (reason <> '') as reason from c where source <> '' and length(source) <= 120 group by all)
 """
+_ARTIFACT = r"""case when trim(regexp_replace(text, '^\s+', '')) = '' then 'empty' when regexp_matches(text, '^\s*```') then 'code fence' when contains(text, '\documentclass') or contains(text, '\begin{document}') or contains(text, '\end{document}') or contains(text, '\bibliography') then 'root document command'
+            when regexp_matches(text, '(?i)<\s*/?(?:table|tr|td|th)\b') then 'html table' when regexp_matches(text, '(?i)\\caption\s*\{\s*Image\s*\}') then 'placeholder caption'
+            when len(regexp_extract_all(text, '\\text\s*\{')) >= 40 or len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 700 and len(regexp_extract_all(x, '\\text\s*\{')) >= 3)) >= 2 then 'prose in text wrappers'
+            when regexp_matches(text, '\\chapter\*?\s*\{') then 'chapter heading in a chunk' end"""
+_STRUCTURES = [
+    ("headings", r"regexp_extract_all({}, '(?m)^(#{{1,6}})[ \t]+', 1)"),
+    ("rules", r"len(regexp_extract_all({}, '(?m)^\s*(?:---+|\*\*\*+|___+)\s*$'))"),
+    ("sections", r"regexp_extract_all({}, '\\(?:part|chapter|section|subsection|subsubsection|paragraph)\*?\s*\{{')"),
+    ("labels", r"list_sort(list_distinct(regexp_extract_all({}, '\\label\{{([^{{}}]+)\}}', 1)))"),
+    ("references", r"list_sort(list_distinct(regexp_extract_all({}, '\\(?:ref|eqref|autoref|cref|Cref|cite|citep|citet)\*?(?:\[[^\]]*\])?\{{([^{{}}]+)\}}', 1)))"),
+]
+_CHUNKED = f"""{_PARTS}, tx as (select w.book, w.part, string_agg(b.text, chr(10) order by w.page_no) as text from w join books b on b.book = w.book and b.page_no = w.page_no group by all),
+    made as (select book, part, 'chapter_01_part_' || lpad(part::varchar, 2, '0') as chunk_id, text, {_ARTIFACT} as error from tx)"""
 _HOST = "regexp_extract(url, '://([^/?#]*)', 1)"
 
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
 SQL: dict[str, str] = {
     "term_frequency": f"{_MATCHES} select source, target, count(*) as occurrences from m group by source, target",
     "term_forms_top8": f"""{_MATCHES}, c as (select source, form, count(*) as n, min(doc_id * 1000000 + no) as first from m group by source, form),
@@ -119,9 +153,17 @@ SQL: dict[str, str] = {
     "metadata_heading": f"with {_SCANS} select book, 'Book ' || book as title, 'Author ' || book as author from bounds where contents_page is not null union all select book, 'OCR Document', '' from bounds where contents_page is null",
     "body_page_count": f"""with {_SCANS} select b.book, b.contents_page is not null and b.body_start_page is not null and coalesce(b.end_page_excluded > b.body_start_page, true) as valid,
         count(s.page_no) as n_pages from bounds b left join scans s on s.book = b.book and s.page_no >= b.body_start_page and (b.end_page_excluded is null or s.page_no < b.end_page_excluded) group by all""",
-    "chapter_violations": f"""with {_SCANS}, p as (select b.book, b.end_page_excluded, s.page_no, s.text, row_number() over w as no, lead(s.page_no) over w is null as is_last from bounds b join scans s on s.book = b.book and s.page_no >= b.body_start_page and (b.end_page_excluded is null or s.page_no < b.end_page_excluded) window w as (partition by b.book order by s.page_no)),
-        e as (select unnest(list_filter([case when page_no - 2 <> no then 'numbers are not consecutive' end, case when trim(text) = '' then 'the title is empty' end, case when page_no <> 3 then 'a section starts outside its chapter' end,
-              case when is_last and page_no <> end_page_excluded - 1 then 'the last chapter does not reach the end' end], lambda x: x is not null)) as error from p) select error, count(*) as n from e group by error""",
+    "chapter_violations": f"""with {_SCANS},
+        p as (select b.book, b.book % 13 as f, b.body_start_page as bs, b.end_page_excluded as ee, s.page_no as p from bounds b join scans s on s.book = b.book and s.page_no >= b.body_start_page and (b.end_page_excluded is null or s.page_no < b.end_page_excluded)),
+        k as (select *, p - 2 + (f = 1)::int as number, case when f = 2 then '' else 'T' end as title, case when f = 5 and p = 3 then 0 when f = 6 and p = 4 then 3 else p end as s, case when f = 3 then p - 1 when f = 4 then p + 1000 else p end as e, p + (f = 9)::int as sec
+              from p where not (f = 10 and coalesce(p = ee - 1, false)) and not (f = 0 and book % 26 = 0)),
+        r as (select k.*, row_number() over w as no, lag(e) over w as before, lead(number) over w is null as is_last, (select count(*) from scans x where x.book = k.book and x.page_no between k.s and k.e) as have from k window w as (partition by book order by number)),
+        ce as (select unnest(list_filter([case when number <> no then 'numbers are not consecutive' end, case when title = '' then 'the title is empty' end, case when s > e then 'no valid page range' end,
+              case when s <= e and have <> e - s + 1 then 'the range has pages that do not exist' end, case when s < bs then 'starts before the body' end, case when s <> before + 1 then 'does not follow the chapter before' end,
+              case when f = 7 then 'the list of sections is missing' end, case when f = 8 then 'a section has no title' end, case when f <> 7 and not sec between s and e then 'a section starts outside its chapter' end,
+              case when is_last and e <> ee - 1 then 'the last chapter does not reach the end' end], lambda x: x is not null)) as error from r),
+        o as (select case when not exists (select 1 from k where k.book = b.book) then 'no chapters' when book % 13 = 11 then 'the end of the body is missing' when book % 13 = 12 and end_page_excluded is not null then 'the end of the body differs from the page boundary' end as error from bounds b where b.error is null)
+        select error, count(*) as n from (select error from ce union all select error from o where error is not null) group by error""",
     "page_lines": """with d as (select doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]'), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '') as l from documents)
         select doc_id, len(l)::bigint as n_lines, sha256(array_to_string(l, chr(10))) as lines_sha256 from d""".replace("\\\\", "\\"),
     "page_index": """with d as (select doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '') as l from documents)
@@ -129,15 +171,11 @@ SQL: dict[str, str] = {
     "image_refs": f"""with p as (select page_id, url, {_HOST} as host from pages where url is not null) select page_id, len(r)::bigint as n_refs, array_to_string(r, '|') as refs
         from (select page_id, list_sort(list_distinct(['img/' || host || '.png', 'pic/' || host || '.jpg', url])) as r from p)""",
     "missing_refs": f"""with p as (select distinct {_HOST} as host from pages where url is not null) select 'pic/' || host || '.jpg' as path from p union select 'img/' || host || '.png' from p where not starts_with(host, 'blog.')""",
-    "artifact_violations": r"""with t as (select coalesce(text, '') as text from documents union all select coalesce(html, '') from pages),
-        l as (select text, len(regexp_extract_all(text, '\\text\s*\{')) as k, len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 700 and len(regexp_extract_all(x, '\\text\s*\{')) >= 3)) as long from t)
-        select case when trim(text) = '' then 'empty' when regexp_matches(text, '^\s*```') then 'code fence' when contains(text, '\documentclass') or contains(text, '\begin{document}') or contains(text, '\end{document}') or contains(text, '\bibliography') then 'root document command'
-            when regexp_matches(text, '(?i)<\s*/?(?:table|tr|td|th)\b') then 'html table' when regexp_matches(text, '(?i)\\caption\s*\{\s*Image\s*\}') then 'placeholder caption' when k >= 40 or long >= 2 then 'prose in text wrappers'
-            when regexp_matches(text, '\\chapter\*?\s*\{') then 'chapter heading in a chunk' else 'valid' end as rule, count(*) as n from l group by rule""",
+    "artifact_violations": f"""with t as (select case when doc_id % 17 = 0 then ' ' || chr(10) else [{", ".join(_quoted(x) for x in FAULTS)}][doc_id % {len(FAULTS)} + 1] || coalesce(text, '') end as text from documents union all select coalesce(html, '') from pages)
+        select coalesce({_ARTIFACT}, 'valid') as rule, count(*) as n from t group by rule""",
     "control_chars": "with d as (select regexp_extract(replace(coalesce(text, ''), '%', chr(7)), '([\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f])', 1) as c from documents) select case when c <> '' then 'U+' || lpad(upper(printf('%x', ascii(c))), 4, '0') end as code, count(*) as n from d group by code",
-    "structural_diff": r"""with d as (select doc_id, coalesce(text, '') as a, translate(coalesce(text, ''), '#-', '') as b from documents)
-        select doc_id, array_to_string(list_filter([case when regexp_extract_all(a, '(?m)^(#{1,6})[ \t]+', 1) <> regexp_extract_all(b, '(?m)^(#{1,6})[ \t]+', 1) then 'headings' end,
-            case when len(regexp_extract_all(a, '(?m)^\s*(?:---+|\*\*\*+|___+)\s*$')) <> len(regexp_extract_all(b, '(?m)^\s*(?:---+|\*\*\*+|___+)\s*$')) then 'rules' end], lambda x: x is not null), ',') as warnings from d""",
+    "structural_diff": f"""with d as (select doc_id, {_quoted(HEADS[0])} || coalesce(text, '') as a, [{", ".join(_quoted(x) for x in HEADS)}][doc_id % {len(HEADS)} + 1] || case when doc_id % 7 = 0 then translate(coalesce(text, ''), '#-', '') else coalesce(text, '') end as b from documents)
+        select doc_id, array_to_string(list_filter([{", ".join(f"case when {p.format('a')} <> {p.format('b')} then '{n}' end" for n, p in _STRUCTURES)}], lambda x: x is not null), ',') as warnings from d""",
     "candidate_upsert": f"""with {_CANDIDATES} select coalesce(u.source, a.source) as source, 't' as target, 'unspecified' as domain, coalesce(a.reason, u.reason, '') as reason, 'candidate' as status, coalesce(u.n, 0) + coalesce(a.n, 0) as occurrences,
         case when u.n is null then '2024-02-01' else '2024-01-01' end as first_seen, case when a.n is null then '2024-01-01' else '2024-02-01' end as last_seen
         from (select * from n where role = 'user') u full join (select * from n where role = 'assistant') a on a.source = u.source""",
@@ -156,4 +194,35 @@ SQL: dict[str, str] = {
         select domain, count(*) as n, sum(length(target))::bigint as target_chars from c where source <> '' and target <> '' and length(source) <= 120 group by domain""",
     "output_names": r"""with p as (select coalesce(source, '') || '/a.' || ['md', 'TeX', 'ltx', 'txt'][(length(lang) + length(coalesce(source, ''))) % 4 + 1] as path from documents)
         select case when lower(path) like '%.tex' or lower(path) like '%.ltx' then 'LaTeX' when lower(path) like '%.md' then 'Markdown' end as format, regexp_replace(path, '(\.[^./]+)$', '.zh\1') as output, count(*) as n from p group by all""",
+    "mask_counts": f"""with texts as (select 'document' as kind, coalesce(text, '') as text from documents union all select 'page', coalesce(html, '') from pages), {_MASK}
+        select kind, error, count(*) as n, sum(n_tokens)::bigint as n_tokens from masked group by kind, error""",
+    "mask_roundtrip": f"with {_DOCUMENTS}, {_MASK} select doc_id, case when error is null then true end as same, error from masked",
+    "translate_documents": f"with {_DOCUMENTS}, {_MASK} select doc_id, case when error is null then sha256(text) end as text_sha256, case when error is null then 1 end as tries, error from masked",
+    "translation_warnings": f"""{_IN_MASKED}, f as ({_MATCHES} select doc_id, source, target, min(no) as no from m group by all)
+        select x.doc_id, coalesce(string_agg(f.source || ' -> ' || f.target, '; ' order by f.no, f.source) filter (not contains(x.text, f.target)), '') as warnings from masked x left join f on f.doc_id = x.doc_id where x.error is null group by x.doc_id""",
+    "prompt_rules": f"""{_MATCHES}, n(source, term_no, domains, note) as (values {_NOTES}), f as (select doc_id, source, target, min(no) as no, min_by(form, no) as form from m group by all)
+        select doc_id, string_agg('- ' || source || ' -> ' || target || case when lower(form) <> lower(source) then '; found as: ' || form else '' end || case when note <> '' then '; note: ' || note else '' end, chr(10) order by no) as rules from f join n using (source) group by doc_id""",
+    "report_counters": f"""{_IN_MASKED}, t as (select count(distinct source || chr(0) || target) as n from m)
+        select (select count(*) from masked) as files, (select sum(n_tokens) filter (error is null)::bigint from masked) as protected_segments, t.n as matched_unique_terms, least(t.n, 300) as reported_terms, greatest(t.n - 300, 0) as omitted_terms, {len(_ACTIVE)} as active_terms from t""",
+    "term_report": f"""{_IN_MASKED}, c as (select source, target, form, count(*) as n, min(doc_id * 1000000 + no) as first from m group by source, target, form),
+        r as (select *, row_number() over (partition by source, target order by n desc, first) as form_no from c),
+        f as (select source, target, string_agg(form || ' (' || n || ')', ', ' order by form_no) as forms from r where form_no <= 8 group by source, target),
+        t as (select source, target, count(*) as occurrences, count(distinct doc_id) as n_files from m group by source, target)
+        select row_number() over (order by occurrences desc, length(source) desc, lower(source), target) as rank, source, target, occurrences, forms, array_to_string(list_sort(domains), ',') as domains, note as notes, n_files
+        from t join f using (source, target) join n using (source) order by rank limit 300""",
+    "convert_chunks": f"{_CHUNKED} select book, part, chunk_id, sha256(text) as tex_sha256, error, 1.0::double as overall_coverage, error is null as accepted from made",
+    "review_chunks": f"{_CHUNKED} select book, part, true as same, null::varchar as error from made where error is null",
+    "recovered_chunks": f"{_CHUNKED} select book, part, sha256(text) as tex_sha256, error is null as accepted, error is null and part % 2 = 0 as recovered from made",
+    "document_report": f"""{_CHUNKED}, p as (select book, max(last_page) as end_page from parts group by book)
+        select made.book, count(*) as chunks, 1::bigint as chapters, p.end_page, count(*) filter (error is null) as reviewed_chunks, string_agg(chunk_id || ':' || (error is null)::varchar, ',' order by part) as completeness from made join p using (book) group by made.book, p.end_page""",
+    "completeness_report": f"""{_PARTS}, s as (select w.book, w.part, b.page_no, b.doc_id, length(trim(b.text)) < {EXEMPT_CHARS} as short, {_tokens("b.text")} as t from w join books b on b.book = w.book and b.page_no = w.page_no),
+        o as (select distinct book, part, unnest(t) as token from s where doc_id in (select doc_id from labels where quality = 1)),
+        x as (select book, part, page_no, unnest(t) as token from s where not short),
+        h as (select x.book, x.part, x.page_no, count(*) as hits from x join o using (book, part, token) group by all),
+        c as (select s.book, s.part, s.page_no, not short and len(t) > 0 as audited, len(t) as n, coalesce(hits, 0) as hits, case when short or len(t) = 0 then 1.0::double else coalesce(hits, 0)::double / len(t) end as coverage from s left join h on h.book = s.book and h.part = s.part and h.page_no = s.page_no),
+        g as (select book, part, coalesce(sum(hits) filter (audited)::double / sum(n) filter (audited), 1.0) as o, count(*) filter (coverage < 0.2) as m, greatest(1, count(*) // 10)::bigint as allowed, coalesce(string_agg(page_no::varchar, ',' order by page_no) filter (coverage < 0.2), '') as missing, string_agg(round(round(coverage, 3) * 1000)::int::varchar, ',' order by page_no) as shares from c group by all)
+        select book, part, o >= 0.72 and m <= allowed as passed, round(o, 3) as overall_coverage, allowed as allowed_missing_pages, missing as missing_pages, shares from g""",
+    "unknown_pages": "with b as (select source as book, count(*) - 1 as last from documents group by source) select book, (last - last % 2 + 2)::int as page_no from b where book is not null",
+    "changed_manifests": f"with {_SCANS} select book, contents_page, body_start_page, end_page_excluded, error from bounds where book % 3 = 0 and end_page_excluded is not null",
+    "main_files": r"""select doc_id, case when doc_id % 50 = 0 then 0 else 1 end as priority, case when doc_id % 50 = 0 then '\documentclass{a}' || chr(10) || '\title{New}' || chr(10) || '\input{chapters/c_' || doc_id || '-zh}' || chr(10) || '\textbf中' end as root, doc_id % 50 = 0 as macro_before_han from documents""",
 }

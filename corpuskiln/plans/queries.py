@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpuskiln.functions import text as X
 from corpuskiln.operators import assemble, audit, backend, boundaries, chunking, glossary, ledger, lifecycle, masking, matching, report
 from corpuskiln.plans import flows
-from corpuskiln.sources import files
+from corpuskiln.sources import files, sinks
 
 #: A dictionary of phrases that the test texts hold: source, target, domains, aliases, status, note.
 TERMS = [
@@ -52,8 +52,8 @@ def matches(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as pages of one book per source."""
-    number = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
-    return docs(spark, sf_dir).select(F.col("source").alias("book"), number.cast("int").alias("page_no"), "doc_id", "text", F.length("text").alias("chars"))
+    rows = docs(spark, sf_dir).select(F.col("source").alias("book"), "doc_id", "text", F.length("text").alias("chars"))
+    return files.number_rows(rows, "doc_id", name="page_no", by=("book",)).withColumn("page_no", F.col("page_no").cast("int"))
 
 
 def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,9 +241,15 @@ def missing_refs(spark, sf_dir):
     return lifecycle.missing_references(found, have)
 
 
+#: What is put before texts so that each rule of a fragment is broken somewhere.
+FAULTS = ("", "```tex\n", "\\documentclass{a}", "<Table >", "\\caption{ Image }", "\\text{x}" * 40, ("\\text{a}\\text {b}\\text{c}" + "w " * 360 + "\n") * 2, "\\chapter{A}\n")
+
+
 def artifact_violations(spark, sf_dir):
-    """first broken rule of documents and pages as fragments."""
-    both = docs(spark, sf_dir).select("text").unionByName(table(spark, sf_dir, "pages").select(F.coalesce("html", F.lit("")).alias("text")))
+    """first broken rule of documents, with a fault put before most of them, and of pages as fragments."""
+    fault = F.element_at(F.array(*map(F.lit, FAULTS)), (F.pmod("doc_id", F.lit(len(FAULTS))) + 1).cast("int"))
+    text = F.when(F.pmod("doc_id", F.lit(17)) == 0, F.lit(" \n")).otherwise(F.concat(fault, "text"))
+    both = docs(spark, sf_dir).select(text.alias("text")).unionByName(table(spark, sf_dir, "pages").select(F.coalesce("html", F.lit("")).alias("text")))
     return both.groupBy(F.coalesce(audit.artifact_error(F.col("text"), F.lit(True)), F.lit("valid")).alias("rule")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -253,9 +259,15 @@ def control_chars(spark, sf_dir):
     return docs(spark, sf_dir).groupBy(X.control_character(text).alias("code")).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: The head of a source, and that of its outputs: the same, then each structure changed.
+HEADS = tuple("%s A\n%s\n\\%s{B}\n\\label{%s} \\cite[p]{%s}\n" % x for x in (("#", "---", "section", "c", "d"), ("##", "---", "section", "c", "d"), ("#", "--", "section", "c", "d"), ("#", "---", "chapter*", "c", "d"), ("#", "---", "section", "e", "d"), ("#", "---", "section", "c", "d,f")))
+
+
 def structural_diff(spark, sf_dir):
-    """Structures that are lost if a document's number signs and dashes go."""
-    w = audit.structural_warnings(F.col("text"), F.translate("text", "#-", ""))
+    """Structures that differ between documents under one head and their outputs under others; of some, number signs and dashes go too."""
+    head = F.element_at(F.array(*map(F.lit, HEADS)), (F.pmod("doc_id", F.lit(len(HEADS))) + 1).cast("int"))
+    body = F.when(F.pmod("doc_id", F.lit(7)) == 0, F.translate("text", "#-", "")).otherwise(F.col("text"))
+    w = audit.structural_warnings(F.concat(F.lit(HEADS[0]), "text"), F.concat(head, body))
     return docs(spark, sf_dir).select("doc_id", F.array_join(w, ",").alias("warnings"))
 
 
@@ -340,12 +352,18 @@ def sanitized_candidates(spark, sf_dir):
 
 
 def chapter_violations(spark, sf_dir):
-    """Broken rules of conversations as chapter manifests whose turns are chapters of one page."""
+    """Broken rules of conversations as chapter manifests whose turns are chapters of one page, each book with one of twelve faults or none."""
     pages = scans(spark, sf_dir)
     found = boundaries.detect_boundaries(pages)
-    section = F.array(F.struct(F.lit("s").alias("title"), F.lit(3).alias("ocr_start_page")))
-    chapters = boundaries.body_pages(pages, found).select("book", (F.col("page_no") - 2).alias("number"), F.col("text").alias("title"), F.col("page_no").alias("ocr_start_page"), F.col("page_no").alias("ocr_end_page"), section.alias("sections"))
-    return boundaries.chapter_errors(chapters, found, pages).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+    fault, page, end = F.pmod("book", F.lit(13)), F.col("page_no"), F.col("end_page_excluded")
+    rows = boundaries.body_pages(pages, found).join(found.select("book", "end_page_excluded"), "book")
+    rows = rows.where(~F.coalesce((fault == 10) & (page == end - 1), F.lit(False)) & ~((fault == 0) & (F.pmod("book", F.lit(26)) == 0)))
+    start = F.when((fault == 5) & (page == 3), 0).when((fault == 6) & (page == 4), 3).otherwise(page)
+    last = F.when(fault == 3, page - 1).when(fault == 4, page + 1000).otherwise(page)
+    section = F.array(F.struct(F.when(fault != 8, "s").alias("title"), F.when(fault == 9, page + 1).otherwise(page).alias("ocr_start_page")))
+    chapters = rows.select("book", (page - 2 + (fault == 1).cast("int")).alias("number"), F.when(fault == 2, " ").otherwise("T").alias("title"), start.alias("ocr_start_page"), last.alias("ocr_end_page"), F.when(fault != 7, section).alias("sections"))
+    ends = found.where(fault != 11).select("book", (end + F.when(fault == 12, 5).otherwise(0)).alias("ocr_start_page"))
+    return boundaries.chapter_errors(chapters, found, pages, ends=ends).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
 
 def output_names(spark, sf_dir):
@@ -362,29 +380,45 @@ def mask_counts(spark, sf_dir):
 
 
 def mask_roundtrip(spark, sf_dir):
-    """Texts that come back from their masked form as they were."""
-    masked = masking.mask(docs(spark, sf_dir)).where("mask.error is null")
+    """Whether texts come back from their masked form as they were; of those that cannot be masked, why."""
+    masked = masking.mask(docs(spark, sf_dir))
     back = masking.restore(F.col("mask.masked"), F.col("mask.tokens"), F.col("mask.originals"))
-    return masked.select("doc_id", (back["text"] == F.col("text")).alias("same"), back["error"].alias("error"))
+    return masked.select("doc_id", F.when(F.col("mask.error").isNull(), back["text"] == F.col("text")).alias("same"), F.coalesce("mask.error", back["error"]).alias("error"))
+
+
+def _masked(spark, sf_dir) -> DataFrame:
+    """Documents with their masked text, written once, as several steps read them."""
+    return sinks.stored(masking.mask(docs(spark, sf_dir)).select("doc_id", "lang", "mask.masked", "mask.tokens", "mask.originals", "mask.error"), "masked")
 
 
 def _translated(spark, sf_dir) -> DataFrame:
-    masked = masking.mask(docs(spark, sf_dir)).where("mask.error is null").select("doc_id", "lang", F.col("mask.masked").alias("text"), "mask.tokens", "mask.originals")
-    chunks = chunking.chunk_rows(masked)
-    found = chunking.overlapping(chunks, matching.find_terms(masked, every_term(spark)))
+    """doc_id, text, tries and error of every document; what cannot be masked keeps its row. Originals join after the generation."""
+    masked = _masked(spark, sf_dir)
+    good = masked.where("error is null").select("doc_id", "lang", F.col("masked").alias("text"), "tokens")
+    chunks = chunking.chunk_rows(good)
+    found = chunking.overlapping(chunks.drop("chunk"), matching.find_terms(good, every_term(spark)))
     key = F.concat_ws("/", "doc_id", "chunk_no")
     rules = backend.rule_lines(matching.unique_rules(found.withColumn("key", key), "key"), ["doc_id", "chunk_no"])
-    rows = chunks.join(rules, ["doc_id", "chunk_no"], "left").join(masked.select("doc_id", "lang", "tokens", "originals"), "doc_id")
+    rows = chunks.join(rules, ["doc_id", "chunk_no"], "left").join(good.select("doc_id", "lang", "tokens"), "doc_id")
     prompt = backend.translation_prompt(F.col("chunk"), F.col("rules"), F.col("lang"), F.lit("paper"), F.lit("Markdown"))
-    requests = rows.select("doc_id", "chunk_no", "chunk", "tokens", "originals", prompt.alias("prompt"))
-    return backend.checked(backend.parsed(backend.generate(requests, backend.echo, backend.check_tokens)))
+    requests = rows.select("doc_id", "chunk_no", "chunk", masking.tokens_in(F.col("chunk"), F.col("tokens")).alias("tokens"), prompt.alias("prompt"))
+    answers = backend.checked(backend.parsed(backend.generate(requests, backend.echo, backend.check_tokens)))
+    done = answers.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", "translation"))), lambda x: x["translation"]), "").alias("whole"), F.max("tries").alias("tries"), F.max(F.coalesce("error", "token_error")).alias("failed"))
+    joined = masked.join(done, "doc_id", "left")
+    back = masking.restore(F.col("whole"), F.col("tokens"), F.col("originals"))
+    error = F.coalesce("error", "failed", back["error"])
+    return joined.select("doc_id", F.when(error.isNull(), back["text"]).alias("text"), "tries", error.alias("error"))
 
 
 def translate_documents(spark, sf_dir):
     """Masked, matched, cut, sent to the stand-in, checked and put back."""
-    done = _translated(spark, sf_dir).groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", "translation"))), lambda x: x["translation"]), "").alias("masked"), F.first("tokens").alias("tokens"), F.first("originals").alias("originals"), F.max("tries").alias("tries"), F.max(F.coalesce("error", "token_error")).alias("error"))
-    back = masking.restore(F.col("masked"), F.col("tokens"), F.col("originals"))
-    return done.select("doc_id", F.sha2(back["text"], 256).alias("text_sha256"), "tries", "error")
+    return _translated(spark, sf_dir).select("doc_id", F.sha2("text", 256).alias("text_sha256"), "tries", "error")
+
+
+def translation_warnings(spark, sf_dir):
+    """Structures and terms that each translation by the stand-in lacks."""
+    rules = matching.unique_rules(matches(spark, sf_dir, offsets=False))
+    return flows.translation_warnings(docs(spark, sf_dir), _translated(spark, sf_dir), rules).select("doc_id", F.array_join("warnings", "; ").alias("warnings"))
 
 
 def prompt_rules(spark, sf_dir):
@@ -395,8 +429,9 @@ def prompt_rules(spark, sf_dir):
 
 def report_counters(spark, sf_dir):
     """A4: the report's counters."""
-    found = report.find_terms(docs(spark, sf_dir), every_term(spark), offsets=False)
-    return report.report_totals(docs(spark, sf_dir), every_term(spark), found)
+    masked = _masked(spark, sf_dir)
+    found = matching.find_terms(masked.where("error is null").select("doc_id", F.col("masked").alias("text")), every_term(spark), offsets=False)
+    return report.report_totals(masked, every_term(spark), found)
 
 
 def chunk_index(spark, sf_dir):
@@ -405,16 +440,74 @@ def chunk_index(spark, sf_dir):
     return chunking.chunk_index(chunking.part_ranges(p, ["book"]), p, ["book"]).select("book", "part", F.array_join("pages", ",").alias("pages"), "characters")
 
 
+def _converted(spark, sf_dir) -> DataFrame:
+    return flows.convert(books(spark, sf_dir).select("book", "page_no", "text"), planned(spark, sf_dir), ["book"])
+
+
 def convert_chunks(spark, sf_dir):
     """Every part of every book through the stand-in, with all checks."""
-    out = flows.convert(books(spark, sf_dir).select("book", "page_no", "text"), planned(spark, sf_dir), ["book"])
-    return out.select("book", "part", "chunk_id", F.sha2("tex", 256).alias("tex_sha256"), "error", "overall_coverage", "accepted")
+    return _converted(spark, sf_dir).select("book", "part", "chunk_id", F.sha2("tex", 256).alias("tex_sha256"), "error", "overall_coverage", "accepted")
 
 
 def review_chunks(spark, sf_dir):
     """Accepted fragments through the stand-in again."""
-    made = flows.convert(books(spark, sf_dir).select("book", "page_no", "text"), planned(spark, sf_dir), ["book"])
-    return flows.review(made, ["book"]).select("book", "part", (F.col("tex") == F.col("before")).alias("same"), "error")
+    return flows.review(_converted(spark, sf_dir), ["book"]).select("book", "part", (F.col("tex") == F.col("first_version")).alias("same"), "error")
+
+
+def recovered_chunks(spark, sf_dir):
+    """Parts whose broken-off runs left an answer for every second part; of two answers the newer is no fragment."""
+    pages, plan = books(spark, sf_dir).select("book", "page_no", "text"), planned(spark, sf_dir)
+    requests = flows.chunk_requests(pages, plan, ["book"], "")
+    none = F.expr("cast(array() as array<string>)")
+    report_ = F.struct("chunk_id", F.col("pages").alias("source_pages"), none.alias("structure_notes"), none.alias("image_notes"))
+    good = F.to_json(F.struct(F.col("chunk").alias("tex"), report_.alias("report")))
+    left = requests.where(F.col("part") % 2 == 0)
+    old = left.select("book", "part", F.lit("2024-01-01").cast("timestamp").alias("made_at"), good.alias("answer"))
+    new = left.select("book", "part", F.lit("2024-01-02").cast("timestamp").alias("made_at"), F.lit("no answer").alias("answer"))
+    out = flows.convert(pages, plan, ["book"], attempts=old.unionByName(new))
+    return out.select("book", "part", F.sha2("tex", 256).alias("tex_sha256"), "accepted", "recovered")
+
+
+def document_report(spark, sf_dir):
+    """The report of each book's document."""
+    made = sinks.stored(_converted(spark, sf_dir), "converted")
+    parts = chapter_parts(spark, sf_dir).withColumn("chapter_number", F.lit(1)).withColumn("chapter_title", F.col("book"))
+    out = assemble.document_report(assemble.chapter_inputs(parts, ["book"]), made, flows.review(made, ["book"]), ["book"])
+    passed = F.array_join(F.transform("completeness", lambda x: F.concat_ws(":", x["chunk_id"], x["passed"].cast("string"))), ",")
+    return out.select("book", "chunks", "chapters", F.col("chapter_ranges")[0]["end_page"].alias("end_page"), "reviewed_chunks", passed.alias("completeness"))
+
+
+def completeness_report(spark, sf_dir):
+    """How far the documents of good quality in each part cover its pages."""
+    pages = books(spark, sf_dir).join(planned(spark, sf_dir).select("book", "page_no", "part"), ["book", "page_no"])
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    covered = audit.coverage(pages.select("book", "part", "page_no", "text"), pages.join(good, "doc_id", "left_semi").select("book", "part", "text"), ["book", "part"])
+    out = audit.completeness_report(covered, ["book", "part"])
+    shares = F.array_join(F.transform("pages", lambda x: F.round(x["coverage"] * 1000).cast("int").cast("string")), ",")
+    return out.select("book", "part", "passed", "overall_coverage", "allowed_missing_pages", F.array_join("missing_pages", ",").alias("missing_pages"), shares.alias("shares"))
+
+
+def unknown_pages(spark, sf_dir):
+    """Pages that the index of every second document's neighbours names and the books lack."""
+    pages = books(spark, sf_dir).select("book", "page_no")
+    named = pages.where("page_no % 2 = 0").groupBy("book").agg(F.array(F.max("page_no"), F.max("page_no") + 2).alias("pages"))
+    return lifecycle.unknown_pages(named, pages, ["book"])
+
+
+def changed_manifests(spark, sf_dir):
+    """Manifests that differ from those stored before the back matter of every third book was found."""
+    new = boundaries.detect_boundaries(scans(spark, sf_dir))
+    old = new.withColumn("end_page_excluded", F.when(F.col("book") % 3 != 0, F.col("end_page_excluded")))
+    return boundaries.changed_manifests(new, old)
+
+
+def main_files(spark, sf_dir):
+    """Documents under a root's head, roots first, and the root with its chapters' translations."""
+    root = F.concat(F.lit("\\documentclass{a}\n\\title{Old}\n\\input{chapters/c_"), F.col("doc_id").cast("string"), F.lit("}\n\\textbf中"))
+    text = F.when(F.pmod("doc_id", F.lit(50)) == 0, root).otherwise(F.col("text"))
+    rows = lifecycle.main_first(docs(spark, sf_dir).select("doc_id", text.alias("text")))
+    changed = lifecycle.translated_root(F.col("text"), "Old", "New")
+    return rows.select("doc_id", "priority", F.when(F.col("priority") == 0, changed).alias("root"), X.macro_before_han(F.col("text")).alias("macro_before_han"))
 
 
 REGISTERED = (
@@ -422,6 +515,7 @@ REGISTERED = (
     chunk_match_overlap, section_in_chunk, range_pages, neighbour_pages, contiguity_violations, body_bounds, metadata_heading, body_page_count, page_lines, page_index, image_refs, missing_refs, artifact_violations,
     control_chars, structural_diff, terminology_missing, candidate_upsert, approve_term, pending_chunks, latest_valid_attempt, jsonl_pages, arxiv_ids, ordered_assembly, command_set_diff, tex_escape,
     sanitized_candidates, chapter_violations, output_names, mask_counts, mask_roundtrip, translate_documents, prompt_rules, report_counters, chunk_index, convert_chunks, review_chunks,
+    translation_warnings, recovered_chunks, document_report, completeness_report, unknown_pages, changed_manifests, main_files,
 )
 
 

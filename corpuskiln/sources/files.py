@@ -51,18 +51,22 @@ def read_chunk_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHUNK_INDEX).option("multiLine", True).json(path).select(F.explode("chunks").alias("c")).select("c.*")
 
 
-def number_rows(rows: DataFrame, *order: str, name: str = "no") -> DataFrame:
-    """``rows`` numbered from 0 in a total order, without one task that sees them all.
+def number_rows(rows: DataFrame, *order: str, name: str = "no", by: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` numbered from 0 in a total order, within each ``by`` if given, without one task that sees them all.
 
-    Ranges are dealt out and sorted; how many rows come before each range, one number per task, is added to the number
+    Ranges are dealt out and sorted; how many rows come before each range, one number per task and ``by``, is added to the number
     within it.
     """
-    ranged = rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
-    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.withColumn("__before", before).select("__part", "__before")  # one row per task
-    return ranged.withColumn("__within", within).join(F.broadcast(offsets), "__part").withColumn(name, (F.col("__before") + F.col("__within")).cast("long")).drop("__part", "__within", "__before")
+    ranged = rows.repartitionByRange(*by, *order).withColumn("__part", F.spark_partition_id())
+    within = F.row_number().over(Window.partitionBy("__part", *by).orderBy(*order)) - 1
+    sizes = ranged.groupBy("__part", *by).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("__part", *(F.col(k).alias(f"__of_{k}") for k in by), before.alias("__before"))  # one row per task, and one more for each border between groups
+    same = F.col("__part") == F.col("__at")
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    joined = ranged.withColumn("__within", within).join(F.broadcast(offsets.withColumnRenamed("__part", "__at")), same)
+    return joined.select(*rows.columns, (F.col("__before") + F.col("__within")).cast("long").alias(name))
 
 
 def ocr_pages(lines: DataFrame) -> DataFrame:

@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written to the folder that driver and executors share and read again, so that they are made once; a temporary folder in local tests only."""
+    spark = rows.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{root or 'file://' + tempfile.mkdtemp(prefix='corpuskiln-')}/corpuskiln/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def write_json(rows: DataFrame, path: str, overwrite: bool = False) -> None:
     """JSON lines; Spark's commit makes them visible as a whole (K1, K2, K4)."""
     rows.write.mode("overwrite" if overwrite else "errorifexists").json(path)

@@ -22,7 +22,7 @@ def test_conversion_accepts_an_echo_and_skips_what_is_done(spark):
     done = spark.createDataFrame([("b", 0, True), ("b", 1, False)], "book string, part long, accepted boolean")
     assert sorted(r["part"] for r in flows.convert(pages, planned, ["book"], done).collect()) == [1, 2]
     again = flows.review(out, ["book"]).collect()
-    assert len(again) == 3 and all(r["tex"] == r["before"] and r["error"] is None for r in again)
+    assert len(again) == 3 and all(r["tex"] == r["first_version"] and r["error"] is None for r in again)
 
 
 def test_conversion_rejects(spark):
@@ -61,3 +61,44 @@ def test_roots(spark):
     assert [r["priority"] for r in lifecycle.main_first(df).collect()] == [0, 1, 1]
     text = "\\title{Old}\\input{chapters/chunk_1}\\input{preamble}"
     assert spark.range(1).select(lifecycle.translated_root(F.lit(text), "Old", "New")).first()[0] == "\\title{New}\\input{chapters/chunk_1-zh}\\input{preamble}"
+
+
+def answer(chunk_id, pages, tex):
+    import json
+
+    return json.dumps({"tex": tex, "report": {"chunk_id": chunk_id, "source_pages": pages, "structure_notes": [], "image_notes": []}})
+
+
+def test_the_newest_valid_attempt_is_recovered(spark):
+    pages = book(spark, LONG, LONG, LONG)
+    planned = plan(pages, len(LONG))
+    rows = [("b", 0, "2024-01-01", answer("chapter_01_part_00", [0], LONG + " old")), ("b", 0, "2024-01-02", answer("chapter_01_part_00", [0], LONG + " new")), ("b", 0, "2024-01-03", "broken off"), ("b", 1, "2024-01-01", answer("chapter_01_part_01", [7], LONG)), ("b", 2, "2024-01-01", answer("chapter_01_part_02", [2], "too little"))]
+    attempts = spark.createDataFrame(rows, "book string, part long, made_at string, answer string").withColumn("made_at", F.to_timestamp("made_at"))
+    got = {r["part"]: (r["recovered"], r["accepted"], r["tex"]) for r in flows.convert(pages, planned, ["book"], attempts=attempts).collect()}
+    assert got == {0: (True, True, LONG + " new"), 1: (False, True, LONG), 2: (False, True, LONG)}
+
+
+def test_review_checks_pages_and_keeps_the_first_version(spark):
+    pages = book(spark, LONG, LONG)
+    made = flows.convert(pages, plan(pages, len(LONG)), ["book"])
+    wrong = lambda prompts: [answer("chapter_01_part_00", [5], "x") for _ in prompts]
+    assert {r["part"]: r["error"] for r in flows.review(made, ["book"], wrong).collect()} == {0: "source_pages differ", 1: "chunk_id differs"}
+    earlier = spark.createDataFrame([("b", 0, "first", None), ("b", 1, "other", "failed")], "book string, part long, first_version string, error string")
+    assert [(r["part"], r["first_version"]) for r in flows.review(made, ["book"], reviewed=earlier).collect()] == [(1, "other")]
+    assert sorted((r["part"], r["first_version"]) for r in flows.review(made, ["book"], reviewed=earlier, overwrite=True).collect()) == [(0, "first"), (1, "other")]
+
+
+def test_warnings_name_structures_and_absent_terms(spark):
+    docs = spark.createDataFrame([(1, "# a\n\\label{x}"), (2, "plain"), (3, "lost")], "doc_id long, text string")
+    out = spark.createDataFrame([(1, "## a T"), (2, "plain"), (3, None)], "doc_id long, text string")
+    rules = spark.createDataFrame([(1, 4, "s", "T"), (1, 2, "u", "V"), (1, 9, "w", "X")], "doc_id long, start int, source string, target string")
+    assert {r["doc_id"]: r["warnings"] for r in flows.translation_warnings(docs, out, rules).collect()} == {1: ["headings", "labels", "u -> V", "w -> X"], 2: []}
+
+
+def test_numbers_within_groups(spark):
+    from corpuskiln.sources import files
+
+    rows = [(None if i % 5 == 0 else "ab"[i % 2], i) for i in range(200)]
+    out = files.number_rows(spark.createDataFrame(rows, "k string, v int").repartition(7), "v", name="no", by=("k",)).collect()
+    want = {k: [v for x, v in rows if x == k] for k in (None, "a", "b")}
+    assert sorted((str(r["k"]), r["no"], r["v"]) for r in out) == sorted((str(k), n, v) for k, vs in want.items() for n, v in enumerate(vs))

@@ -64,7 +64,7 @@ def test_null_and_unknown_format(spark):
 
 
 def chunks_of(spark, text, size):
-    col = chunking.pack_blocks(F.col("text"), size)
+    col = chunking.pack_blocks(F.col("text"), size)["chunk"]
     return spark.createDataFrame([(text,)], "text string").select(col.alias("c")).first()["c"]
 
 

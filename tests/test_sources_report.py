@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from corpuskiln.operators import glossary, matching, report
+from corpuskiln.operators import glossary, masking, matching, report
 from corpuskiln.sources import files, sinks
 from corpuskiln.streaming import incremental
 
@@ -59,7 +59,7 @@ def test_report(spark):
     got = [(r["rank"], r["source"], r["occurrences"], [(f["form"], f["count"]) for f in r["forms"]], r["domains"], r["notes"], r["n_files"]) for r in out.orderBy("rank").collect()]
     assert got == [(1, "field", 2, [("Fields", 1), ("field", 1)], ["*"], ["n1"], 1), (2, "fraction field", 1, [("fraction field", 1)], ["a", "general"], [], 1)]
     assert [r["value"] for r in report.report_lines(out).collect()][0] == "| field | F | 2 | Fields (1), field (1) | n1 |"
-    totals = report.report_totals(docs, terms, matching.find_terms(docs, terms), max_terms=1).first()
+    totals = report.report_totals(masking.mask(docs).select("mask.*"), terms, matching.find_terms(docs, terms), max_terms=1).first()
     assert (totals["files"], totals["protected_segments"], totals["reported_terms"], totals["omitted_terms"], totals["active_terms"]) == (3, 1, 1, 1, 2)
 
 
