@@ -17,6 +17,11 @@ ENCODED = "ids array<int>, begins array<int>, ends array<int>, decoded string"
 
 def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
     """Field number and value of each entry of a protocol buffer message."""
+    return ((key, value) for key, value, _ in _entries(message))
+
+
+def _entries(message: bytes) -> Iterator[tuple[int, int | bytes, int]]:
+    """Field number, value and end of each entry."""
     at = 0
 
     def varint() -> int:
@@ -33,11 +38,12 @@ def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
     while at < len(message):
         key = varint()
         if key & 7 == 0:
-            yield key >> 3, varint()
+            value = varint()
+            yield key >> 3, value, at
         else:
             size = {1: 8, 5: 4}.get(key & 7) or varint()
-            yield key >> 3, message[at : at + size]
             at += size
+            yield key >> 3, message[at - size : at], at
 
 
 class Normaliser:
@@ -131,24 +137,40 @@ class Normaliser:
         return (SPACE + whole, np.concatenate([np.zeros(len(SPACE), np.int32), source])) if self.dummy_prefix else (whole, source)
 
 
+def without_normaliser(model: bytes) -> bytes:
+    """The model with a normaliser that changes nothing, for texts that are normalised already."""
+    out, at = bytearray(), 0
+    for key, value, end in _entries(model):
+        if key != 3:
+            out += model[at:end]
+        at = end
+    spec = b"\x0a\x08identity\x18\x00\x20\x00\x28\x00"  # name, and no added prefix, no squeezing, no escapes of spaces
+    return bytes(out) + b"\x1a" + bytes([len(spec)]) + spec
+
+
 class PieceEncoder:
-    """The library's segmentation, laid over our normalised text."""
+    """Our normalised text, segmented by the library, each piece with its span in the source."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         with open(path, "rb") as f:
             model = f.read()
-        self.library, self.normaliser = sentencepiece.SentencePieceProcessor(model_proto=model), Normaliser(model)
+        self.library, self.normaliser = sentencepiece.SentencePieceProcessor(model_proto=without_normaliser(model)), Normaliser(model)
+        self.decoder = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = self.library.get_piece_size()
         self.sizes = np.array([1 if self.library.is_byte(i) else 0 if self.library.is_control(i) else len(self.library.id_to_piece(i).encode()) for i in range(n)], np.int64)
 
-    def spans(self, text: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and end of each piece, in bytes of ``text``."""
-        whole, source = self.normaliser(text)
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids, begins and ends of each text, in bytes of its UTF-8."""
+        made = [self.normaliser(t.encode()) for t in texts]
+        found = self.library.encode([whole.decode("utf-8", "replace") for whole, _ in made], num_threads=1)
+        return [(np.array(ids, np.int32), *self._spans(whole, source, np.array(ids, np.int64))) for (whole, source), ids in zip(made, found, strict=True)]
+
+    def _spans(self, whole: bytes, source: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = self.sizes[ids]
         if (unknown := self.library.unk_id()) >= 0 and (ids == unknown).any():
-            sizes = np.array([len(p.encode()) for p in self.library.encode(text.decode(), out_type=str)], np.int64)
+            sizes = np.array([len(p.encode()) for p in self.library.encode(whole.decode("utf-8", "replace"), out_type=str)], np.int64)
         ends = np.cumsum(sizes)
         if len(ends) and ends[-1] != len(whole):
             raise ValueError(f"pieces cover {ends[-1]} bytes of a normalised text of {len(whole)}")
@@ -174,12 +196,10 @@ def encode_pieces(docs: DataFrame, model_path: str) -> DataFrame:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 texts = pc.fill_null(batch.column(1), "").to_pylist()
-                ids = encoder.library.encode(texts, num_threads=1)
-                decoded = encoder.library.decode(ids, num_threads=1)
-                arrays = [np.array(x, np.int32) for x in ids]
-                spans = [encoder.spans(t.encode(), x) for t, x in zip(texts, arrays, strict=True)]
-                starts = pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
-                lists = [pa.ListArray.from_arrays(starts, pa.array(np.concatenate(x), pa.int32())) for x in (arrays, [b for b, _ in spans], [e for _, e in spans])]
+                made = encoder.encode(texts)
+                decoded = encoder.decoder.decode([ids.tolist() for ids, _, _ in made], num_threads=1)
+                starts = pa.array(np.cumsum([0, *(len(ids) for ids, _, _ in made)]), pa.int32())
+                lists = [pa.ListArray.from_arrays(starts, pa.array(np.concatenate(x), pa.int32())) for x in zip(*made, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *lists, pa.array(decoded, pa.string())], ["doc_id", "ids", "begins", "ends", "decoded"])
 
     kind = dict(docs.dtypes)["doc_id"]
