@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -27,8 +29,8 @@ WORD = re.compile(r"[^\W_]+")
 REPORTING = frozenset("said says wrote called quote quoted term word sagte schrieb nannte wort dit écrit appelé mot dijo escribió llamó palabra".split())
 ADDRESSING = frozenset("you your youre du dich dein ihr euch tu toi vous votre tú usted eres".split())
 QUOTES, STRAIGHT = ("“”", "„“", "«»", "‘’"), '"'
-#: Words whose match is remembered in each task before the memory is emptied.
-REMEMBERED = 1 << 20
+#: Words whose match is remembered in each task, and states of the automaton that are kept, before both are made anew.
+REMEMBERED, STATES = 1 << 20, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -68,6 +70,9 @@ class LexiconAutomaton:
         for node in reversed(range(len(self.children))):
             below = [self.budget[x] for x in self.children[node].values()]
             self.budget[node] = max([*below, *(terms[k].edits for k in self.ends[node])], default=0)
+        self._forget()
+
+    def _forget(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.items: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
@@ -120,6 +125,8 @@ class LexiconAutomaton:
         return to
 
     def match(self, word: str) -> tuple[int, int] | None:
+        if len(self.items) > STATES:
+            self._forget()
         at = self.start
         for c in word:
             to = self.steps[at].get(c)
@@ -136,17 +143,26 @@ class ToxicityModel:
     coefficients: list[float] = field(default_factory=lambda: [-3.0, 0.0, 0.0, 0.0])
 
 
-def context_score(text: str, start: int, end: int) -> float:
-    """1 for a plain hit; less inside quotation marks or after a word that reports speech; more where somebody is addressed."""
-    left, right = text[max(0, start - WINDOW) : start], text[end : end + WINDOW]
-    left, right = left.rpartition("\n")[2], right.partition("\n")[0]
-    opened = any(left.rfind(a) > left.rfind(b) and b in right for a, b in QUOTES)
-    opened |= left.count(STRAIGHT) % 2 == 1 and STRAIGHT in right
+def quotations(line: str) -> list[tuple[int, int]]:
+    """Where quotations begin and end in a line: marks of one kind in pairs, the straight ones by turns; one that does not end is none."""
+    spans = []
+    for opening, closing in QUOTES:
+        at = line.find(opening)
+        while at >= 0 and (end := line.find(closing, at + 1)) >= 0:
+            spans.append((at, end))
+            at = line.find(opening, end + 1)
+    marks = [m.start() for m in re.finditer(STRAIGHT, line)]
+    return spans + list(zip(marks[::2], marks[1::2], strict=False))
+
+
+def context_score(text: str, start: int, end: int, quoted: bool) -> float:
+    """1 for a plain hit; less inside a quotation or after a word that reports speech; more where somebody is addressed."""
+    left, right = text[max(0, start - WINDOW) : start].rpartition("\n")[2], text[end : end + WINDOW].partition("\n")[0]
     before, after = WORD.findall(left)[-8:], WORD.findall(right)[:8]
-    score = 0.2 if opened else 1.0
+    score = 0.2 if quoted else 1.0
     if not REPORTING.isdisjoint(before):
         score *= 0.5
-    elif not ADDRESSING.isdisjoint(before + after) and not opened:
+    elif not ADDRESSING.isdisjoint(before + after) and not quoted:
         score *= 1.5
     return score
 
@@ -170,7 +186,20 @@ class Scorer:
                 found[w] = memory[w]
         if not found:
             return []
-        return [(*found[m[0]], context_score(text, m.start(), m.end())) for m in WORD.finditer(text) if m[0] in found]
+        out, at, line_end, spans = [], 0, -1, []
+        for m in WORD.finditer(text):
+            if m[0] not in found:
+                continue
+            if m.start() > line_end:  # the quotations of the hit's line, once for each line
+                at = text.rfind("\n", 0, m.start()) + 1
+                line_end = text.find("\n", m.start())
+                line_end = len(text) if line_end < 0 else line_end
+                spans = sorted(quotations(text[at:line_end]))
+                starts = [s for s, _ in spans]
+                ends = list(accumulate((e for _, e in spans), max))
+            k = bisect(starts, m.start() - at) - 1
+            out.append((*found[m[0]], context_score(text, m.start(), m.end(), k >= 0 and ends[k] >= m.end() - at)))
+        return out
 
     def features(self, text: str | None) -> tuple[list[float], list[tuple[int, int, float]]]:
         hits = self.hits(text or "")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuskiln.llm import toxicity
-from corpuskiln.llm.toxicity import LexiconAutomaton, Term, context_score
+from corpuskiln.llm.toxicity import LexiconAutomaton, Scorer, Term, ToxicityModel
 
 
 def distance(a, b):
@@ -35,13 +35,32 @@ def test_automaton_equals_edit_distance():
 
 def test_context():
     plain = "they are all idiot here"
-    score = lambda t: context_score(t, t.index("idiot"), t.index("idiot") + 5)
+    scorer = Scorer(ToxicityModel([Term("idiot", False, 1.0)]))
+    score = lambda t: scorer.hits(t)[0][2]
     assert score(plain) == 1.0
     assert score('he "is an idiot they" think') == 0.2
     assert score("he „so idiot ja“ x") == 0.2
     assert score("she said idiot") == 0.5
     assert score("you idiot") == 1.5
     assert score('"closed" then idiot') == 1.0
+    far = "so " * 60
+    assert score(f'he “{far}idiot {far}” x') == score(f'“a «b» {far}idiot {far}”') == 0.2
+    assert score(f'"one" {far}"two" idiot "three"') == 1.0
+    assert score('"open\nidiot" x') == 1.0
+
+
+def test_states_are_bounded(monkeypatch):
+    import corpuskiln.llm.toxicity as toxicity
+
+    monkeypatch.setattr(toxicity, "STATES", 50)
+    rng = random.Random(3)
+    automaton = LexiconAutomaton([Term("dunghead", False, 1.0), Term("vermin", True, 1.0)])
+    fresh = LexiconAutomaton(automaton.terms)
+    for _ in range(400):
+        word = "".join(rng.choice("vermindughea") for _ in range(rng.randint(1, 12)))
+        fresh._forget()
+        assert automaton.match(word) == fresh.match(word)
+        assert len(automaton.items) <= 50 + len(word) + 1
 
 
 def corpus(spark, n=900):
