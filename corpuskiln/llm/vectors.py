@@ -156,26 +156,36 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, column: str = "embeddin
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell, angle = [], []
-            for v in batch.column(0).to_pylist():
-                if len(v) in centres:
-                    cosines = centres[len(v)] @ unit(np.array([v]))[0]
-                    cell.append(int(cosines.argmax()))
-                    angle.append(float(np.arccos(min(1.0, max(-1.0, cosines.max())))))
-                else:
-                    cell.append(-1)
-                    angle.append(np.pi)
+            rows = batch.column(0).to_pylist()
+            cell, angle, by_dim = np.full(len(rows), -1), np.full(len(rows), np.pi), {}
+            for i, v in enumerate(rows):
+                by_dim.setdefault(len(v), []).append(i)
+            for d, at in by_dim.items():
+                if d in centres:
+                    cosines = unit(np.array([rows[i] for i in at])) @ centres[d].T
+                    cell[at], angle[at] = cosines.argmax(axis=1), np.arccos(np.clip(cosines.max(axis=1), -1.0, 1.0))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(cell, pa.int32()), pa.array(angle, pa.float64())], ["vector", "cid", "n", "cell", "angle"])
 
     placed = classes.select("vector", "cid", "n").mapInArrow(place, "vector array<double>, cid long, n long, cell int, angle double").withColumn("size", F.size("vector"))
     placed = materialize(placed, "cells")
     cells = placed.groupBy("size", "cell").agg(F.count(F.lit(1)).alias("rows"), F.max("angle").alias("reach"))
-    known = {(r["size"], r["cell"]): (-(-r["rows"] // BLOCK), r["reach"]) for r in cells.collect()}  # at most CELLS and one for each dimension
+    found = cells.collect()  # at most CELLS and one for each dimension
+    known = {(r["size"], r["cell"]): (-(-r["rows"] // BLOCK), r["reach"]) for r in found}
+    sizes = [((r["size"], r["cell"]), -(-r["rows"] // BLOCK), r["rows"]) for r in found]
     limit, partners = float(np.arccos(least)) + 1e-6, []
     for (d, p), (blocks, reach) in sorted(known.items()):
         for (d2, q), (other, far) in sorted(known.items()):
             if d == d2 and p <= q and (p == q or min(p, q) < 0 or np.arccos(np.clip(centres[d][p] @ centres[d][q], -1, 1)) - reach - far <= limit):
                 partners.append((d, p, q, blocks, other))
+    # where cells rule out too little, plain blocks of all vectors of a dimension are fewer copies of each
+    counts = {k: (b, n) for k, b, n in sizes}
+    for d in {d for d, _ in known}:
+        rows_of = sum(n for (e, _), (_, n) in counts.items() if e == d)
+        copies = sum(counts[d, p][1] * o + (counts[d, q][1] * b if p != q else 0) for e, p, q, b, o in partners if e == d)
+        whole = -(-rows_of // BLOCK)
+        if rows_of * whole <= copies:
+            placed = placed.withColumn("cell", F.when(F.col("size") == d, F.lit(-1)).otherwise(F.col("cell")))
+            partners = [x for x in partners if x[0] != d] + [(d, -1, -1, whole, whole)]
     spark = vectors.sparkSession
     pairs = F.broadcast(spark.createDataFrame(partners, "size int, p int, q int, p_blocks int, q_blocks int"))  # at most CELLS squared for each dimension
     block = lambda n: F.pmod(F.xxhash64(F.lit(5), "cid"), F.col(n)).cast("int")
