@@ -77,6 +77,32 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4 where each page links to the next of its group of five: pages without a rule of their own take a block from their aliases."""
+    from corpuskiln.llm.urls import judge_urls, url_key
+
+    pages = table(spark, sf_dir, "pages")
+    keyed = pages.where(F.col("url").contains("://")).select("page_id", url_key(F.col("url")).alias("key"))
+    after = keyed.select((F.col("page_id") - 1).alias("page_id"), F.col("key").alias("dst"))
+    edges = keyed.where("page_id % 5 <> 4").join(after, "page_id").select(F.col("key").alias("src"), "dst")
+    return judge_urls(pages, [r for r in URL_RULES if r[0] != "org"], edges=edges)
+
+
+_RULES = r"""p as (select page_id, coalesce(url, '') as url from pages),
+h as (select page_id, url, lower(regexp_extract(url, '://([^/?#]*)', 1)) as host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from p),
+r(host, path, verdict) as (values ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+m as (select h.page_id, h.url, h.host, h.path, r.host || r.path as rule, r.verdict, row_number() over (partition by h.page_id order by length(r.host || r.path) desc nulls last) as no
+      from h left join r on (h.host = r.host or ends_with(h.host, '.' || r.host)) and starts_with(h.path, r.path)),
+k as (select page_id, host, path, rule, verdict, case when contains(url, '://') then host || chr(1) || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) end as node from m where no = 1)"""
+SQL_URL_ALIASES = f"""
+with recursive {_RULES},
+l as (select a.node as x, b.node as y from k a join k b on b.page_id = a.page_id + 1 and a.page_id % 5 <> 4 where a.node <> b.node),
+e as (select x, y from l union select y, x from l),
+t(node, reached) as (select distinct node, node from k where node is not null union select t.node, e.y from t join e on e.x = t.reached),
+b as (select distinct t.node from t join k on k.node = t.reached where k.verdict = 'block')
+select page_id, host, path, rule, coalesce(verdict, case when k.node in (select node from b) then 'block' end, 'allow') as verdict from k
+"""
+
 SQL_OP4 = r"""
 with p as (select page_id, coalesce(url, '') as url from pages),
 h as (select page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) as host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from p),
@@ -101,6 +127,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes"),
+        F.xxhash64("begins", "ends").alias("spans_hash"),
     )
 
 
@@ -197,8 +224,8 @@ from c left join n on n.vec_id = c.vec_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op6_substring_dedup, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors)}
+    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op6_substring_dedup, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors, url_aliases)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": SQL_OP1, "op4_url_filter": SQL_OP4, "op6_substring_dedup": SQL_OP6, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10}
+    return {"op1_chat_format": SQL_OP1, "op4_url_filter": SQL_OP4, "url_aliases": SQL_URL_ALIASES, "op6_substring_dedup": SQL_OP6, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10}

@@ -12,8 +12,8 @@ from corpuskiln.llm.components import connected_components
 
 #: host, path, verdict
 Rule = tuple[str, str, str]
-#: Rules are written into the expression; longer lists than this are refused.
-MAX_RULES = 2000
+#: Up to so many rules are written into the expression; longer lists join the suffixes of hosts.
+FEW_RULES = 200
 
 
 def url_host(url: Column) -> Column:
@@ -28,8 +28,6 @@ def url_path(url: Column) -> Column:
 
 def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     """Struct of the longest fitting rule (rule, verdict), null if none; of equal lengths, allow comes before block."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
     if not rules:
         return F.lit(None).cast("struct<rule:string,verdict:string>")
     ordered = sorted(rules, key=lambda r: (-len(r[0] + r[1]), r[2] != "allow", r))
@@ -41,15 +39,32 @@ def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
+def with_best_rule(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``rows`` (host, path and others) with ``best``, as ``best_rule`` gives it, whatever the number of rules.
+
+    A long list meets the distinct hosts and paths by the suffixes of the host, of which a host has as many as labels.
+    """
+    if len(rules) <= FEW_RULES:
+        return rows.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
+    listed = rows.sparkSession.createDataFrame(rules, "suffix string, start string, verdict string")
+    labels = F.split("host", r"\.", -1)
+    suffixes = F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
+    met = rows.select("host", "path").distinct().withColumn("suffix", F.explode(suffixes)).join(listed, "suffix").where(F.col("path").startswith(F.col("start")))
+    rule = F.concat("suffix", "start")
+    order = F.struct(-F.length(rule), F.col("verdict") != "allow", "suffix", "start")
+    found = met.groupBy("host", "path").agg(F.min_by(F.struct(rule.alias("rule"), "verdict"), order).alias("best"))
+    return rows.join(found, ["host", "path"], "left")
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
-    """Edges (src, dst) from each page's url to its canonical link and to the target of a refresh redirect.
+    """Edges (src, dst) from each page's url to all of its canonical links and targets of refresh redirects.
 
     Relative targets are resolved against the page's ``<base href>``, if it has one, and its url; links to itself are left out.
     """
     html = F.coalesce("html", F.lit(""))
-    canonical = F.regexp_extract(html, r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    refresh = F.regexp_extract(html, r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    targets = F.filter(F.array(canonical, refresh), lambda x: x != "")
+    canonical = F.regexp_extract_all(html, F.lit(r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"), F.lit(1))
+    refresh = F.regexp_extract_all(html, F.lit(r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)"), F.lit(1))
+    targets = F.array_union(canonical, refresh)
     base = F.regexp_extract(html, r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
     found = pages.where(F.col("url").contains("://") & (F.size(targets) > 0)).select("url", F.coalesce(resolve(F.col("url"), base), "url").alias("base"), F.explode(targets).alias("to"))
     found = found.select(url_key(F.col("url")).alias("src"), url_key(resolve(F.col("base"), F.col("to"))).alias("dst"))
@@ -97,14 +112,15 @@ def judge_urls(pages: DataFrame, rules: list[Rule], edges: DataFrame | None = No
     ``://`` have an empty host and path and no aliases; repeated rows are judged alike; no rows give no rows.
     """
     url = F.col("url")
-    judged = pages.select("page_id", url, url_host(url).alias("host"), url_path(url).alias("path")).withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
-    judged = judged.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("own"), F.when(url.contains("://"), url_key(url)).alias("node"))
+    judged = with_best_rule(pages.select("page_id", url, url_host(url).alias("host"), url_path(url).alias("path")), rules)
+    alone = F.concat(F.lit("\x01"), F.xxhash64("page_id", "url").cast("string"))  # no node, and not all in one partition
+    judged = judged.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("own"), F.when(url.contains("://"), url_key(url)).otherwise(alone).alias("node"))
     edges = materialize((link_edges(pages) if edges is None else edges).distinct(), "links")
     if edges.isEmpty():
         return judged.select("page_id", "host", "path", "rule", F.coalesce("own", F.lit(default)).alias("verdict"))
     members = materialize(connected_components(edges, name="aliases"), "aliases")
     at = F.concat(F.lit("x://"), F.regexp_replace("node", "\x00", ""))
-    fate = members.withColumn("v", best_rule(url_host(at), url_path(at), rules)["verdict"])
-    blocked = fate.groupBy("component").agg(F.max(F.coalesce(F.col("v") == "block", F.lit(False))).alias("tainted")).where("tainted").select("component")
+    fate = with_best_rule(members.select("component", url_host(at).alias("host"), url_path(at).alias("path")), rules).where("best.verdict = 'block'")
+    blocked = fate.select("component").distinct()
     tainted = members.join(blocked, "component", "left_semi").select("node", F.lit("block").alias("alias"))
     return judged.join(tainted, "node", "left").select("page_id", "host", "path", "rule", F.coalesce("own", "alias", F.lit(default)).alias("verdict"))

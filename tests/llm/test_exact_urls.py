@@ -125,3 +125,21 @@ def test_components_equal_brute_force(spark):
             parent[b] = a
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_long_lists_judge_as_short_ones(spark, monkeypatch):
+    rng = random.Random(9)
+    hosts, paths = ["org", "a.org", "b.a.org", "com", "x.com", ""], ["/", "/a", "/a/b", "/b", ""]
+    rules = sorted({(rng.choice(hosts), rng.choice(paths), rng.choice(["allow", "block"])) for _ in range(40)})
+    rows = [(i, f"http://{rng.choice(['', 'b.', 'a.'])}{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', '/c', '?q'])}", None) for i in range(120)] + [(999, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = lambda: sorted(map(str, urls.judge_urls(df, rules).collect()))
+    short = got()
+    monkeypatch.setattr(urls, "FEW_RULES", 0)
+    assert got() == short
+
+
+def test_every_link_of_a_page_counts(spark):
+    html = "<link rel=canonical href='http://y.com/1'><link rel='canonical' href='http://x.com/de/1'>"
+    got = judged(spark, [(1, "http://y.com/0", html), (2, "http://y.com/1", None), (3, "http://y.com/2", None)])
+    assert {k: v[3] for k, v in got.items()} == {1: "block", 2: "block", 3: "allow"}
