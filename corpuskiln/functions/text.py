@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -102,6 +104,38 @@ def output_path(path: Column) -> Column:
     return F.regexp_replace(path, r"(\.[^./\\]+)\z", ".zh$1")
 
 
+#: Items of an inner fold of ``fold_items``; an append copies an array of at most so many items.
+FOLD_ITEMS = 256
+
+
+def fold_items(items: Column, at: Column, none: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]]) -> Column:
+    """The array of what a fold over ``items`` gives out; null for null.
+
+    ``step(at, item)`` is the next state, whether something is given out, and what; ``none`` is the empty array of it. Items are
+    folded in blocks, whose results are put together at the end, so the work grows with their number and not with its square.
+    """
+
+    def one(acc: Column, x: Column) -> Column:
+        state, given, value = step(acc["at"], x)
+        return F.struct(state.alias("at"), F.when(given, F.array_append(acc["out"], value)).otherwise(acc["out"]).alias("out"))
+
+    def block(acc: Column, x: Column) -> Column:
+        folded = F.aggregate(x, F.struct(acc["at"].alias("at"), none.alias("out")), one)
+        return bound(folded, lambda f: F.struct(f["at"].alias("at"), F.array_append(acc["out"], f["out"]).alias("out")))
+
+    def whole(all_items: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor(F.greatest(F.size(all_items) - 1, F.lit(0)) / FOLD_ITEMS).cast("int"))
+        blocks = F.transform(starts, lambda i: F.slice(all_items, i * FOLD_ITEMS + 1, F.lit(FOLD_ITEMS)))
+        return F.flatten(F.aggregate(blocks, F.struct(at.alias("at"), F.slice(F.array(none), 1, 0).alias("out")), block, lambda acc: acc["out"]))
+
+    return bound(items, whole)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def find_all(c: Column, pattern: Column | str) -> Column:
     """Array of (start, end, text) of every match, in code points, from the pieces between matches."""
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
@@ -109,12 +143,12 @@ def find_all(c: Column, pattern: Column | str) -> Column:
     both = F.zip_with(F.slice(F.split(c, pattern, -1), 1, F.size(hits)), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
     none = F.expr("cast(array() as array<struct<start:int,end:int,text:string>>)")
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
+    def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+        start = at + x["gap"]
         end = start + F.length(x["hit"])
-        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("text"))).alias("out"))
+        return end, F.lit(True), F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("text"))
 
-    return F.aggregate(both, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    return fold_items(both, F.lit(0), none, step)
 
 
 def phrase_pattern(phrase: Column) -> Column:

@@ -109,3 +109,19 @@ def test_forms_and_rules(spark):
     m = matching.find_terms(docs, glossary.active_terms(make_terms(spark, FIELD)))
     assert [(r["matched_text"], r["n"]) for r in matching.form_counts(m).orderBy("form_no").collect()] == [("Field", 3), ("field", 2), ("FIELD", 1)]
     assert {(r["doc_id"], r["matched_text"]) for r in matching.unique_rules(m).collect()} == {(1, "field"), (2, "Field")}
+
+
+def test_more_matches_than_a_block_of_the_fold(spark):
+    texts = [(n, "é" + "ab, " * n) for n in (0, 1, 255, 256, 257, 1000)] + [(9, None)]
+    out = spark.createDataFrame(texts, "n int, text string").select("n", find_all(F.col("text"), "ab").alias("m")).collect()
+    got = {r["n"]: None if r["m"] is None else [(x["start"], x["end"], x["text"]) for x in r["m"]] for r in out}
+    assert got == {n: None if t is None else [(1 + 4 * i, 3 + 4 * i, "ab") for i in range(n)] for n, t in texts}
+    rows = [("a b", "1", ["*"]), ("b", "2", ["*"])]
+    assert [g[:3] for g in found(spark, "a b b " * 700, rows, general=True)] == [m for i in range(0, 4200, 6) for m in ((i, i + 3, "a b"), (i + 4, i + 5, "b"))]
+
+
+@pytest.mark.parametrize("general", [False, True])
+def test_phrases_without_an_ascii_word(spark, general):
+    rows = [("环", "1", ["*"]), ("环 面", "2", ["*"]), ("😀", "3", ["*"]), ("É", "4", ["*"]), ("§", "5", ["*"])]
+    assert [g[:3] for g in found(spark, "x 环\n面 é😀 a§", rows, general=general)] == [(2, 5, "环 面"), (6, 7, "É"), (7, 8, "😀")]
+    assert found(spark, "", rows, general=general) == [] and found(spark, "plain words", rows, general=general) == []
