@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,14 +46,23 @@ def visit_parts(parts: Column, **rates: int) -> Column:
     """Flatten typed parts, in order: text is escaped, an attachment becomes the placeholder ``<|kind|>``.
 
     A struct of ``body``, ``attachments`` (ordinal, kind, ref, tokens) and ``expanded_tokens``. Parts of an unknown or
-    null type count as text; null parts and null texts are empty.
+    null type count as text; null parts and null texts are empty. Texts side by side are escaped as one, so that no
+    control string comes about where they meet.
     """
-    parts = F.filter(F.coalesce(parts, F.expr(f"cast(array() as {PART_SCHEMA})")), lambda p: p.isNotNull())
     attached = lambda p: F.coalesce(p["type"].isin(*ATTACHMENTS), F.lit(False))
-    body = F.transform(parts, lambda p: F.when(attached(p), F.concat(F.lit("<|"), p["type"], F.lit("|>"))).otherwise(escape(F.coalesce(p["text"], F.lit("")))))
-    found = F.transform(F.filter(parts, attached), lambda p, i: F.struct((i + 1).cast("int").alias("ordinal"), p["type"].alias("kind"), p["ref"].alias("ref"), part_tokens(p, **rates).alias("tokens")))
-    spent = F.aggregate(found, F.lit(0).cast("long"), lambda a, x: a + x["tokens"])
-    return F.struct(F.array_join(body, "").alias("body"), found.alias("attachments"), spent.alias("expanded_tokens"))
+
+    def visit(parts: Column) -> Column:
+        places = F.array_compact(F.transform(parts, lambda p, i: F.when(attached(p), i + 1)))
+        run = lambda start, stop: F.transform(F.slice(parts, start + 1, stop - start - 1), lambda p: F.coalesce(p["text"], F.lit("")))
+        placeholder = lambda at: F.when(at > 0, F.concat(F.lit("<|"), F.try_element_at(parts, at)["type"], F.lit("|>"))).otherwise("")
+        starts, stops = F.concat(F.array(F.lit(0)), places), F.concat(places, F.array(F.size(parts) + 1))
+        body = F.zip_with(starts, stops, lambda start, stop: F.concat(placeholder(F.nullif(start, F.lit(0))), escape(F.array_join(run(start, stop), ""))))
+        found = F.transform(F.filter(parts, attached), lambda p, i: F.struct((i + 1).cast("int").alias("ordinal"), p["type"].alias("kind"), p["ref"].alias("ref"), part_tokens(p, **rates).alias("tokens")))
+        spent = F.aggregate(found, F.lit(0).cast("long"), lambda a, x: a + x["tokens"])
+        return F.struct(F.array_join(body, "").alias("body"), found.alias("attachments"), spent.alias("expanded_tokens"))
+
+    parts = F.filter(F.coalesce(parts, F.expr(f"cast(array() as {PART_SCHEMA})")), lambda p: p.isNotNull())
+    return F.transform(F.array(parts), visit)[0]  # the filtered array is worked out once
 
 
 def text_part(text: Column) -> Column:
@@ -88,18 +99,39 @@ def format_conversations(turns: DataFrame, parts: str = "parts", loss_roles: tup
     )
 
 
-def read_turns(formatted: Column) -> Column:
-    """The array of (role, text) that a formatted conversation holds, unescaped."""
+def _turns(formatted: Column, read: Callable[[Column], Column]) -> Column:
     pieces = F.split(formatted, r"<\|im_start\|>")
     pieces = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
 
     def turn(p: Column) -> Column:
         role = F.substring_index(p, "\n", 1)
         skip = F.length(role) + 1
-        return F.struct(unescape_role(role).alias("role"), unescape(p.substr(skip + 1, F.length(p) - skip - len(END) - 1)).alias("text"))
+        return F.struct(unescape_role(role).alias("role"), read(p.substr(skip + 1, F.length(p) - skip - len(END) - 1)))
 
     return F.transform(pieces, turn)
 
 
+def read_turns(formatted: Column) -> Column:
+    """The array of (role, text) that a formatted conversation holds, unescaped; placeholders stand in the text as they are."""
+    return _turns(formatted, lambda body: unescape(body).alias("text"))
+
+
+def read_typed_turns(formatted: Column) -> Column:
+    """The array of (role, parts) that a formatted conversation holds, with its parts as ``read_parts`` gives them."""
+    return _turns(formatted, lambda body: read_parts(body).alias("parts"))
+
+
+def read_parts(body: Column) -> Column:
+    """The parts (type, text) of a turn's body as it stands in the formatted text.
+
+    Escaped texts hold no ``<|``, so a placeholder is told from the same signs in a text. An attachment has a null text; its reference stands in ``attachments``
+    in the same order. Texts side by side come back as one, and empty texts are left out.
+    """
+    kinds = "|".join(ATTACHMENTS)
+    found = F.regexp_extract_all(body, F.lit(rf"<\|(?:{kinds})\|>|(?s:(?:[^<]|<(?!\|))++)"), F.lit(0))
+    kind = lambda x: F.regexp_extract(x, rf"\A<\|({kinds})\|>\z", 1)
+    return F.transform(found, lambda x: F.struct(F.when(kind(x) == "", "text").otherwise(kind(x)).alias("type"), F.when(kind(x) == "", unescape(x)).alias("text")))
+
+
 def read_loss_texts(formatted: Column, spans: Column) -> Column:
     return F.transform(spans, lambda s: unescape(formatted.substr((s["start"] + 1).cast("int"), s["len"].cast("int"))))
