@@ -239,7 +239,10 @@ def _bucketed(docs: DataFrame) -> DataFrame:
     # every task writes a part of each bucket; far more tasks than buckets are dealt out by bucket first
     parts = source.repartition(buckets, "doc") if source.rdd.getNumPartitions() > 4 * 64 else source
     parts.write.bucketBy(buckets, "doc").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    found = spark.table(name)
+    found.schema  # resolved here; the files stay, and only the name leaves the catalog
+    spark.sql(f"drop table {name}")
+    return found
 
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -87,3 +87,15 @@ def test_equal_windows_have_equal_anchors():
                 window = tuple(words[at + k : at + k + W])
                 assert seen.setdefault(window, a) == a
     assert np.array_equal(pieces(memory.of(words[:W]))[2], [0])
+
+
+def test_no_table_stays_in_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    out = remove_repeats(spark.createDataFrame(corpus(4, 20, 30), "doc_id long, text string"))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    out.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = out.select("*")._jdf.queryExecution().toString()
+    finally:
+        out.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert out.count() == 20 and "Bucketed: true" in plan  # a join by doc does not move texts
