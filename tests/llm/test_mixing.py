@@ -1,9 +1,40 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from corpuskiln.llm.mixing import fit, mix_sources, mixed_documents
 
 
+def plain_mix(rows, weights=(1, 2, 3), most=3):
+    """Per source of (source, text) rows: its size, its target, whole repeats, and how near its taken words can come to the rounded target."""
+    sizes = {}
+    for source, text in rows:
+        sizes.setdefault(source, []).append(len(re.findall(r"[^\x20\x09-\x0D]+", text or "")))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    cap = {s: most * sum(sizes[s]) for s in order}
+    target, free, rest = {}, set(order), sum(map(sum, sizes.values()))
+    while free:
+        share = {s: rest * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > cap[s]}
+        if not over:
+            target |= share
+            break
+        target |= {s: float(cap[s]) for s in over}
+        rest, free = rest - sum(cap[s] for s in over), free - over
+    out = {}
+    for s in order:
+        whole = sum(sizes[s])
+        epochs = min(most, int(target[s] // whole)) if whole else 0
+        sums = 1  # bit k: some documents sum up to k
+        for n in sizes[s] if epochs < most else []:
+            sums |= sums << n
+        left = round(target[s]) - epochs * whole
+        out[s] = (whole, target[s], epochs, min(abs(k - left) for k in range(sums.bit_length()) if sums >> k & 1))
+    return out
+
+
 def test_fit_reaches_the_budget():
     rng = np.random.default_rng(3)
     for _ in range(60):

@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import duckdb
 import pytest
@@ -50,14 +51,27 @@ def test_toxicity_rows(spark):
         assert r["held_out"] == (crc32(str(r["doc_id"]).encode()) % 3 == 1) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7)
 
 
-def test_mixing_rows(spark):
-    rows = queries.op2_mix_sources(spark, SF).collect()
-    assert len(rows) == 200 and all(r["taken"] <= 3 * r["size"] for r in rows)
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_mixing_equals_brute_force(spark, sf):
+    from tests.llm.test_mixing import plain_mix
+
+    docs = {r["doc_id"]: (r["source"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.op2_mix_sources(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for source, (whole, target, epochs, distance) in plain_mix(docs.values()).items():
+        own = [r for r in rows if docs[r["doc_id"]][0] == source]
+        assert {r["source_size"] for r in own} == {whole} and all(abs(r["target"] - target) < 1e-6 * max(1, target) for r in own)
+        assert abs(sum(r["taken"] for r in own) - round(target)) == distance
+        assert all(r["taken"] == r["size"] * r["copies"] and r["copies"] in (epochs, epochs + 1) and r["copies"] <= 3 for r in own)
 
 
 def test_pipeline_equals_its_stages_by_brute_force(spark):
     """Every stage from the rows of the one before it, told anew in plain Python."""
+    import public_tokenizers
+    import sentencepiece
+
     from tests.llm.test_bagminhash import brute_force
+    from tests.llm.test_mixing import plain_mix
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     seen, columns = [docs.collect()], docs.columns
@@ -76,9 +90,12 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     groups = brute_force([(r["doc_id"], r["text"]) for r in exact])
     assert {r["doc_id"] for r in near} == {i for i, g in groups.items() if i == g}
     assert {r["doc_id"] for r in mixed} <= {r["doc_id"] for r in near} and len(mixed) > 0
-    size = lambda rows: sum(len((r["text"] or "").split()) for r in rows)
-    assert size(mixed) <= 3 * size(near)
-    assert sorted(r["doc_id"] for r in pieces) == sorted(r["doc_id"] for r in mixed)
+    for source, (_, target, epochs, distance) in plain_mix([(r["source"], r["text"]) for r in near]).items():
+        own = [r for r in mixed if r["source"] == source]
+        assert abs(sum(len((r["text"] or "").split()) for r in own) - round(target)) == distance
+        assert all(Counter(r["doc_id"] for r in own)[r["doc_id"]] in (epochs, epochs + 1) for r in near if r["source"] == source)
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    assert sorted((r["doc_id"], r["ids"]) for r in pieces) == sorted((r["doc_id"], library.encode(r["text"] or "")) for r in mixed)
     assert corpus_pipeline.ORACLE_SQL is None
 
 
