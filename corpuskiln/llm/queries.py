@@ -60,6 +60,23 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 2 aims at: sizes, the size of the source and its target, without the choice of documents."""
+    return op2_mix_sources(spark, sf_dir).select("doc_id", "size", "source_size", "target")
+
+
+# sources in the order in which a rising level of words per weight meets their caps: the first whose cap lies above the level of those that are left fixes it
+SQL_MIX_TARGETS = r"""
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size from documents),
+s as (select source, sum(size)::bigint as n, 3.0::double * sum(size) as cap, 1 + (row_number() over (order by source nulls last) - 1) % 3 as w from d group by source),
+o as (select *, sum(n) over ()::double as total, coalesce(sum(cap) over (order by cap / w, source rows between unbounded preceding and 1 preceding), 0) as used,
+             sum(w) over (order by cap / w, source rows between current row and unbounded following)::double as others from s),
+l as (select min_by((total - used) / others, cap / w) as level from o where w * ((total - used) / others) < cap)
+select d.doc_id, d.size, s.n as source_size, coalesce(least(s.w * l.level, s.cap), s.cap) as target
+from d join s on d.source is not distinct from s.source cross join l
+"""
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored; the model is fitted on labelled rows that are not held out."""
     from corpuskiln.llm import toxicity
@@ -224,8 +241,8 @@ from c left join n on n.vec_id = c.vec_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op6_substring_dedup, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors, url_aliases)}
+    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op6_substring_dedup, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors, url_aliases, mix_targets)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": SQL_OP1, "op4_url_filter": SQL_OP4, "url_aliases": SQL_URL_ALIASES, "op6_substring_dedup": SQL_OP6, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10}
+    return {"op1_chat_format": SQL_OP1, "mix_targets": SQL_MIX_TARGETS, "op4_url_filter": SQL_OP4, "url_aliases": SQL_URL_ALIASES, "op6_substring_dedup": SQL_OP6, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10}
