@@ -20,6 +20,8 @@ SAMPLE, FREQUENT = 8192, 8
 SALTS = 64
 #: Pieces that one automaton holds, about.
 SHARD = 2000
+#: Rows of pieces that are judged together, about; a key is never cut.
+JUDGED = 1 << 20
 #: Bytes of Parquet in a bucket of the working table.
 BUCKET_BYTES = 16 << 20
 FOUND, OPEN = 1, 2
@@ -130,14 +132,34 @@ def _cut(frequent: np.ndarray, repeated: np.ndarray):
     return run
 
 
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """State of the pieces of one partition: FOUND if a smaller document has the piece, OPEN if others share its anchor only.
+def _judge(shard: int, judged: int = JUDGED):
+    """State of pieces that come by key: FOUND if a smaller document has the piece, OPEN if others share its anchor only.
 
-    Frequent pieces come in parts, so the first of each part is OPEN. All pieces of a key are in one partition.
+    Frequent pieces come in parts, so the first of each part is OPEN. A key is judged whole; about ``judged`` rows are held at a time.
     """
-    parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
-    if not parts:
-        return
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        rows = 0
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            key = columns[0]
+            if not len(key):
+                continue
+            changes = np.flatnonzero(key[1:] != key[:-1]) + 1
+            cut = int(changes[-1]) if len(changes) else 0
+            if rows + cut >= judged and (cut or (held and held[-1][0][-1] != key[0])):
+                yield _states([*held, [c[:cut] for c in columns]], shard)
+                held, rows, columns = [], 0, [c[cut:] for c in columns]
+            held.append(columns)
+            rows += len(columns[0])
+        if held:
+            yield _states(held, shard)
+
+    return run
+
+
+def _states(parts: list[list[np.ndarray]], shard: int) -> pa.RecordBatch:
     key, content, doc, place = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((doc, content, key))
     key, content, doc, place = (x[order] for x in (key, content, doc, place))
@@ -148,11 +170,13 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at, group = np.flatnonzero(new_key), np.cumsum(new_key) - 1
     shared = (np.maximum.reduceat(doc, at) != np.minimum.reduceat(doc, at)) & (np.add.reduceat(new.astype(np.int64), at) > 1)
     state = np.where(doc > first, FOUND, np.where(shared[group] | often, OPEN, 0))
+    crowded = np.add.reduceat((state == OPEN).astype(np.int64), at) > shard  # more than one automaton should hold: window by window
+    often |= crowded[group]
     some = state > 0
     columns = (doc, np.where(often, -1, key), place >> 36, place >> 5 & 0x7FFFFFFF, place >> 1 & 15, state, often)
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
     names = [c.split()[0] for c in STATES.split(", ")]
-    yield pa.RecordBatch.from_arrays([pa.array(c[some]).cast(k) for c, k in zip(columns, kinds, strict=True)], names)
+    return pa.RecordBatch.from_arrays([pa.array(c[some]).cast(k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 STATES = "doc long, key long, row int, start int, windows int, state int, frequent boolean"
@@ -188,8 +212,8 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[k]) for c, (_, k) in zip(zip(*rows, strict=True), names, strict=True)], [n for n, _ in names])
 
 
-def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by key: whole keys are gathered to shards, and each document's pieces meet the automaton of the smaller ones."""
+def _match(most: int):
+    """Rows come by key: whole keys are gathered to shards of ``most`` pieces or a little more, and each document's pieces meet the automaton of the smaller ones."""
 
     def spans(shard: list[tuple]) -> list[tuple]:
         automaton, waiting, out, last = SuffixAutomaton(), [], [], None
@@ -209,18 +233,21 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting.append(words)
         return out
 
-    shard: list[tuple] = []
-    last = None
-    for batch in batches:
-        for key, *rest in zip(*(batch.column(c).to_pylist() for c in ("key", "doc", "row", "start", "words")), strict=True):
-            if key != last and len(shard) >= SHARD:
-                if found := spans(shard):
-                    yield _batch(found, SPANS)
-                shard = []
-            last = key
-            shard.append(tuple(rest))
-    if found := spans(shard):
-        yield _batch(found, SPANS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard: list[tuple] = []
+        last = None
+        for batch in batches:
+            for key, *rest in zip(*(batch.column(c).to_pylist() for c in ("key", "doc", "row", "start", "words")), strict=True):
+                if key != last and len(shard) >= most:
+                    if found := spans(shard):
+                        yield _batch(found, SPANS)
+                    shard = []
+                last = key
+                shard.append(tuple(rest))
+        if found := spans(shard):
+            yield _batch(found, SPANS)
+
+    return run
 
 
 def _bucketed(docs: DataFrame) -> DataFrame:
@@ -245,7 +272,7 @@ def _bucketed(docs: DataFrame) -> DataFrame:
     return found
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """The working table (doc, row, text), and per doc_id the spans of words that smaller documents have: doc, spans."""
     table = _bucketed(docs)
     total = table.where("doc is not null").count()
@@ -259,12 +286,12 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     frequent = often(sample.mapInArrow(_cut(none, none), CUT))
     repeated = often(sample.mapInArrow(_cut(frequent, none), CUT).where(F.col("place").bitwiseAND(1) == 1)) if len(frequent) else none
-    states = table.mapInArrow(_cut(frequent, repeated), CUT).repartition("key").mapInArrow(_judge, STATES)
+    states = table.mapInArrow(_cut(frequent, repeated), CUT).repartition("key").sortWithinPartitions("key").mapInArrow(_judge(shard), STATES)
     per_doc = materialize(states.groupBy("doc").agg(F.collect_list(F.struct(*(c for c in states.columns if c != "doc"))).alias("states")), "states")  # at most the pieces of one document
     waiting = per_doc.select("doc", F.filter("states", lambda s: s["state"] == OPEN).alias("states")).where(F.size("states") > 0)
     opened = table.join(waiting, "doc").select("doc", "row", "text", "states").mapInArrow(_open_pieces, PIECES)
     opened = materialize(opened, "pieces")
-    matched = opened.where("not frequent").repartition("key").sortWithinPartitions("key").mapInArrow(_match, SPANS)
+    matched = opened.where("not frequent").repartition("key").sortWithinPartitions("key").mapInArrow(_match(shard), SPANS)
     windows = opened.where("frequent")
     smallest = windows.groupBy("words").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("most > least").select("words", "least")
     whole = windows.join(smallest, "words").where("doc > least").select("doc", "row", "start", F.lit(WINDOW).alias("size"))
@@ -275,7 +302,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return table, both.select("doc", F.concat("early", F.coalesce("late", nothing)).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """Columns doc_id, n_words, n_removed and kept (the words that stay, joined by one space), one row per row of ``docs``.
 
     Words stand between ASCII white space. A word goes if a window of ``WINDOW`` words of its document covers it whose words
@@ -286,9 +313,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     An automaton of the whole corpus, or all of its shards one after another, would have to meet every document. Here a
     window's anchor decides its shard, so a document's pieces meet only the automata of shards that can hold their
     windows. Pieces that are equal as wholes are settled by their hashes; the automata judge those that share an anchor
-    but differ, each against the pieces of all smaller documents.
+    but differ, each against the pieces of all smaller documents. An anchor with more than ``shard`` such pieces goes window by
+    window instead, so that no automaton outgrows two shards.
     """
-    table, spans = repeated_spans(docs)
+    table, spans = repeated_spans(docs, shard)
     joined = table.join(spans, "doc", "left").select("doc", "row", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,28 @@ def test_equals_brute_force(spark, seed, n, vocabulary):
     assert run(spark, rows) == brute_force(rows)
 
 
+@pytest.mark.parametrize("shard", [1, 3, 40])
+def test_crowded_anchors_go_by_windows(spark, shard):
+    rows = corpus(5, 40, 4)
+    out = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), shard=shard)
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in out.collect()) == brute_force(rows)
+
+
+@pytest.mark.parametrize("judged", [1, 50, 700])
+def test_keys_are_judged_whole(judged):
+    rng = np.random.default_rng(judged)
+    key = np.sort(rng.integers(0, 60, 2000))
+    columns = [key, rng.integers(0, 4, 2000), rng.integers(0, 30, 2000), (np.arange(2000) << 5) | (rng.integers(1, 9, 2000) << 1)]
+    cuts = np.unique(np.r_[0, rng.integers(0, 2000, 40), 2000])
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[a:b]) for c in columns], ["key", "content", "doc", "place"]) for a, b in zip(cuts, cuts[1:])]
+    flat = lambda found: sorted(tuple(r.values()) for batch in found for r in batch.to_pylist())
+    whole = flat(substring._judge(substring.SHARD)(iter(batches)))
+    steps = list(substring._judge(substring.SHARD, judged)(iter([batches[0].slice(0, 0), *batches])))
+    assert flat(steps) == whole and len(steps) > 1
+    crowded = flat(substring._judge(5, judged)(iter(batches)))
+    assert len(crowded) == len(whole) and any(r[-1] for r in crowded) and not any(r[-1] for r in whole)
+
+
 def test_edge_cases(spark):
     long = " ".join(f"a{k}" for k in range(20))
     rows = [(1, None), (2, ""), (3, long), (4, long), (4, long + " x"), (5, "z " * 20000), (6, "z " * 13), (None, long), (7, "one two")]
