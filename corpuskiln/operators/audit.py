@@ -55,18 +55,23 @@ def completeness_report(covered: DataFrame, keys: list[str]) -> DataFrame:
     return sums.join(listed, keys)
 
 
+def has_root_command(tex: Column) -> Column:
+    """Whether a text has a command that only a root document may have."""
+    found = F.lit(False)
+    for command in ROOT_COMMANDS:
+        found = found | F.contains(tex, F.lit(command))
+    return found
+
+
 def artifact_error(tex: Column, in_chapter: Column) -> Column:
     """First rule that a converted fragment breaks, null if none."""
     per_line = F.transform(lines(tex), lambda x: F.struct(F.length(x).alias("n"), F.regexp_count(x, F.lit(WRAPPER)).alias("k")))
     wrappers = F.regexp_count(tex, F.lit(WRAPPER))
     prose = F.size(F.filter(per_line, lambda x: (x["n"] > LONG_LINE) & (x["k"] >= WRAPPERS_IN_LINE)))
-    root = F.lit(False)
-    for command in ROOT_COMMANDS:
-        root = root | F.contains(tex, F.lit(command))
     return (
         F.when(strip(F.coalesce(tex, F.lit(""))) == "", "empty")
         .when(F.regexp_like(tex, F.lit(r"^(?U:\s*)```")), "code fence")
-        .when(root, "root document command")
+        .when(has_root_command(tex), "root document command")
         .when(F.regexp_like(tex, F.lit(r"(?i)<(?U:\s*)/?(?:table|tr|td|th)\b")), "html table")
         .when(F.regexp_like(tex, F.lit(r"(?i)\\caption(?U:\s*)\{(?U:\s*)Image(?U:\s*)\}")), "placeholder caption")
         .when((wrappers >= MOST_WRAPPERS) | (prose >= MOST_PROSE_LINES), "prose in text wrappers")

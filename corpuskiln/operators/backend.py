@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import json
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.operators.masking import token_errors
+from corpuskiln.operators.masking import TOKEN, token_errors
 
 #: What a generator is: prompts in, one answer (a JSON text) for each out. It runs in tasks and must be picklable.
 Backend = Callable[[list[str]], list[str]]
 ANSWER = "translation string, candidate_terms array<struct<source:string,target:string,domain:string,reason:string>>"
 ATTEMPTS = 2
+_PLACES = re.compile(f"(?=({TOKEN}))")
 
 
 def echo(prompts: list[str]) -> list[str]:
@@ -95,8 +98,10 @@ def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str,
 
 def check_tokens(chunk: str, output: str, tokens: list[str]) -> str | None:
     """First token of the chunk that its output does not hold exactly once."""
+    held, given = Counter(_PLACES.findall(chunk)), Counter(_PLACES.findall(output))
     for t in tokens:
-        if t in chunk and output.count(t) != 1:
+        masked = _PLACES.match(t) is not None
+        if (held[t] if masked else t in chunk) and (given[t] if masked else output.count(t)) != 1:
             return f"token not exactly once: {t}"
     return None
 

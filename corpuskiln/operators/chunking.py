@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.functions.text import bound, fold_items
+from corpuskiln.operators import scan
+
 # Fixed values.
 BLANK_LINE = r"\r?\n[ \t]*\r?\n"
 LEAST_CHUNK, CHUNK_CHARS, PAGE_CHUNK_CHARS = 1000, 12000, 45000
@@ -20,19 +23,23 @@ def pack_blocks(text: Column, max_chars: int = CHUNK_CHARS) -> Column:
     """Chunks of whole blocks, each with its start, filled in order up to ``max_chars``; a longer block is a chunk, an empty text one empty chunk."""
     if max_chars < LEAST_CHUNK:
         raise ValueError(f"chunks of fewer than {LEAST_CHUNK} characters")
-    chunk = lambda acc: F.struct(acc["at"].alias("start"), acc["now"].alias("chunk"))
+    end = F.lit(None).cast("int")
+    none = F.expr("cast(array() as array<struct<start:int,first:int,n:int>>)")
+
+    def step(at: Column, length: Column) -> tuple[Column, Column, Column]:
+        """``at`` is the open chunk: its start, its length, its first block and their number; a null length closes the last one."""
+        full = length.isNull() & ((at["now"] > 0) | (at["first"] == 1)) | (at["now"] > 0) & (at["now"] + length > max_chars)
+        grown = F.struct(at["start"].alias("start"), (at["now"] + length).alias("now"), at["first"].alias("first"), (at["n"] + 1).alias("n"))
+        opened = F.struct((at["start"] + at["now"]).alias("start"), length.alias("now"), (at["first"] + at["n"]).alias("first"), F.lit(1).alias("n"))
+        return F.when(full, opened).otherwise(grown), full, F.struct(at["start"].alias("start"), at["first"].alias("first"), at["n"].alias("n"))
 
-    def step(acc: Column, b: Column) -> Column:
-        full = (F.length(acc["now"]) > 0) & (F.length(acc["now"]) + F.length(b) > max_chars)
-        return F.struct(
-            F.when(full, F.array_append(acc["out"], chunk(acc))).otherwise(acc["out"]).alias("out"),
-            F.when(full, acc["at"] + F.length(acc["now"])).otherwise(acc["at"]).alias("at"),
-            F.when(full, b).otherwise(F.concat(acc["now"], b)).alias("now"),
-        )
+    def cut(parts: Column) -> Column:
+        """Lengths are summed first, and each chunk is put together once from its blocks."""
+        first = F.struct(F.lit(0).alias("start"), F.lit(0).alias("now"), F.lit(1).alias("first"), F.lit(0).alias("n"))
+        spans = fold_items(F.concat(F.transform(parts, lambda b: F.length(b)), F.array(end)), first, none, step)
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.array_join(F.slice(parts, s["first"], s["n"]), "").alias("chunk")))
 
-    start = F.struct(F.expr("cast(array() as array<struct<start:int,chunk:string>>)").alias("out"), F.lit(0).alias("at"), F.lit("").alias("now"))
-    done = lambda acc: F.when((F.length(acc["now"]) > 0) | (F.size(acc["out"]) == 0), F.array_append(acc["out"], chunk(acc))).otherwise(acc["out"])
-    return F.aggregate(blocks(text), start, step, done)
+    return bound(blocks(text), cut)
 
 
 def chunk_rows(docs: DataFrame, text: str = "text", max_chars: int = CHUNK_CHARS) -> DataFrame:
@@ -56,20 +63,20 @@ def plan_parts(pages: DataFrame, keys: list[str], max_chars: int = PAGE_CHUNK_CH
     """``pages`` (keys, page_no, chars) with the part of its chapter that each page is in (W3). Only lengths are moved.
 
     A chapter of n characters is planned as ceil(n / max) parts; the cut to part k falls behind the first page where
-    at least k of these shares are reached, one cut behind a page at most and none behind the last. With q(j) the shares reached behind
+    at least k of these shares are reached, one cut behind a page at most and none behind the last. No book is in one task. With q(j) the shares reached behind
     page j, the part of page i is the least of i and all q(j) + i - 1 - j for j < i: a running sum and a running least.
     """
-    book = Window.partitionBy(*keys)
-    order = book.orderBy("page_no")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = pages.select(*keys, "page_no", F.col("chars").cast("long").alias("chars"))
-    rows = rows.withColumns({"i": F.row_number().over(order) - 1, "reached": F.sum("chars").over(upto), "total": F.sum("chars").over(book)})
-    planned = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") / F.lit(max_chars)).cast("long"))
+    one = F.lit(1).cast("long")
+    rows = scan.running(
+        pages.select(*keys, "page_no", F.col("chars").cast("long").alias("chars")), keys, ["page_no"],
+        {"i": scan.Fold("sum", one), "reached": scan.Fold("sum", F.col("chars"))}, {"total": scan.Fold("sum", F.col("chars"))},
+    ).withColumn("i", F.col("i") - 1)
+    planned = F.greatest(one, F.ceil(F.col("total") / F.lit(max_chars)).cast("long"))
     rows = rows.withColumn("planned", planned)
     shares = F.when(F.col("total") > 0, F.expr("(cast(reached as decimal(38,0)) * cast(planned as decimal(19,0))) div cast(total as decimal(38,0))")).otherwise(0).cast("long")
-    rows = rows.withColumn("slack", F.least(shares, planned - 1) - F.col("i"))
-    least = F.min("slack").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    part = F.col("i") - 1 + F.least(F.lit(1).cast("long"), F.coalesce(least, F.lit(1).cast("long")))
+    rows = rows.withColumn("slack", F.least(shares, F.col("planned") - 1) - F.col("i"))
+    rows = scan.running(rows, keys, ["page_no"], {"least": scan.Fold("min", F.col("slack"), -1)})
+    part = F.col("i") - 1 + F.least(one, F.coalesce("least", one))
     return rows.select(*keys, "page_no", "chars", part.cast("long").alias("part"))
 
 
@@ -95,14 +102,16 @@ def sections_in_parts(parts: DataFrame, sections: DataFrame, keys: list[str]) ->
 
 def neighbours(pages: DataFrame, keys: list[str]) -> DataFrame:
     """Previous and next page of every page, over all pages of a book."""
-    order = Window.partitionBy(*keys).orderBy("page_no")
-    return pages.select(*keys, "page_no", F.lag("page_no").over(order).alias("previous_page"), F.lead("page_no").over(order).alias("next_page"))
+    number = F.col("page_no")
+    back = scan.running(pages.select(*keys, "page_no"), keys, ["page_no"], {"previous_page": scan.Fold("last", number, -1)})
+    ahead = back.withColumn("__back", -number)
+    return scan.running(ahead.drop(scan.PART), keys, ["__back"], {"next_page": scan.Fold("last", number, -1)}).select(*keys, "page_no", "previous_page", "next_page")
 
 
 def contiguity_violations(ranges: DataFrame, keys: list[str], order: str, start: str = "first_page", end: str = "last_page") -> DataFrame:
     """Ranges that do not begin right after the one before."""
-    before = F.lag(end).over(Window.partitionBy(*keys).orderBy(order))
-    return ranges.withColumn("previous_end", before).where(F.col("previous_end").isNotNull() & (F.col(start) != F.col("previous_end") + 1))
+    rows = scan.running(ranges, keys, [order], {"previous_end": scan.Fold("last", F.col(end), -1)}).drop(scan.PART)
+    return rows.where(F.col("previous_end").isNotNull() & (F.col(start) != F.col("previous_end") + 1))
 
 
 def chunk_index(parts: DataFrame, planned: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.functions.text import control_character, count_of
+from corpuskiln.functions.text import bound, control_character
 
 # The token, and what is masked, in this order.
 PREFIX = "@@MATH_TRANSLATOR_"
@@ -90,23 +90,34 @@ def mask(docs: DataFrame, text: str = "text", kind: str | Column = "Markdown") -
     return docs.withColumn("mask", run(F.col(text), F.lit(kind) if isinstance(kind, str) else kind))
 
 
-def tokens_in(chunk: Column, tokens: Column) -> Column:
-    """The tokens that a chunk holds, in their order."""
-    return F.filter(tokens, lambda t: F.contains(chunk, t))
+def token_places(c: Column) -> Column:
+    """Every token where it stands, in order, also where two share their signs at the border."""
+    return F.regexp_extract_all(c, F.lit(f"(?=({TOKEN}))"), F.lit(1))
+
+
+def tokens_in(chunk: Column, tokens: Column | None = None) -> Column:
+    """The tokens that a chunk holds, in their order; without ``tokens`` all that look like one."""
+    return F.array_sort(F.array_distinct(token_places(chunk))) if tokens is None else F.array_intersect(tokens, token_places(chunk))
+
+
+def not_once(tokens: Column, c: Column) -> Column:
+    """Those of ``tokens`` that ``c`` does not hold exactly once, in their order: one pass over the text, then sorted arrays."""
+    alone = lambda s: F.filter(s, lambda t, i: ~t.eqNullSafe(F.get(s, i - 1)) & ~t.eqNullSafe(F.get(s, i + 1)))
+    return F.array_except(tokens, bound(F.array_sort(token_places(c)), alone))
 
 
 def token_errors(chunk: Column, output: Column, tokens: Column) -> Column:
     """First reason why an output is not a valid rewrite of a chunk, null if it is."""
-    wrong = F.filter(tokens_in(chunk, tokens), lambda t: count_of(output, t) != 1)
-    return F.coalesce(F.concat(F.lit("control character "), control_character(output)), F.when(F.size(wrong) > 0, F.concat(F.lit("token not exactly once: "), wrong[0])))
+    wrong = not_once(tokens_in(chunk, tokens), output)
+    return F.coalesce(F.concat(F.lit("control character "), control_character(output)), F.concat(F.lit("token not exactly once: "), F.get(wrong, 0)))
 
 
 def restore(masked: Column, tokens: Column, originals: Column) -> Column:
     """Struct of the text with its regions put back and an error; every token must stand there once, and no other."""
     seen = F.regexp_extract_all(masked, F.lit(TOKEN), F.lit(0))
-    unknown = F.array_except(seen, tokens)
-    wrong = F.filter(tokens, lambda t: count_of(masked, t) != 1)
-    error = F.when(F.size(unknown) > 0, F.concat(F.lit("unknown token: "), unknown[0])).when(F.size(wrong) > 0, F.concat(F.lit("token not exactly once: "), wrong[0]))
+    unknown, wrong = F.get(F.array_except(token_places(masked), tokens), 0), F.get(not_once(tokens, masked), 0)
+    overlap = F.when(F.size(seen) != F.size(token_places(masked)), F.lit("tokens overlap"))
+    error = F.coalesce(F.concat(F.lit("unknown token: "), unknown), F.concat(F.lit("token not exactly once: "), wrong), overlap)
     gaps = F.split(masked, TOKEN, -1)
     number = lambda t: F.substring(t, len(PREFIX) + 1, 6).cast("int")
     filled = F.transform(seen, lambda t: F.coalesce(F.try_element_at(originals, number(t) + 1), t))

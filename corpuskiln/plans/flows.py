@@ -104,8 +104,7 @@ def review(converted: DataFrame, keys: list[str], generator: backend.Backend = e
     answers = backend.generate(requests, generator, shape=fragment_error).withColumn("made", F.when(F.col("error").isNull(), F.from_json("answer", FRAGMENT)))
     report = F.col("made.report")
     broken = F.when(~report["chunk_id"].eqNullSafe(F.col("chunk_id")), "chunk_id differs").when(~report["source_pages"].eqNullSafe(F.col("pages")), "source_pages differ").when(F.trim(F.coalesce("made.tex", F.lit(""))) == "", "empty")
-    root = audit.artifact_error(F.col("made.tex"), F.lit(False))
-    out = answers.select(*keys, "part", "chunk", F.col("made.tex").alias("tex"), F.coalesce("error", broken, F.when(root == "root document command", root)).alias("error"))
+    out = answers.select(*keys, "part", "chunk", F.col("made.tex").alias("tex"), F.coalesce("error", broken.when(audit.has_root_command(F.col("made.tex")), "root document command")).alias("error"))
     if reviewed is None:
         return out.withColumnRenamed("chunk", "first_version")
     kept = reviewed.select(*keys, "part", "first_version")

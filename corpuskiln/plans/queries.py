@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as X
-from corpuskiln.operators import assemble, audit, backend, boundaries, chunking, glossary, ledger, lifecycle, masking, matching, report
+from corpuskiln.operators import assemble, audit, backend, boundaries, chunking, glossary, ledger, lifecycle, masking, matching, report, scan
 from corpuskiln.plans import flows
 from corpuskiln.sources import files, sinks
 
@@ -50,10 +50,11 @@ def matches(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame
     return matching.find_terms(docs(spark, sf_dir), every_term(spark), offsets=offsets)
 
 
-def books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as pages of one book per source."""
-    rows = docs(spark, sf_dir).select(F.col("source").alias("book"), "doc_id", "text", F.length("text").alias("chars"))
-    return files.number_rows(rows, "doc_id", name="page_no", by=("book",)).withColumn("page_no", F.col("page_no").cast("int"))
+def books(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFrame:
+    """Documents as pages of one book per source; texts join the numbers by document."""
+    rows = docs(spark, sf_dir).select(F.col("source").alias("book"), "doc_id", F.length("text").alias("chars"))
+    numbered = scan.number_rows(rows, "doc_id", name="page_no", by=("book",)).withColumn("page_no", F.col("page_no").cast("int"))
+    return numbered.join(docs(spark, sf_dir).select("doc_id", "text"), "doc_id") if texts else numbered
 
 
 def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +68,7 @@ def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.plan_parts(books(spark, sf_dir).select("book", "page_no", "chars"), ["book"])
+    return chunking.plan_parts(books(spark, sf_dir, texts=False).select("book", "page_no", "chars"), ["book"])
 
 
 def term_frequency(spark, sf_dir):
@@ -172,18 +173,18 @@ def chunk_match_overlap(spark, sf_dir):
 
 def section_in_chunk(spark, sf_dir):
     """Long pages as sections, counted by part."""
-    sections = books(spark, sf_dir).select("book", F.when(F.col("chars") > 3000, F.col("page_no")).alias("section_start"))
+    sections = books(spark, sf_dir, texts=False).select("book", F.when(F.col("chars") > 3000, F.col("page_no")).alias("section_start"))
     return chunking.sections_in_parts(chapter_parts(spark, sf_dir), sections, ["book"]).groupBy("book", "part").agg(F.count(F.lit(1)).alias("n_sections"))
 
 
 def range_pages(spark, sf_dir):
     """Pages of each part, found by their numbers."""
-    return chunking.pages_of_ranges(chapter_parts(spark, sf_dir).select("book", "part", "first_page", "last_page"), books(spark, sf_dir).select("book", "page_no", F.col("chars").alias("n")), ["book"]).groupBy("book", "part").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("characters"))
+    return chunking.pages_of_ranges(chapter_parts(spark, sf_dir).select("book", "part", "first_page", "last_page"), books(spark, sf_dir, texts=False).select("book", "page_no", F.col("chars").alias("n")), ["book"]).groupBy("book", "part").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("characters"))
 
 
 def neighbour_pages(spark, sf_dir):
     """Pages before and after every page."""
-    return chunking.neighbours(books(spark, sf_dir), ["book"])
+    return chunking.neighbours(books(spark, sf_dir, texts=False), ["book"])
 
 
 def contiguity_violations(spark, sf_dir):
@@ -399,9 +400,9 @@ def _translated(spark, sf_dir) -> DataFrame:
     found = chunking.overlapping(chunks.drop("chunk"), matching.find_terms(good, every_term(spark)))
     key = F.concat_ws("/", "doc_id", "chunk_no")
     rules = backend.rule_lines(matching.unique_rules(found.withColumn("key", key), "key"), ["doc_id", "chunk_no"])
-    rows = chunks.join(rules, ["doc_id", "chunk_no"], "left").join(good.select("doc_id", "lang", "tokens"), "doc_id")
+    rows = chunks.join(rules, ["doc_id", "chunk_no"], "left").join(good.select("doc_id", "lang"), "doc_id")
     prompt = backend.translation_prompt(F.col("chunk"), F.col("rules"), F.col("lang"), F.lit("paper"), F.lit("Markdown"))
-    requests = rows.select("doc_id", "chunk_no", "chunk", masking.tokens_in(F.col("chunk"), F.col("tokens")).alias("tokens"), prompt.alias("prompt"))
+    requests = rows.select("doc_id", "chunk_no", "chunk", masking.tokens_in(F.col("chunk")).alias("tokens"), prompt.alias("prompt"))
     answers = backend.checked(backend.parsed(backend.generate(requests, backend.echo, backend.check_tokens)))
     done = answers.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", "translation"))), lambda x: x["translation"]), "").alias("whole"), F.max("tries").alias("tries"), F.max(F.coalesce("error", "token_error")).alias("failed"))
     joined = masked.join(done, "doc_id", "left")
@@ -489,7 +490,7 @@ def completeness_report(spark, sf_dir):
 
 def unknown_pages(spark, sf_dir):
     """Pages that the index of every second document's neighbours names and the books lack."""
-    pages = books(spark, sf_dir).select("book", "page_no")
+    pages = books(spark, sf_dir, texts=False).select("book", "page_no")
     named = pages.where("page_no % 2 = 0").groupBy("book").agg(F.array(F.max("page_no"), F.max("page_no") + 2).alias("pages"))
     return lifecycle.unknown_pages(named, pages, ["book"])
 

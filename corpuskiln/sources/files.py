@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import document_format
+from corpuskiln.operators import scan
 from corpuskiln.operators.glossary import TERM_SCHEMA
 
 OCR_RESULT = "result struct<layoutParsingResults:array<struct<markdown:struct<text:string,images:map<string,string>>,outputImages:map<string,string>>>>"
@@ -51,27 +52,10 @@ def read_chunk_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHUNK_INDEX).option("multiLine", True).json(path).select(F.explode("chunks").alias("c")).select("c.*")
 
 
-def number_rows(rows: DataFrame, *order: str, name: str = "no", by: tuple[str, ...] = ()) -> DataFrame:
-    """``rows`` numbered from 0 in a total order, within each ``by`` if given, without one task that sees them all.
-
-    Ranges are dealt out and sorted; how many rows come before each range, one number per task and ``by``, is added to the number
-    within it.
-    """
-    ranged = rows.repartitionByRange(*by, *order).withColumn("__part", F.spark_partition_id())
-    within = F.row_number().over(Window.partitionBy("__part", *by).orderBy(*order)) - 1
-    sizes = ranged.groupBy("__part", *by).agg(F.count(F.lit(1)).alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("__part", *(F.col(k).alias(f"__of_{k}") for k in by), before.alias("__before"))  # one row per task, and one more for each border between groups
-    same = F.col("__part") == F.col("__at")
-    for k in by:
-        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
-    joined = ranged.withColumn("__within", within).join(F.broadcast(offsets.withColumnRenamed("__part", "__at")), same)
-    return joined.select(*rows.columns, (F.col("__before") + F.col("__within")).cast("long").alias(name))
-
-
 def ocr_pages(lines: DataFrame) -> DataFrame:
-    """Pages of nested result lines (line_no, value), numbered through all lines: page_no, text, images, output_images."""
+    """Pages of nested result lines (line_no, value), numbered through all lines, of which ``line_no`` is unique: page_no, text, images, output_images."""
     parsed = lines.where(F.trim("value") != "").select("line_no", F.from_json("value", OCR_RESULT).alias("r"))
-    rows = parsed.select("line_no", F.posexplode("r.result.layoutParsingResults").alias("pos", "p"))
-    flat = rows.select("line_no", "pos", F.coalesce("p.markdown.text", F.lit("")).alias("text"), F.col("p.markdown.images").alias("images"), F.col("p.outputImages").alias("output_images"))
-    return number_rows(flat, "line_no", "pos", name="page_no")
+    held = parsed.select("line_no", F.coalesce(F.size("r.result.layoutParsingResults"), F.lit(0)).cast("long").alias("n")).where("n > 0")
+    before = scan.running(held, [], ["line_no"], {"before": scan.Fold("sum", F.col("n"), -1)}).select("line_no", F.coalesce("before", F.lit(0)).alias("before"))
+    rows = parsed.select("line_no", F.posexplode("r.result.layoutParsingResults").alias("pos", "p")).join(before, "line_no")
+    return rows.select("line_no", "pos", F.coalesce("p.markdown.text", F.lit("")).alias("text"), F.col("p.markdown.images").alias("images"), F.col("p.outputImages").alias("output_images"), (F.col("before") + F.col("pos")).alias("page_no"))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from corpuskiln.operators import boundaries, chunking, lifecycle
+from corpuskiln.operators import boundaries, chunking, lifecycle, scan
 from corpuskiln.plans import flows
 
 LONG = " ".join(f"word{i}" for i in range(40))
@@ -99,6 +99,6 @@ def test_numbers_within_groups(spark):
     from corpuskiln.sources import files
 
     rows = [(None if i % 5 == 0 else "ab"[i % 2], i) for i in range(200)]
-    out = files.number_rows(spark.createDataFrame(rows, "k string, v int").repartition(7), "v", name="no", by=("k",)).collect()
+    out = scan.number_rows(spark.createDataFrame(rows, "k string, v int").repartition(7), "v", name="no", by=("k",)).collect()
     want = {k: [v for x, v in rows if x == k] for k in (None, "a", "b")}
     assert sorted((str(r["k"]), r["no"], r["v"]) for r in out) == sorted((str(k), n, v) for k, vs in want.items() for n, v in enumerate(vs))

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from corpuskiln.operators import glossary, masking, matching, report
+from corpuskiln.operators import glossary, masking, matching, report, scan
 from corpuskiln.sources import files, sinks
 from corpuskiln.streaming import incremental
 
@@ -37,7 +37,7 @@ def test_nested_lines_are_numbered_through(spark):
 
 
 def test_number_rows_over_many_parts(spark):
-    got = files.number_rows(spark.range(1000).withColumn("k", 999 - F.col("id")), "k").collect()
+    got = scan.number_rows(spark.range(1000).withColumn("k", 999 - F.col("id")), "k").collect()
     assert all(r["no"] == r["k"] for r in got)
 
 
