@@ -240,9 +240,79 @@ from c left join n on n.vec_id = c.vec_id
 """
 
 
+# CRC-32 of decimal numbers by a table of all bytes
+_CRC = """bits(b, c, k) as (select b, b, 0 from (select unnest(range(256))::bigint as b) union all select b, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from bits where k < 8),
+crc_table as (select list(c order by b) as t from bits where k = 8)"""
+
+
+def _crc32(number: str) -> str:
+    codes = f"list_prepend(4294967295::bigint, list_transform(string_split({number}::varchar, ''), lambda x: ascii(x)::bigint))"
+    return f"xor(list_reduce({codes}, lambda a, x: xor(a >> 8, crc_table.t[(xor(a, x) & 255) + 1])), 4294967295)"
+
+
+def op12_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document a leaf; its proof looked up and folded, with the text of every fifth document (by CRC-32) tampered with."""
+    from corpuskiln.llm import merkle
+
+    manifest = merkle.build(merkle.leaves_of(table(spark, sf_dir, "documents")), "source", "doc_id")
+    return merkle.prove(manifest, "tampered").select("row.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _sql_tree(name: str, tree: str, levels: int = 6) -> str:
+    """Nodes, runs, proofs and folds over ``{name}0`` (columns of ``tree``, i, n, h) for the askers ``{name}_f0`` (the same, and acc and proof)."""
+    same = f"f.{tree} is not distinct from g.{tree}"
+    parts = []
+    for k in range(levels):
+        parts.append(f"{name}_g{k} as (select {tree}, i // 16 as g, max(n) as n, list(h order by i) as run from {name}{k} group by {tree}, i // 16)")
+        parts.append(f"{name}{k + 1} as (select {tree}, g as i, (n + 15) // 16 as n, case when n = 1 then run[1] else sha256(array_to_string(run, '')) end as h from {name}_g{k})")
+        at = f"(f.i // {16**k}) % 16"
+        before, after = f"array_to_string(run[1:{at}], '')", f"array_to_string(run[{at} + 2:], '')"
+        parts.append(
+            f"{name}_f{k + 1} as (select f.* exclude (acc, proof), case when g.n = 1 then acc else sha256({before} || acc || {after}) end as acc, case when g.n = 1 then proof else proof || {before} || {after} end as proof from {name}_f{k} f join {name}_g{k} g on {same} and g.g = f.i // {16 ** (k + 1)})"
+        )
+    return ",\n".join(parts)
+
+
+_FIELD = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+SQL_OP12 = f"""
+with recursive {_CRC},
+d as (select doc_id, source, {_LEAF.format("text")} as leaf, {_LEAF.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as low, {_crc32("doc_id")} % 5 = 0 as touched from documents cross join crc_table),
+l as (select *, row_number() over (partition by source order by doc_id, leaf) - 1 as i, count(*) over (partition by source) as n from d),
+s0 as (select source, i, n, leaf as h from l),
+s_f0 as (select source, i, n, doc_id, leaf, case when touched then low else leaf end as acc, '' as proof from l),
+{_sql_tree("s", "source")},
+t0 as (select 0 as one, row_number() over (order by source nulls first) - 1 as i, count(*) over () as n, h, source from s6),
+t_f0 as (select 0 as one, t0.i, f.doc_id, f.leaf, t0.h as subroot, f.acc, f.proof from s_f6 f join t0 on f.source is not distinct from t0.source),
+{_sql_tree("t", "one")}
+select doc_id, leaf, subroot, t6.h as root, sha256(proof) as proof_sha256, acc as folded_root, acc = t6.h as verified from t_f6 cross join t6
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings projected on the components of their covariance, each scaled to variance 1."""
+    from corpuskiln.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def vector_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 13 gives of each vector in exact integers: the number of vectors and the squared distance from their mean."""
+    return op13_whitening(spark, sf_dir).where("component = 1").select("vec_id", "n", "deviation")
+
+
+SQL_VECTOR_DEVIATIONS = """
+with v as (select vec_id, list_transform(embedding, lambda c: floor(64 * c::double)::bigint + 1000000) as x from embeddings
+           where len(embedding) > 0 and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+u as (select vec_id, unnest(x) as x, unnest(range(len(x))) as d from v),
+s as (select d, count(*)::hugeint as n, sum(x)::hugeint as s from u group by d)
+select vec_id, max(n)::bigint as n, sum((n * x - s) * (n * x - s))::bigint as deviation from u join s using (d) group by vec_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op6_substring_dedup, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors, url_aliases, mix_targets)}
+    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op6_substring_dedup, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors, op12_merkle_proofs, op13_whitening, url_aliases, mix_targets, vector_deviations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": SQL_OP1, "mix_targets": SQL_MIX_TARGETS, "op4_url_filter": SQL_OP4, "url_aliases": SQL_URL_ALIASES, "op6_substring_dedup": SQL_OP6, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10}
+    return {"op1_chat_format": SQL_OP1, "mix_targets": SQL_MIX_TARGETS, "op4_url_filter": SQL_OP4, "url_aliases": SQL_URL_ALIASES, "op6_substring_dedup": SQL_OP6, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10, "op12_merkle_proofs": SQL_OP12, "vector_deviations": SQL_VECTOR_DEVIATIONS}
