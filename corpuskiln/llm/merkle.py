@@ -101,7 +101,7 @@ def siblings(asking: DataFrame, nodes: DataFrame, fanout: int = FANOUT) -> DataF
     few = [r["__level"] for r in sizes if r["n"] <= BROADCAST_NODES]
     many = [r["__level"] for r in sizes if r["n"] > BROADCAST_NODES]
     met = None
-    for level, hint in [([k], F.broadcast) for k in few] + ([(many, lambda x: x)] if many else []):
+    for level, hint in [x for x in ((few, F.broadcast), (many, lambda x: x)) if x[0]]:  # levels shrink by fanout, so few ones together are small too
         here = hint(known.where(F.col("__level").isin(level)))
         part = asked.where(F.col("level").isin(level)).join(here, (F.col("tree") == F.col("__tree")) & (F.col("level") == F.col("__level")) & (F.col("sibling") == F.col("__idx")))
         part = part.groupBy("tree", "idx").agg(F.collect_list(F.struct("level", "sibling", "hash")).alias("s"))

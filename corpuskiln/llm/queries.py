@@ -250,6 +250,33 @@ def _crc32(number: str) -> str:
     return f"xor(list_reduce({codes}, lambda a, x: xor(a >> 8, crc_table.t[(xor(a, x) & 255) + 1])), 4294967295)"
 
 
+def op11_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability by counts of words and by the lattice model, learned from six documents in seven."""
+    import public_tokenizers
+
+    from corpuskiln.llm.lattice import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 11 gives of each document by counts alone."""
+    out = op11_subword_lattice(spark, sf_dir)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+SQL_LM_BASE = f"""
+with recursive {_CRC},
+d as (select doc_id, {_crc32("doc_id")} % 7 = 2 as held_out,
+             list_append(list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda w: 'w' || translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')), 'end') as w from documents cross join crc_table),
+t as (select doc_id, held_out, unnest(w) as w from d),
+c as (select w, count(*) as c from t where not held_out group by w),
+n as (select sum(c)::bigint as n, count(*) as v from c)
+select doc_id, held_out, count(*) as n_tokens, count(c) as n_known, max(n)::bigint as train_tokens, round(sum(log10((coalesce(c, 0) + 1) / (n + v + 1))), 4) as base_score
+from t left join c using (w) cross join n group by doc_id, held_out
+"""
+
+
 def op12_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document a leaf; its proof looked up and folded, with the text of every fifth document (by CRC-32) tampered with."""
     from corpuskiln.llm import merkle
@@ -311,8 +338,8 @@ select vec_id, max(n)::bigint as n, sum((n * x - s) * (n * x - s))::bigint as de
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op6_substring_dedup, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors, op12_merkle_proofs, op13_whitening, url_aliases, mix_targets, vector_deviations)}
+    return {f.__name__: f for f in (op1_chat_format, op2_mix_sources, op3_toxicity, op4_url_filter, op5_sentencepiece, op6_substring_dedup, op7_warc, op8_exact_dedup, op9_near_dedup, op10_near_vectors, op11_subword_lattice, op12_merkle_proofs, op13_whitening, url_aliases, mix_targets, lm_base_scores, vector_deviations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": SQL_OP1, "mix_targets": SQL_MIX_TARGETS, "op4_url_filter": SQL_OP4, "url_aliases": SQL_URL_ALIASES, "op6_substring_dedup": SQL_OP6, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10, "op12_merkle_proofs": SQL_OP12, "vector_deviations": SQL_VECTOR_DEVIATIONS}
+    return {"op1_chat_format": SQL_OP1, "mix_targets": SQL_MIX_TARGETS, "op4_url_filter": SQL_OP4, "url_aliases": SQL_URL_ALIASES, "op6_substring_dedup": SQL_OP6, "op7_warc": SQL_OP7, "op8_exact_dedup": SQL_OP8, "op10_near_vectors": SQL_OP10, "lm_base_scores": SQL_LM_BASE, "op12_merkle_proofs": SQL_OP12, "vector_deviations": SQL_VECTOR_DEVIATIONS}
