@@ -12,14 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.llm.common import materialize
+from corpuskiln.llm.words import sliced
 
 WORD_START = "▁"
 #: Rounds in which the scores are fitted, and the weight, in pieces, of what the vocabulary says before.
 ROUNDS, PRIOR = 4, 1000.0
 #: What is taken off each count for words that were never seen, and how many tokens a document's own words are outweighed by.
 DISCOUNT, STRENGTH = 0.75, 1000.0
-#: A word with this share of all tokens or more is frequent; there are as many at most, so they are broadcast.
-FREQUENT = 1 << 16
+#: So many words at most, the most frequent ones, are broadcast; steps in which counts are told apart for that, to a factor of 2.
+FREQUENT, COUNT_STEPS = 1 << 16, 8
 #: Cells (word, start, piece length) of a table that is worked on at once, and distinct words that a task counts before it passes them on.
 CELLS, COUNTED = 1 << 21, 400_000
 #: Terms of a rising factorial that are summed one by one; the rest is Stirling's series, exact to 1e-12 from here on.
@@ -170,31 +171,24 @@ def learned(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(7)) != 2, F.lit(True))
 
 
-def _words(text: bytes) -> Counter:
-    return Counter(text.lower().split())  # ASCII letters and white space only
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """word (bytes), t and c: how often all documents and the learned ones have it; each task adds up before rows are moved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every: Counter = Counter()
-        known: Counter = Counter()
+        known, others = Counter(), Counter()
 
         def out() -> pa.RecordBatch:
-            words = list(every)
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(list(every.values()), pa.int64()), pa.array([known[w] for w in words], pa.int64())], ["word", "t", "c"])
-
-        for batch in batches:
-            for text, own in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = (text.as_py() or b"").lower().split()
-                every.update(words)
-                if own:
-                    known.update(words)
-                if len(every) > COUNTED:
+            words = [*known, *others]  # a word of both has two rows, which are added up with those of other tasks
+            c = pa.array([*known.values(), *[0] * len(others)], pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([*known.values(), *others.values()], pa.int64()), c], ["word", "t", "c"])
+
+        for batch in sliced(batches):
+            for text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                (known if own else others).update((text or b"").lower().split())
+                if len(known) + len(others) > COUNTED:
                     yield out()
-                    every.clear()
                     known.clear()
+                    others.clear()
         yield out()
 
     rows = docs.select(F.col("text").cast("binary"), learned(F.col("doc_id")).alias("learned"))
@@ -255,8 +249,8 @@ def score_texts(docs: DataFrame, path: str, rounds: int = ROUNDS, discount: floa
     mean (Dirichlet, ``strength``); that is summed out too, so words that a document repeats become likelier. All three are
     probabilities of the whole text but the first, which gives every unknown word the same. Equal rows are scored alike; no rows give no rows.
 
-    Frequent words (``FREQUENT`` at most) are looked up where the text is; the others are moved once per document and word, and meet their counts
-    in a join in which no word has more than a 65,536th of all tokens. Only texts' sums return to their rows.
+    The most frequent words (``FREQUENT`` at most) are looked up where the text is; the others are moved once per document and word, and meet their counts
+    in a join in which no word has more than about one in ``FREQUENT`` of all tokens. Only texts' sums return to their rows.
     """
     spark = docs.sparkSession
     vocabulary = load_vocabulary(path)
@@ -279,7 +273,11 @@ def score_texts(docs: DataFrame, path: str, rounds: int = ROUNDS, discount: floa
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found), pa.array(both)], ["word", "t", "c", "lattice", "p"])
 
     words = materialize(counted.select("word", "t", "c").mapInArrow(weigh, "word binary, t long, c long, lattice double, p double"), "weighed-words")
-    limit = max(1, -(-sums["t"] // FREQUENT))
+    by_count = words.groupBy(F.floor(F.log2("t") * COUNT_STEPS).alias("k")).agg(F.min("t").alias("least"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("k")).collect()  # hundreds of rows
+    limit, so_far = (1 << 62), 0
+    for r in by_count:
+        so_far += r["n"]
+        limit = r["least"] if so_far <= FREQUENT else limit
     frequent = words.where(F.col("t") >= limit).select("word", "c", "lattice", "p").toArrow()  # FREQUENT rows at most
     names = {w: i for i, w in enumerate(frequent.column("word").to_pylist())}
     held = spark.sparkContext.broadcast((names, *(frequent.column(c).to_numpy() for c in ("c", "lattice", "p"))))
@@ -287,10 +285,10 @@ def score_texts(docs: DataFrame, path: str, rounds: int = ROUNDS, discount: floa
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, c, lattice, p = held.value
-        for batch in batches:
+        for batch in sliced(batches):
             doc, place, times, n_tokens, rare, rare_times, ends = [], [], [], [], [], [], [0]
-            for text in batch.column(0):
-                found = _words(text.as_py() or b"")
+            for text in batch.column(0).to_pylist():
+                found = Counter((text or b"").lower().split())  # ASCII letters and white space only
                 for w, n in found.items():
                     at = names.get(w)
                     if at is None:
@@ -303,7 +301,7 @@ def score_texts(docs: DataFrame, path: str, rounds: int = ROUNDS, discount: floa
                 ends.append(len(rare))
                 n_tokens.append(found.total() + 1)
             doc, place, times, n = np.array(doc, int), np.array(place, int), np.array(times, int), len(n_tokens)
-            per_doc = lambda x: np.bincount(doc, x, n)
+            per_doc = lambda x: np.bincount(doc, x, n).astype(float)  # noqa: E731; of no rows bincount gives integers
             # the end is a word of its own that each text has once
             urn = per_doc(rising(p[place] + step, times)) + (end + step) - rising(np.full(n, step), np.array(n_tokens))
             rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(rare_times, pa.int64())], ["word", "n"]))
