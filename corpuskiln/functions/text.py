@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,9 +34,61 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
 
 
+@cache
+def _folds() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """Signs beyond ASCII that one sign, or several, stand for when case is folded, and those that another is equal to where case is ignored sign by sign."""
+    one, several, like = {}, {}, {"\u0130": "i"}
+    for sign in map(chr, range(128, sys.maxunicode + 1)):
+        full, high = sign.casefold(), sign.upper()
+        low = (high if len(high) == 1 else sign).lower()
+        if full != sign:
+            (one if len(full) == 1 else several)[sign] = full
+        if len(low) == 1 and low != sign:
+            like[sign] = low
+    return one, several, like
+
+
+def _translated(c: Column, table: dict[str, str]) -> Column:
+    return F.translate(c, "".join(table), "".join(table.values()))
+
+
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
+def _ascii_lower(c: Column) -> Column:
+    letters = "".join(map(chr, range(65, 91)))
+    return F.translate(c, letters, letters.lower())
+
+
+def fold_case(c: Column) -> Column:
+    """Full case folding, by which ``ß`` and ``ss`` are the same; the tables are those of the running Python."""
+    one, several, _ = _folds()
+    signs = "".join(several)
+    many = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    plain = _ascii_lower(_translated(c, one))
+    parts = F.transform(F.regexp_extract_all(plain, F.lit(f"[{signs}]|[^{signs}]+"), F.lit(0)), lambda x: F.coalesce(F.try_element_at(many, x), x))
+    return F.when(_is_ascii(c), F.lower(c)).when(F.regexp_like(plain, F.lit(f"[{signs}]")), F.array_join(parts, "")).otherwise(plain)
+
+
+def fold_signs(c: Column) -> Column:
+    """Case folded sign by sign, so that places stay; what a pattern that ignores case takes as equal."""
+    return F.when(_is_ascii(c), F.lower(c)).otherwise(_ascii_lower(_translated(c, _folds()[2])))
+
+
+def like_signs() -> dict[int, str]:
+    """``fold_signs`` as a table of ``str.translate``."""
+    return {ord(a): b for a, b in _folds()[2].items()} | {n: chr(n).lower() for n in range(65, 91)}
+
+
+def word_signs() -> str:
+    """Signs beyond ASCII that are word signs where case is ignored, such as the Kelvin sign."""
+    return "".join(a for a, b in _folds()[2].items() if b.isascii())
+
+
 def term_key(c: Column) -> Column:
-    """What phrases are compared by: stripped, squeezed, lower case."""
-    return F.lower(squeeze(strip(c)))
+    """What phrases are compared by: stripped, squeezed, case folded."""
+    return fold_case(squeeze(strip(c)))
 
 
 def drop_class_marker(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.functions.text import drop_class_marker, strip, term_key
+from corpuskiln.functions.text import drop_class_marker, fold_case, strip, term_key
 
 # Fixed values.
 ANY_DOMAIN = ("*", "general")
@@ -17,8 +17,8 @@ TERM_SCHEMA = "source string, target string, domains array<string>, aliases arra
 def domain_allows(domains: Column, domain: str | tuple[str, ...] | None) -> Column:
     """Whether a term is active: its domains have a wildcard or the active one, or one of several (F2)."""
     active = (domain,) if isinstance(domain, str) else domain or ()
-    known = [*ANY_DOMAIN, *(d.lower() for d in active)]
-    return F.arrays_overlap(F.transform(domains, lambda d: F.lower(d)), F.array(*map(F.lit, known)))
+    known = [*ANY_DOMAIN, *(d.casefold() for d in active)]
+    return F.arrays_overlap(F.transform(domains, lambda d: fold_case(d)), F.array(*map(F.lit, known)))
 
 
 def active_terms(glossary: DataFrame, domain: str | tuple[str, ...] | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def active_terms(glossary: DataFrame, domain: str | tuple[str, ...] | None = Non
         "term_no",
         strip(F.coalesce("source", F.lit(""))).alias("source"),
         strip(F.coalesce("target", F.lit(""))).alias("target"),
-        F.transform(F.coalesce("domains", F.array(F.lit("*"))), lambda d: F.lower(d)).alias("domains"),
+        F.transform(F.coalesce("domains", F.array(F.lit("*"))), lambda d: fold_case(d)).alias("domains"),
         F.filter(F.transform(F.coalesce("aliases", F.expr("cast(array() as array<string>)")), lambda a: strip(a)), lambda a: a != "").alias("aliases"),
         F.coalesce("note", F.lit("")).alias("note"),
     )
@@ -61,7 +61,7 @@ def usable_table_term(source: Column, single_words: bool = False) -> Column:
 
 def parse_term_table(rows: DataFrame) -> DataFrame:
     """Term rows of tab-separated lines: ``rows`` has table_no, line_no and value; gives table_no, line_no, source, target."""
-    header = (F.col("line_no") == 0) & F.lower("value").startswith("english\t")
+    header = (F.col("line_no") == 0) & fold_case(F.col("value")).startswith("english\t")
     cells = F.split("value", "\t", 2)
     target = F.regexp_replace(cells[1], r"(?U)\s+", "")
     out = rows.where(F.col("value").contains("\t") & ~header).select("table_no", "line_no", drop_class_marker(cells[0]).alias("source"), target.alias("target"))
@@ -89,7 +89,7 @@ def add_table_terms(terms: DataFrame, table: DataFrame, single_words: bool = Fal
 def approve_term(glossary: DataFrame, source: str, target: str, domain: str, reference: str) -> DataFrame:
     """``glossary`` with a term approved: the first term of that source and domain is updated, else one is added."""
     spark = glossary.sparkSession
-    same = (F.lower("source") == source.lower()) & F.exists(F.coalesce("domains", F.expr("cast(array() as array<string>)")), lambda d: F.lower(d) == domain.lower())
+    same = (fold_case(F.col("source")) == source.casefold()) & F.exists(F.coalesce("domains", F.expr("cast(array() as array<string>)")), lambda d: fold_case(d) == domain.casefold())
     first = glossary.where(same).agg(F.min("term_no").alias("hit"), F.count(F.lit(1)).alias("n"))
     last = glossary.agg(F.coalesce(F.max("term_no"), F.lit(-1)).alias("last"))
     marked = glossary.crossJoin(F.broadcast(first.select("hit")))  # one row

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.functions.text import strip
+from corpuskiln.functions.text import fold_case, strip
 
 # Fixed values.
 LONGEST, NO_DOMAIN = 120, "unspecified"
@@ -20,7 +20,7 @@ def sanitize(batch: DataFrame, domain: str | None = None) -> DataFrame:
 
 
 def keyed(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("source_key", F.lower("source")).withColumn("domain_key", F.lower("domain"))
+    return rows.withColumn("source_key", fold_case(F.col("source"))).withColumn("domain_key", fold_case(F.col("domain")))
 
 
 def upsert(ledger: DataFrame, batch: DataFrame, now: Column) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from corpuskiln.functions.text import GENERIC_TOKENS
 from corpuskiln.operators.audit import EXEMPT_CHARS
-from corpuskiln.plans.queries import FAULTS, HEADS, TERMS
+from corpuskiln.plans.queries import FAULTS, HEADS, SPELLINGS, TERMS
 
 _ACTIVE = [t for t in TERMS if (t[4] or "approved") == "approved"]
 _PHRASES = sorted(((p.lower(), s, t) for s, t, _, a, _, _ in _ACTIVE for p in (s, *a)), key=lambda x: (-len(x[0]), x[0]))
@@ -31,6 +31,8 @@ x5 as (select *, case when contains(array_to_string(d, ''), '{_TOKEN}') then 'ne
 masked as (select *, len(c) + case when error = 'nested: dollar display' then 0 when error = 'nested: dollar math' then len(d) when error is not null then len(d) + len(g) else len(d) + len(g) + len(h) end as n_tokens from x5)
 """
 _DOCUMENTS = "texts as (select doc_id, 'document' as kind, coalesce(text, '') as text from documents)"
+_SPELLED = ", ".join(f"({i}, '{x}', '{x.casefold()}')" for i, x in enumerate(x for group in SPELLINGS for x in group))
+_RUN = "[a-z0-9_]+"
 _NOTES = ", ".join(f"('{s}', {i}, {d!r}, '{n}')" for i, (s, _, d, _, _, n) in enumerate(TERMS))
 _IN_MASKED = (
     _MATCHES.replace("from documents)", "from masked where error is null)").replace("coalesce(text, '')", "t4").replace("with k(", f"with {_DOCUMENTS}, {_MASK}, n(source, term_no, domains, note) as (values {_NOTES}), k(")
@@ -118,6 +120,21 @@ def _quoted(x: str) -> str:
 
 
 SQL: dict[str, str] = {
+    "dictionary_matches": rf"""
+with k as (select distinct unnest(l) as k from (select regexp_extract_all(lower(coalesce(text, '')), '{_RUN} {_RUN}') as l from conversations
+             union all select regexp_extract_all(lower(coalesce(text, '')), '{_RUN} {_RUN} {_RUN}') from benchmark union all select regexp_extract_all(lower(coalesce(text, '')), '{_RUN}') from benchmark)),
+t as (select doc_id, unnest(l) as t, unnest(range(len(l))) as i from (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '{_RUN}|\s+|[^a-z0-9_\s]') as l from documents)),
+p as (select doc_id, i, case when t[1] in (' ', chr(9), chr(10), chr(11), chr(12), chr(13)) then ' ' else t end as t, length(t) as n, coalesce(sum(length(t)) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as s from t),
+g as (select doc_id, s, t as g1, s + n as e1, t || lead(t) over w || lead(t, 2) over w as g3, lead(s + n, 2) over w as e3,
+             t || lead(t) over w || lead(t, 2) over w || lead(t, 3) over w || lead(t, 4) over w as g5, lead(s + n, 4) over w as e5 from p window w as (partition by doc_id order by i)),
+c as (select doc_id, s, e1 as e, g1 as k from g union all select doc_id, s, e3, g3 from g union all select doc_id, s, e5, g5 from g),
+m as (select doc_id, list({{'s': s::bigint, 'e': e::bigint, 'p': contains(k, ' ')::bigint}} order by s, e desc) as l from c join k using (k) group by doc_id),
+f as (select doc_id, list_reduce(list_prepend({{'s': 0::bigint, 'e': 0::bigint, 'p': 0::bigint, 'n': 0::bigint, 'c': 0::bigint}}, list_transform(l, lambda x: {{'s': x.s, 'e': x.e, 'p': x.p, 'n': 1::bigint, 'c': x.e - x.s}})),
+             lambda a, x: case when x.s >= a.e then {{'s': x.s, 'e': x.e, 'p': a.p + x.p, 'n': a.n + 1, 'c': a.c + x.c}} else a end) as f from m)
+select doc_id, f.n as n_matches, f.c as matched_chars, f.p as n_phrases from f
+""",
+    "folded_spellings": f"""with s(i, x, f) as (values {_SPELLED}), d as (select f, lower(regexp_extract(coalesce(text, ''), '([A-Za-z]+)', 1)) as w from documents join s on doc_id % {3 * len(SPELLINGS)} = s.i)
+select case when w = '' then f else f || ' ' || w end as key, count(*) as n from d group by 1""",
     "term_frequency": f"{_MATCHES} select source, target, count(*) as occurrences from m group by source, target",
     "term_forms_top8": f"""{_MATCHES}, c as (select source, form, count(*) as n, min(doc_id * 1000000 + no) as first from m group by source, form),
         r as (select source, form, n, row_number() over (partition by source order by n desc, first) as form_no from c) select source, form, n, form_no from r where form_no <= 8""",

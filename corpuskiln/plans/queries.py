@@ -93,6 +93,31 @@ def longest_match(spark, sf_dir):
     return matches(spark, sf_dir).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_matches"), F.sum((F.col("end") - F.col("start")).cast("long")).alias("matched_chars"), F.count(F.when(F.col("source").contains(" "), 1)).alias("n_phrases"))
 
 
+def _large_dictionary(spark, sf_dir) -> DataFrame:
+    """Pairs of words of conversations, triples and words of the benchmark, some 20,000 phrases at the least size tested, as terms."""
+    word = "[a-z0-9_]+"
+    found = lambda name, pattern: table(spark, sf_dir, name).select(F.explode(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(pattern), F.lit(0))).alias("source"))
+    every = found("conversations", f"{word} {word}").union(found("benchmark", f"{word} {word} {word}")).union(found("benchmark", word)).distinct()
+    return every.select(F.lit(0).cast("long").alias("term_no"), "source", F.lit("T").alias("target"), F.array(F.lit("*")).alias("domains"), F.expr("cast(array() as array<string>)").alias("aliases"), F.lit("").alias("note"))
+
+
+def dictionary_matches(spark, sf_dir):
+    """A dictionary of tens of thousands of phrases in all documents, longest match first."""
+    found = matching.find_terms(docs(spark, sf_dir), _large_dictionary(spark, sf_dir))
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_matches"), F.sum((F.col("end") - F.col("start")).cast("long")).alias("matched_chars"), F.count(F.when(F.col("source").contains(" "), 1)).alias("n_phrases"))
+
+
+#: Spellings that case folding makes equal, three and three, and those that it keeps apart.
+SPELLINGS = (("Stra\u00dfe", "STRASSE", "stra\u1e9ee"), ("\u039f\u0394\u039f\u03a3", "\u03bf\u03b4\u03bf\u03c2", "\u03bf\u03b4\u03bf\u03c3"), ("\u212aelvin", "Kelvin", "kelvin"), ("\u0130x", "i\u0307x", "ix"))
+
+
+def folded_spellings(spark, sf_dir):
+    """How many documents have each key of spellings that differ in case, dealt out to them before their first word."""
+    spelled = F.element_at(F.array(*(F.lit(x) for group in SPELLINGS for x in group)), (F.pmod("doc_id", F.lit(3 * len(SPELLINGS))) + 1).cast("int"))
+    phrase = F.concat(spelled, F.lit("  "), F.regexp_extract("text", "([A-Za-z]+)", 1))
+    return docs(spark, sf_dir).groupBy(X.term_key(phrase).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def term_conflicts(spark, sf_dir):
     """Host names that part of the pages reach by both schemes, as phrases with two targets."""
     url = F.regexp_extract_all("url", F.lit("^([a-z]+)://([^/]*)"), F.lit(1))
@@ -512,7 +537,7 @@ def main_files(spark, sf_dir):
 
 
 REGISTERED = (
-    term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
+    dictionary_matches, folded_spellings, term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
     chunk_match_overlap, section_in_chunk, range_pages, neighbour_pages, contiguity_violations, body_bounds, metadata_heading, body_page_count, page_lines, page_index, image_refs, missing_refs, artifact_violations,
     control_chars, structural_diff, terminology_missing, candidate_upsert, approve_term, pending_chunks, latest_valid_attempt, jsonl_pages, arxiv_ids, ordered_assembly, command_set_diff, tex_escape,
     sanitized_candidates, chapter_violations, output_names, mask_counts, mask_roundtrip, translate_documents, prompt_rules, report_counters, chunk_index, convert_chunks, review_chunks,

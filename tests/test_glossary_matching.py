@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from corpuskiln.functions import text as X
 from corpuskiln.functions.text import find_all
 from corpuskiln.operators import glossary, matching
 
@@ -16,7 +17,7 @@ def make_terms(spark, rows):
 def found(spark, text, rows, domain=None, general=False):
     known = glossary.active_terms(make_terms(spark, rows), domain)
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    out = matching._by_first_word(docs, glossary.phrases(known), "text") if general else matching.find_terms(docs, known)
+    out = matching.by_tokens(docs, glossary.phrases(known), "text") if general else matching.find_terms(docs, known)
     return [(r["start"], r["end"], r["source"], r["matched_text"]) for r in out.orderBy("start").collect()]
 
 
@@ -125,3 +126,44 @@ def test_phrases_without_an_ascii_word(spark, general):
     rows = [("环", "1", ["*"]), ("环 面", "2", ["*"]), ("😀", "3", ["*"]), ("É", "4", ["*"]), ("§", "5", ["*"])]
     assert [g[:3] for g in found(spark, "x 环\n面 é😀 a§", rows, general=general)] == [(2, 5, "环 面"), (6, 7, "É"), (7, 8, "😀")]
     assert found(spark, "", rows, general=general) == [] and found(spark, "plain words", rows, general=general) == []
+
+
+CASES = [("\u212a", "k"), ("ſ", "s"), ("İ", "i"), ("ı", "i"), ("ς", "σ"), ("Σ", "σ"), ("É", "é"), ("ẞ", "ß"), ("ß", "ss"), ("ﬁ", "fi"), ("Ǆ", "ǆ"), ("ᾼ", "ᾳ"), ("𐐀", "𐐨")]
+
+
+def test_folding_equals_python(spark):
+    texts = [a for pair in CASES for a in pair] + ["MASSE Maße", "ΟΔΟΣ οδος", "İstanbul ıI", "plain TEXT", "", "".join(map(chr, range(0x80, 0x2200))), None]
+    out = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", X.fold_case(F.col("t")).alias("f"), (F.length(X.fold_signs(F.col("t"))) == F.length("t")).alias("same")).collect()
+    assert {r["i"]: r["f"] for r in out} == {i: t if t is None else t.casefold() for i, t in enumerate(texts)}
+    assert all(r["same"] in (True, None) for r in out)
+
+
+def test_ignored_case_is_that_of_patterns(spark):
+    """A phrase matches a text sign by sign as the pattern of the JVM that ignores case does, in both ways."""
+    words = ["king", "ſun", "οδος", "straße", "ıris", "é", "x-ray", "naïve map"]
+    texts = ["the \u212aing and king", "SUN ſun", "ΟΔΟΣ οδοσ", "STRASSE Straße STRAẞE", "IRIS İris ıris iris", "É é xé é\u212a", "X-RAY x-rays x- ray", "Naïve  MAP\nnaïve map"]
+    known = glossary.phrases(glossary.active_terms(make_terms(spark, [(w, w, ["*"]) for w in words])))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    pattern = docs.crossJoin(known.select("source", X.phrase_pattern(F.col("phrase")).alias("p")))
+    want = sorted((r["doc_id"], r["m"]["start"], r["m"]["end"], r["source"]) for r in pattern.select("doc_id", "source", F.explode(find_all(F.col("text"), F.col("p"))).alias("m")).collect())
+    terms = glossary.active_terms(make_terms(spark, [(w, w, ["*"]) for w in words]))
+    shape = lambda out: sorted((r["doc_id"], r["start"], r["end"], r["source"]) for r in out.collect())
+    assert shape(matching.find_terms(docs, terms)) == want
+    keyed = known.withColumn("key", X.fold_signs(F.col("phrase")))
+    assert shape(matching.by_tokens(docs, keyed, "text")) == want
+    assert (0, 4, 8, "king") in want and (0, 13, 17, "king") in want
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_size_of_the_dictionary_changes_nothing(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    signs = ["a ", "B ", "b", "\u212a", "k ", "ß", "é ", "-", "\n ", "x_1 ", "İ", "环"]
+    texts = [(i, "".join(rng.choice(signs) for _ in range(rng.choice([0, 5, 80, 700])))) for i in range(40)] + [(99, None)]
+    phrases = {"".join(rng.choice(signs) for _ in range(rng.choice([1, 2, 3]))).strip() for _ in range(60)} - {""}
+    rows = [(p, f"T{i}", ["*"]) for i, p in enumerate(sorted(phrases)) if not matching.overlaps_itself(" ".join(p.casefold().split()))]
+    docs, terms = spark.createDataFrame(texts, "doc_id long, text string"), glossary.active_terms(make_terms(spark, rows))
+    take = lambda **o: sorted(tuple(str(x) for x in r) for r in matching.find_terms(docs, terms, **o).collect())
+    small = take(), take(offsets=False)
+    monkeypatch.setattr(matching, "ONE_PATTERN", 0)
+    monkeypatch.setattr(matching, "RUNS", 7)
+    assert len(small[0]) > 100 and (take(), take(offsets=False)) == small
