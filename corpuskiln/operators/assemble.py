@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.functions.numbers import round_binary
 from corpuskiln.functions.text import tex_escape
 from corpuskiln.operators.chunking import chunk_id
 
@@ -41,7 +42,7 @@ def document_report(inputs: DataFrame, converted: DataFrame, reviewed: DataFrame
     ``inputs`` is what ``chapter_inputs`` gives, ``converted`` has the keys, part, chunk_id, accepted and overall_coverage, ``reviewed``
     the keys, part and error. Only facts of chunks are gathered, no texts.
     """
-    facts = F.struct("part", "chunk_id", F.col("accepted").alias("passed"), F.round("overall_coverage", 3).alias("overall_coverage"))
+    facts = F.struct("part", "chunk_id", F.col("accepted").alias("passed"), round_binary(F.col("overall_coverage")).alias("overall_coverage"))
     made = converted.groupBy(*keys).agg(F.count(F.lit(1)).alias("chunks"), F.sort_array(F.collect_list(facts)).alias("completeness"))
     seen = reviewed.where("error is null").groupBy(*keys).agg(F.count(F.lit(1)).alias("reviewed_chunks"))
     rows = inputs.select(*keys, F.size("chapters").cast("long").alias("chapters"), F.col("chapters").alias("chapter_ranges")).join(made, keys, "left").join(seen, keys, "left")

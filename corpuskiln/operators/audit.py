@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.functions.numbers import round_binary
 from corpuskiln.functions.text import content_tokens, lines, strip
 
 # Fixed values.
@@ -48,10 +49,10 @@ def completeness_report(covered: DataFrame, keys: list[str]) -> DataFrame:
 
     ``pages`` (page_no, tokens, hits, coverage) and ``missing_pages`` are in page order; a chunk's pages are few by its plan.
     """
-    page = F.struct("page_no", "tokens", "hits", F.round("coverage", 3).alias("coverage"), "missing")
+    page = F.struct("page_no", "tokens", "hits", round_binary(F.col("coverage")).alias("coverage"), "missing")
     packed = covered.groupBy(*keys).agg(F.sort_array(F.collect_list(page)).alias("p"))
     listed = packed.select(*keys, F.transform(F.filter("p", lambda x: x["missing"]), lambda x: x["page_no"]).alias("missing_pages"), F.transform("p", lambda x: x.dropFields("missing")).alias("pages"))
-    sums = completeness(covered, keys).select(*keys, "passed", F.round("overall_coverage", 3).alias("overall_coverage"), "allowed_missing_pages")
+    sums = completeness(covered, keys).select(*keys, "passed", round_binary(F.col("overall_coverage")).alias("overall_coverage"), "allowed_missing_pages")
     return sums.join(listed, keys)
 
 

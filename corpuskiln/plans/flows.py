@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.functions import typed
 from corpuskiln.operators import audit, backend, boundaries, chunking, lifecycle
 from corpuskiln.sources import sinks
 
@@ -64,10 +65,10 @@ def convert(pages: DataFrame, planned: DataFrame, keys: list[str], done: DataFra
     requests = chunk_requests(pages, planned, keys, "Convert the pages to a TeX fragment without changing what they say.")
     if done is not None:
         requests = lifecycle.pending(requests, done, [*keys, "part"], F.col("accepted"))
+    requests = sinks.stored(requests, "requests")  # texts of all parts, read by several steps
     if attempts is None:
         return _judged(backend.generate(requests, generator, shape=fragment_error), pages, planned, keys).drop("made_at").withColumn("recovered", F.lit(False))
-    shape = F.udf(fragment_error, "string")
-    old = requests.drop("prompt").join(attempts.select(*keys, "part", "made_at", "answer"), [*keys, "part"]).withColumn("error", shape("answer")).withColumn("tries", F.lit(0))
+    old = requests.drop("prompt").join(attempts.select(*keys, "part", "made_at", "answer"), [*keys, "part"]).withColumn("error", typed.fragment_error(F.col("answer"))).withColumn("tries", F.lit(0))
     found = sinks.stored(lifecycle.latest_valid(_judged(old, pages, planned, keys), [*keys, "part"], ["made_at"], F.col("accepted")), "recovered")
     open_ = lifecycle.pending(requests, found, [*keys, "part"])
     made = _judged(backend.generate(open_, generator, shape=fragment_error), pages, planned, keys)

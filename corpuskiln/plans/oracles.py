@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from corpuskiln.functions.text import GENERIC_TOKENS
 from corpuskiln.operators.audit import EXEMPT_CHARS
-from corpuskiln.plans.queries import FAULTS, HEADS, SPELLINGS, TERMS
+from corpuskiln.plans.queries import FAULTS, HEADS, OUTLINES, SPELLINGS, TERMS
 
 _ACTIVE = [t for t in TERMS if (t[4] or "approved") == "approved"]
 _PHRASES = sorted(((p.lower(), s, t) for s, t, _, a, _, _ in _ACTIVE for p in (s, *a)), key=lambda x: (-len(x[0]), x[0]))
@@ -119,6 +119,24 @@ def _quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
+_OUTLINED = ", ".join(f"({i}, '{x}')" for i, x in enumerate(OUTLINES))
+_CHAPTER_FIELDS = "('number', 'integer', 0, 0), ('title', 'string', 0, 0), ('printed_start_page', 'integer', 1, 1), ('ocr_start_page', 'integer', 0, 0), ('ocr_end_page', 'integer', 0, 0), ('sections', 'array', 0, 0)"
+_SECTION_FIELDS = "('title', 'string', 0, 0), ('printed_start_page', 'integer', 1, 1), ('ocr_start_page', 'integer', 1, 1)"
+_END_FIELDS = "('heading', 'string', 1, 0), ('printed_start_page', 'integer', 1, 1), ('ocr_start_page', 'integer', 1, 1)"
+
+
+def _kind(where: str) -> str:
+    return f"case json_type({where}) when 'VARCHAR' then 'string' when 'UBIGINT' then 'integer' when 'BIGINT' then 'integer' when 'DOUBLE' then 'number' else lower(json_type({where})) end"
+
+
+def _typed(rows: str, fields: str) -> str:
+    """Faults of the fields of objects ``c`` at ``place``; what is no object has one fault."""
+    got = f"coalesce({_kind("c, '$.' || n")}, 'missing')"
+    return f"""select event_id, place || ': ' || coalesce({_kind("c")}, 'missing') as f from {rows} where json_type(c) is distinct from 'OBJECT'
+      union all select event_id, place || '.' || n || ': ' || {got} from {rows} cross join (values {fields}) w(n, k, optional, nullable)
+      where json_type(c) = 'OBJECT' and {got} <> k and not (optional = 1 and {got} = 'missing') and not (nullable = 1 and {got} = 'null')"""
+
+
 SQL: dict[str, str] = {
     "dictionary_matches": rf"""
 with k as (select distinct unnest(l) as k from (select regexp_extract_all(lower(coalesce(text, '')), '{_RUN} {_RUN}') as l from conversations
@@ -228,6 +246,24 @@ select case when w = '' then f else f || ' ' || w end as key, count(*) as n from
         select row_number() over (order by occurrences desc, length(source) desc, lower(source), target) as rank, source, target, occurrences, forms, array_to_string(list_sort(domains), ',') as domains, note as notes, n_files
         from t join f using (source, target) join n using (source) order by rank limit 300""",
     "convert_chunks": f"{_CHUNKED} select book, part, chunk_id, sha256(text) as tex_sha256, error, 1.0::double as overall_coverage, error is null as accepted from made",
+    "conversion_faults": f"""{_CHUNKED}, x as (select book, part, case part % 7 when 5 then 'empty' when 6 then 'code fence' else error end as rule,
+        case part % 7 when 1 then 'chunk_id differs' when 2 then 'source_pages differ' when 3 then 'structure_notes is missing' when 4 then 'image_notes is missing' end as report from made)
+        select book, part, coalesce(rule, report) as error, coalesce(rule, report) is null as accepted from x""",
+    "review_faults": f"""{_CHUNKED} select book, part, case part % 7 when 1 then 'chunk_id differs' when 2 then 'source_pages differ' when 5 then 'empty' when 6 then 'root document command' end as error from made where error is null""",
+    "answer_faults": f"""select doc_id, case doc_id % 7 when 0 then 1 when 3 then 1 else 2 end::int as tries,
+        case doc_id % 7 when 3 then 'unknown token: @@MATH_TRANSLATOR_000009@@' when 4 then 'token not exactly once: {_TOKEN}' when 6 then 'wrong shape' end as error,
+        case when doc_id % 7 in (0, 1, 2, 5) then sha256('$a$ ' || coalesce(text, '') || ' $b$') end as text_sha256 from documents""",
+    "json_type_faults": f"""
+with e as (select event_id, replace(o.t, 'K', coalesce(json_extract_string(props, '$.k'), '0')) as t from events join (values {_OUTLINED}) o(i, t) on event_id % {len(OUTLINES)} = o.i),
+v as (select event_id, case when json_valid(t) then t::json end as v from (select event_id, ltrim(t, chr(65279)) as t from e)),
+c as (select event_id, 'chapters[' || i || ']' as place, c from (select event_id, unnest(json_extract(v, '$.chapters[*]')) as c, unnest(range(len(json_extract(v, '$.chapters[*]')))) as i from v)),
+s as (select event_id, place || '.sections[' || i || ']' as place, c from (select event_id, place, unnest(json_extract(c, '$.sections[*]')) as c, unnest(range(len(json_extract(c, '$.sections[*]')))) as i from c)),
+b as (select event_id, 'body_end' as place, json_extract(v, '$.body_end') as c from v where json_type(v) = 'OBJECT'),
+q as ({_typed("c", _CHAPTER_FIELDS)} union all {_typed("s", _SECTION_FIELDS)} union all {_typed("b", _END_FIELDS)} union all
+      select event_id, 'no JSON' from v where v is null union all select event_id, '$: ' || {_kind("v")} from v where json_type(v) <> 'OBJECT' union all
+      select event_id, 'chapters: ' || case when {_kind("v, '$.chapters'")} = 'array' then 'empty' else coalesce({_kind("v, '$.chapters'")}, 'missing') end from v
+      where json_type(v) = 'OBJECT' and (coalesce({_kind("v, '$.chapters'")}, '') <> 'array' or json_array_length(v, '$.chapters') = 0))
+select coalesce(q.f, 'none') as fault, count(*) as n from v left join q using (event_id) group by 1""",
     "review_chunks": f"{_CHUNKED} select book, part, true as same, null::varchar as error from made where error is null",
     "recovered_chunks": f"{_CHUNKED} select book, part, sha256(text) as tex_sha256, error is null as accepted, error is null and part % 2 = 0 as recovered from made",
     "document_report": f"""{_CHUNKED}, p as (select book, max(last_page) as end_page from parts group by book)
@@ -237,8 +273,8 @@ select case when w = '' then f else f || ' ' || w end as key, count(*) as n from
         x as (select book, part, page_no, unnest(t) as token from s where not short),
         h as (select x.book, x.part, x.page_no, count(*) as hits from x join o using (book, part, token) group by all),
         c as (select s.book, s.part, s.page_no, not short and len(t) > 0 as audited, len(t) as n, coalesce(hits, 0) as hits, case when short or len(t) = 0 then 1.0::double else coalesce(hits, 0)::double / len(t) end as coverage from s left join h on h.book = s.book and h.part = s.part and h.page_no = s.page_no),
-        g as (select book, part, coalesce(sum(hits) filter (audited)::double / sum(n) filter (audited), 1.0) as o, count(*) filter (coverage < 0.2) as m, greatest(1, count(*) // 10)::bigint as allowed, coalesce(string_agg(page_no::varchar, ',' order by page_no) filter (coverage < 0.2), '') as missing, string_agg(round(round(coverage, 3) * 1000)::int::varchar, ',' order by page_no) as shares from c group by all)
-        select book, part, o >= 0.72 and m <= allowed as passed, round(o, 3) as overall_coverage, allowed as allowed_missing_pages, missing as missing_pages, shares from g""",
+        g as (select book, part, coalesce(sum(hits) filter (audited)::double / sum(n) filter (audited), 1.0) as o, count(*) filter (coverage < 0.2) as m, greatest(1, count(*) // 10)::bigint as allowed, coalesce(string_agg(page_no::varchar, ',' order by page_no) filter (coverage < 0.2), '') as missing, string_agg(round(round_even(coverage, 3) * 1000)::int::varchar, ',' order by page_no) as shares from c group by all)
+        select book, part, o >= 0.72 and m <= allowed as passed, round_even(o, 3) as overall_coverage, allowed as allowed_missing_pages, missing as missing_pages, shares from g""",
     "unknown_pages": "with b as (select source as book, count(*) - 1 as last from documents group by source) select book, (last - last % 2 + 2)::int as page_no from b where book is not null",
     "changed_manifests": f"with {_SCANS} select book, contents_page, body_start_page, end_page_excluded, error from bounds where book % 3 = 0 and end_page_excluded is not null",
     "main_files": r"""select doc_id, case when doc_id % 50 = 0 then 0 else 1 end as priority, case when doc_id % 50 = 0 then '\documentclass{a}' || chr(10) || '\title{New}' || chr(10) || '\input{chapters/c_' || doc_id || '-zh}' || chr(10) || '\textbf中' end as root, doc_id % 50 = 0 as macro_before_han from documents""",

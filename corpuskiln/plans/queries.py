@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as X
+from corpuskiln.functions import typed
 from corpuskiln.operators import assemble, audit, backend, boundaries, chunking, glossary, ledger, lifecycle, masking, matching, report, scan
 from corpuskiln.plans import flows
 from corpuskiln.sources import files, sinks
@@ -447,6 +449,29 @@ def translation_warnings(spark, sf_dir):
     return flows.translation_warnings(docs(spark, sf_dir), _translated(spark, sf_dir), rules).select("doc_id", F.array_join("warnings", "; ").alias("warnings"))
 
 
+def faulty_answers(prompts: list[str]) -> list[str]:
+    """A stand-in that does what the digit at the head of a prompt says: loses, repeats or invents a token, gives no JSON or another shape; 1, 2 and 5 do well when they are told."""
+    out = []
+    for p in prompts:
+        chunk, again = p.split("<SOURCE>\n", 1)[1].rsplit("\n</SOURCE>", 1)[0], "The last answer failed" in p
+        first = chunk[: chunk.index(" ")]
+        lost, twice, invented = chunk[len(first) :], f"{first}{chunk}", f"{chunk}{masking.PREFIX}000009@@"
+        text = {"1": chunk if again else lost, "2": chunk if again else twice, "3": invented, "4": lost}.get(p[0], chunk)
+        good = json.dumps({"translation": text, "candidate_terms": []}, ensure_ascii=False)
+        out.append({"5": good if again else "no JSON", "6": "[1]"}.get(p[0], good))
+    return out
+
+
+def answer_faults(spark, sf_dir):
+    """Documents between two tokens, with answers that lose, repeat and invent tokens or have another shape; what the second try mends."""
+    token = lambda i: f"{masking.PREFIX}{i:06d}@@"
+    rows = docs(spark, sf_dir).withColumn("chunk", F.concat(F.lit(token(0) + " "), "text", F.lit(" " + token(1)))).withColumn("tokens", F.array(F.lit(token(0)), F.lit(token(1))))
+    prompt = F.concat(F.pmod("doc_id", F.lit(7)).cast("string"), F.lit("\n<SOURCE>\n"), "chunk", F.lit("\n</SOURCE>"))
+    answers = backend.checked(backend.parsed(backend.generate(rows.select("doc_id", "chunk", "tokens", prompt.alias("prompt")), faulty_answers, backend.check_tokens)))
+    back = masking.restore(F.col("translation"), F.col("tokens"), F.array(F.lit("$a$"), F.lit("$b$")))
+    return answers.select("doc_id", "tries", F.coalesce("error", "token_error", back["error"]).alias("error"), F.sha2(back["text"], 256).alias("text_sha256"))
+
+
 def prompt_rules(spark, sf_dir):
     """The rules that each document's chunks are sent with."""
     m = matching.unique_rules(matches(spark, sf_dir, offsets=False))
@@ -480,6 +505,55 @@ def review_chunks(spark, sf_dir):
     return flows.review(_converted(spark, sf_dir), ["book"]).select("book", "part", (F.col("tex") == F.col("first_version")).alias("same"), "error")
 
 
+def faulty_fragments(prompts: list[str]) -> list[str]:
+    """A stand-in whose fault follows from the number of the part: another chunk, pages turned round, notes missing, an empty text, a root document within a fence."""
+    out = []
+    for p, answer in zip(prompts, flows.echo_fragment(prompts)):
+        value = json.loads(answer)
+        fault = int(value["report"]["chunk_id"].rsplit("_", 1)[1]) % 7
+        if fault == 1:
+            value["report"]["chunk_id"] = "other"
+        elif fault == 2:
+            value["report"]["source_pages"] = [*reversed(value["report"]["source_pages"]), -1]
+        elif fault in (3, 4):
+            del value["report"]["structure_notes" if fault == 3 else "image_notes"]
+        elif fault == 5:
+            value["tex"] = " "
+        elif fault == 6:
+            value["tex"] = "```tex\n\\documentclass{a}\n" + value["tex"]
+        out.append(json.dumps(value, ensure_ascii=False))
+    return out
+
+
+def conversion_faults(spark, sf_dir):
+    """Every part of every book answered with one of six faults or none; the first broken rule of each."""
+    made = flows.convert(books(spark, sf_dir).select("book", "page_no", "text"), planned(spark, sf_dir), ["book"], generator=faulty_fragments)
+    return made.select("book", "part", "error", "accepted")
+
+
+def review_faults(spark, sf_dir):
+    """Accepted fragments reviewed by a stand-in with the same faults; of an answer with a root document that breaks an earlier rule too, the root is told."""
+    return flows.review(_converted(spark, sf_dir), ["book"], faulty_fragments).select("book", "part", "error")
+
+
+#: Outlines of K, a number of each event, with faults of type; the sign before the second is a byte order mark.
+_CHAPTER = '{"number": K, "title": "A", "ocr_start_page": 1, "ocr_end_page": K, "sections": [{"title": "s", "ocr_start_page": K}]}'
+OUTLINES = (
+    f'{{"chapters": [{_CHAPTER}], "body_end": {{"ocr_start_page": K}}}}', f'\ufeff{{"chapters": [{_CHAPTER}], "body_end": {{}}}}', f'{{"chapters": [{_CHAPTER.replace("K", chr(34) + "K" + chr(34))}], "body_end": {{}}}}',
+    f'{{"chapters": {_CHAPTER}, "body_end": [K]}}', f'{{"chapters": [K, {_CHAPTER}, null], "body_end": {{"heading": null}}}}', '{"chapters": [], "body_end": {"ocr_start_page": "K"}}', "[K]", '{"chapters": [{"number": K', '"K"',
+    f'{{"chapters": [{_CHAPTER.replace("[{", "[7, {").replace(chr(34) + "s" + chr(34), "null")}], "body_end": {{"heading": 3, "printed_start_page": 1.5}}}}', '{"body_end": true}',
+)
+
+
+def json_type_faults(spark, sf_dir):
+    """An outline made of each event's properties; how many have each fault of type."""
+    number = F.expr("try_variant_get(try_parse_json(props), '$.k', 'string')")
+    shape = F.element_at(F.array(*map(F.lit, OUTLINES)), (F.pmod("event_id", F.lit(len(OUTLINES))) + 1).cast("int"))
+    text = F.replace(shape, F.lit("K"), F.coalesce(number, F.lit("0")))
+    rows = table(spark, sf_dir, "events").select(F.explode_outer(typed.outline_faults(text)).alias("fault"))
+    return rows.groupBy(F.coalesce("fault", F.lit("none")).alias("fault")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def recovered_chunks(spark, sf_dir):
     """Parts whose broken-off runs left an answer for every second part; of two answers the newer is no fragment."""
     pages, plan = books(spark, sf_dir).select("book", "page_no", "text"), planned(spark, sf_dir)
@@ -537,7 +611,7 @@ def main_files(spark, sf_dir):
 
 
 REGISTERED = (
-    dictionary_matches, folded_spellings, term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
+    dictionary_matches, folded_spellings, answer_faults, conversion_faults, review_faults, json_type_faults, term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
     chunk_match_overlap, section_in_chunk, range_pages, neighbour_pages, contiguity_violations, body_bounds, metadata_heading, body_page_count, page_lines, page_index, image_refs, missing_refs, artifact_violations,
     control_chars, structural_diff, terminology_missing, candidate_upsert, approve_term, pending_chunks, latest_valid_attempt, jsonl_pages, arxiv_ids, ordered_assembly, command_set_diff, tex_escape,
     sanitized_candidates, chapter_violations, output_names, mask_counts, mask_roundtrip, translate_documents, prompt_rules, report_counters, chunk_index, convert_chunks, review_chunks,
