@@ -273,8 +273,8 @@ select coalesce(q.f, 'none') as fault, count(*) as n from v left join q using (e
         x as (select book, part, page_no, unnest(t) as token from s where not short),
         h as (select x.book, x.part, x.page_no, count(*) as hits from x join o using (book, part, token) group by all),
         c as (select s.book, s.part, s.page_no, not short and len(t) > 0 as audited, len(t) as n, coalesce(hits, 0) as hits, case when short or len(t) = 0 then 1.0::double else coalesce(hits, 0)::double / len(t) end as coverage from s left join h on h.book = s.book and h.part = s.part and h.page_no = s.page_no),
-        g as (select book, part, coalesce(sum(hits) filter (audited)::double / sum(n) filter (audited), 1.0) as o, count(*) filter (coverage < 0.2) as m, greatest(1, count(*) // 10)::bigint as allowed, coalesce(string_agg(page_no::varchar, ',' order by page_no) filter (coverage < 0.2), '') as missing, string_agg(round(round_even(coverage, 3) * 1000)::int::varchar, ',' order by page_no) as shares from c group by all)
-        select book, part, o >= 0.72 and m <= allowed as passed, round_even(o, 3) as overall_coverage, allowed as allowed_missing_pages, missing as missing_pages, shares from g""",
+        g as (select book, part, coalesce(sum(hits) filter (audited)::double / sum(n) filter (audited), 1.0) as o, count(*) filter (coverage < 0.2) as m, greatest(1, count(*) // 10)::bigint as allowed, coalesce(string_agg(page_no::varchar, ',' order by page_no) filter (coverage < 0.2), '') as missing, string_agg(round(printf('%.3f', coverage)::double * 1000)::int::varchar, ',' order by page_no) as shares from c group by all)
+        select book, part, o >= 0.72 and m <= allowed as passed, printf('%.3f', o)::double as overall_coverage, allowed as allowed_missing_pages, missing as missing_pages, shares from g""",
     "unknown_pages": "with b as (select source as book, count(*) - 1 as last from documents group by source) select book, (last - last % 2 + 2)::int as page_no from b where book is not null",
     "changed_manifests": f"with {_SCANS} select book, contents_page, body_start_page, end_page_excluded, error from bounds where book % 3 = 0 and end_page_excluded is not null",
     "main_files": r"""select doc_id, case when doc_id % 50 = 0 then 0 else 1 end as priority, case when doc_id % 50 = 0 then '\documentclass{a}' || chr(10) || '\title{New}' || chr(10) || '\input{chapters/c_' || doc_id || '-zh}' || chr(10) || '\textbf中' end as root, doc_id % 50 = 0 as macro_before_han from documents""",
