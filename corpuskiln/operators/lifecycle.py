@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuskiln.functions.text import resolved
+
 
 def pending(work: DataFrame, done: DataFrame, keys: list[str], valid: Column | None = None) -> DataFrame:
     """Work without a valid result."""
@@ -17,17 +19,6 @@ def latest_valid(attempts: DataFrame, keys: list[str], newest: list[str], valid:
     return attempts.where(valid).withColumn("attempt_no", F.row_number().over(order)).where("attempt_no = 1").drop("attempt_no")
 
 
-def resolved(path: Column) -> Column:
-    """A relative path without empty, ``.`` and ``..`` segments; null if it leaves the folder it starts from, even for a while."""
-
-    def step(acc: Column, x: Column) -> Column:
-        up = x == ".."
-        return F.when(acc.isNull() | up & (F.size(acc) == 0), F.lit(None)).when(up, F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when((x == ".") | (x == ""), acc).otherwise(F.array_append(acc, x))
-
-    folded = F.aggregate(F.split(path, "/"), F.expr("cast(array() as array<string>)"), step)
-    return F.when(~path.startswith("/"), F.array_join(folded, "/"))
-
-
 def missing_references(pages: DataFrame, files: DataFrame, refs: str = "refs") -> DataFrame:
     """Distinct local references that no file answers or that leave the folder; ``..`` within it is followed."""
     local = pages.select(F.explode(refs).alias("path")).where(~F.col("path").startswith("http://") & ~F.col("path").startswith("https://")).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.operators.masking import mask
@@ -51,8 +51,21 @@ def report_totals(masked: DataFrame, terms: DataFrame, matches: DataFrame, max_t
     return files.crossJoin(unique).crossJoin(active)  # one row each
 
 
+def _line() -> Column:
+    forms = F.array_join(F.transform("forms", lambda x: F.format_string("%s (%d)", x["form"], x["count"])), ", ")
+    return F.format_string("| %s | %s | %d | %s | %s |", "source", "target", "occurrences", forms, F.array_join("notes", "; "))
+
+
+def report_document(report: DataFrame, totals: DataFrame, domain: str) -> DataFrame:
+    """The whole report as Markdown, line_no and value: a heading, a list of counters, and the table with its head (K5)."""
+    counters = ["files", "protected_segments", "active_terms", "matched_unique_terms", "reported_terms", "omitted_terms"]
+    bullets = [F.concat(F.lit(f"- {name.replace('_', ' ')}: "), F.col(name).cast("string")) for name in counters]
+    head = [F.lit("# Terms in use"), F.lit(""), F.lit(f"- domain: {domain}"), *bullets, F.lit(""), F.lit("| source | target | occurrences | forms | notes |"), F.lit("| --- | --- | ---: | --- | --- |")]
+    top = totals.select(F.posexplode(F.array(*head)).alias("line_no", "value"))
+    rows = report.select((F.col("rank") + (len(head) - 1)).cast("int").alias("line_no"), _line().alias("value"))
+    return top.unionByName(rows)
+
+
 def report_lines(report: DataFrame) -> DataFrame:
     """The report's table as Markdown lines in order (K5)."""
-    forms = F.array_join(F.transform("forms", lambda x: F.format_string("%s (%d)", x["form"], x["count"])), ", ")
-    line = F.format_string("| %s | %s | %d | %s | %s |", "source", "target", "occurrences", forms, F.array_join("notes", "; "))
-    return report.orderBy("rank").select(line.alias("value"))
+    return report.orderBy("rank").select(_line().alias("value"))

@@ -279,3 +279,19 @@ select coalesce(q.f, 'none') as fault, count(*) as n from v left join q using (e
     "changed_manifests": f"with {_SCANS} select book, contents_page, body_start_page, end_page_excluded, error from bounds where book % 3 = 0 and end_page_excluded is not null",
     "main_files": r"""select doc_id, case when doc_id % 50 = 0 then 0 else 1 end as priority, case when doc_id % 50 = 0 then '\documentclass{a}' || chr(10) || '\title{New}' || chr(10) || '\input{chapters/c_' || doc_id || '-zh}' || chr(10) || '\textbf中' end as root, doc_id % 50 = 0 as macro_before_han from documents""",
 }
+
+_SUFFIX = "(['md', 'TEX', 'markdown', 'txt'])[(doc_id % 4)::int + 1]"
+_NAME = f"'texts/' || lpad((doc_id % 16)::varchar, 2, '0') || '/d' || lpad(doc_id::varchar, 12, '0') || '.' || {_SUFFIX}"
+_MEMBER = "case page_id % 9 when 1 then '../' || page_id when 2 then '/p/' || page_id when 3 then 'p/../../p-more/' || page_id else 'p/' || page_id end"
+_SAFE = "page_id % 9 not in (1, 2, 3)"
+SQL |= {
+    "scanned_files": f"""with f as (select *, {_NAME} as name, case when doc_id % 4 = 3 then 'no known format' when doc_id % 10 = 1 then 'no UTF-8' end as error from documents)
+        select row_number() over (order by name) - 1 as file_no, name, case doc_id % 4 when 1 then 'LaTeX' when 3 then null else 'Markdown' end as format, case when error is null then sha256(replace(coalesce(text, ''), chr(13), chr(10)) || chr(10)) end as text_sha256, error from f""",
+    "written_translations": f"select doc_id, text_sha256, null::varchar as error from ({SQL['translate_documents']}) where error is null",
+    "archive_members": f"""select page_id // 100 as archive, {_MEMBER} as name, strlen(coalesce(html, ''))::bigint as size, case when {_SAFE} then sha256(coalesce(html, '')) end as content_sha256,
+        case page_id % 9 when 2 then 'absolute or empty' when 1 then 'leaves the folder' when 3 then 'leaves the folder' end as error from pages""",
+    "report_document": f"""with r as ({SQL['term_report']}), c as ({SQL['report_counters']})
+        select unnest(range(12))::int as line_no, unnest(['# Terms in use', '', '- domain: all', '- files: ' || files, '- protected segments: ' || protected_segments, '- active terms: ' || active_terms, '- matched unique terms: ' || matched_unique_terms,
+            '- reported terms: ' || reported_terms, '- omitted terms: ' || omitted_terms, '', '| source | target | occurrences | forms | notes |', '| --- | --- | ---: | --- | --- |']) as value from c
+        union all select (rank + 11)::int, '| ' || source || ' | ' || target || ' | ' || occurrences || ' | ' || forms || ' | ' || notes || ' |' from r""",
+}

@@ -5,14 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as X
 from corpuskiln.functions import typed
 from corpuskiln.operators import assemble, audit, backend, boundaries, chunking, glossary, ledger, lifecycle, masking, matching, report, scan
 from corpuskiln.plans import flows
-from corpuskiln.sources import files, sinks
+from corpuskiln.sources import archives, files, sinks, text_sink
 
 #: A dictionary of phrases that the test texts hold: source, target, domains, aliases, status, note.
 TERMS = [
@@ -472,6 +472,47 @@ def answer_faults(spark, sf_dir):
     return answers.select("doc_id", "tries", F.coalesce("error", "token_error", back["error"]).alias("error"), F.sha2(back["text"], 256).alias("text_sha256"))
 
 
+def _file_name(prefix: str) -> Column:
+    suffix = F.element_at(F.array(*map(F.lit, ("md", "TEX", "markdown", "txt"))), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    return F.concat(F.lit(f"{prefix}/"), F.lpad(F.pmod("doc_id", F.lit(16)).cast("string"), 2, "0"), F.lit("/d"), F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit("."), suffix)
+
+
+def scanned_files(spark, sf_dir):
+    """Every document written to a file of its own, some with a byte that is no UTF-8, and read back in the order of paths; the folder is named twice."""
+    broken = F.when(F.pmod("doc_id", F.lit(10)) == 1, F.lit(b"\xff")).otherwise(F.lit(b""))
+    content = F.concat(F.encode(F.concat(F.replace("text", F.lit("\n"), F.lit("\r\n")), F.lit("\n")), "UTF-8"), broken)
+    folder = sinks.new_folder(spark, "files")
+    text_sink.write_files(docs(spark, sf_dir).select(_file_name("texts").alias("name"), content.alias("content")), folder)
+    out = files.scan_texts(spark, folder, f"{folder}/texts")
+    return out.select("file_no", F.regexp_extract("path", "(texts/.*)$", 1).alias("name"), "format", F.sha2("text", 256).alias("text_sha256"), "error")
+
+
+def written_translations(spark, sf_dir):
+    """Translations written as one text each and read back; what could not be translated has no file."""
+    folder = sinks.new_folder(spark, "translations")
+    made = _translated(spark, sf_dir).where("error is null")
+    text_sink.write_files(made.select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".zh.md")).alias("name"), "text"), folder)
+    back = files.scan_texts(spark, folder)
+    return back.select(F.regexp_extract("path", r"d(-?\d+)\.zh\.md$", 1).cast("long").alias("doc_id"), F.sha2("text", 256).alias("text_sha256"), "error")
+
+
+def archive_members(spark, sf_dir):
+    """Pages packed to archives and read back; names that are absolute, leave the folder or only look like a neighbour of it."""
+    kind = F.pmod("page_id", F.lit(9))
+    number = F.col("page_id").cast("string")
+    name = F.when(kind == 1, F.concat(F.lit("../"), number)).when(kind == 2, F.concat(F.lit("/p/"), number)).when(kind == 3, F.concat(F.lit("p/../../p-more/"), number)).when(kind == 4, F.concat(F.lit("p/x/.././"), number)).otherwise(F.concat(F.lit("p/"), number))
+    pages = table(spark, sf_dir, "pages").select(F.floor(F.col("page_id") / 100).cast("long").alias("archive"), name.alias("name"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("content"))
+    folder = sinks.new_folder(spark, "archives")
+    text_sink.write_files(archives.pack(pages, "archive").select(F.concat(F.lit("a"), F.col("archive").cast("string"), F.lit(".tar.gz")).alias("name"), "content"), folder)
+    return archives.read_archives(spark, folder).select(F.regexp_extract("archive", r"a(\d+)\.tar", 1).cast("long").alias("archive"), "name", "size", F.sha2("content", 256).alias("content_sha256"), "error")
+
+
+def report_document(spark, sf_dir):
+    """The report as Markdown with its heading, counters and table."""
+    lines = report.report_document(report.term_report(docs(spark, sf_dir), every_term(spark)), report_counters(spark, sf_dir), "all")
+    return lines.select("line_no", "value")
+
+
 def prompt_rules(spark, sf_dir):
     """The rules that each document's chunks are sent with."""
     m = matching.unique_rules(matches(spark, sf_dir, offsets=False))
@@ -611,7 +652,7 @@ def main_files(spark, sf_dir):
 
 
 REGISTERED = (
-    dictionary_matches, folded_spellings, answer_faults, conversion_faults, review_faults, json_type_faults, term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
+    dictionary_matches, folded_spellings, scanned_files, written_translations, archive_members, report_document, answer_faults, conversion_faults, review_faults, json_type_faults, term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
     chunk_match_overlap, section_in_chunk, range_pages, neighbour_pages, contiguity_violations, body_bounds, metadata_heading, body_page_count, page_lines, page_index, image_refs, missing_refs, artifact_violations,
     control_chars, structural_diff, terminology_missing, candidate_upsert, approve_term, pending_chunks, latest_valid_attempt, jsonl_pages, arxiv_ids, ordered_assembly, command_set_diff, tex_escape,
     sanitized_candidates, chapter_violations, output_names, mask_counts, mask_roundtrip, translate_documents, prompt_rules, report_counters, chunk_index, convert_chunks, review_chunks,

@@ -21,6 +21,21 @@ def read_texts(spark: SparkSession, *paths: str) -> DataFrame:
     return named.select("path", "format", text.alias("text"))
 
 
+def scan_texts(spark: SparkSession, *paths: str) -> DataFrame:
+    """Every file below ``paths`` in the order of its path, once: file_no, path, format, text and error.
+
+    A file of no known format, or whose bytes are no UTF-8, keeps its row with an error and no text, and no byte is replaced; line ends are line feeds. Spark's scans pass over
+    files of no bytes, so an empty file has no row.
+    """
+    rows = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(list(paths)).dropDuplicates(["path"])
+    raw = F.col("content").cast("string")
+    kind = document_format(F.col("path"))
+    error = F.when(kind.isNull(), "no known format").when(~F.is_valid_utf8(raw), "no UTF-8")
+    read = rows.select("path", kind.alias("format"), error.alias("error"), F.when(error.isNull(), F.regexp_replace(F.regexp_replace(raw, "^\ufeff", ""), "\r\n?", "\n")).alias("text"))
+    numbers = scan.number_rows(rows.select("path"), "path", name="file_no")
+    return read.join(numbers, "path").select("file_no", "path", "format", "text", "error")
+
+
 def read_pages(spark: SparkSession, path: str, book: str = "book") -> DataFrame:
     """Scanned pages ``doc_N.md`` of a folder: book, page_no, file, text and chars."""
     rows = read_texts(spark, path).withColumn("file", F.regexp_extract("path", r"([^/]+)\z", 1))

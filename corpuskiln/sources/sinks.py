@@ -6,17 +6,26 @@ import tempfile
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_local_dir: list[str] = []
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that driver and executors share; a temporary one in local tests only."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not (spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not root and not _local_dir:
+        _local_dir.append("file://" + tempfile.mkdtemp(prefix="corpuskiln-"))
+    return f"{root or _local_dir[0]}/corpuskiln/{name}-{uuid.uuid4().hex}"
+
 
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written to the folder that driver and executors share and read again, so that they are made once; a temporary folder in local tests only."""
     spark = rows.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = f"{root or 'file://' + tempfile.mkdtemp(prefix='corpuskiln-')}/corpuskiln/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
