@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import fold_case, strip
+from corpuskiln.sources import sinks, versions
 
 # Fixed values.
 LONGEST, NO_DOMAIN = 120, "unspecified"
 KEY = ["source_key", "target", "domain_key"]
+LEDGER = "source string, target string, domain string, reason string, status string, occurrences long, first_seen timestamp, last_seen timestamp"
+
+#: Parts of a stored ledger; a batch rewrites only those that its keys fall into.
+BUCKETS = 128
 
 
 def sanitize(batch: DataFrame, domain: str | None = None) -> DataFrame:
@@ -46,3 +51,37 @@ def upsert(ledger: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
         F.when(F.col("source").isNull(), now).otherwise(F.col("first_seen")).alias("first_seen"),
         F.when(seen, now).otherwise(F.col("last_seen")).alias("last_seen"),
     )
+
+
+def bucket_of(rows: DataFrame, buckets: int = BUCKETS) -> Column:
+    """The part of a stored ledger that a row with the columns ``KEY`` belongs to."""
+    return (F.conv(F.substring(F.md5(F.concat_ws("\n", *KEY).cast("binary")), 1, 4), 16, 10).cast("int") % buckets).cast("int")
+
+
+def upsert_stored(ledger: str, batch: DataFrame, now: Column, number: int, buckets: int = BUCKETS) -> list[int]:
+    """The stored ledger at ``ledger`` with batch ``number`` counted in; returns the parts that were rewritten.
+
+    Only parts with keys of the batch are read and written, to a folder of this run; the other parts stay where they are, and one pointer switches
+    all at once. A batch that has been counted in is not counted again; an empty one writes nothing.
+    """
+    spark = batch.sparkSession
+    known = versions.state(ledger)
+    if known["batch"] is not None and known["batch"] >= number:
+        return []
+    marked = sinks.stored(keyed(batch).withColumn("bucket", bucket_of(batch, buckets)), "ledger-batch")
+    touched = sorted(r["bucket"] for r in marked.select("bucket").distinct().collect())  # at most ``buckets``
+    if not touched:
+        return []
+    old = [f"{ledger}/{known['folders'][str(b)]}" for b in touched if str(b) in known["folders"]]
+    before = spark.read.schema(LEDGER).parquet(*old) if old else spark.createDataFrame([], LEDGER)
+    after = upsert(before, marked.drop("source_key", "domain_key", "bucket"), now)
+    run = versions.new_run(ledger, number)
+    placed = keyed(after).withColumn("bucket", bucket_of(after, buckets)).drop("source_key", "domain_key")
+    placed.repartition("bucket").write.partitionBy("bucket").parquet(f"{ledger}/{run}")
+    versions.switch(ledger, {"version": known["version"] + 1, "batch": number, "folders": known["folders"] | {str(b): f"{run}/bucket={b}" for b in touched}})
+    return touched
+
+
+def read_stored(spark: SparkSession, ledger: str) -> DataFrame:
+    """The stored ledger."""
+    return versions.read(spark, ledger, LEDGER)

@@ -287,6 +287,11 @@ _SAFE = "page_id % 9 not in (1, 2, 3)"
 SQL |= {
     "scanned_files": f"""with f as (select *, {_NAME} as name, case when doc_id % 4 = 3 then 'no known format' when doc_id % 10 = 1 then 'no UTF-8' end as error from documents)
         select row_number() over (order by name) - 1 as file_no, name, case doc_id % 4 when 1 then 'LaTeX' when 3 then null else 'Markdown' end as format, case when error is null then sha256(replace(coalesce(text, ''), chr(13), chr(10)) || chr(10)) end as text_sha256, error from f""",
+    "ledger_versions": """with c as (select lower(regexp_extract(coalesce(text, ''), '([A-Za-z]+)', 1)) as source, 1 as b, case when turn > 2 then 'r' || turn else '' end as reason, conv_id as i, turn as j from conversations where role = 'user'
+        union all select lower(regexp_extract(coalesce(text, ''), '([A-Za-z]+)', 1)), 2, 'b', item_id, 0 from benchmark),
+        k as (select *, ('0x' || substr(md5(source || chr(10) || 't' || chr(10) || 'unspecified'), 1, 4))::int % 128 as bucket from c where source <> '' and length(source) <= 120)
+        select source, count(*) as occurrences, coalesce(arg_max(reason, (b, i, j)) filter (reason <> ''), '') as reason, case when max(b) = 2 then '2024-02-01' else '2024-01-01' end as last_seen,
+        bool_or(bucket in (select bucket from k where b = 2)) as rewritten from k group by source""",
     "written_translations": f"select doc_id, text_sha256, null::varchar as error from ({SQL['translate_documents']}) where error is null",
     "archive_members": f"""select page_id // 100 as archive, {_MEMBER} as name, strlen(coalesce(html, ''))::bigint as size, case when {_SAFE} then sha256(coalesce(html, '')) end as content_sha256,
         case page_id % 9 when 2 then 'absolute or empty' when 1 then 'leaves the folder' when 3 then 'leaves the folder' end as error from pages""",

@@ -320,6 +320,21 @@ def candidate_upsert(spark, sf_dir):
     return after.select(F.lower("source").alias("source"), "target", "domain", "reason", "status", "occurrences", F.date_format("first_seen", "yyyy-MM-dd").alias("first_seen"), F.date_format("last_seen", "yyyy-MM-dd").alias("last_seen"))
 
 
+def ledger_versions(spark, sf_dir):
+    """A stored ledger after a batch of first words of user turns and one of benchmark items; ``rewritten``: the second batch wrote the entry's part anew."""
+    folder = sinks.new_folder(spark, "ledger")
+    old, new = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp")
+    items = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", "([A-Za-z]+)", 1).alias("source"), F.lit("t").alias("target"), F.lit("").alias("domain"), F.lit("b").alias("reason"), F.col("item_id").alias("no"))
+    ledger.upsert_stored(folder, ledger.sanitize(_candidates(spark, sf_dir, "user")), old, 1)
+    first = ledger.versions.state(folder)["folders"]
+    ledger.upsert_stored(folder, ledger.sanitize(items), new, 2)
+    ledger.upsert_stored(folder, ledger.sanitize(items), new, 2)  # counted in already
+    second = ledger.versions.state(folder)["folders"]
+    moved = [int(b) for b, at in second.items() if first.get(b) != at]  # at most BUCKETS
+    out = ledger.read_stored(spark, folder)
+    return ledger.keyed(out).select(F.lower("source").alias("source"), "occurrences", "reason", F.date_format("last_seen", "yyyy-MM-dd").alias("last_seen"), ledger.bucket_of(out).isin(moved).alias("rewritten"))
+
+
 def approve_term(spark, sf_dir):
     """One term updated and one added, beside the number of documents of its domain."""
     out = glossary.approve_term(glossary.approve_term(terms(spark), "UND", "T11", "de", "r1"), "neu", "T12", "de", "r2")
@@ -652,7 +667,7 @@ def main_files(spark, sf_dir):
 
 
 REGISTERED = (
-    dictionary_matches, folded_spellings, scanned_files, written_translations, archive_members, report_document, answer_faults, conversion_faults, review_faults, json_type_faults, term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
+    dictionary_matches, folded_spellings, ledger_versions, scanned_files, written_translations, archive_members, report_document, answer_faults, conversion_faults, review_faults, json_type_faults, term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
     chunk_match_overlap, section_in_chunk, range_pages, neighbour_pages, contiguity_violations, body_bounds, metadata_heading, body_page_count, page_lines, page_index, image_refs, missing_refs, artifact_violations,
     control_chars, structural_diff, terminology_missing, candidate_upsert, approve_term, pending_chunks, latest_valid_attempt, jsonl_pages, arxiv_ids, ordered_assembly, command_set_diff, tex_escape,
     sanitized_candidates, chapter_violations, output_names, mask_counts, mask_roundtrip, translate_documents, prompt_rules, report_counters, chunk_index, convert_chunks, review_chunks,
