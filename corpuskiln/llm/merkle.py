@@ -90,12 +90,15 @@ def siblings(asking: DataFrame, nodes: DataFrame, fanout: int = FANOUT) -> DataF
     They are exploded, met by the node table and gathered again by asker. A node of level k is asked for by fanout to the k + 1 rows
     at most; levels of few nodes are broadcast, so no key of the join holds a notable share of the rows.
     """
-    levels = F.filter(F.sequence(F.lit(0), F.lit(62)), lambda k: _width(F.col("n"), k, fanout) > 1)
-    at = asking.select("tree", "idx", "n", F.explode(levels).alias("level"))
-    own = F.floor(F.col("idx") / F.pow(F.lit(fanout), F.col("level"))).cast("long")
-    first = own - F.pmod(own, F.lit(fanout))
-    last = F.least(first + (fanout - 1), _width(F.col("n"), F.col("level"), fanout) - 1)
-    asked = at.withColumn("own", own).select("tree", "idx", "level", "own", F.explode(F.sequence(first, last)).alias("sibling")).where("sibling <> own").drop("own")
+    def asked(levels: list[int]) -> DataFrame:
+        """Coordinates on some levels; each level is exploded once, for the join that it takes part in."""
+        open_ = F.filter(F.array(*map(F.lit, levels)), lambda k: _width(F.col("n"), k, fanout) > 1)
+        at = asking.select("tree", "idx", "n", F.explode(open_).alias("level"))
+        own = F.floor(F.col("idx") / F.pow(F.lit(fanout), F.col("level"))).cast("long")
+        first = own - F.pmod(own, F.lit(fanout))
+        last = F.least(first + (fanout - 1), _width(F.col("n"), F.col("level"), fanout) - 1)
+        return at.withColumn("own", own).select("tree", "idx", "level", "own", F.explode(F.sequence(first, last)).alias("sibling")).where("sibling <> own").drop("own")
+
     known = nodes.where("n > 1").select(F.col("tree").alias("__tree"), F.col("level").alias("__level"), F.col("idx").alias("__idx"), "hash")
     sizes = known.groupBy("__level").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per level
     few = [r["__level"] for r in sizes if r["n"] <= BROADCAST_NODES]
@@ -103,7 +106,7 @@ def siblings(asking: DataFrame, nodes: DataFrame, fanout: int = FANOUT) -> DataF
     met = None
     for level, hint in [x for x in ((few, F.broadcast), (many, lambda x: x)) if x[0]]:  # levels shrink by fanout, so few ones together are small too
         here = hint(known.where(F.col("__level").isin(level)))
-        part = asked.where(F.col("level").isin(level)).join(here, (F.col("tree") == F.col("__tree")) & (F.col("level") == F.col("__level")) & (F.col("sibling") == F.col("__idx")))
+        part = asked(level).join(here, (F.col("tree") == F.col("__tree")) & (F.col("level") == F.col("__level")) & (F.col("sibling") == F.col("__idx")))
         part = part.groupBy("tree", "idx").agg(F.collect_list(F.struct("level", "sibling", "hash")).alias("s"))
         met = part if met is None else met.unionByName(part)
     if met is None:
