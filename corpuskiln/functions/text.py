@@ -65,7 +65,7 @@ def fold_case(c: Column) -> Column:
     """Full case folding, by which ``ß`` and ``ss`` are the same; the tables are those of the running Python."""
     one, several, _ = _folds()
     signs = "".join(several)
-    many = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    many = F.str_to_map(F.lit(",".join(f"{a}:{b}" for a, b in several.items())), F.lit(","), F.lit(":"))  # a constant; none of the signs is a comma or colon
     plain = _ascii_lower(_translated(c, one))
     parts = F.transform(F.regexp_extract_all(plain, F.lit(f"[{signs}]|[^{signs}]+"), F.lit(0)), lambda x: F.coalesce(F.try_element_at(many, x), x))
     return F.when(_is_ascii(c), F.lower(c)).when(F.regexp_like(plain, F.lit(f"[{signs}]")), F.array_join(parts, "")).otherwise(plain)

@@ -100,26 +100,31 @@ def tokens_in(chunk: Column, tokens: Column | None = None) -> Column:
     return F.array_sort(F.array_distinct(token_places(chunk))) if tokens is None else F.array_intersect(tokens, token_places(chunk))
 
 
-def not_once(tokens: Column, c: Column) -> Column:
-    """Those of ``tokens`` that ``c`` does not hold exactly once, in their order: one pass over the text, then sorted arrays."""
+def not_once(tokens: Column, places: Column) -> Column:
+    """Those of ``tokens`` that ``places`` (as ``token_places`` gives them) does not hold exactly once, in their order: by a sorted array."""
     alone = lambda s: F.filter(s, lambda t, i: ~t.eqNullSafe(F.get(s, i - 1)) & ~t.eqNullSafe(F.get(s, i + 1)))
-    return F.array_except(tokens, bound(F.array_sort(token_places(c)), alone))
+    return F.array_except(tokens, bound(F.array_sort(places), alone))
 
 
 def token_errors(chunk: Column, output: Column, tokens: Column) -> Column:
     """First reason why an output is not a valid rewrite of a chunk, null if it is."""
-    wrong = not_once(tokens_in(chunk, tokens), output)
+    wrong = not_once(tokens_in(chunk, tokens), token_places(output))
     return F.coalesce(F.concat(F.lit("control character "), control_character(output)), F.concat(F.lit("token not exactly once: "), F.get(wrong, 0)))
 
 
 def restore(masked: Column, tokens: Column, originals: Column) -> Column:
     """Struct of the text with its regions put back and an error; every token must stand there once, and no other."""
-    seen = F.regexp_extract_all(masked, F.lit(TOKEN), F.lit(0))
-    unknown, wrong = F.get(F.array_except(token_places(masked), tokens), 0), F.get(not_once(tokens, masked), 0)
-    overlap = F.when(F.size(seen) != F.size(token_places(masked)), F.lit("tokens overlap"))
-    error = F.coalesce(F.concat(F.lit("unknown token: "), unknown), F.concat(F.lit("token not exactly once: "), wrong), overlap)
-    gaps = F.split(masked, TOKEN, -1)
     number = lambda t: F.substring(t, len(PREFIX) + 1, 6).cast("int")
-    filled = F.transform(seen, lambda t: F.coalesce(F.try_element_at(originals, number(t) + 1), t))
-    whole = F.array_join(F.flatten(F.zip_with(gaps, filled, lambda g, o: F.array(g, F.coalesce(o, F.lit(""))))), "")
-    return F.struct(F.when(error.isNull(), whole).alias("text"), error.alias("error"))
+
+    def back(places: Column) -> Column:
+        """All from one pass that finds the tokens, and one that cuts the text between them."""
+        gaps = F.split(masked, TOKEN, -1)
+        unknown, wrong = F.get(F.array_except(places, tokens), 0), F.get(not_once(tokens, places), 0)
+        error = F.coalesce(F.concat(F.lit("unknown token: "), unknown), F.concat(F.lit("token not exactly once: "), wrong))
+        filled = F.transform(places, lambda t: F.coalesce(F.try_element_at(originals, number(t) + 1), t))
+        whole = lambda g: F.array_join(F.flatten(F.zip_with(g, filled, lambda x, o: F.array(x, F.coalesce(o, F.lit(""))))), "")
+        # tokens that share their signs at a border leave fewer gaps
+        text = bound(gaps, lambda g: F.when(F.size(g) == F.size(places) + 1, whole(g)))
+        return bound(F.struct(error.alias("error"), F.when(error.isNull(), text).alias("text")), lambda r: F.struct(r["text"].alias("text"), F.when(r["error"].isNull() & r["text"].isNull() & masked.isNotNull(), "tokens overlap").otherwise(r["error"]).alias("error")))
+
+    return bound(token_places(masked), back)

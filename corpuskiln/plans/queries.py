@@ -53,10 +53,10 @@ def matches(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame
 
 
 def books(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFrame:
-    """Documents as pages of one book per source; texts join the numbers by document."""
+    """Documents as pages of one book per source; texts join the numbers by document, once, as several steps read them."""
     rows = docs(spark, sf_dir).select(F.col("source").alias("book"), "doc_id", F.length("text").alias("chars"))
     numbered = scan.number_rows(rows, "doc_id", name="page_no", by=("book",)).withColumn("page_no", F.col("page_no").cast("int"))
-    return numbered.join(docs(spark, sf_dir).select("doc_id", "text"), "doc_id") if texts else numbered
+    return sinks.stored(numbered.join(docs(spark, sf_dir).select("doc_id", "text"), "doc_id"), "pages") if texts else numbered
 
 
 def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
