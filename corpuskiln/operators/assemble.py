@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions.numbers import round_binary
 from corpuskiln.functions.text import tex_escape
+from corpuskiln.operators import audit
 from corpuskiln.operators.chunking import chunk_id
 
 # Fixed values.
 DOCUMENT_CLASS, PREAMBLE = "\\documentclass{article}", "preamble"
+#: The first line of a root file.
+ROOT_COMMENT = "% Includes the chapters in their order."
 
 
 def chapter_inputs(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -36,6 +39,33 @@ def chapter_inputs(parts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def assembly_faults(chunks: DataFrame, artifacts: DataFrame, keys: list[str]) -> DataFrame:
+    """What keeps books from being assembled: keys, chapter_number, part, error, one row per part whose fragment is missing or breaks a rule.
+
+    ``chunks`` has the keys, chapter_number, part and pages (page numbers in order), ``artifacts`` the keys, chapter_number, part, tex and report, as
+    they are stored now: a fragment may have changed since it was accepted, so all rules are checked again. Only broken rules leave the
+    join. A part with several artifacts is broken if any of them is.
+    """
+    on = [*keys, "chapter_number", "part"]
+    both = chunks.select(*on, "pages").join(artifacts.select(*on, "tex", "report", F.lit(True).alias("made")), on, "left")
+    rule = F.coalesce(audit.artifact_error(F.col("tex"), F.lit(True)), audit.report_error(chunk_id(F.col("chapter_number"), F.col("part")), F.col("pages"), F.col("report")))
+    error = F.when(F.col("made").isNull(), "the fragment is missing").when(F.col("report").isNull(), F.coalesce(audit.artifact_error(F.col("tex"), F.lit(True)), F.lit("the report is missing"))).otherwise(rule)
+    return both.select(*on, error.alias("error")).where("error is not null").distinct()
+
+
+def assembled(parts: DataFrame, faults: DataFrame, keys: list[str]) -> DataFrame:
+    """Books with their include lines, or the reason for having none: keys, inputs, chapters, n_faults, error.
+
+    ``parts`` is what ``chapter_inputs`` takes, ``faults`` what ``assembly_faults`` gives. The error is that of the first broken part; else
+    that the chapters' numbers do not run from 1.
+    """
+    place = F.struct("chapter_number", "part", "error")
+    broken = faults.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_faults"), F.min_by(F.concat(chunk_id(F.col("chapter_number"), F.col("part")), F.lit(": "), "error"), place).alias("fault"))
+    rows = chapter_inputs(parts, keys).join(broken, keys, "left")
+    error = F.coalesce("fault", F.when(~F.col("complete"), "the chapters' numbers do not run from 1"))
+    return rows.select(*keys, F.when(error.isNull(), F.col("inputs")).alias("inputs"), "chapters", F.coalesce("n_faults", F.lit(0)).alias("n_faults"), error.alias("error"))
+
+
 def document_report(inputs: DataFrame, converted: DataFrame, reviewed: DataFrame, keys: list[str]) -> DataFrame:
     """The report of each assembled document: chunks, chapters, chapter_ranges, reviewed_chunks and completeness.
 
@@ -53,7 +83,7 @@ def root_document(inputs: Column, title: Column, author: Column, document_class:
     """The text of a book's root file (K6)."""
     by = F.when(F.coalesce(author, F.lit("")) != "", F.concat(F.lit("\\author{"), tex_escape(author), F.lit("}\n"))).otherwise("")
     return F.concat(
-        F.lit(f"% Root document assembled from Agent-produced TeX chunks.\n{document_class}\n\\input{{{preamble}}}\n\\title{{"),
+        F.lit(f"{ROOT_COMMENT}\n{document_class}\n\\input{{{preamble}}}\n\\title{{"),
         tex_escape(title),
         F.lit("}\n"),
         by,

@@ -1,4 +1,4 @@
-"""Whole flows around a text generator: conversion, review and outline of scanned books."""
+"""Whole flows around a text generator: translation of documents, conversion, review and outline of scanned books."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import typed
-from corpuskiln.operators import audit, backend, boundaries, chunking, lifecycle
+from corpuskiln.functions.text import strip
+from corpuskiln.operators import audit, backend, boundaries, chunking, ledger, lifecycle, masking, matching
 from corpuskiln.sources import sinks
 
 FRAGMENT = "tex string, report struct<chunk_id:string,source_pages:array<int>,structure_notes:array<string>,image_notes:array<string>>"
@@ -112,6 +113,44 @@ def review(converted: DataFrame, keys: list[str], generator: backend.Backend = e
     return out.join(kept, [*keys, "part"], "left").select(*keys, "part", "tex", "error", F.coalesce("first_version", "chunk").alias("first_version"))
 
 
+def translation_answers(masked: DataFrame, terms: DataFrame, generator: backend.Backend = backend.echo, kind: str = "paper", source_format: str = "Markdown") -> DataFrame:
+    """Checked answers for the chunks of masked documents: doc_id, lang, chunk_no, translation, candidate_terms, tries and error.
+
+    ``masked`` has doc_id, lang, masked, tokens and error; documents that cannot be masked have no chunks. Store the answers before several
+    steps read them, or the generator is asked for each.
+    """
+    good = masked.where("error is null").select("doc_id", "lang", F.col("masked").alias("text"), "tokens")
+    chunks = chunking.chunk_rows(good)
+    found = chunking.overlapping(chunks.drop("chunk"), matching.find_terms(good, terms))
+    key = F.concat_ws("/", "doc_id", "chunk_no")
+    rules = backend.rule_lines(matching.unique_rules(found.withColumn("key", key), "key"), ["doc_id", "chunk_no"])
+    rows = chunks.join(rules, ["doc_id", "chunk_no"], "left").join(good.select("doc_id", "lang"), "doc_id")
+    prompt = backend.translation_prompt(F.col("chunk"), F.col("rules"), F.col("lang"), F.lit(kind), F.lit(source_format))
+    requests = rows.select("doc_id", "lang", "chunk_no", "chunk", masking.tokens_in(F.col("chunk")).alias("tokens"), prompt.alias("prompt"))
+    answers = backend.checked(backend.parsed(backend.generate(requests, generator, backend.check_tokens)))
+    return answers.select("doc_id", "lang", "chunk_no", "translation", "candidate_terms", "tries", F.coalesce("error", "token_error").alias("error"))
+
+
+def translated(masked: DataFrame, answers: DataFrame) -> DataFrame:
+    """doc_id, text, tries and error of every masked document; what cannot be masked or translated keeps its row (O16). Originals join after the generation."""
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", "translation"))), lambda x: x["translation"])
+    done = answers.groupBy("doc_id").agg(F.array_join(pieces, "").alias("whole"), F.max("tries").alias("tries"), F.max("error").alias("failed"))
+    back = masking.restore(F.col("whole"), F.col("tokens"), F.col("originals"))
+    error = F.coalesce("error", "failed", back["error"])
+    return masked.join(done, "doc_id", "left").select("doc_id", F.when(error.isNull(), back["text"]).alias("text"), "tries", error.alias("error"))
+
+
+def candidates(answers: DataFrame, made: DataFrame) -> DataFrame:
+    """What translations propose as terms, for ``ledger.upsert_stored``: source, target, domain, reason and ``no``, their order.
+
+    Only documents of ``made`` (doc_id, error) without an error teach anything. A proposal without a domain gets its document's; one without
+    both sides, or with a side of more than 120 characters, is left out.
+    """
+    rows = answers.select("doc_id", "lang", "chunk_no", F.posexplode("candidate_terms").alias("place", "c")).join(made.where("error is null").select("doc_id"), "doc_id", "left_semi")
+    domain = F.when(strip(F.coalesce("c.domain", F.lit(""))) == "", F.col("lang")).otherwise(F.col("c.domain"))
+    return ledger.sanitize(rows.select("c.source", "c.target", domain.alias("domain"), "c.reason", F.struct("doc_id", "chunk_no", "place").alias("no")))
+
+
 def translation_warnings(docs: DataFrame, translated: DataFrame, rules: DataFrame) -> DataFrame:
     """What a person should look at in each translation: doc_id and warnings, structures first, then terms in order.
 

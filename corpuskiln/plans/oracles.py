@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpuskiln.functions.text import GENERIC_TOKENS
+from corpuskiln.operators.assemble import ROOT_COMMENT
 from corpuskiln.operators.audit import EXEMPT_CHARS
 from corpuskiln.plans.queries import FAULTS, HEADS, OUTLINES, SPELLINGS, TERMS
 
@@ -176,7 +177,7 @@ select case when w = '' then f else f || ' ' || w end as key, count(*) as n from
     "section_in_chunk": f"{_PARTS} select p.book, p.part, count(*) as n_sections from parts p join books b on b.book = p.book and b.chars > 3000 and b.page_no between p.first_page and p.last_page group by all",
     "chunk_index": f"{_PARTS} select book, part, string_agg(page_no::varchar, ',' order by page_no) as pages, sum(chars)::bigint as characters from w group by book, part",
     "ordered_assembly": rf"""{_PARTS}, i as (select book, '\chapter{{On ' || replace(book, '_', '\_') || '\_\&}}' || chr(10) || string_agg('\input{{chapters/chapter_01_part_' || lpad(part::varchar, 2, '0') || '}}', chr(10) order by part) as inputs from parts group by book)
-        select book, true as complete, sha256('% Root document assembled from Agent-produced TeX chunks.' || chr(10) || '\documentclass{{article}}' || chr(10) || '\input{{preamble}}' || chr(10) || '\title{{' || replace(book, '_', '\_') || '}}' || chr(10) ||
+        select book, true as complete, sha256('{ROOT_COMMENT}' || chr(10) || '\documentclass{{article}}' || chr(10) || '\input{{preamble}}' || chr(10) || '\title{{' || replace(book, '_', '\_') || '}}' || chr(10) ||
             '\begin{{document}}' || chr(10) || '\maketitle' || chr(10) || '\frontmatter' || chr(10) || '\tableofcontents' || chr(10) || '\mainmatter' || chr(10) || inputs || chr(10) || '\end{{document}}' || chr(10)) as tex_sha256 from i""",
     "block_packing": f"{_PACKED} select doc_id, chunk_no, (chunk_end - length(chunk))::int as chunk_start, chunk_end, sha256(chunk) as chunk_sha256 from chunks",
     "chunk_match_overlap": f"""{_PACKED}, l as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(0, len(string_split(text, chr(10))))) as line_no from t),
@@ -253,6 +254,23 @@ select case when w = '' then f else f || ' ' || w end as key, count(*) as n from
     "answer_faults": f"""select doc_id, case doc_id % 7 when 0 then 1 when 3 then 1 else 2 end::int as tries,
         case doc_id % 7 when 3 then 'unknown token: @@MATH_TRANSLATOR_000009@@' when 4 then 'token not exactly once: {_TOKEN}' when 6 then 'wrong shape' end as error,
         case when doc_id % 7 in (0, 1, 2, 5) then sha256('$a$ ' || coalesce(text, '') || ' $b$') end as text_sha256 from documents""",
+    "learned_terms": rf"""with {_DOCUMENTS}, {_MASK}, w as (select d.lang, unnest(regexp_extract_all(m.t4, '\b[a-z]{{7,12}}\b')) as w from masked m join documents d using (doc_id) where m.error is null)
+        select w as source, upper(w) as target, case when starts_with(w, 'e') then coalesce(nullif(trim(lang), ''), 'unspecified') else 'General' end as domain, 'ends in ' || right(w, 1) as reason, 'candidate' as status, count(*) as occurrences
+        from w where not starts_with(w, 'a') group by all""",
+    "assembly_checks": rf"""{_PARTS}, k as (select *, coalesce(try_cast(regexp_extract(book, '(\d+)$', 1) as int), 2) as n from parts), c as (select book, part, n, part // 2 + case when n % 4 = 0 then 2 else 1 end as chapter from k),
+        f as (select *, 'chapter_' || lpad(chapter::varchar, 2, '0') || '_part_' || lpad(part::varchar, 2, '0') as id,
+              case when n % 2 = 1 then case (part + n // 2) % 12 when 0 then 'the fragment is missing' when 3 then 'chunk_id differs' when 5 then 'structure_notes is missing' when 6 then 'the report is missing' when 7 then 'code fence' when 8 then 'root document command' end end as fault from c),
+        h as (select book, chapter, '\chapter{{On}}' || chr(10) || string_agg('\input{{chapters/' || id || '}}', chr(10) order by part) as text from f group by all),
+        b as (select book, count(*) as chapters, max(chapter) as top, string_agg(text, chr(10) order by chapter) as inputs from h group by book),
+        e as (select book, count(fault) as n_faults, min_by(id || ': ' || fault, part) filter (fault is not null) as fault from f group by book)
+        select b.book, case when error is null then sha256(inputs) end as inputs_sha256, chapters, n_faults, error
+        from (select b.*, e.n_faults, coalesce(e.fault, case when top <> b.chapters then 'the chapters'' numbers do not run from 1' end) as error from b join e on e.book is not distinct from b.book) b""",
+    "legacy_chapters": r"""with l as (select conv_id, turn, 'chapters/chapter_' || lpad((turn + 1)::varchar, 2, '0') as name, coalesce(role, '') as role from conversations),
+        i as (select conv_id, string_agg(case when role = 'user' and not (conv_id % 7 = 0 and turn = 1) then '' else '\chapter{' || replace(role, '_', '\_') || '\_\&}' || chr(10) end || '\input{' || name || '}', chr(10) order by turn) as inputs,
+              bool_or(conv_id % 7 = 0 and turn = 1) as blank, bool_or(conv_id % 11 = 0 and turn = 0) as missing from l group by conv_id)
+        select conv_id, sha256(inputs) as inputs_sha256, case when blank then 'a chapter file is empty' end as error from i where not missing""",
+    "book_outlines": f"""with {_SCANS}, n as (select b.book, b.end_page_excluded as e, count(*) as n, max(s.page_no) as last from bounds b join scans s on s.book = b.book and s.page_no >= b.body_start_page and (b.end_page_excluded is null or s.page_no < b.end_page_excluded) where b.error is null and b.book % 5 <> 0 group by all)
+        select book, case when n % 4 = 1 then -1 else n end as chapters, case n % 4 when 0 then case when e is not null then 'the last chapter does not reach the end; ' else '' end || 'the range has pages that do not exist' when 1 then 'wrong shape' when 3 then 'the title is empty' else '' end as errors from n""",
     "json_type_faults": f"""
 with e as (select event_id, replace(o.t, 'K', coalesce(json_extract_string(props, '$.k'), '0')) as t from events join (values {_OUTLINED}) o(i, t) on event_id % {len(OUTLINES)} = o.i),
 v as (select event_id, case when json_valid(t) then t::json end as v from (select event_id, ltrim(t, chr(65279)) as t from e)),

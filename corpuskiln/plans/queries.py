@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -435,22 +436,9 @@ def _masked(spark, sf_dir) -> DataFrame:
 
 
 def _translated(spark, sf_dir) -> DataFrame:
-    """doc_id, text, tries and error of every document; what cannot be masked keeps its row. Originals join after the generation."""
+    """doc_id, text, tries and error of every document, translated by the stand-in."""
     masked = _masked(spark, sf_dir)
-    good = masked.where("error is null").select("doc_id", "lang", F.col("masked").alias("text"), "tokens")
-    chunks = chunking.chunk_rows(good)
-    found = chunking.overlapping(chunks.drop("chunk"), matching.find_terms(good, every_term(spark)))
-    key = F.concat_ws("/", "doc_id", "chunk_no")
-    rules = backend.rule_lines(matching.unique_rules(found.withColumn("key", key), "key"), ["doc_id", "chunk_no"])
-    rows = chunks.join(rules, ["doc_id", "chunk_no"], "left").join(good.select("doc_id", "lang"), "doc_id")
-    prompt = backend.translation_prompt(F.col("chunk"), F.col("rules"), F.col("lang"), F.lit("paper"), F.lit("Markdown"))
-    requests = rows.select("doc_id", "chunk_no", "chunk", masking.tokens_in(F.col("chunk")).alias("tokens"), prompt.alias("prompt"))
-    answers = backend.checked(backend.parsed(backend.generate(requests, backend.echo, backend.check_tokens)))
-    done = answers.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", "translation"))), lambda x: x["translation"]), "").alias("whole"), F.max("tries").alias("tries"), F.max(F.coalesce("error", "token_error")).alias("failed"))
-    joined = masked.join(done, "doc_id", "left")
-    back = masking.restore(F.col("whole"), F.col("tokens"), F.col("originals"))
-    error = F.coalesce("error", "failed", back["error"])
-    return joined.select("doc_id", F.when(error.isNull(), back["text"]).alias("text"), "tries", error.alias("error"))
+    return flows.translated(masked, flows.translation_answers(masked, every_term(spark)))
 
 
 def translate_documents(spark, sf_dir):
@@ -458,6 +446,26 @@ def translate_documents(spark, sf_dir):
     return _translated(spark, sf_dir).select("doc_id", F.sha2("text", 256).alias("text_sha256"), "tries", "error")
 
 
+def proposing(prompts: list[str]) -> list[str]:
+    """A stand-in that gives its chunk back and proposes each word of 7 to 12 small letters as a term, those that begin with a as often without a target and those with e without a domain."""
+    out = []
+    for p in prompts:
+        chunk = p.split("<SOURCE>\n", 1)[1].rsplit("\n</SOURCE>", 1)[0]
+        found = [{"source": f" {w}\n", "target": " " if w[0] == "a" else w.upper(), "domain": "" if w[0] == "e" else "General", "reason": f"ends in {w[-1]}"} for w in re.findall(r"\b[a-z]{7,12}\b", chunk, re.ASCII)]
+        out.append(json.dumps({"translation": chunk, "candidate_terms": found}, ensure_ascii=False))
+    return out
+
+
+def learned_terms(spark, sf_dir):
+    """Terms that translations of all documents propose, counted into a stored ledger; the batch is offered twice and counts once."""
+    masked = _masked(spark, sf_dir)
+    answers = sinks.stored(flows.translation_answers(masked, every_term(spark), proposing), "answers")
+    batch, folder = flows.candidates(answers, flows.translated(masked, answers)), sinks.new_folder(spark, "ledger")
+    for _ in range(2):
+        ledger.upsert_stored(folder, batch, F.lit("2024-01-01").cast("timestamp"), 1)
+    return ledger.read_stored(spark, folder).select("source", "target", "domain", "reason", "status", "occurrences")
+
+
 def translation_warnings(spark, sf_dir):
     """Structures and terms that each translation by the stand-in lacks."""
     rules = matching.unique_rules(matches(spark, sf_dir, offsets=False))
@@ -592,6 +600,53 @@ def review_faults(spark, sf_dir):
     return flows.review(_converted(spark, sf_dir), ["book"], faulty_fragments).select("book", "part", "error")
 
 
+def assembly_checks(spark, sf_dir):
+    """Books in chapters of two parts, validated again before they are assembled. In books of odd number, one part in three
+    is missing, changed since or reported wrongly; every fourth book begins with chapter 2."""
+    number = F.coalesce(F.regexp_extract("book", r"(\d+)$", 1).try_cast("int"), F.lit(2))
+    chapter = F.floor(F.col("part") / 2) + F.when(number % 4 == 0, 2).otherwise(1)
+    plan = planned(spark, sf_dir).withColumn("chapter_number", chapter.cast("int"))
+    chunks = sinks.stored(plan.groupBy("book", "chapter_number", "part").agg(F.sort_array(F.collect_list("page_no")).alias("pages")), "chunks")
+    fault, none = F.when(number % 2 == 1, (F.col("part") + F.floor(number / 2)) % 12).otherwise(1), F.expr("cast(array() as array<string>)")
+    named = F.when(fault == 3, "other").otherwise(chunking.chunk_id(F.col("chapter_number"), F.col("part")))
+    notes = F.when(fault != 5, none)
+    report_ = F.when(fault != 6, F.struct(named.alias("chunk_id"), F.col("pages").alias("source_pages"), notes.alias("structure_notes"), none.alias("image_notes")))
+    tex = F.when(fault == 7, "```tex").when(fault == 8, "\\begin{document}").otherwise("A text.")
+    artifacts = chunks.where(fault != 0).select("book", "chapter_number", "part", tex.alias("tex"), report_.alias("report"))
+    parts = chunks.select("book", "chapter_number", F.lit("On").alias("chapter_title"), "part", F.element_at("pages", 1).alias("first_page"), F.element_at("pages", -1).alias("last_page"))
+    out = assemble.assembled(parts, assemble.assembly_faults(chunks, artifacts, ["book"]), ["book"])
+    return out.select("book", F.sha2("inputs", 256).alias("inputs_sha256"), F.size("chapters").cast("long").alias("chapters"), "n_faults", "error")
+
+
+def legacy_chapters(spark, sf_dir):
+    """Conversations as books of whole-chapter files, some with a heading of their own, one missing in every eleventh book and a blank one in every seventh."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", (F.col("turn") + 1).alias("number"), F.concat(F.coalesce("role", F.lit("")), F.lit("_&")).alias("title"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.when((F.col("conv_id") % 7 == 0) & (F.col("number") == 2), " \n\t").when(F.col("title") == "user_&", F.concat(F.lit("\\chapter* {A}\n"), "text")).otherwise(F.concat(F.lit("."), "text"))
+    found = rows.where(~((F.col("conv_id") % 11 == 0) & (F.col("number") == 1))).select("conv_id", "number", text.alias("text"))
+    out = assemble.legacy_chapters(rows, found, ["conv_id"])
+    return out.select("conv_id", F.sha2("inputs", 256).alias("inputs_sha256"), "error")
+
+
+def outliner(prompts: list[str]) -> list[str]:
+    """A stand-in that makes each body page of a book a chapter; of books with a number of pages that leaves 0, 1 or 3 when divided by 4, the last chapter is too long, there are none, or the titles are blank."""
+    out = []
+    for p in prompts:
+        pages = [x["page_no"] for x in json.loads(p.split("<PAGES>\n", 1)[1].split("\n</PAGES>", 1)[0])]
+        fault = len(pages) % 4
+        chapters = [{"number": i, "title": " " if fault == 3 else f"On {n}", "ocr_start_page": n, "ocr_end_page": n, "sections": [{"title": "s", "ocr_start_page": n}]} for i, n in enumerate(pages, 1)]
+        chapters[-1]["ocr_end_page"] += 1000 if fault == 0 else 0
+        out.append(json.dumps({"chapters": [] if fault == 1 else chapters}))
+    return out
+
+
+def book_outlines(spark, sf_dir):
+    """Chapters of scanned books by a stand-in, and their broken rules; every fifth book is outlined already."""
+    pages = sinks.stored(scans(spark, sf_dir), "scans")
+    found = boundaries.detect_boundaries(pages)
+    out = flows.outline(pages, found, outliner, found.where("book % 5 = 0").select("book"))
+    return out.select("book", F.coalesce(F.size("chapters"), F.lit(-1)).cast("long").alias("chapters"), F.array_join("errors", "; ").alias("errors"))
+
+
 #: Outlines of K, a number of each event, with faults of type; the sign before the second is a byte order mark.
 _CHAPTER = '{"number": K, "title": "A", "ocr_start_page": 1, "ocr_end_page": K, "sections": [{"title": "s", "ocr_start_page": K}]}'
 OUTLINES = (
@@ -667,7 +722,7 @@ def main_files(spark, sf_dir):
 
 
 REGISTERED = (
-    dictionary_matches, folded_spellings, ledger_versions, scanned_files, written_translations, archive_members, report_document, answer_faults, conversion_faults, review_faults, json_type_faults, term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
+    learned_terms, assembly_checks, legacy_chapters, book_outlines, dictionary_matches, folded_spellings, ledger_versions, scanned_files, written_translations, archive_members, report_document, answer_faults, conversion_faults, review_faults, json_type_faults, term_frequency, term_report, term_forms_top8, longest_match, term_conflicts, domain_filter, table_term_filter, content_tokens, coverage_audit, missing_pages, chapter_parts, chapter_ranges, block_packing,
     chunk_match_overlap, section_in_chunk, range_pages, neighbour_pages, contiguity_violations, body_bounds, metadata_heading, body_page_count, page_lines, page_index, image_refs, missing_refs, artifact_violations,
     control_chars, structural_diff, terminology_missing, candidate_upsert, approve_term, pending_chunks, latest_valid_attempt, jsonl_pages, arxiv_ids, ordered_assembly, command_set_diff, tex_escape,
     sanitized_candidates, chapter_violations, output_names, mask_counts, mask_roundtrip, translate_documents, prompt_rules, report_counters, chunk_index, convert_chunks, review_chunks,

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from corpuskiln.operators import boundaries, chunking, lifecycle, scan
+from corpuskiln.operators import assemble, boundaries, chunking, glossary, lifecycle, masking, scan
 from corpuskiln.plans import flows
 
 LONG = " ".join(f"word{i}" for i in range(40))
@@ -102,3 +102,36 @@ def test_numbers_within_groups(spark):
     out = scan.number_rows(spark.createDataFrame(rows, "k string, v int").repartition(7), "v", name="no", by=("k",)).collect()
     want = {k: [v for x, v in rows if x == k] for k in (None, "a", "b")}
     assert sorted((str(r["k"]), r["no"], r["v"]) for r in out) == sorted((str(k), n, v) for k, vs in want.items() for n, v in enumerate(vs))
+
+
+def test_assembly_validates_again(spark):
+    chunks = spark.createDataFrame([("a", 1, 0, [0, 1]), ("a", 2, 0, [2]), ("b", 1, 0, [0]), ("c", 2, 0, [0]), ("d", 1, 0, [0]), ("d", 1, 1, [1])], "book string, chapter_number int, part int, pages array<int>")
+    report = "struct<chunk_id:string,source_pages:array<int>,structure_notes:array<string>,image_notes:array<string>>"
+    rows = [("a", 1, 0, "x", ("chapter_01_part_00", [0, 1], [], [])), ("a", 2, 0, "y", ("chapter_02_part_00", [2], [], [])), ("b", 1, 0, "x", ("chapter_01_part_00", [1], [], [])), ("c", 2, 0, "x", ("chapter_02_part_00", [0], [], [])), ("d", 1, 0, "\\chapter{x}", None)]
+    artifacts = spark.createDataFrame(rows, f"book string, chapter_number int, part int, tex string, report {report}")
+    faults = assemble.assembly_faults(chunks, artifacts, ["book"])
+    assert sorted(tuple(r) for r in faults.collect()) == [("b", 1, 0, "source_pages differ"), ("d", 1, 0, "chapter heading in a chunk"), ("d", 1, 1, "the fragment is missing")]
+    parts = chunks.select("book", "chapter_number", F.lit("T").alias("chapter_title"), "part", F.element_at("pages", 1).alias("first_page"), F.element_at("pages", -1).alias("last_page"))
+    got = {r["book"]: (r["inputs"], r["n_faults"], r["error"]) for r in assemble.assembled(parts, faults, ["book"]).collect()}
+    assert got["a"] == ("\\chapter{T}\n\\input{chapters/chapter_01_part_00}\n\\chapter{T}\n\\input{chapters/chapter_02_part_00}", 0, None)
+    assert got["b"] == (None, 1, "chapter_01_part_00: source_pages differ") and got["d"] == (None, 2, "chapter_01_part_00: chapter heading in a chunk")
+    assert got["c"] == (None, 0, "the chapters' numbers do not run from 1")
+    assert assemble.assembly_faults(chunks.limit(0), artifacts, ["book"]).count() == 0
+
+
+def test_only_whole_translations_teach_terms(spark):
+    def model(prompts):
+        import json
+
+        chunk = lambda p: p.split("<SOURCE>\n", 1)[1].rsplit("\n</SOURCE>", 1)[0]
+        term = lambda s, d: {"source": s, "target": "T", "domain": d, "reason": ""}
+        return [json.dumps({"translation": chunk(p).replace("@@", "") if "lost" in p else chunk(p), "candidate_terms": [term(" group ", ""), term("", "x"), term("x" * 121, "x"), term("ring", "General")]}) for p in prompts]
+
+    docs = spark.createDataFrame([(1, "a $x$ text", "en"), (2, "lost $x$ here", "en"), (3, None, None)], "doc_id long, text string, lang string")
+    masked = masking.mask(docs).select("doc_id", "lang", "mask.masked", "mask.tokens", "mask.originals", "mask.error")
+    terms = spark.createDataFrame([], f"term_no long, {glossary.TERM_SCHEMA}")
+    answers = flows.translation_answers(masked, glossary.active_terms(terms, ["en"]), model)
+    made = flows.translated(masked, answers)
+    assert {r["doc_id"]: (r["text"], r["error"] is None) for r in made.collect()} == {1: ("a $x$ text", True), 2: (None, False), 3: ("", True)}
+    got = sorted((r["no"]["doc_id"], r["source"], r["domain"]) for r in flows.candidates(answers, made).collect())
+    assert [x for x in got if x[0] == 1] == [(1, "group", "en"), (1, "ring", "General")] and not any(x[0] == 2 for x in got)
