@@ -17,8 +17,8 @@ from corpuskiln.llm.common import materialize
 
 #: Labelled rows that a model is fitted on, about; all other steps read every row.
 FIT_ROWS = 8000
-#: Terms of the lexicon, at most.
-LEXICON_TERMS = 2000
+#: A term of the lexicon is in one of so many toxic texts of the sample at least, and in five; the lower bound of its share of toxic texts is so high at least.
+ONE_TEXT_IN, LEAST_SHARE = 120, 0.55
 #: Scores from here on are predictions of label 1.
 THRESHOLD = 0.7
 STEM_LENGTHS = (4, 5, 6, 7)
@@ -230,37 +230,41 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 6
     return [float(v) for v in w]
 
 
-def _lexicon(counts: list, toxic: int, clean: int, lexicon_terms: int) -> list[Term]:
-    """Words and stems that mark toxic texts; a stem stands in for its words where it is found in many more texts than any."""
-    least = max(5, toxic // 120)
-    seen: dict[tuple[str, bool], tuple[int, int]] = {}
-    for r in counts:
-        n, z = r["t"] + r["c"], 1.64
-        p = r["t"] / n
-        lower = (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-        if r["t"] >= least and lower >= 0.55:
-            seen[r["term"][2:], r["term"][0] == "p"] = (r["t"], r["c"])
-    words, stems = {w: v for (w, s), v in seen.items() if not s}, {w: v for (w, s), v in seen.items() if s}
+def _least_share(t: Column, n: Column, z: float = 1.64) -> Column:
+    """The lower end of Wilson's interval for ``t`` cases of ``n``."""
+    p = t / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def _beginnings(word: str) -> list[str]:
+    return [word[:n] for n in STEM_LENGTHS if n <= len(word)]
+
+
+def _lexicon(counts: list, toxic: int, clean: int) -> list[Term]:
+    """Words and stems, of those that mark toxic texts; a stem stands in for its words where it is found in many more texts than any."""
+    words = {r["term"][2:]: (r["t"], r["c"]) for r in counts if r["term"][0] == "w"}
+    stems = {r["term"][2:]: (r["t"], r["c"]) for r in counts if r["term"][0] == "p"}
     most: dict[str, int] = {}
-    for w, (t, _) in words.items():
-        for n in STEM_LENGTHS:
-            most[w[:n]] = max(most.get(w[:n], 0), t)
+    deeper: dict[str, int] = {}
+    for found, best in ((words, most), (stems, deeper)):
+        for w, (t, _) in found.items():
+            for s in _beginnings(w):
+                if found is words or s != w:
+                    best[s] = max(best.get(s, 0), t)
     kept: dict[str, tuple[int, int]] = {}
     for s in sorted(stems, key=lambda s: (len(s), s)):
         t = stems[s][0]
-        longer = any(q != s and q.startswith(s) and stems[q][0] >= 0.95 * t for q in stems)
-        if t > 1.3 * most.get(s, 0) and not longer and not any(s.startswith(q) for q in kept):
+        if t > 1.3 * most.get(s, 0) and deeper.get(s, 0) < 0.95 * t and kept.keys().isdisjoint(_beginnings(s)):
             kept[s] = stems[s]
-    chosen = [(w, True, v) for w, v in kept.items()] + [(w, False, v) for w, v in words.items() if not any(w.startswith(q) for q in kept)]
-    chosen = sorted(chosen, key=lambda x: (-x[2][0], x[0], x[1]))[:lexicon_terms]
+    chosen = [(w, True, v) for w, v in kept.items()] + [(w, False, v) for w, v in words.items() if kept.keys().isdisjoint(_beginnings(w))]
     odds = lambda v: float(np.log((v[0] + 0.5) / (toxic + 1)) - np.log((v[1] + 0.5) / (clean + 1)))
-    return [Term(w, s, max(0.1, odds(v))) for w, s, v in chosen]
+    return [Term(w, s, max(0.1, odds(v))) for w, s, v in sorted(chosen, key=lambda x: (-x[2][0], x[0], x[1]))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, lexicon_terms: int = LEXICON_TERMS, clean_rate: float = 0.002) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, clean_rate: float = 0.002) -> ToxicityModel:
     """Learn from about ``fit_rows`` labelled rows (chosen by hash) that are not held out; of equal and most nearly equal texts, one counts.
 
-    A term is matched with edits only if that finds it in at most ``clean_rate`` of the clean texts. Rows without doc_id
+    All terms that mark toxic texts significantly are taken. A term is matched with edits only if that finds it in at most ``clean_rate`` of the clean texts. Rows without doc_id
     or label are left out; without labels of both kinds, every text gets the same low score.
     """
     ids = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -278,8 +282,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, lexicon_te
     stem = lambda k: F.transform(F.filter("w", lambda x: F.length(x) > k), lambda x: F.concat(F.lit("p:"), F.substring(x, 1, k)))
     terms = F.array_distinct(F.concat(F.transform("w", lambda x: F.concat(F.lit("w:"), x)), *(stem(k) for k in STEM_LENGTHS)))
     counted = sample.select("toxic", words.alias("w")).select("toxic", F.explode(terms).alias("term")).groupBy("term").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-    found = counted.where("t >= 4 and t > c").orderBy(F.desc("t"), "term").limit(20 * lexicon_terms).collect()
-    model = ToxicityModel(_lexicon(found, n[1], n[0], lexicon_terms))
+    marking = (F.col("t") >= max(5, n[1] // ONE_TEXT_IN)) & (_least_share(F.col("t"), F.col("t") + F.col("c")) >= LEAST_SHARE)
+    found = counted.where(marking).collect()  # each is in a set share of the toxic texts, so their number follows the terms of a text, not the texts
+    model = ToxicityModel(_lexicon(found, n[1], n[0]))
 
     def edited(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model)
@@ -305,7 +310,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` with a struct column ``toxicity`` (score, n_hits, n_quoted, n_misspelled); only ``text`` is read.
 
     Null and empty texts have no hits and get the score of such texts; repeated rows score alike; whole texts count,
-    however long; no rows give no rows. All other columns stay as they are.
+    however long; no rows give no rows. A column named ``toxicity`` is replaced, all others stay as they are.
     """
 
     @F.pandas_udf("score double, n_hits int, n_quoted int, n_misspelled int")

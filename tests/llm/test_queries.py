@@ -51,6 +51,85 @@ def test_toxicity_rows(spark):
         assert r["held_out"] == (crc32(str(r["doc_id"]).encode()) % 3 == 1) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7)
 
 
+def test_toxicity_equals_brute_force(spark):
+    """Scores of the query from plain edit distances of every word to every term, and contexts read line by line."""
+    import math
+    import re
+
+    from corpuskiln.llm import toxicity
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    known = {}
+
+    def distances(term, word):
+        """Edits between a term and each beginning of a word, swaps of neighbours among them."""
+        rows = [list(range(len(word) + 1))]
+        for i, a in enumerate(term, 1):
+            row = [i]
+            for j, b in enumerate(word, 1):
+                e = min(rows[-1][j] + 1, row[-1] + 1, rows[-1][j - 1] + (a != b))
+                if i > 1 and j > 1 and a == word[j - 2] and b == term[i - 2]:
+                    e = min(e, rows[-2][j - 2] + 1)
+                row.append(e)
+            rows.append(row)
+        return rows[-1]
+
+    def nearest(word):
+        if word not in known:
+            best = None
+            for k, t in enumerate(model.terms):
+                if not t.edits:
+                    e = 0 if (word.startswith(t.text) if t.stem else word == t.text) else 99
+                elif len(word) < len(t.text) - t.edits or (not t.stem and len(word) > len(t.text) + t.edits):
+                    continue
+                else:
+                    e = min(distances(t.text, word)) if t.stem else distances(t.text, word)[-1]
+                if e <= t.edits and (best is None or (e, k) < best):
+                    best = e, k
+            known[word] = best
+        return known[word]
+
+    def context(line, a, b):
+        before, after = toxicity.WORD.findall(line[max(0, a - toxicity.WINDOW) : a])[-8:], toxicity.WORD.findall(line[b : b + toxicity.WINDOW])[:8]
+        quoted = line[:a].count('"') % 2 == 1 and '"' in line[b:]
+        quoted = quoted or any(m.start() <= a and m.end() > b for o, c in toxicity.QUOTES for m in re.finditer(f"{o}[^{c}]*{c}", line))
+        worth = 0.2 if quoted else 1.0
+        if set(before) & toxicity.REPORTING:
+            return worth * 0.5
+        return worth * 1.5 if not quoted and set(before + after) & toxicity.ADDRESSING else worth
+
+    out = {r["doc_id"]: r for r in queries.op3_toxicity(spark, sf).collect()}
+    total = 0
+    for doc, text in docs.collect():
+        hits = [(*nearest(m[0]), context(line, m.start(), m.end())) for line in (text or "").lower().split("\n") for m in toxicity.WORD.finditer(line) if nearest(m[0])]
+        worth = [(model.terms[k].weight * c / (1 + e), c >= 0.75) for e, k, c in hits]
+        direct, quoted = sum(w for w, d in worth if d), sum(w for w, d in worth if not d)
+        x = [1.0, math.log1p(direct), math.log1p(quoted), float(len({k for _, k, c in hits if c >= 0.75}) > 1)] if hits else [1.0, 0.0, 0.0, 0.0]
+        z = sum(a * b for a, b in zip(x, model.coefficients, strict=True))
+        r = out[doc]
+        assert (r["n_hits"], r["n_quoted"], r["n_misspelled"]) == (len(hits), sum(c < 0.75 for _, _, c in hits), sum(e > 0 for e, _, _ in hits)), doc
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-6), doc
+        total += len(hits)
+    assert total > 100
+
+
+def test_planted_quotations_are_told_from_abuse(spark):
+    """Toxic documents as they are, and with every line within quotation marks after a word that reports: the quoted twins are no longer toxic."""
+    from corpuskiln.llm import toxicity
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    direct = toxicity.score(docs, model).where(F.col("toxicity.score") >= toxicity.THRESHOLD)
+    clean = F.regexp_replace("text", "[\"“”„«»‘’]", " ")
+    quoted = F.array_join(F.transform(F.split(clean, "\n"), lambda x: F.concat(F.lit("they wrote „"), x, F.lit("“"))), "\n")
+    twins = toxicity.score(direct.select("doc_id", quoted.alias("text")), model).select("toxicity.*").collect()
+    assert len(twins) >= 10 and all(r["n_quoted"] == r["n_hits"] > 0 for r in twins)
+    assert sum(r["score"] >= toxicity.THRESHOLD for r in twins) == 0
+
+
 @pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 def test_mixing_equals_brute_force(spark, sf):
     from tests.llm.test_mixing import plain_mix
