@@ -8,9 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from corpuskiln.llm.common import materialize, new_path
 from corpuskiln.llm.words import WordHashes, mix, ngrams, sliced
+from corpuskiln.operators.scan import number_rows
 
 #: Words of a window and of an anchor, which is the least hash among the word runs of a window.
 WINDOW, ANCHOR = 13, 5
@@ -273,7 +275,7 @@ def _bucketed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
-    """The working table (doc, row, text), and per doc_id the spans of words that smaller documents have: doc, spans."""
+    """The working table (doc, row, text) of ``docs`` with an integer doc_id, and per doc_id the spans of words that smaller documents have: doc, spans."""
     table = _bucketed(docs)
     total = table.where("doc is not null").count()
     share = min(1.0, SAMPLE / max(1, total))
@@ -302,11 +304,19 @@ def repeated_spans(docs: DataFrame, shard: int = SHARD) -> tuple[DataFrame, Data
     return table, both.select("doc", F.concat("early", F.coalesce("late", nothing)).alias("spans"))
 
 
+def _of_any_ids(docs: DataFrame, shard: int) -> DataFrame:
+    """``remove_repeats`` where doc_ids are no integers: each distinct id is numbered in their order, and the numbers stand in for the ids."""
+    ids = materialize(number_rows(docs.select(F.col("doc_id").alias("id")).where("id is not null").distinct(), "id", name="number"), "substring-ids")
+    numbered = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left").select(F.col("number").alias("doc_id"), "text")
+    out = remove_repeats(materialize(numbered, "substring-docs"), shard).withColumnRenamed("doc_id", "number")
+    return out.join(ids, "number", "left").select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept")
+
+
 def remove_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """Columns doc_id, n_words, n_removed and kept (the words that stay, joined by one space), one row per row of ``docs``.
 
     Words stand between ASCII white space. A word goes if a window of ``WINDOW`` words of its document covers it whose words
-    also start in a document with a smaller doc_id; all windows are judged on the input. Rows without doc_id lose
+    also start in a document with a smaller doc_id, in the order that Spark sorts its type by (strings: bytewise); all windows are judged on the input. Rows without doc_id lose
     nothing and count nowhere; null and short texts have no windows; rows of one doc_id are no references for each
     other; other columns are ignored; no rows give no rows.
 
@@ -316,6 +326,8 @@ def remove_repeats(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     but differ, each against the pieces of all smaller documents. An anchor with more than ``shard`` such pieces goes window by
     window instead, so that no automaton outgrows two shards.
     """
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        return _of_any_ids(docs, shard)
     table, spans = repeated_spans(docs, shard)
     joined = table.join(spans, "doc", "left").select("doc", "row", "text", "spans")
 

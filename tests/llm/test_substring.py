@@ -122,3 +122,17 @@ def test_no_table_stays_in_the_catalog(spark):
     finally:
         out.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert out.count() == 20 and "Bucketed: true" in plan  # a join by doc does not move texts
+
+
+def test_ids_of_any_type(spark):
+    rows = [(doc, text) for doc, text in corpus(11, 60, 30) if doc is not None]
+    named = [(f"é{doc % 7}-{doc}", text) for doc, text in rows]
+    out = remove_repeats(spark.createDataFrame(named, "doc_id string, text string").withColumn("number", F.lit("x")))
+    assert out.columns == ["doc_id", "n_words", "n_removed", "kept"]
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == brute_force(named)
+    assert sum(r[2] for r in got) > 0
+    decimals = spark.createDataFrame(rows, "doc_id long, text string").withColumn("doc_id", (F.col("doc_id") / 4).cast("decimal(20,2)"))
+    assert sorted((int(r["doc_id"] * 4), *tuple(r)[1:]) for r in remove_repeats(decimals).collect()) == brute_force(rows)
+    empty = spark.createDataFrame([(None, "x"), (None, None)], "doc_id string, text string")
+    assert sorted(tuple(r) for r in remove_repeats(empty).collect()) == [(None, 0, 0, ""), (None, 1, 0, "x")] and remove_repeats(empty.limit(0)).count() == 0
