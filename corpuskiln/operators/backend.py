@@ -7,7 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,29 +71,30 @@ def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str,
     its error; nothing fails the job. The same answers give the same rows, whatever the batches.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            n = len(pdf)
-            answers, errors, tries = [None] * n, [None] * n, [0] * n
-            open_ = list(range(n))
-            prompts = pdf["prompt"].tolist()
-            for attempt in range(1, attempts + 1):
-                failed = []
-                for at in range(0, len(open_), batch):
-                    some = open_[at : at + batch]
-                    asked = [prompts[i] + (f"\nThe last answer failed: {errors[i]}" if errors[i] else "") for i in some]
-                    for i, answer in zip(some, backend(asked), strict=True):
-                        error = shape(answer)
-                        if not error and check:
-                            error = check(pdf["chunk"].iloc[i], json.loads(answer)["translation"], list(pdf["tokens"].iloc[i]))
-                        answers[i], errors[i], tries[i] = answer, error, attempt
-                        if error:
-                            failed.append(i)
-                open_ = failed
-            yield pdf.assign(answer=answers, error=errors, tries=tries)
+    names = requests.columns
+
+    def answered(part: pa.RecordBatch) -> pa.RecordBatch:
+        held = {n: part.column(n).to_pylist() for n in ("prompt", *(("chunk", "tokens") if check else ()))}
+        answers, errors, tries = [None] * part.num_rows, [None] * part.num_rows, [0] * part.num_rows
+        open_ = list(range(part.num_rows))
+        for attempt in range(1, attempts + 1):
+            asked = [held["prompt"][i] + (f"\nThe last answer failed: {errors[i]}" if errors[i] else "") for i in open_]
+            for i, answer in zip(open_, backend(asked) if open_ else [], strict=True):
+                error = shape(answer)
+                if not error and check:
+                    error = check(held["chunk"][i], json.loads(answer)["translation"], list(held["tokens"][i]))
+                answers[i], errors[i], tries[i] = answer, error, attempt
+            open_ = [i for i in open_ if errors[i]]
+        made = [pa.array(answers, pa.string()), pa.array(errors, pa.string()), pa.array(tries, pa.int32())]
+        return pa.RecordBatch.from_arrays([*part.columns, *made], [*names, "answer", "error", "tries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:  # Spark bounds its bytes; prompts and answers are objects for one slice only
+            for at in range(0, whole.num_rows, batch):
+                yield answered(whole.slice(at, batch))
 
     schema = ", ".join(f"`{n}` {k}" for n, k in requests.dtypes)
-    return requests.mapInPandas(run, f"{schema}, answer string, error string, tries int")
+    return requests.mapInArrow(run, f"{schema}, answer string, error string, tries int")
 
 
 def check_tokens(chunk: str, output: str, tokens: list[str]) -> str | None:
