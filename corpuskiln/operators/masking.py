@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +42,9 @@ RULES = (
 )
 
 MASKED = "masked string, tokens array<string>, originals array<string>, error string"
+_FIELDS, _KINDS = ["masked", "tokens", "originals", "error"], [pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string()]
+#: Texts that a task holds as objects at once.
+SLICE = 64
 _COMPILED = [(kind, name, re.compile(pattern)) for kind, name, pattern in RULES]
 _TOKEN = re.compile(TOKEN)
 
@@ -71,21 +74,24 @@ def _mask(text: str, kind: str) -> tuple[str, list[str], str | None]:
     return text, originals, None
 
 
+def masked_slices(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Texts and their formats masked, some at a time: a batch's bytes are bounded by Spark, its texts and originals are objects for one slice only."""
+    for texts, kinds in batches:
+        for at in range(0, len(texts), SLICE):
+            out = []
+            for t, k in zip(texts.slice(at, SLICE).to_pylist(), kinds.slice(at, SLICE).to_pylist(), strict=True):
+                masked, originals, error = _mask(t or "", k or "")
+                out.append((masked, [f"{PREFIX}{i:06d}@@" for i in range(len(originals))], originals, error))
+            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), _KINDS, strict=True)], _FIELDS)
+
+
 def mask(docs: DataFrame, text: str = "text", kind: str | Column = "Markdown") -> DataFrame:
     """``docs`` with a struct ``mask``: masked text, tokens and their originals in order, and an error instead of a failure (O3).
 
     A null text is masked as empty. Where ``error`` is set the text is left out of use, but its row stays.
     """
 
-    @F.pandas_udf(MASKED)
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, kinds in batches:
-            out = []
-            for t, k in zip(texts, kinds, strict=True):
-                masked, originals, error = _mask(t or "", k or "")
-                out.append((masked, [f"{PREFIX}{i:06d}@@" for i in range(len(originals))], originals, error))
-            yield pd.DataFrame(out, columns=["masked", "tokens", "originals", "error"])
-
+    run = F.arrow_udf(masked_slices, MASKED)
     run = run.asNondeterministic()  # else a filter on the error would mask every text a second time
     return docs.withColumn("mask", run(F.col(text), F.lit(kind) if isinstance(kind, str) else kind))
 

@@ -4,7 +4,7 @@ import tracemalloc
 
 import pyarrow as pa
 
-from corpuskiln.operators import backend
+from corpuskiln.operators import backend, masking
 from corpuskiln.plans import flows
 
 
@@ -31,3 +31,9 @@ def test_answers_of_a_batch_are_not_held_together():
     run = backend.generate(Requests(), flows.echo_fragment, shape=flows.fragment_error)
     rows, peak = most(b.num_rows for b in run(iter([batch])))
     assert rows == n and peak < 8 << 20  # all answers are 30 MB
+
+
+def test_masked_texts_of_a_batch_are_not_held_together():
+    texts, kinds = pa.array([f"{i} $x$ " + "word " * 1000 for i in range(6000)]), pa.array(["Markdown"] * 6000)
+    rows, peak = most(len(b) for b in masking.masked_slices(iter([(texts, kinds)])))
+    assert rows == 6000 and peak < 8 << 20  # all texts are 30 MB
