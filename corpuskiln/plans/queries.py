@@ -397,8 +397,9 @@ def sanitized_candidates(spark, sf_dir):
 
 def chapter_violations(spark, sf_dir):
     """Broken rules of conversations as chapter manifests whose turns are chapters of one page, each book with one of twelve faults or none."""
-    pages = scans(spark, sf_dir)
-    found = boundaries.detect_boundaries(pages)
+    pages = sinks.stored(scans(spark, sf_dir).select("book", "page_no", "text"), "scans")
+    found = sinks.stored(boundaries.detect_boundaries(pages), "bounds")  # read by four steps
+    pages = pages.select("book", "page_no")
     fault, page, end = F.pmod("book", F.lit(13)), F.col("page_no"), F.col("end_page_excluded")
     rows = boundaries.body_pages(pages, found).join(found.select("book", "end_page_excluded"), "book")
     rows = rows.where(~F.coalesce((fault == 10) & (page == end - 1), F.lit(False)) & ~((fault == 0) & (F.pmod("book", F.lit(26)) == 0)))
