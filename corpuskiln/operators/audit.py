@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions.numbers import round_binary
 from corpuskiln.functions.text import content_tokens, lines, strip
+from corpuskiln.sources import sinks
 
 # Fixed values.
 EXEMPT_CHARS, LEAST_PAGE, LEAST_OVERALL = 160, 0.20, 0.72
@@ -24,12 +25,15 @@ def coverage(pages: DataFrame, outputs: DataFrame, keys: list[str]) -> DataFrame
     """Coverage of each source page by the output of its chunk: keys, page_no, tokens, hits, coverage, missing.
 
     ``pages`` has the keys, page_no and text, ``outputs`` the keys and text. Short pages and those without tokens are
-    exempt: hits is null, coverage 1. Tokens meet in a join, so no output is gathered with all its pages.
+    exempt: hits is null, coverage 1. Tokens meet in a join, so no output is gathered with all its pages. A page's tokens are stored, as two steps read
+    them; the distinct ones of outputs, which no key repeats, are hashed instead of sorted.
     """
-    source = pages.select(*keys, "page_no", (F.length(strip(F.coalesce("text", F.lit("")))) < EXEMPT_CHARS).alias("short"), content_tokens(F.coalesce("text", F.lit(""))).alias("t"))
-    audited = source.where(~F.col("short") & (F.size("t") > 0)).select(*keys, "page_no", F.explode("t").alias("token"))
-    have = outputs.select(*keys, F.explode(content_tokens(F.coalesce("text", F.lit("")))).alias("token")).distinct()
-    hits = audited.join(have, [*keys, "token"], "left_semi").groupBy(*keys, "page_no").agg(F.count(F.lit(1)).alias("hits"))
+    tokens = content_tokens(F.coalesce("text", F.lit("")))
+    short = F.length(strip(F.coalesce("text", F.lit("")))) < EXEMPT_CHARS
+    source = sinks.stored(pages.select(*keys, "page_no", short.alias("short"), tokens.alias("t")), "page-tokens")
+    audited = source.where(~F.col("short")).select(*keys, "page_no", F.explode("t").alias("token"))
+    have = outputs.select(*keys, F.explode(tokens).alias("token")).distinct()
+    hits = audited.join(have.hint("shuffle_hash"), [*keys, "token"], "left_semi").groupBy(*keys, "page_no").agg(F.count(F.lit(1)).alias("hits"))
     out = source.select(*keys, "page_no", F.size("t").cast("long").alias("tokens"), (F.col("short") | (F.size("t") == 0)).alias("exempt")).join(hits, [*keys, "page_no"], "left")
     counted = F.when(~F.col("exempt"), F.coalesce("hits", F.lit(0)).cast("long"))
     share = F.when(F.col("exempt"), 1.0).otherwise(counted / F.col("tokens"))
