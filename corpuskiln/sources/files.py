@@ -21,13 +21,22 @@ def read_texts(spark: SparkSession, *paths: str) -> DataFrame:
     return named.select("path", "format", text.alias("text"))
 
 
+def _apart(paths: tuple[str, ...]) -> list[str]:
+    """``paths`` without those that are equal to or below another one."""
+    whole = sorted({p.rstrip("/") or "/" for p in paths}, key=len)
+    return [p for i, p in enumerate(whole) if not any(p.startswith(q.rstrip("/") + "/") for q in whole[:i])]
+
+
 def scan_texts(spark: SparkSession, *paths: str) -> DataFrame:
     """Every file below ``paths`` in the order of its path, once: file_no, path, format, text and error.
 
     A file of no known format, or whose bytes are no UTF-8, keeps its row with an error and no text, and no byte is replaced; line ends are line feeds. Spark's scans pass over
     files of no bytes, so an empty file has no row.
     """
-    rows = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(list(paths)).dropDuplicates(["path"])
+    roots = _apart(paths) if not any(c in p for p in paths for c in "*?[{\\") else list(paths)
+    rows = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(roots)
+    if len(roots) > 1 or roots == list(paths) and any(c in roots[0] for c in "*?[{\\"):  # else no file is listed twice, and contents need not be moved to tell
+        rows = rows.dropDuplicates(["path"])
     raw = F.col("content").cast("string")
     kind = document_format(F.col("path"))
     error = F.when(kind.isNull(), "no known format").when(~F.is_valid_utf8(raw), "no UTF-8")
