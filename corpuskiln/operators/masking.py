@@ -45,7 +45,13 @@ MASKED = "masked string, tokens array<string>, originals array<string>, error st
 _FIELDS, _KINDS = ["masked", "tokens", "originals", "error"], [pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string()]
 #: Texts that a task holds as objects at once.
 SLICE = 64
-_COMPILED = [(kind, name, re.compile(pattern)) for kind, name, pattern in RULES]
+#: Signs without which a rule finds nothing, so that most texts are searched for these only.
+NEEDED = {
+    "front matter": "---", "backtick fence": "```", "tilde fence": "~~~", "comment": "<!--", "inline code": "`", "code environment": "\\begin{", "dollar display": "$$",
+    "bracket display": "\\[", "math environment": "\\begin{", "percent line": "%", "parenthesis math": "\\(", "dollar math": "$", "argument command": "\\", "section sign": "\\S",
+    "verbatim": "\\", "link target": "](", "autolink": "<http", "bare url": "http", "html tag": "<",
+}
+_COMPILED = [(kind, name, NEEDED[name], re.compile(pattern)) for kind, name, pattern in RULES]
 _TOKEN = re.compile(TOKEN)
 
 
@@ -56,8 +62,8 @@ def _mask(text: str, kind: str) -> tuple[str, list[str], str | None]:
     if kind not in FORMATS:
         return text, [], f"unknown format {kind}"
     originals: list[str] = []
-    for only, name, pattern in _COMPILED:
-        if only not in (None, kind):
+    for only, name, needed, pattern in _COMPILED:
+        if only not in (None, kind) or needed not in text:
             continue
         found = [m for m in pattern.finditer(text)]
         if any(PREFIX in m[0] and _TOKEN.search(m[0]) for m in found):
@@ -68,7 +74,7 @@ def _mask(text: str, kind: str) -> tuple[str, list[str], str | None]:
             originals.append(m[0])
             at = m.end()
         text = "".join(parts) + text[at:]
-    seen = _TOKEN.findall(text)
+    seen = _TOKEN.findall(text) if originals else []  # a text without originals is as it was, without the prefix
     if len(seen) != len(originals) or len(set(seen)) != len(seen):
         return text, originals, "a token is not there exactly once"
     return text, originals, None
@@ -97,8 +103,9 @@ def mask(docs: DataFrame, text: str = "text", kind: str | Column = "Markdown") -
 
 
 def token_places(c: Column) -> Column:
-    """Every token where it stands, in order, also where two share their signs at the border."""
-    return F.regexp_extract_all(c, F.lit(f"(?=({TOKEN}))"), F.lit(1))
+    """Every token where it stands, in order, also where two share their signs at the border; a text without the prefix is not searched by the pattern."""
+    none = F.when(c.isNotNull(), F.expr("cast(array() as array<string>)"))
+    return F.when(F.contains(c, F.lit(PREFIX)), F.regexp_extract_all(c, F.lit(f"(?=({TOKEN}))"), F.lit(1))).otherwise(none)
 
 
 def tokens_in(chunk: Column, tokens: Column | None = None) -> Column:
@@ -124,7 +131,7 @@ def restore(masked: Column, tokens: Column, originals: Column) -> Column:
 
     def back(places: Column) -> Column:
         """All from one pass that finds the tokens, and one that cuts the text between them."""
-        gaps = F.split(masked, TOKEN, -1)
+        gaps = F.when(F.contains(masked, F.lit(PREFIX)), F.split(masked, TOKEN, -1)).when(masked.isNotNull(), F.array(masked))
         unknown, wrong = F.get(F.array_except(places, tokens), 0), F.get(not_once(tokens, places), 0)
         error = F.coalesce(F.concat(F.lit("unknown token: "), unknown), F.concat(F.lit("token not exactly once: "), wrong))
         filled = F.transform(places, lambda t: F.coalesce(F.try_element_at(originals, number(t) + 1), t))

@@ -22,12 +22,22 @@ def term_report(docs: DataFrame, terms: DataFrame, min_occurrences: int = 1, max
 
 
 def rank_terms(matches: DataFrame, min_occurrences: int = 1, max_terms: int = MAX_TERMS) -> DataFrame:
-    """One chain of aggregates, so that texts are matched once: by term and document, by form, by term."""
-    per_doc = matches.groupBy("source", "target", "doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "matched_text"))).alias("hits"), F.collect_set("domains").alias("domains"), F.collect_set("note").alias("notes"))
-    hits = per_doc.select("source", "target", "doc_id", "domains", "notes", F.posexplode("hits").alias("pos", "hit"))
-    per_form = hits.groupBy("source", "target", F.col("hit.matched_text").alias("form")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "hit.start")).alias("first"), F.sum((F.col("pos") == 0).cast("long")).alias("files"), F.array_distinct(F.flatten(F.collect_set("domains"))).alias("domains"), F.array_distinct(F.flatten(F.collect_set("notes"))).alias("notes")
+    """One chain of aggregates, so that texts are matched once: by form and document, by term and document, by form, by term."""
+    return rank_forms(count_forms(matches), min_occurrences, max_terms)
+
+
+def count_forms(matches: DataFrame) -> DataFrame:
+    """One row per term and form: source, target, form, n, first, files (documents in which it is the term's first form), domains, notes. Each task counts before rows are moved."""
+    counted = matches.groupBy("source", "target", "doc_id", "domains", "note", "matched_text").agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("start"))
+    per_doc = counted.groupBy("source", "target", "doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "matched_text", "n", "domains", "note"))).alias("hits"))
+    hits = per_doc.select("source", "target", "doc_id", F.posexplode("hits").alias("pos", "hit"))
+    return hits.groupBy("source", "target", F.col("hit.matched_text").alias("form")).agg(
+        F.sum("hit.n").alias("n"), F.min(F.struct("doc_id", "hit.start")).alias("first"), F.sum((F.col("pos") == 0).cast("long")).alias("files"), F.collect_set("hit.domains").alias("domains"), F.collect_set("hit.note").alias("notes")
     )
+
+
+def rank_forms(per_form: DataFrame, min_occurrences: int = 1, max_terms: int = MAX_TERMS) -> DataFrame:
+    """The most frequent terms of counted forms, ranked."""
     ranked = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "first", "form"))), 1, TOP_FORMS)
     per_term = per_form.groupBy("source", "target").agg(
         F.sum("n").alias("occurrences"),
@@ -43,8 +53,12 @@ def rank_terms(matches: DataFrame, min_occurrences: int = 1, max_terms: int = MA
 
 def report_totals(masked: DataFrame, terms: DataFrame, matches: DataFrame, max_terms: int = MAX_TERMS, min_occurrences: int = 1) -> DataFrame:
     """One row of counters: files, protected segments, active terms, unique, reported and omitted terms (A4); ``masked`` has tokens and error."""
+    return report_counts(masked, terms, matches.groupBy("source", "target").count(), max_terms, min_occurrences)
+
+
+def report_counts(masked: DataFrame, terms: DataFrame, counts: DataFrame, max_terms: int = MAX_TERMS, min_occurrences: int = 1) -> DataFrame:
+    """The counters of ``report_totals`` from the number of matches of each term: source, target and count."""
     files = masked.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(F.when(F.col("error").isNull(), F.size("tokens"))), F.lit(0)).alias("protected_segments"))
-    counts = matches.groupBy("source", "target").count()
     kept = F.count(F.when(F.col("count") >= min_occurrences, 1))
     unique = counts.agg(F.count(F.lit(1)).alias("matched_unique_terms"), F.least(kept, F.lit(max_terms)).alias("reported_terms"), F.greatest(kept - max_terms, F.lit(0)).alias("omitted_terms"))
     active = terms.agg(F.count(F.lit(1)).alias("active_terms"))
