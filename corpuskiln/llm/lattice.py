@@ -238,6 +238,73 @@ def _stirling(z: np.ndarray) -> np.ndarray:
     return (z - 0.5) * np.log(z) - z + 1 / (12 * z) - 1 / (360 * z**3)
 
 
+class Counts(NamedTuple):
+    """Totals of the learned documents: how many there are, and their tokens and distinct tokens, ends included."""
+
+    documents: int
+    tokens: int
+    distinct: int
+
+
+def totals(docs: DataFrame, counted: DataFrame) -> Counts:
+    trained = docs.agg(F.count(F.when(learned(F.col("doc_id")), 1)).alias("n")).first()["n"]
+    sums = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    return Counts(trained, sums["c"] + trained, sums["v"] + (trained > 0))
+
+
+def least_frequent(words: DataFrame) -> int:
+    """The least ``t`` of the words that are looked up in place, ``FREQUENT`` at most."""
+    by_count = words.groupBy(F.floor(F.log2("t") * COUNT_STEPS).alias("k")).agg(F.min("t").alias("least"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("k")).collect()  # hundreds of rows
+    limit, so_far = (1 << 62), 0
+    for r in by_count:
+        so_far += r["n"]
+        limit = r["least"] if so_far <= FREQUENT else limit
+    return limit
+
+
+def base_scores(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens and base_score of ``score_texts`` alone: counts need no vocabulary, no lattices and no fit.
+
+    Words are looked up and moved as there: the most frequent where the text is, the others once per document and word.
+    """
+    counted = materialize(count_words(docs), "words")
+    trained, n_train, distinct = totals(docs, counted)
+    limit, floor = least_frequent(counted), float(np.log10(n_train + distinct + 1))
+    frequent = counted.where(F.col("t") >= limit).select("word", "c").toArrow()  # FREQUENT rows at most
+    held = docs.sparkSession.sparkContext.broadcast(({w: i for i, w in enumerate(frequent.column("word").to_pylist())}, frequent.column("c").to_numpy()))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, c = held.value
+        logs = np.log10(c + 1.0)
+        for batch in sliced(batches):
+            n_tokens, known, base, rare, rare_times, ends = [], [], [], [], [], [0]
+            for text in batch.column(0).to_pylist():
+                words = (text or b"").lower().split()  # ASCII letters and white space only
+                places = [names.get(w, -1) for w in words]
+                at = np.array(places, np.int64)
+                at = at[at >= 0]
+                if len(at) < len(words):
+                    others = Counter(w for w, i in zip(words, places) if i < 0)
+                    rare.extend(others)
+                    rare_times.extend(others.values())
+                ends.append(len(rare))
+                n_tokens.append(len(words) + 1)
+                known.append(int((c[at] > 0).sum()) + (trained > 0))
+                base.append(float(logs[at].sum()))
+            rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(rare_times, pa.int64())], ["word", "n"]))
+            base = np.array(base, float) + np.log10(trained + 1.0) - np.array(n_tokens, float) * floor
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base), rest], ["doc_id", "n_tokens", "known", "base", "rare"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    out = docs.select(F.col("text").cast("binary"), "doc_id").mapInArrow(read, f"doc_id {kind}, n_tokens long, known long, base double, rare array<struct<word:binary,n:long>>")
+    texts = materialize(out.withColumn("row", F.monotonically_increasing_id()), "read-texts")
+    asked = texts.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
+    met = asked.join(counted.where(F.col("t") < limit).select("word", "c"), "word")
+    rest = met.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("n"))).alias("known_"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("base_"))
+    plus = lambda name: F.col(name) + F.coalesce(F.col(f"{name}_"), F.lit(0))
+    return texts.drop("rare").join(rest, "row", "left").select("doc_id", (~learned(F.col("doc_id"))).alias("held_out"), "n_tokens", plus("known").cast("long").alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), plus("base").alias("base_score"))
+
+
 def score_texts(docs: DataFrame, path: str, rounds: int = ROUNDS, discount: float = DISCOUNT, strength: float = STRENGTH) -> DataFrame:
     """One row per row of ``docs`` (doc_id and text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score.
 
@@ -255,11 +322,9 @@ def score_texts(docs: DataFrame, path: str, rounds: int = ROUNDS, discount: floa
     spark = docs.sparkSession
     vocabulary = load_vocabulary(path)
     counted = materialize(count_words(docs), "words")
-    trained = docs.agg(F.count(F.when(learned(F.col("doc_id")), 1)).alias("n")).first()["n"]
-    sums = counted.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    n_train, distinct = sums["c"] + trained, sums["v"] + (trained > 0)
+    trained, n_train, distinct = totals(docs, counted)
     scores = fit_scores(counted.where("c > 0"), vocabulary, rounds)
-    unseen, whole = float(np.log10((discount * sums["v"] + 1) / (n_train + 2))), n_train + 2
+    unseen, whole = float(np.log10((discount * (distinct - (trained > 0)) + 1) / (n_train + 2))), n_train + 2
     end, floor = float(np.log10((trained + 1) / (n_train + 2))), float(np.log10(n_train + distinct + 1))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,11 +338,7 @@ def score_texts(docs: DataFrame, path: str, rounds: int = ROUNDS, discount: floa
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found), pa.array(both)], ["word", "t", "c", "lattice", "p"])
 
     words = materialize(counted.select("word", "t", "c").mapInArrow(weigh, "word binary, t long, c long, lattice double, p double"), "weighed-words")
-    by_count = words.groupBy(F.floor(F.log2("t") * COUNT_STEPS).alias("k")).agg(F.min("t").alias("least"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("k")).collect()  # hundreds of rows
-    limit, so_far = (1 << 62), 0
-    for r in by_count:
-        so_far += r["n"]
-        limit = r["least"] if so_far <= FREQUENT else limit
+    limit = least_frequent(words)
     frequent = words.where(F.col("t") >= limit).select("word", "c", "lattice", "p").toArrow()  # FREQUENT rows at most
     names = {w: i for i, w in enumerate(frequent.column("word").to_pylist())}
     held = spark.sparkContext.broadcast((names, *(frequent.column(c).to_numpy() for c in ("c", "lattice", "p"))))

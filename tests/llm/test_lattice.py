@@ -142,3 +142,21 @@ def test_edge_cases(spark, vocabulary, pieces):
     held = next(i for i in range(100) if crc32(str(i).encode()) % 7 == 2)
     rows = [(held, "nothing learned"), (held, None)]
     close(lattice.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), MODEL, rounds=1).collect(), brute_force(rows, vocabulary, pieces, 1))
+
+
+def test_base_scores_need_no_vocabulary(spark, monkeypatch):
+    texts = ["The cat the dog", None, "", "\x0bzebra\tZebra  the", "a b c d e f g " * 9, "É é É", "cat cat cat"]
+    df = spark.createDataFrame([(i if i else None, texts[i % 7]) for i in range(40)], "doc_id long, text string").repartition(3)
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens"]
+    key = lambda out: sorted((str(tuple(r[c] for c in columns)), round(r["base_score"], 9)) for r in out.collect())
+    for frequent in (lattice.FREQUENT, 4):  # all words looked up in place, and most of them moved
+        monkeypatch.setattr(lattice, "FREQUENT", frequent)
+        whole = key(lattice.score_texts(df, MODEL, rounds=1))
+        with monkeypatch.context() as m:
+            m.setattr(lattice, "load_vocabulary", None)
+            assert key(lattice.base_scores(df)) == whole
+            assert lattice.base_scores(df.limit(0)).count() == 0
+    from corpuskiln.llm import queries
+
+    monkeypatch.setattr(lattice, "load_vocabulary", None)
+    assert queries.lm_base_scores(spark, "/root/testdata/sf0.001").count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()  # before, the model was fitted for it
