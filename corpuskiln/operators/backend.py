@@ -6,12 +6,13 @@ import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.operators.masking import TOKEN, token_errors
+from corpuskiln.operators.masking import PREFIX, TOKEN, token_errors
 
 #: What a generator is: prompts in, one answer (a JSON text) for each out. It runs in tasks and must be picklable.
 Backend = Callable[[list[str]], list[str]]
@@ -50,28 +51,34 @@ def translation_prompt(chunk: Column, rules: Column, domain: Column, kind: Colum
     )
 
 
+@lru_cache(maxsize=1)
+def _read(answer: str) -> object:
+    """The value of an answer; its shape and its tokens are checked one after the other."""
+    return json.loads(answer)
+
+
 def answer_error(answer: str | None) -> str | None:
     """Why an answer is not of the declared shape, null if it is; extra keys are not allowed."""
     try:
-        value = json.loads(answer or "")
+        value = _read(answer or "")
     except ValueError:
         return "not JSON"
     if not isinstance(value, dict) or set(value) != {"translation", "candidate_terms"} or not isinstance(value["translation"], str) or not isinstance(value["candidate_terms"], list):
         return "wrong shape"
     fields = {"source", "target", "domain", "reason"}
-    if any(not isinstance(c, dict) or set(c) != fields or not all(isinstance(v, str) for v in c.values()) for c in value["candidate_terms"]):
+    if any(not isinstance(c, dict) or c.keys() != fields or {*map(type, c.values())} != {str} for c in value["candidate_terms"]):
         return "wrong candidate"
     return None
 
 
-def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str, str, list[str]], str | None] | None = None, attempts: int = ATTEMPTS, batch: int = 32, shape: Callable[[str | None], str | None] = answer_error) -> DataFrame:
-    """``requests`` (with prompt, chunk and tokens) and answer, error, tries; a failed check is told to the next try.
+def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str, str, list[str]], str | None] | None = None, attempts: int = ATTEMPTS, batch: int = 32, shape: Callable[[str | None], str | None] = answer_error, drop: tuple[str, ...] = ()) -> DataFrame:
+    """``requests`` (with prompt, chunk and tokens), without the columns ``drop``, and answer, error, tries; a failed check is told to the next try.
 
     The backend runs inside tasks, so its load is set by the number of partitions. A request that still fails keeps
     its error; nothing fails the job. The same answers give the same rows, whatever the batches.
     """
 
-    names = requests.columns
+    names = [n for n in requests.columns if n not in drop]
 
     def answered(part: pa.RecordBatch) -> pa.RecordBatch:
         held = {n: part.column(n).to_pylist() for n in ("prompt", *(("chunk", "tokens") if check else ()))}
@@ -82,24 +89,24 @@ def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str,
             for i, answer in zip(open_, backend(asked) if open_ else [], strict=True):
                 error = shape(answer)
                 if not error and check:
-                    error = check(held["chunk"][i], json.loads(answer)["translation"], list(held["tokens"][i]))
+                    error = check(held["chunk"][i], _read(answer)["translation"], list(held["tokens"][i]))
                 answers[i], errors[i], tries[i] = answer, error, attempt
             open_ = [i for i in open_ if errors[i]]
         made = [pa.array(answers, pa.string()), pa.array(errors, pa.string()), pa.array(tries, pa.int32())]
-        return pa.RecordBatch.from_arrays([*part.columns, *made], [*names, "answer", "error", "tries"])
+        return pa.RecordBatch.from_arrays([*map(part.column, names), *made], [*names, "answer", "error", "tries"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:  # Spark bounds its bytes; prompts and answers are objects for one slice only
             for at in range(0, whole.num_rows, batch):
                 yield answered(whole.slice(at, batch))
 
-    schema = ", ".join(f"`{n}` {k}" for n, k in requests.dtypes)
+    schema = ", ".join(f"`{n}` {k}" for n, k in requests.dtypes if n in names)
     return requests.mapInArrow(run, f"{schema}, answer string, error string, tries int")
 
 
 def check_tokens(chunk: str, output: str, tokens: list[str]) -> str | None:
     """First token of the chunk that its output does not hold exactly once."""
-    held, given = Counter(_PLACES.findall(chunk)), Counter(_PLACES.findall(output))
+    held, given = (Counter(_PLACES.findall(x) if PREFIX in x else ()) for x in (chunk, output))
     for t in tokens:
         masked = _PLACES.match(t) is not None
         if (held[t] if masked else t in chunk) and (given[t] if masked else output.count(t)) != 1:

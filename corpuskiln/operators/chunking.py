@@ -42,10 +42,10 @@ def pack_blocks(text: Column, max_chars: int = CHUNK_CHARS) -> Column:
     return bound(blocks(text), cut)
 
 
-def chunk_rows(docs: DataFrame, text: str = "text", max_chars: int = CHUNK_CHARS) -> DataFrame:
-    """One row per chunk: doc_id, chunk_no, chunk, chunk_start and chunk_end (E7); no text is moved."""
-    rows = docs.select("doc_id", F.posexplode(pack_blocks(F.coalesce(F.col(text), F.lit("")), max_chars)).alias("chunk_no", "c"))
-    return rows.select("doc_id", "chunk_no", "c.chunk", F.col("c.start").alias("chunk_start"), (F.col("c.start") + F.length("c.chunk")).alias("chunk_end"))
+def chunk_rows(docs: DataFrame, text: str = "text", max_chars: int = CHUNK_CHARS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per chunk: doc_id, the columns ``keep`` of its document, chunk_no, chunk, chunk_start and chunk_end (E7); no text is moved."""
+    rows = docs.select("doc_id", *keep, F.posexplode(pack_blocks(F.coalesce(F.col(text), F.lit("")), max_chars)).alias("chunk_no", "c"))
+    return rows.select("doc_id", *keep, "chunk_no", "c.chunk", F.col("c.start").alias("chunk_start"), (F.col("c.start") + F.length("c.chunk")).alias("chunk_end"))
 
 
 def overlapping(chunks: DataFrame, matches: DataFrame, key: str = "doc_id") -> DataFrame:

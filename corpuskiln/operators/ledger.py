@@ -24,6 +24,11 @@ def sanitize(batch: DataFrame, domain: str | None = None) -> DataFrame:
     return out.where((F.col("source") != "") & (F.col("target") != "") & (F.length("source") <= LONGEST) & (F.length("target") <= LONGEST))
 
 
+def counted(batch: DataFrame, *more: str) -> DataFrame:
+    """Equal rows of a batch (in source, target, domain, reason and the columns ``more``) as one, with how many they are, ``n``, the first ``no`` and the last, ``last_no``. Each task counts before rows are moved."""
+    return batch.groupBy("source", "target", "domain", "reason", *more).agg(F.count(F.lit(1)).alias("n"), F.min("no").alias("no"), F.max("no").alias("last_no"))
+
+
 def keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("source_key", fold_case(F.col("source"))).withColumn("domain_key", fold_case(F.col("domain")))
 
@@ -33,11 +38,12 @@ def upsert(ledger: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
 
     ``batch`` has source, target, domain, reason and ``no``, its order. Equal keys (case aside in source and domain) are one
     entry: each row adds an occurrence, the last reason that is not empty stays, and the spelling of the first row
-    names a new entry. Entries without new rows stay as they are.
+    names a new entry. Entries without new rows stay as they are. Rows of ``counted`` stand for as many as they count.
     """
-    order, reason = F.col("no"), F.when(F.col("reason") != "", F.col("reason"))
+    many = "n" in batch.columns
+    order, last, reason = F.col("no"), F.col("last_no" if many else "no"), F.when(F.col("reason") != "", F.col("reason"))
     new = keyed(batch).groupBy(*KEY).agg(
-        F.min_by(F.struct("source", "domain"), order).alias("named"), F.count(F.lit(1)).alias("n"), F.max_by(reason, F.when(reason.isNotNull(), order)).alias("new_reason")
+        F.min_by(F.struct("source", "domain"), order).alias("named"), F.sum(F.col("n") if many else F.lit(1).cast("long")).alias("n"), F.max_by(reason, F.when(reason.isNotNull(), last)).alias("new_reason")
     )
     both = keyed(ledger).join(new, KEY, "full_outer")
     seen = F.col("n").isNotNull()
