@@ -516,11 +516,12 @@ def scanned_files(spark, sf_dir):
 
 
 def written_translations(spark, sf_dir):
-    """Translations written as one text each and read back; what could not be translated has no file."""
+    """Translations written as one text each, in 1,024 folders, and read back as they are; what could not be translated has no file."""
     folder = sinks.new_folder(spark, "translations")
     made = _translated(spark, sf_dir).where("error is null")
-    text_sink.write_files(made.select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".zh.md")).alias("name"), "text"), folder)
-    back = files.scan_texts(spark, folder)
+    name = F.concat(F.lpad(F.pmod("doc_id", F.lit(1024)).cast("string"), 4, "0"), F.lit("/d"), F.col("doc_id").cast("string"), F.lit(".zh.md"))
+    text_sink.write_files(made.select(name.alias("name"), "text"), folder)
+    back = files.scan_texts(spark, folder, empty=True, as_is=True)
     return back.select(F.regexp_extract("path", r"d(-?\d+)\.zh\.md$", 1).cast("long").alias("doc_id"), F.sha2("text", 256).alias("text_sha256"), "error")
 
 
