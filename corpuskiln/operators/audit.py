@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.numbers import round_binary
-from corpuskiln.functions.text import content_tokens, lines, strip
+from corpuskiln.functions.text import bound, content_tokens, lines, strip
 from corpuskiln.sources import sinks
 
 # Fixed values.
@@ -48,6 +48,28 @@ def completeness(covered: DataFrame, keys: list[str]) -> DataFrame:
     return sums.select(*keys, overall.alias("overall_coverage"), "missing_pages", allowed.alias("allowed_missing_pages"), ((overall >= LEAST_OVERALL) & (F.col("missing_pages") <= allowed)).alias("passed"))
 
 
+def chunk_coverage(sources: Column, tex: Column) -> Column:
+    """overall_coverage and passed of a chunk's output, as ``completeness`` of ``coverage`` has them, worked out within its row; null for null ``sources``.
+
+    ``sources`` is an array of structs with the text of each page. It is for chunks whose pages are few by their plan.
+    """
+
+    def page(text: Column, have: Column) -> Column:
+        hits = lambda t: F.when((F.length(strip(text)) >= EXEMPT_CHARS) & (F.size(t) > 0), F.size(F.array_intersect(t, have)))
+        return bound(content_tokens(text), lambda t: F.struct(F.size(t).cast("long").alias("tokens"), hits(t).cast("long").alias("hits")))
+
+    def verdict(pages: Column) -> Column:
+        audited = F.filter(pages, lambda p: p["hits"].isNotNull())
+        total = lambda name: F.aggregate(audited, F.lit(0).cast("long"), lambda acc, p: acc + p[name])
+        missing = F.size(F.filter(audited, lambda p: p["hits"] / p["tokens"] < LEAST_PAGE))
+        overall = F.when(F.size(audited) > 0, total("hits") / total("tokens")).otherwise(1.0)
+        allowed = F.greatest(F.lit(1), F.floor(F.size(pages) / 10))
+        return bound(overall, lambda o: F.struct(o.alias("overall_coverage"), ((o >= LEAST_OVERALL) & (missing <= allowed)).alias("passed")))
+
+    every = bound(content_tokens(F.coalesce(tex, F.lit(""))), lambda have: F.transform(sources, lambda p: page(F.coalesce(p["text"], F.lit("")), have)))
+    return F.when(sources.isNotNull(), bound(every, verdict))
+
+
 def completeness_report(covered: DataFrame, keys: list[str]) -> DataFrame:
     """What is written of each chunk's audit: the verdict, made on exact shares, and shares rounded to three places.
 

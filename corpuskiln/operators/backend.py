@@ -75,7 +75,7 @@ def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str,
     """``requests`` (with prompt, chunk and tokens), without the columns ``drop``, and answer, error, tries; a failed check is told to the next try.
 
     The backend runs inside tasks, so its load is set by the number of partitions. A request that still fails keeps
-    its error; nothing fails the job. The same answers give the same rows, whatever the batches.
+    its error; nothing fails the job. A null prompt is not asked and has no answer. The same answers give the same rows, whatever the batches.
     """
 
     names = [n for n in requests.columns if n not in drop]
@@ -83,7 +83,7 @@ def generate(requests: DataFrame, backend: Backend = echo, check: Callable[[str,
     def answered(part: pa.RecordBatch) -> pa.RecordBatch:
         held = {n: part.column(n).to_pylist() for n in ("prompt", *(("chunk", "tokens") if check else ()))}
         answers, errors, tries = [None] * part.num_rows, [None] * part.num_rows, [0] * part.num_rows
-        open_ = list(range(part.num_rows))
+        open_ = [i for i, prompt in enumerate(held["prompt"]) if prompt is not None]
         for attempt in range(1, attempts + 1):
             asked = [held["prompt"][i] + (f"\nThe last answer failed: {errors[i]}" if errors[i] else "") for i in open_]
             for i, answer in zip(open_, backend(asked) if open_ else [], strict=True):
