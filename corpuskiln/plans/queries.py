@@ -694,7 +694,7 @@ def recovered_chunks(spark, sf_dir):
 
 def document_report(spark, sf_dir):
     """The report of each book's document."""
-    made = sinks.stored(_converted(spark, sf_dir), "converted")
+    made = _converted(spark, sf_dir)
     parts = chapter_parts(spark, sf_dir).withColumn("chapter_number", F.lit(1)).withColumn("chapter_title", F.col("book"))
     out = assemble.document_report(assemble.chapter_inputs(parts, ["book"]), made, flows.review(made, ["book"]), ["book"])
     passed = F.array_join(F.transform("completeness", lambda x: F.concat_ws(":", x["chunk_id"], x["passed"].cast("string"))), ",")

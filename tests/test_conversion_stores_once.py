@@ -34,6 +34,11 @@ def test_only_fragments_are_stored_where_attempts_are_recovered(spark, monkeypat
     assert n >= 20 and names == ["fragments"]
 
 
+def test_a_report_stores_fragments_once(spark, monkeypatch):
+    n, names = stored_texts(monkeypatch, lambda: queries.document_report(spark, SF))
+    assert n == 20 and names == ["fragments"]
+
+
 def test_coverage_within_a_row_is_that_of_the_join(spark):
     pick = random.Random(5)
     words = [f"word{i}" for i in range(60)] + ["Table", "end", "的的", "x"]
